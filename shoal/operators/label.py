@@ -80,9 +80,15 @@ def dedupe_by_id(df: DataFrame, id_col: str, first: tuple[str, ...] = ()) -> Dat
     return picked.select(*df.columns).unionByName(nulls)
 
 
+def _present(df: DataFrame, cols) -> list[str]:
+    return [c for c in cols if c in df.columns]
+
+
 def organic(labelled: DataFrame) -> DataFrame:
-    return labelled.where(F.col("label") == LABEL_ORGANIC).select(*ORGANIC_COLUMNS)
+    """Organic output columns (``text`` only when the input carried it)."""
+    return labelled.where(F.col("label") == LABEL_ORGANIC).select(*_present(labelled, ORGANIC_COLUMNS))
 
 
 def quarantined(labelled: DataFrame) -> DataFrame:
-    return labelled.where(F.col("label") == LABEL_QUARANTINED).select(*QUARANTINED_COLUMNS)
+    return (labelled.where(F.col("label") == LABEL_QUARANTINED)
+            .select(*_present(labelled, QUARANTINED_COLUMNS)))
