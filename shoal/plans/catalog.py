@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoal.functions.numeric import ratio, round_half
 from shoal.operators import evaluate as ev
 from shoal.operators import profile as pr
 from shoal.operators.windows import classify_windows
@@ -104,6 +105,10 @@ def most_reviewed(spark, sf_dir):
 
 
 def registry() -> dict[str, Query]:
+    return {**_core(), **_EXTRA}
+
+
+def _core() -> dict[str, Query]:
     return {
         "window_stats": window_stats,
         "anomaly_rules": anomaly_rules,
@@ -130,3 +135,90 @@ def registry() -> dict[str, Query]:
         "star_distribution": star_distribution,
         "most_reviewed": most_reviewed,
     }
+
+
+# --- ingest --------------------------------------------------------------
+# JSON lines made from the review view; some lines are damaged by id
+# arithmetic so every status occurs: truncated JSON, blank, unparseable date,
+# stars written as a double.
+def json_lines(spark, sf_dir):
+    from shoal.sources.messages import review_wire
+    r = review_adapter(spark, sf_dir, with_text=True)
+    eid = F.col("review_id").cast("bigint")
+    r = r.withColumn("stars", F.when(eid % 2 == 0, F.col("stars").cast("double")).otherwise(F.col("stars")))
+    w = review_wire(r).withColumn("date", F.when(eid % 83 == 7, F.lit("not a date")).otherwise(F.col("date")))
+    js = F.to_json(F.struct(*w.columns))
+    line = (F.when(eid % 97 == 5, F.substring(js, F.lit(1), (F.length(js) / 2).cast("int")))
+            .when(eid % 89 == 3, F.lit("   "))
+            .otherwise(js))
+    return w.select(line.alias("value"))
+
+
+def parse_reviews_q(spark, sf_dir):
+    from shoal.sources.json_lines import parse_reviews
+    return parse_reviews(json_lines(spark, sf_dir)).drop("ingestion_time")
+
+
+def parse_reject_split(spark, sf_dir):
+    from shoal.sources.json_lines import status_counts
+    return status_counts(json_lines(spark, sf_dir))
+
+
+def keyed_messages(spark, sf_dir):
+    from shoal.sources.messages import review_wire, to_keyed_messages
+    w = review_wire(review_adapter(spark, sf_dir, with_text=False))
+    return to_keyed_messages(w, ("review_id", "user_id", "business_id", "stars", "date", "is_injected"))
+
+
+# --- attack overlay ------------------------------------------------------
+ATTACK_PLAN = (("blitz", 0, 1), ("sustained", 1, 1), ("stealth", 2, 1), ("multi", 3, 3))
+ATTACK_DELAY_MINUTES = 20
+
+
+def _ranked_businesses(reviews, k):
+    top = (reviews.where(F.col("business_id").isNotNull()).groupBy("business_id")
+           .agg(F.count(F.lit(1)).alias("review_count"))
+           .orderBy(F.desc("review_count"), "business_id").limit(k))
+    from pyspark.sql import Window
+    return top.withColumn("rank", F.row_number().over(
+        Window.orderBy(F.desc("review_count"), "business_id")) - 1)
+
+
+def _attacks(reviews):
+    from shoal.operators.overlay import attack_rows
+    need = max(first + n for _, first, n in ATTACK_PLAN)
+    ranked = _ranked_businesses(reviews, need)
+    start = reviews.select(F.timestamp_micros(F.unix_micros(F.min("event_time"))
+                                              + F.lit(ATTACK_DELAY_MINUTES * 60_000_000))).scalar()
+    out = None
+    for name, first, n in ATTACK_PLAN:
+        t = ranked.where((F.col("rank") >= first) & (F.col("rank") < first + n)).select(
+            "business_id", (F.col("rank") - first).cast("int").alias("target_order"))
+        a = attack_rows(t, name, start)
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+def inject_attacks(spark, sf_dir):
+    return _attacks(review_adapter(spark, sf_dir, with_text=False))
+
+
+def attack_detection(spark, sf_dir):
+    """Detection quality per attack scenario on the review view plus overlay."""
+    r = review_adapter(spark, sf_dir, with_text=False)
+    allr = r.unionByName(_attacks(r).select(*r.columns))
+    d = detect(allr)
+    lab = d.labelled.where(F.col("review_id").startswith("inj-"))
+    return (lab.groupBy(F.split_part(F.col("review_id"), F.lit("-"), F.lit(2)).alias("scenario"))
+            .agg(F.count(F.lit(1)).alias("injected"),
+                 F.count_if(F.col("label") == "quarantined").alias("caught"))
+            .withColumn("recall", round_half(ratio(F.col("caught"), F.col("injected")), 4)))
+
+
+_EXTRA = {
+    "parse_reviews": parse_reviews_q,
+    "parse_reject_split": parse_reject_split,
+    "keyed_messages": keyed_messages,
+    "inject_attacks": inject_attacks,
+    "attack_detection": attack_detection,
+}

@@ -193,3 +193,96 @@ def oracles() -> dict[str, str]:
     q["most_reviewed"] = with_(REVIEWS, body="""SELECT business_id, count(*) AS review_count FROM reviews
   WHERE business_id IS NOT NULL GROUP BY business_id ORDER BY review_count DESC, business_id LIMIT 1""")
     return q
+
+
+# --- ingest ----------------------------------------------------------------
+_EID = "cast(review_id AS bigint)"
+
+
+def _ingest_oracles() -> dict[str, str]:
+    q = {}
+    q["parse_reviews"] = with_(REVIEWS, body=f"""SELECT review_id, user_id, business_id, stars, text,
+         CAST(NULL AS integer) AS useful, CAST(NULL AS integer) AS funny, CAST(NULL AS integer) AS cool,
+         date_trunc('second', event_time) AS event_time, is_injected
+  FROM reviews
+  WHERE {_EID} % 97 <> 5 AND {_EID} % 89 <> 3 AND {_EID} % 83 <> 7
+    AND business_id IS NOT NULL AND review_id IS NOT NULL""")
+    q["parse_reject_split"] = with_(REVIEWS, body=f"""SELECT status, count(*) AS lines FROM (
+    SELECT CASE WHEN {_EID} % 97 = 5 THEN 'malformed' WHEN {_EID} % 89 = 3 THEN 'blank'
+                WHEN {_EID} % 83 = 7 THEN 'bad_date' ELSE 'valid' END AS status FROM reviews)
+  GROUP BY status""")
+    q["keyed_messages"] = with_(REVIEWS, body="""SELECT business_id AS key,
+         '{"review_id":"' || review_id || '","user_id":"' || user_id || '","business_id":"' || business_id || '"'
+         || coalesce(',"stars":' || cast(stars AS varchar), '')
+         || ',"date":"' || strftime(event_time, '%Y-%m-%d %H:%M:%S') || '"'
+         || CASE WHEN is_injected THEN ',"is_injected":true' WHEN NOT is_injected THEN ',"is_injected":false' ELSE '' END
+         || '}' AS value
+  FROM reviews""")
+    return q
+
+
+# --- attack overlay ----------------------------------------------------------
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _attacks_sql(src: str) -> str:
+    from shoal.operators.overlay import ATTACK_TEMPLATES, FOODS, OBJECTS, SCENARIOS
+    from shoal.plans.catalog import ATTACK_DELAY_MINUTES, ATTACK_PLAN
+    plan = ", ".join(f"('{n}', {f}, {k}, {SCENARIOS[n][0]}, {SCENARIOS[n][1]})" for n, f, k in ATTACK_PLAN)
+    need = max(f + k for _, f, k in ATTACK_PLAN)
+
+    def h(salt):
+        return f"('0x' || substr(md5(seed || '{salt}'), 1, 8))::BIGINT"
+
+    def pick(values, salt):
+        return f"list_element({_sql_list(values)}, cast({h(salt)} % {len(values)} + 1 AS integer))"
+    text = pick(ATTACK_TEMPLATES, "t")
+    text = f"replace({text}, '{{object}}', {pick(OBJECTS, 'o')})"
+    text = f"replace({text}, '{{food2}}', {pick(FOODS, 'g')})"
+    text = f"replace({text}, '{{food}}', {pick(FOODS, 'f')})"
+    text = f"replace({text}, '{{minutes}}', cast(30 + {h('m')} % 61 AS varchar))"
+    return f"""ranked AS (
+  SELECT business_id, row_number() OVER (ORDER BY review_count DESC, business_id) - 1 AS rnk
+  FROM (SELECT business_id, count(*) AS review_count FROM {src} WHERE business_id IS NOT NULL
+        GROUP BY business_id ORDER BY review_count DESC, business_id LIMIT {need})),
+plan(scenario, first_rank, n_targets, burst, dur) AS (VALUES {plan}),
+atk0 AS (
+  SELECT p.scenario, r.business_id, r.rnk - p.first_rank AS target_order, p.burst, p.dur,
+         unnest(range(p.burst)) AS i
+  FROM plan p JOIN ranked r ON r.rnk >= p.first_rank AND r.rnk < p.first_rank + p.n_targets),
+atk1 AS (SELECT *, concat_ws('|', business_id, scenario, cast(i AS varchar)) AS seed FROM atk0),
+atk AS (
+  SELECT 'inj-' || scenario || '-' || substr(md5(seed), 1, 16) AS review_id,
+         'atk-' || substr(md5(seed || 'u'), 1, 20) AS user_id, business_id,
+         CASE WHEN {h('s')} % 33 = 0 THEN 2 ELSE 1 END AS stars,
+         {text} AS text,
+         make_timestamp(epoch_us((SELECT min(event_time) FROM {src}) + INTERVAL {ATTACK_DELAY_MINUTES} MINUTE)
+                        + target_order * dur * 1000000 + i * (dur * 1000000 // burst)) AS event_time,
+         true AS is_injected, CAST(NULL AS double) AS sentiment_label
+  FROM atk1)"""
+
+
+def _attack_oracles() -> dict[str, str]:
+    q = {}
+    q["inject_attacks"] = with_(REVIEWS, _attacks_sql("reviews"), body="""SELECT review_id, user_id, business_id,
+         stars, text, event_time, event_time AS ingestion_time, is_injected, sentiment_label FROM atk""")
+    base = REVIEWS.replace("reviews AS (", "base AS (", 1)
+    allr = """reviews AS (
+  SELECT review_id, user_id, business_id, stars, event_time, ingestion_time, is_injected, sentiment_label FROM base
+  UNION ALL
+  SELECT review_id, user_id, business_id, stars, event_time, event_time, is_injected, sentiment_label FROM atk)"""
+    lab = LABELLED.replace("SELECT r.*,", "SELECT r.*, NULL AS text,", 1)
+    q["attack_detection"] = with_(base, _attacks_sql("base"), allr, STATS, lab, body=f"""SELECT
+         split_part(review_id, '-', 2) AS scenario, count(*) AS injected,
+         count(*) FILTER (WHERE label = 'quarantined') AS caught,
+         {R(ratio("count(*) FILTER (WHERE label = 'quarantined')", 'count(*)'), 4)} AS recall
+  FROM labelled WHERE review_id LIKE 'inj-%' GROUP BY 1""")
+    return q
+
+
+_base_oracles = oracles
+
+
+def oracles() -> dict[str, str]:  # noqa: F811
+    return {**_base_oracles(), **_ingest_oracles(), **_attack_oracles()}
