@@ -28,47 +28,58 @@ def valid_latency(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
             .where((F.col("lat_us") >= 0) & (F.col("lat_us") < MAX_LATENCY_US)))
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str = "lat_us",
-                      probs: dict[str, float] = PROBS, coarse: int = COARSE_US) -> DataFrame:
-    """``keys`` + one DOUBLE column per name in ``probs`` (value units).
-
-    ``value`` must be a non-negative integer column whose range divided by
-    ``coarse`` is small (it is for latencies below one hour)."""
+def values_at_ranks(df: DataFrame, keys: list[str], value: str, ranks: DataFrame,
+                    coarse: int = COARSE_US) -> DataFrame:
+    """Value at each wanted 0-based rank of ``value`` (ascending) per key.
+
+    ``ranks``: (keys..., name, rank). Returns (keys..., name, value). Pass 1
+    counts rows per coarse bucket of ``value``; running sums over those few
+    buckets locate each rank's bucket; pass 2 counts distinct values inside
+    the located buckets only. No group's values are ever gathered in a task."""
     k = [F.col(c) for c in keys]
     l1 = df.groupBy(*k, F.floor(F.col(value) / F.lit(coarse)).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*k).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    l1 = (l1.withColumn("_hi", F.sum("_c").over(w))
-          .withColumn("_n", F.sum("_c").over(Window.partitionBy(*k))))
-    # wanted 0-based ranks: floor(h) and floor(h)+1 (clamped) with h = (n-1) p
-    targets = l1.select(*k, "_n").distinct().select(
-        *k, "_n", F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(p).alias("p"))
-                                      for name, p in probs.items()])).alias("_t"))
-    h = (F.col("_n") - 1).cast("double") * F.col("_t.p")
-    targets = targets.select(*k, F.col("_t.name").alias("name"), h.alias("_h"),
-                             F.floor(h).alias("_r0"), F.least(F.floor(h) + 1, F.col("_n") - 1).alias("_r1"))
-    ranks = targets.select(*k, "name", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("_r0").alias("rank")),
-        F.struct(F.lit(1).alias("side"), F.col("_r1").alias("rank")))).alias("_x")
-    ).select(*k, "name", "_x.side", "_x.rank")
-    # locate the coarse bucket of each rank (small tables: <= 3600 buckets x 8 ranks per key)
-    loc = ranks.join(l1.select(*k, "_b", "_c", "_hi"), keys, "inner").where(
+    l1 = l1.withColumn("_hi", F.sum("_c").over(w))
+    loc = ranks.join(l1, keys, "inner").where(
         (F.col("rank") >= F.col("_hi") - F.col("_c")) & (F.col("rank") < F.col("_hi")))
-    loc = loc.select(*k, "name", "side", "_b", (F.col("rank") - (F.col("_hi") - F.col("_c"))).alias("_in"))
+    loc = loc.select(*k, "name", "_b", (F.col("rank") - (F.col("_hi") - F.col("_c"))).alias("_in"))
     wanted = loc.select(*k, "_b").distinct()
-    # second pass: distinct values inside the wanted buckets only
     fine = (df.withColumn("_b", F.floor(F.col(value) / F.lit(coarse)))
             .join(F.broadcast(wanted), keys + ["_b"], "left_semi")
             .groupBy(*k, "_b", F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c2")))
     w2 = Window.partitionBy(*k, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fine = fine.withColumn("_hi2", F.sum("_c2").over(w2))
-    vals = loc.join(fine, keys + ["_b"], "inner").where(
+    hit = loc.join(fine, keys + ["_b"], "inner").where(
         (F.col("_in") >= F.col("_hi2") - F.col("_c2")) & (F.col("_in") < F.col("_hi2")))
-    vals = vals.groupBy(*k, "name").agg(
-        F.min(F.when(F.col("side") == 0, F.col("_v"))).alias("_v0"),
-        F.min(F.when(F.col("side") == 1, F.col("_v"))).alias("_v1"))
-    interp = vals.join(targets.select(*k, "name", "_h", "_r0"), keys + ["name"]).select(
-        *k, "name", (F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))).alias("_q"))
-    return interp.groupBy(*k).pivot("name", list(probs)).agg(F.first("_q"))
+    return hit.select(*k, "name", F.col("_v").alias("value"))
+
+
+def exact_percentiles(df: DataFrame, keys: list[str], value: str = "lat_us",
+                      probs: dict[str, float] = PROBS, coarse: int = COARSE_US) -> DataFrame:
+    """``keys`` + one DOUBLE column per name in ``probs`` (value units), linear
+    interpolation between ranks floor(h) and floor(h)+1, h = (n - 1) p.
+
+    ``value`` must be a non-negative integer column whose range divided by
+    ``coarse`` is small (it is for latencies below one hour)."""
+    k = [F.col(c) for c in keys]
+    n = df.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
+    t = n.select(*k, "_n", F.explode(F.array(*[F.struct(F.lit(nm).alias("name"), F.lit(p).alias("p"))
+                                              for nm, p in probs.items()])).alias("_t"))
+    h = (F.col("_n") - 1).cast("double") * F.col("_t.p")
+    t = t.select(*k, F.col("_t.name").alias("pname"), h.alias("_h"), F.floor(h).alias("_r0"),
+                 F.least(F.floor(h) + 1, F.col("_n") - 1).alias("_r1"))
+    ranks = t.select(*k, F.explode(F.array(
+        F.struct(F.concat(F.col("pname"), F.lit("|0")).alias("name"), F.col("_r0").alias("rank")),
+        F.struct(F.concat(F.col("pname"), F.lit("|1")).alias("name"), F.col("_r1").alias("rank")))).alias("_x")
+    ).select(*k, "_x.name", "_x.rank")
+    v = values_at_ranks(df, keys, value, ranks, coarse)
+    v = v.select(*k, F.split_part(F.col("name"), F.lit("|"), F.lit(1)).alias("pname"),
+                 F.split_part(F.col("name"), F.lit("|"), F.lit(2)).alias("side"), "value")
+    v = v.groupBy(*k, "pname").agg(F.min(F.when(F.col("side") == "0", F.col("value"))).alias("_v0"),
+                                   F.min(F.when(F.col("side") == "1", F.col("value"))).alias("_v1"))
+    interp = v.join(t.select(*k, "pname", "_h", "_r0"), keys + ["pname"]).select(
+        *k, "pname", (F.col("_v0") + (F.col("_h") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))).alias("_q"))
+    return interp.groupBy(*k).pivot("pname", list(probs)).agg(F.first("_q"))
 
 
 def _latency_block(lat: DataFrame, keys: list[str]) -> DataFrame:

@@ -222,3 +222,145 @@ _EXTRA = {
     "inject_attacks": inject_attacks,
     "attack_detection": attack_detection,
 }
+
+
+# --- text model and explanations -----------------------------------------
+def _training(spark, sf_dir):
+    from shoal.operators.text_model import training_rows
+    return training_rows(review_adapter(spark, sf_dir, with_text=True))
+
+
+def training_rows_q(spark, sf_dir):
+    return _training(spark, sf_dir)
+
+
+def balance_classes(spark, sf_dir):
+    from shoal.operators.text_model import balance
+    return balance(_training(spark, sf_dir).select("review_id", "label"), "review_id")
+
+
+def class_counts_q(spark, sf_dir):
+    from shoal.operators.text_model import class_counts
+    return class_counts(_training(spark, sf_dir).select("review_id", "label"), "review_id")
+
+
+def train_test_split(spark, sf_dir):
+    from shoal.operators.text_model import split
+    return split(_training(spark, sf_dir).select("review_id", "label"), "review_id")
+
+
+def stratified_split_q(spark, sf_dir):
+    from shoal.operators.text_model import stratified_split
+    return stratified_split(_training(spark, sf_dir).select("review_id", "label"), "review_id")
+
+
+def classifier_metrics(spark, sf_dir):
+    """Accuracy / weighted F1 of the view's sentiment column against star labels."""
+    from shoal.operators.text_model import classification_metrics, training_rows
+    tr = training_rows(review_adapter(spark, sf_dir, with_text=True), keep=("sentiment_label",))
+    m = classification_metrics(tr, "label", "sentiment_label")
+    return m.select("total", "correct", round_half(F.col("accuracy"), 6).alias("accuracy"),
+                    round_half(F.col("weighted_f1"), 6).alias("weighted_f1"))
+
+
+def _corpus(spark, sf_dir):
+    from shoal.sources.adapter import labelled_documents
+    return labelled_documents(spark, sf_dir).select("doc_id", "text", F.col("quality").alias("label"))
+
+
+def tfidf_weights(spark, sf_dir):
+    from shoal.operators.text_model import fit_tfidf, transform_tfidf
+    docs = _corpus(spark, sf_dir)
+    m = fit_tfidf(docs, "doc_id")
+    t = transform_tfidf(m, docs, "doc_id")
+    return t.select("doc_id", "term", "idx", "tf", round_half(F.col("weight"), 6).alias("weight"))
+
+
+def _explained(spark, sf_dir):
+    """Long contributions of quarantined reviews under the fixed log-ratio scorer
+    fitted on the labelled documents."""
+    from shoal.operators.explain import contributions
+    from shoal.operators.text_model import fit_tfidf, log_ratio_coefficients, transform_tfidf
+    docs = _corpus(spark, sf_dir)
+    m = fit_tfidf(docs, "doc_id")
+    coefs = log_ratio_coefficients(transform_tfidf(m, docs, "doc_id"), docs, "doc_id")
+    q = _det(spark, sf_dir, text=True).quarantined.withColumn(
+        "text_preview", F.substring("text", 1, 100))
+    long = transform_tfidf(m, q, "review_id", keep=("business_id", "stars", "text_preview"))
+    return q, contributions(long, coefs)
+
+
+def contributions_q(spark, sf_dir):
+    from shoal.operators.explain import review_scores
+    _, c = _explained(spark, sf_dir)
+    return review_scores(c, keep=("business_id",))
+
+
+def top_attack_signals_q(spark, sf_dir):
+    from shoal.operators.explain import top_attack_signals
+    q, c = _explained(spark, sf_dir)
+    return top_attack_signals(c, q)
+
+
+def review_top_features_q(spark, sf_dir):
+    from shoal.operators.explain import review_top_features
+    _, c = _explained(spark, sf_dir)
+    return review_top_features(c)
+
+
+def behaviour_patterns_q(spark, sf_dir):
+    from shoal.operators.explain import behaviour_patterns
+    return behaviour_patterns(_det(spark, sf_dir, text=True).quarantined)
+
+
+def report_index_q(spark, sf_dir):
+    from shoal.operators.explain import report_index
+    return report_index(_det(spark, sf_dir).quarantined)
+
+
+def xai_reports(spark, sf_dir):
+    """Business reports (bounded rows): top signals + behaviour patterns."""
+    from shoal.operators.explain import behaviour_patterns, build_reports, top_attack_signals
+    q, c = _explained(spark, sf_dir)
+    return build_reports(top_attack_signals(c, q), behaviour_patterns(q)).drop("alert_timestamp")
+
+
+def sentiment_scores(spark, sf_dir):
+    """Hashed TF-IDF + LR trained on the labelled documents' train split,
+    scoring the test split (model output: rows-only check)."""
+    from shoal.operators.text_model import hashed_model, score, split
+    docs = split(_corpus(spark, sf_dir).withColumn("label", F.col("label").cast("double")), "doc_id")
+    model = hashed_model().fit(docs.where(F.col("split") == "train"))
+    return score(model, docs.where(F.col("split") == "test")).select(
+        "doc_id", "label", "sentiment_label", "p_positive")
+
+
+def interpretable_model(spark, sf_dir):
+    """Interpretable TF-IDF LR on the labelled documents: (term, coef)."""
+    from shoal.operators.text_model import (coefficient_table, fit_interpretable, fit_tfidf, split,
+                                            to_vectors, transform_tfidf)
+    docs = split(_corpus(spark, sf_dir).withColumn("label", F.col("label").cast("double")), "doc_id")
+    train = docs.where(F.col("split") == "train")
+    m = fit_tfidf(train, "doc_id")
+    vec = to_vectors(transform_tfidf(m, train, "doc_id"), train, "doc_id", 20000)
+    lr = fit_interpretable(vec)
+    return coefficient_table(spark, lr, m.vocab)
+
+
+_EXTRA.update({
+    "training_rows": training_rows_q,
+    "balance_classes": balance_classes,
+    "class_counts": class_counts_q,
+    "train_test_split": train_test_split,
+    "stratified_split": stratified_split_q,
+    "classifier_metrics": classifier_metrics,
+    "tfidf_weights": tfidf_weights,
+    "contributions": contributions_q,
+    "top_attack_signals": top_attack_signals_q,
+    "review_top_features": review_top_features_q,
+    "behaviour_patterns": behaviour_patterns_q,
+    "report_index": report_index_q,
+    "xai_reports": xai_reports,
+    "sentiment_scores": sentiment_scores,
+    "interpretable_model": interpretable_model,
+})

@@ -286,3 +286,114 @@ _base_oracles = oracles
 
 def oracles() -> dict[str, str]:  # noqa: F811
     return {**_base_oracles(), **_ingest_oracles(), **_attack_oracles()}
+
+
+# --- text model and explanations -------------------------------------------
+def _stop_list() -> str:
+    from shoal.functions.text import english_stop_words
+    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_words()) + ")"
+
+
+def _tok(text: str) -> str:
+    return f"unnest(regexp_extract_all(lower(coalesce({text}, '')), '[\\p{{L}}\\p{{N}}_]{{2,}}'))"
+
+
+TRAIN = """tr AS (
+  SELECT review_id, stars, text, sentiment_label,
+         CAST(CASE WHEN stars <= 2 THEN 0.0 ELSE 1.0 END AS double) AS label
+  FROM reviews WHERE text IS NOT NULL AND stars != 3)"""
+
+
+def _uh(salt: str, digits: int = 8) -> str:
+    return f"('0x' || substr(md5(concat_ws('|', cast(review_id AS varchar), '42{salt}')), 1, {digits}))::BIGINT"
+
+
+def _corpus_ctes() -> list[str]:
+    return [
+        "docs AS (SELECT d.doc_id, d.text, l.quality AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id)",
+        f"toks AS (SELECT doc_id, {_tok('text')} AS term FROM docs)",
+        f"tc AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term NOT IN {_stop_list()} GROUP BY doc_id, term)",
+        "per_term AS (SELECT term, sum(tf) AS cf, count(*) AS df FROM tc GROUP BY term)",
+        """vocab AS (SELECT term, row_number() OVER (ORDER BY cf DESC, term) - 1 AS idx,
+         ln(cast(1 + (SELECT count(*) FROM docs) AS double) / cast(1 + df AS double)) + 1.0 AS idf
+  FROM per_term QUALIFY idx < 20000)""",
+        "tw AS (SELECT tc.doc_id, tc.term, v.idx, tc.tf, (1.0 + ln(cast(tc.tf AS double))) * v.idf AS w FROM tc JOIN vocab v USING (term))",
+        "tfidf AS (SELECT doc_id, term, idx, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM tw)",
+        """coefs AS (SELECT t.term, ln((count(*) FILTER (WHERE d.label = 1) + 1.0) / (count(*) FILTER (WHERE d.label = 0) + 1.0)) AS coef
+  FROM tfidf t JOIN docs d USING (doc_id) GROUP BY t.term)""",
+    ]
+
+
+def _explain_ctes() -> list[str]:
+    return _corpus_ctes() + [
+        "qdocs AS (SELECT review_id, business_id, stars, substring(text, 1, 100) AS text_preview, text FROM quarantined)",
+        f"qtoks AS (SELECT review_id, business_id, stars, text_preview, {_tok('text')} AS term FROM qdocs)",
+        f"""qtc AS (SELECT review_id, business_id, stars, text_preview, term, count(*) AS tf FROM qtoks
+  WHERE term NOT IN {_stop_list()} GROUP BY ALL)""",
+        "qtw AS (SELECT q.*, v.idx, (1.0 + ln(cast(q.tf AS double))) * v.idf AS w FROM qtc q JOIN vocab v USING (term))",
+        "qlong AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY review_id)) AS weight FROM qtw)",
+        "contrib AS (SELECT l.*, c.coef, c.coef * l.weight AS contribution FROM qlong l JOIN coefs c USING (term))",
+    ]
+
+
+def _text_oracles() -> dict[str, str]:
+    q = {}
+    q["training_rows"] = with_(REVIEWS, TRAIN, body="SELECT review_id, stars, text, label FROM tr")
+    frac = """frac AS (SELECT label, cast(min(n) OVER () AS double) / cast(n AS double) AS fraction
+  FROM (SELECT label, count(*) AS n FROM tr GROUP BY label))"""
+    q["balance_classes"] = with_(REVIEWS, TRAIN, frac, body=f"""SELECT review_id, label FROM tr JOIN frac USING (label)
+  WHERE {_uh('b')} / 4294967296.0 < fraction""")
+    q["class_counts"] = with_(REVIEWS, TRAIN, frac, body=f"""SELECT label, count(*) AS before,
+         count(*) FILTER (WHERE {_uh('b')} / 4294967296.0 < fraction) AS after
+  FROM tr JOIN frac USING (label) GROUP BY label""")
+    q["train_test_split"] = with_(REVIEWS, TRAIN, body=f"""SELECT review_id, label,
+         CASE WHEN {_uh('s')} / 4294967296.0 < 0.8 THEN 'train' ELSE 'test' END AS split FROM tr""")
+    q["stratified_split"] = with_(REVIEWS, TRAIN, body=f"""SELECT review_id, label,
+         CASE WHEN row_number() OVER (PARTITION BY label ORDER BY {_uh('t', 15)})
+                   <= floor(count(*) OVER (PARTITION BY label) * 0.8) THEN 'train' ELSE 'test' END AS split
+  FROM tr""")
+    q["classifier_metrics"] = with_(REVIEWS, TRAIN, """cm AS (SELECT label AS y, sentiment_label AS p, count(*) AS c FROM tr GROUP BY ALL)""",
+                                    """per AS (
+  SELECT a.cls, a.support, coalesce(b.tp, 0) AS tp, coalesce(d.predicted, 0) AS predicted
+  FROM (SELECT y AS cls, sum(c) AS support FROM cm GROUP BY y) a
+  LEFT JOIN (SELECT y AS cls, c AS tp FROM cm WHERE y = p) b ON a.cls = b.cls
+  LEFT JOIN (SELECT p AS cls, sum(c) AS predicted FROM cm GROUP BY p) d ON a.cls = d.cls)""",
+                                    body=f"""SELECT sum(support) AS total, sum(tp) AS correct,
+         {R(ratio('sum(tp)', 'sum(support)'), 6)} AS accuracy,
+         {R(ratio(f"sum(coalesce({ratio('2 * tp', 'support + predicted')}, 0.0) * support)", 'sum(support)'), 6)} AS weighted_f1
+  FROM per""")
+    q["tfidf_weights"] = with_(*_corpus_ctes(), body=f"SELECT doc_id, term, idx, tf, {R('weight', 6)} AS weight FROM tfidf")
+    ex = [REVIEWS, STATS, LABELLED] + _explain_ctes()
+    q["contributions"] = with_(*ex, body=f"""SELECT review_id, business_id, count(*) AS n_terms,
+         {R('sum(contribution)', 6)} AS score FROM contrib GROUP BY review_id, business_id""")
+    q["top_attack_signals"] = with_(*ex, """nq AS (SELECT business_id, count(*) AS n FROM quarantined GROUP BY business_id)""",
+                                    """imp AS (SELECT business_id, term, sum(abs(contribution)) / n AS imp
+  FROM contrib JOIN nq USING (business_id) GROUP BY business_id, term, n)""",
+                                    body=f"""SELECT business_id, rank, feature, importance FROM (
+  SELECT business_id, row_number() OVER (PARTITION BY business_id ORDER BY imp DESC, term) AS rank,
+         term AS feature, {R('imp', 4)} AS importance FROM imp) WHERE rank <= 15""")
+    q["review_top_features"] = with_(*ex, body=f"""SELECT review_id, business_id, stars, text_preview, rank, feature, shap_value FROM (
+  SELECT review_id, business_id, stars, text_preview, term AS feature, {R('contribution', 4)} AS shap_value,
+         row_number() OVER (PARTITION BY review_id ORDER BY abs(contribution) DESC, term) AS rank FROM contrib)
+  WHERE rank <= 5""")
+    n, s, ss = "cast(count(stars) AS double)", "cast(sum(stars) AS double)", "cast(sum(stars * stars) AS double)"
+    L = "length(coalesce(text, ''))"
+    ln_, ls, lq = "cast(count(*) AS double)", f"cast(sum({L}) AS double)", f"cast(sum({L} * {L}) AS double)"
+    q["behaviour_patterns"] = detect_sql(f"""SELECT business_id, count(*) AS num_flagged_reviews,
+         count(DISTINCT coalesce(user_id, '')) AS unique_users,
+         {R(ratio("count(DISTINCT coalesce(user_id, ''))", 'greatest(count(*), 1)'), 3)} AS distinct_user_ratio,
+         {R(f'{s} / nullif({n}, 0)', 2)} AS avg_stars,
+         {R(f'sqrt(({n} * {ss} - {s} * {s}) / nullif({n} * {n}, 0))', 2)} AS std_stars,
+         {R(f'{ls} / nullif({ln_}, 0)', 1)} AS avg_text_length,
+         {R(f'sqrt(({ln_} * {lq} - {ls} * {ls}) / nullif({ln_} * {ln_}, 0))', 1)} AS std_text_length
+  FROM quarantined GROUP BY business_id""")
+    q["report_index"] = detect_sql("""SELECT count(DISTINCT business_id) AS total_businesses,
+         count(*) AS total_quarantined_reviews FROM quarantined""")
+    return q
+
+
+_base_oracles2 = oracles
+
+
+def oracles() -> dict[str, str]:  # noqa: F811
+    return {**_base_oracles2(), **_text_oracles()}
