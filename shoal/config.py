@@ -54,13 +54,13 @@ class Thresholds:
 
 DEFAULT = Thresholds()
 
-# Wire format of one review (all nullable). ``stars`` is read as DOUBLE and
-# narrowed afterwards so that ``5.0`` and ``"5"`` survive parsing.
+# Wire format of one review (all nullable). ``stars`` is read as text and
+# narrowed afterwards so that ``5``, ``5.0`` and ``"5"`` all survive parsing.
 REVIEW_WIRE_SCHEMA = T.StructType([
     T.StructField("review_id", T.StringType()),
     T.StructField("user_id", T.StringType()),
     T.StructField("business_id", T.StringType()),
-    T.StructField("stars", T.DoubleType()),
+    T.StructField("stars", T.StringType()),
     T.StructField("text", T.StringType()),
     T.StructField("date", T.StringType()),
     T.StructField("useful", T.IntegerType()),

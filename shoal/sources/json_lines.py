@@ -2,8 +2,8 @@
 
 Parsing stays in Spark's JSON reader (``from_json``); malformed text lands in
 ``_corrupt_record`` instead of failing the job, bad dates become NULL through
-``try_cast`` (ANSI mode stays on), ``stars`` is read as DOUBLE and narrowed
-to INT only when integral, so ``5.0`` and ``"5"`` survive.
+``try_cast`` (ANSI mode stays on), ``stars`` is read as text and narrowed
+to INT only when integral, so ``5``, ``5.0`` and ``"5"`` survive.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ NO_ID, NO_BUSINESS, BAD_DATE = "missing_review_id", "missing_business_id", "bad_
 
 
 def _stars(c: Column) -> Column:
-    return F.when(c == F.floor(c), c.try_cast("int"))
+    d = c.try_cast("double")
+    return F.when(d == F.floor(d), d.try_cast("int"))
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:

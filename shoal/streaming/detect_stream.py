@@ -27,12 +27,18 @@ from shoal.sources.json_lines import VALID, parse_lines
 def parse_stream(lines: DataFrame, thr: Thresholds = DEFAULT, time_col: str = "event_time",
                  dedupe_ids: bool = False) -> DataFrame:
     """Valid reviews of a ``value`` stream, watermarked on ``time_col``.
-    ``dedupe_ids`` drops repeated review ids within the watermark."""
+
+    Rows older than the watermark are dropped here by a deduplication keyed
+    on (review_id, event time), which also removes exact replays of an
+    at-least-once source; its state is evicted by the watermark. (The later
+    join alone would still label late rows: its output watermark trails the
+    input's.) ``dedupe_ids`` also drops a repeated id with another time
+    within the watermark."""
     p = (parse_lines(lines).where(F.col("status") == VALID)
          .drop("status", "raw", "date", "useful", "funny", "cool"))
     if "sentiment_label" not in p.columns:
         p = p.withColumn("sentiment_label", F.lit(None).cast("double"))
-    p = p.withWatermark(time_col, thr.watermark)
+    p = p.withWatermark(time_col, thr.watermark).dropDuplicates(["review_id", time_col])
     if dedupe_ids:
         p = p.dropDuplicatesWithinWatermark(["review_id"])
     return p
