@@ -47,13 +47,20 @@ def top_attack_signals(contrib: DataFrame, flagged: DataFrame, k: int = TOP_SIGN
 
 
 def review_top_features(contrib: DataFrame, k: int = TOP_REVIEW_FEATURES,
-                        id_col: str = "review_id") -> DataFrame:
+                        id_col: str = "review_id", reviews: DataFrame | None = None) -> DataFrame:
     """Per review, its ``k`` present terms with the largest |contribution|
-    (ties by term), long form, with stars and a 100-character preview."""
+    (ties by term), long form, with stars and a 100-character preview.
+
+    With ``reviews`` (id, stars, text) the preview and stars are joined to
+    the k rows per review only, instead of riding along every token."""
     w = Window.partitionBy(id_col).orderBy(F.desc(F.abs("contribution")), "term")
-    return (contrib.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(id_col, "business_id", "stars", "text_preview", "rank",
-                    F.col("term").alias("feature"), round_half(F.col("contribution"), 4).alias("shap_value")))
+    top = (contrib.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+           .withColumn("shap_value", round_half(F.col("contribution"), 4)))
+    if reviews is not None:
+        attrs = reviews.select(id_col, "stars", F.substring("text", 1, PREVIEW_CHARS).alias("text_preview"))
+        top = top.join(attrs, id_col)
+    return top.select(id_col, "business_id", "stars", "text_preview", "rank",
+                      F.col("term").alias("feature"), "shap_value")
 
 
 def behaviour_patterns(flagged: DataFrame) -> DataFrame:

@@ -48,8 +48,9 @@ def label_reviews(reviews: DataFrame, flagged: DataFrame, thr: Thresholds = DEFA
     """All review columns plus ``label`` and the window attributes (NULL when organic).
 
     ``dedupe`` keeps one row per ``review_id`` (the earliest event, then the
-    smallest remaining values), as the original drops duplicate ids; rows
-    without an id are kept as they are.
+    smallest remaining values), as the original drops duplicate ids. Rows
+    without an id collapse into one, as with ``dropDuplicates``; ingest
+    already sends them to the reject table.
     """
     cols = reviews.columns
     buckets = coverage_buckets(flagged, thr)
@@ -68,16 +69,15 @@ def label_reviews(reviews: DataFrame, flagged: DataFrame, thr: Thresholds = DEFA
 
 
 def dedupe_by_id(df: DataFrame, id_col: str, first: tuple[str, ...] = ()) -> DataFrame:
-    """One row per non-NULL ``id_col``: the row with the smallest ``first``
-    columns, ties broken by all other columns (deterministic, unlike
-    ``dropDuplicates``). Partial aggregation collapses a hot id map-side."""
+    """One row per ``id_col``: the row with the smallest ``first`` columns,
+    ties broken by all other columns (deterministic, unlike
+    ``dropDuplicates``). Partial aggregation collapses a hot id map-side;
+    the struct buffer makes it a sort-based aggregate, which spills."""
     rest = [c for c in df.columns if c != id_col and c not in first]
     order = list(first) + rest
-    keyed = df.where(F.col(id_col).isNotNull())
-    picked = (keyed.groupBy(id_col).agg(F.min(F.struct(*order)).alias("_r"))
+    picked = (df.groupBy(id_col).agg(F.min(F.struct(*order)).alias("_r"))
               .select(id_col, *[F.col(f"_r.{c}").alias(c) for c in order]))
-    nulls = df.where(F.col(id_col).isNull())
-    return picked.select(*df.columns).unionByName(nulls)
+    return picked.select(*df.columns)
 
 
 def _present(df: DataFrame, cols) -> list[str]:

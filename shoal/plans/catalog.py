@@ -21,7 +21,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _det(spark: SparkSession, sf_dir: str, text: bool = False) -> Detection:
-    return detect(review_adapter(spark, sf_dir, with_text=text))
+    narrow = review_adapter(spark, sf_dir, with_text=False)
+    if not text:
+        return detect(narrow)
+    return detect(review_adapter(spark, sf_dir, with_text=True), stats_input=narrow)
 
 
 def window_stats(spark, sf_dir):
@@ -284,9 +287,8 @@ def _explained(spark, sf_dir):
     docs = _corpus(spark, sf_dir)
     m = fit_tfidf(docs, "doc_id")
     coefs = log_ratio_coefficients(transform_tfidf(m, docs, "doc_id"), docs, "doc_id")
-    q = _det(spark, sf_dir, text=True).quarantined.withColumn(
-        "text_preview", F.substring("text", 1, 100))
-    long = transform_tfidf(m, q, "review_id", keep=("business_id", "stars", "text_preview"))
+    q = _det(spark, sf_dir, text=True).quarantined
+    long = transform_tfidf(m, q, "review_id", keep=("business_id",))
     return q, contributions(long, coefs)
 
 
@@ -304,8 +306,8 @@ def top_attack_signals_q(spark, sf_dir):
 
 def review_top_features_q(spark, sf_dir):
     from shoal.operators.explain import review_top_features
-    _, c = _explained(spark, sf_dir)
-    return review_top_features(c)
+    q, c = _explained(spark, sf_dir)
+    return review_top_features(c, reviews=q)
 
 
 def behaviour_patterns_q(spark, sf_dir):

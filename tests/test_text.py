@@ -39,7 +39,7 @@ def test_contributions_rank(spark):
     docs = _docs(spark).withColumn("business_id", F.lit("b")).withColumn("stars", F.lit(1)).withColumn(
         "text_preview", F.substring("text", 1, 100))
     m = fit_tfidf(docs, "doc_id")
-    long = transform_tfidf(m, docs, "doc_id", keep=("business_id", "stars", "text_preview"))
+    long = transform_tfidf(m, docs, "doc_id", keep=("business_id",))
     coefs = spark.createDataFrame([("terrible", -2.0), ("great", 1.5), ("food", 0.1)], "term string, coef double")
     c = contributions(long, coefs).withColumnRenamed("doc_id", "review_id")
     top = top_attack_signals(c, docs.withColumnRenamed("doc_id", "review_id")).orderBy("rank").collect()
@@ -47,7 +47,8 @@ def test_contributions_rank(spark):
               c.groupBy("term").agg(F.sum(F.abs("contribution")).alias("s")).collect()}
     assert [r["feature"] for r in top] == sorted(direct, key=lambda t: (-direct[t], t))
     assert all(r["importance"] == direct[r["feature"]] for r in top)
-    per = review_top_features(c).where(F.col("review_id") == 100).orderBy("rank").collect()
+    per = review_top_features(c, reviews=docs.withColumnRenamed("doc_id", "review_id")).where(
+        F.col("review_id") == 100).orderBy("rank").collect()
     assert per[0]["feature"] == "terrible" and per[0]["shap_value"] < 0
 
 
