@@ -62,7 +62,8 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str = "lat_us",
     ``value`` must be a non-negative integer column whose range divided by
     ``coarse`` is small (it is for latencies below one hour)."""
     k = [F.col(c) for c in keys]
-    n = df.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
+    n = (df.groupBy(*k, F.floor(F.col(value) / F.lit(coarse)).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+         .groupBy(*k).agg(F.sum("_c").alias("_n")))      # same first pass as the rank search
     t = n.select(*k, "_n", F.explode(F.array(*[F.struct(F.lit(nm).alias("name"), F.lit(p).alias("p"))
                                               for nm, p in probs.items()])).alias("_t"))
     h = (F.col("_n") - 1).cast("double") * F.col("_t.p")

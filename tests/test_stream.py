@@ -90,3 +90,35 @@ def test_late_row_dropped(spark, tmp_dir):
     q.awaitTermination()
     ids = {x["review_id"] for x in spark.read.parquet(f"{tmp_dir}/out/organic").collect()}
     assert "a" in ids and "z" in ids and "late" not in ids
+
+
+def test_restart_from_checkpoint(spark, tmp_dir):
+    """Stop after part of the files, add the rest, restart on the same
+    checkpoint: the output equals one uninterrupted run."""
+    r = review_adapter(spark, SMALL, with_text=False).where(F.col("business_id").isin("1", "2", "3"))
+    tails = [(f"tail{k}", "u", "tailbiz", 5.0, f"2024-01-{2 + k:02d} 00:00:00") for k in range(8)]
+    _write_files(spark, r, f"{tmp_dir}/all", tails)
+    files = sorted(glob.glob(f"{tmp_dir}/all/*.json"))
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    half = len(files) // 2
+    for p in files[:half]:
+        shutil.copy(p, src)
+    _order_by_name(src)
+
+    def run():
+        lines = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(src)
+        q = start(label_stream(parse_stream(lines)), labelled_sink(f"{tmp_dir}/out"), f"{tmp_dir}/ckpt",
+                  available_now=True)
+        q.awaitTermination()
+    run()
+    for p in files[half:]:
+        shutil.copy(p, src)
+    base = time.time() - 1800
+    for i, p in enumerate(sorted(glob.glob(f"{src}/*.json"))[half:]):
+        os.utime(p, (base + i, base + i))
+    run()
+    o = spark.read.parquet(f"{tmp_dir}/out/organic").select("review_id")
+    q = spark.read.parquet(f"{tmp_dir}/out/quarantined").select("review_id")
+    got = o.unionByName(q).where(~F.col("review_id").startswith("tail"))
+    assert got.count() == r.count() and got.distinct().count() == r.count()

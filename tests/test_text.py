@@ -73,3 +73,15 @@ def test_splits_are_partition_independent(spark):
     cnt = {(r["label"], r["split"]): r["count"] for r in s1.groupBy("label", "split").count().collect()}
     n0, n1 = 1333, 667
     assert cnt[(0.0, "train")] == int(n0 * 0.8) and cnt[(1.0, "train")] == int(n1 * 0.8)
+
+
+def test_evaluate_metrics(spark):
+    from shoal.operators.text_model import classification_metrics, evaluate
+    docs = _docs(spark)
+    model = hashed_model(num_features=1 << 10).fit(docs)
+    preds = model.transform(docs)
+    m = evaluate(preds)
+    mb = evaluate(preds, binary=True)
+    assert m["accuracy"] == 1.0 and m["auc"] == 1.0 and mb["f1"] == 1.0
+    sql = classification_metrics(preds).collect()[0]
+    assert abs(sql["weighted_f1"] - m["f1"]) < 1e-12 and sql["accuracy"] == m["accuracy"]
