@@ -152,7 +152,7 @@ def json_lines(spark, sf_dir):
     w = review_wire(r).withColumn("date", F.when(eid % 83 == 7, F.lit("not a date")).otherwise(F.col("date")))
     # the view is one small Parquet row group: spread the text-wide rows over
     # the cluster's cores before building and parsing JSON
-    w = w.repartition(spark.sparkContext.defaultParallelism)
+    w = w.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     js = F.to_json(F.struct(*w.columns))
     line = (F.when(eid % 97 == 5, F.substring(js, F.lit(1), (F.length(js) / 2).cast("int")))
             .when(eid % 89 == 3, F.lit("   "))
