@@ -22,5 +22,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.mixing import mix_plan
+    return mix_plan(_table(spark, sf_dir, "documents"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.sharding import shard_table
+    return shard_table(_table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_quality_rules)}
+    return {f.__name__: f for f in (op1_simhash, op3_quality_rules, op4_mixing, op6_sharding)}
