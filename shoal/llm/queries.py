@@ -32,5 +32,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.decontaminate import leaks
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_quality_rules, op4_mixing, op6_sharding)}
+    return {f.__name__: f for f in (op1_simhash, op3_quality_rules, op4_mixing, op6_sharding,
+                                     op7_decontamination)}
