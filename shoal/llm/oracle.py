@@ -1,7 +1,37 @@
-"""DuckDB SQL of the corpus queries that SQL can express."""
+"""DuckDB SQL of the corpus queries that SQL can express.
+
+Hashed fingerprints (op1), byte repeats (op2), packing (op6), drawn copies (op4),
+latent vectors (op7) and trained models (op8, op9, op10) are beyond it; tests
+compare those with brute force or held-out labels.
+"""
 
 from __future__ import annotations
 
+OP5 = """
+WITH parts AS (
+  SELECT page_id, coalesce(url, '') AS url,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+listed AS (
+  SELECT host FROM parts GROUP BY host
+  HAVING count(*) FILTER (WHERE contains(url, '?')) * 100 > count(*) * 40),
+rules(verdict, host, path) AS (VALUES
+  ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (
+  SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY p.page_id, p.url ORDER BY length(r.host || r.path) DESC NULLS LAST) AS k
+  FROM parts p LEFT JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM fits WHERE k = 1
+"""
+
+_WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op5_url_filters": OP5}

@@ -37,6 +37,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.url_filter import judge_pages, query_heavy_hosts
+    pages = _table(spark, sf_dir, "pages")
+    return judge_pages(pages, query_heavy_hosts(pages))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.licenses import licences
+    return licences(_table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_quality_rules, op4_mixing, op6_sharding,
-                                     op7_decontamination)}
+    return {f.__name__: f for f in (op1_simhash, op3_quality_rules, op4_mixing, op5_url_filters,
+                                     op6_sharding, op7_decontamination, op9_licenses)}
