@@ -43,11 +43,22 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(pages, query_heavy_hosts(pages))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.quality_gam import quality_scores
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoal.llm.licenses import licences
     return licences(_table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.html_extract import extract
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op3_quality_rules, op4_mixing, op5_url_filters,
-                                     op6_sharding, op7_decontamination, op9_licenses)}
+    return {f.__name__: f for f in (
+        op1_simhash, op3_quality_rules, op4_mixing, op5_url_filters, op6_sharding, op7_decontamination,
+        op8_quality_classifier, op9_licenses, op10_html_extraction)}
