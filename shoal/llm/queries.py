@@ -17,6 +17,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.suffix_dedup import repeats
+    return repeats(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoal.llm.quality_rules import quality_rules
     return quality_rules(_table(spark, sf_dir, "documents"))
@@ -60,5 +65,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash, op3_quality_rules, op4_mixing, op5_url_filters, op6_sharding, op7_decontamination,
+        op1_simhash, op2_suffix_dedup, op3_quality_rules, op4_mixing, op5_url_filters, op6_sharding, op7_decontamination,
         op8_quality_classifier, op9_licenses, op10_html_extraction)}
