@@ -8,6 +8,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Java regular expression of one word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,3 +34,14 @@ def _checkpoint_folder(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shoal-checkpoint-"))
     return sc.getCheckpointDir()
+
+
+def bounded_sample(df: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` distinct rows, those of least hash. A threshold on the hash,
+    set from the number of rows, leaves little more than ``n`` in the scan, so no
+    task gathers every partition's ``n``. Equal rows count once."""
+    rows = df.withColumn("_order", F.xxhash64(*df.columns))
+    total = df.count()
+    if total > 1.25 * n:
+        rows = rows.filter(F.shiftrightunsigned("_order", 1) < int(1.25 * n / total * (1 << 63)))
+    return rows.dropDuplicates(["_order"]).orderBy("_order").limit(n).drop("_order")

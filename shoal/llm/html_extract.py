@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoal.llm.common import bounded_sample
+
 SAMPLE = 240
 SAMPLE_CHARS = 12_000
 COPIES = 4
@@ -50,7 +52,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
+_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
                     "strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that the start of another one of the same kind closes.
@@ -356,8 +358,8 @@ def training_pages(pages: list[str], copies: int = COPIES, seed: int = 17) -> li
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
     """The labeller trained on a bounded sample of ``pages`` (html)."""
-    some = [r["html"] for r in pages.select("html").filter(F.length("html").between(1, SAMPLE_CHARS))
-            .orderBy(F.xxhash64("html")).limit(sample).collect()]
+    short = pages.select("html").filter(F.length("html").between(1, SAMPLE_CHARS))
+    some = [r["html"] for r in bounded_sample(short, sample).collect()]
     model = Labeller()
     model.train(training_pages(some))
     return model

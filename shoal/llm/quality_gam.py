@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoal.llm.common import bounded_sample
 from shoal.llm.quality_rules import count_text
 
 SAMPLE = 20_000
@@ -205,7 +206,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Gam:
     """The model learned from the sampled labels that are not held out."""
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~is_held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded, so it may be broadcast
+    some = bounded_sample(known, sample)  # bounded, so it may be broadcast
     own = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id")
     rows = (own.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
             .select("doc_id", "quality", _features("text").alias("x")).orderBy(F.xxhash64("doc_id"), "doc_id").collect())
