@@ -4,8 +4,8 @@ A paragraph is a line of a text; a longer one is read in overlapping windows of
 ``WINDOW`` words. Hashed word 1- and 2-grams feed a multinomial logistic
 regression (Spark ML) over licence families and ordinary prose. It is trained
 on notices made from ``TEMPLATES`` (windows of them, some with prose around) and on a
-bounded sample of the corpus's own paragraphs (``SAMPLE`` of least hash, without
-those that hold a template). On the held-out part of both a temperature
+bounded sample of the corpus's own paragraphs (``SAMPLE`` of those of
+``SAMPLE_TEXTS`` texts, without those that hold a template). On the held-out part of both a temperature
 calibrates the probabilities, and the threshold for a family is the least value
 that at most ``FALSE_RATE`` of held-out prose reaches. A paragraph that the
 classifier takes for a licence, but whose best family stays below the threshold or
@@ -23,15 +23,16 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import checkpointed
+from shoal.llm.common import bounded_sample, checkpointed
 
 WINDOW = 40
-FEATURES = 1 << 14
+FEATURES = 1 << 13
+SAMPLE_TEXTS = 2_000
 SAMPLE = 20_000
 FALSE_RATE = 0.001
 HELD = 0.8  # share of a template's word pairs that confirms it
@@ -120,28 +121,31 @@ def _held(pairs: Column, t_pairs: Column) -> Column:
 
 
 def training_rows(documents: DataFrame) -> DataFrame:
-    """(family, words, pairs, held_out): notices cut from the templates at every
-    start and end that leaves ten words or three quarters, alone and inside
-    corpus prose, and the sample of prose itself."""
+    """(family, template, words, pairs, held_out): notices cut from the templates at every
+    start and end that leave three quarters, alone (never held out) and with
+    corpus prose before or behind, and the sample of prose itself."""
     spark = documents.sparkSession
     known = templates(spark)
-    sample = checkpointed(_with_pairs(paragraphs(documents)).orderBy(F.xxhash64("words"), "words").limit(SAMPLE).select("words", "pairs"))
+    texts = bounded_sample(documents.select("doc_id", "text"), SAMPLE_TEXTS)
+    sample = checkpointed(_with_pairs(bounded_sample(paragraphs(texts).select("words"), SAMPLE)))
     every = F.array(*[F.array(*[F.lit(p) for p in r["t_pairs"]]) for r in known.select("t_pairs").collect()])
     prose = sample.filter(~F.exists(every, lambda t: _held(F.col("pairs"), t) >= HELD)).withColumn("n", F.xxhash64("words"))
     n = F.size("t_words")
     cuts = (known.withColumn("_from", F.explode(F.sequence(F.lit(0), F.floor(n / 8).cast("int"))))
             .withColumn("_to", F.explode(F.sequence(F.greatest(F.ceil(n * 0.75).cast("int"), F.col("_from") + 2), n)))
-            .select("family", F.slice("t_words", F.col("_from") + 1, F.col("_to") - F.col("_from")).alias("words")).distinct())
+            .select("family", "template", F.slice("t_words", F.col("_from") + 1, F.col("_to") - F.col("_from")).alias("words")).distinct())
     # each cut alone and at the start, middle and end of a few pieces of prose
     some = [r["p"] for r in prose.orderBy("n").limit(24).select(F.slice("words", 1, 20).alias("p")).collect()]
     pieces = F.array(*[F.array(*[F.lit(w) for w in p]) for p in some]).cast("array<array<string>>")
     around = cuts.withColumn("p", F.explode(pieces))
     half = F.ceil(F.size("p") / 2).cast("int")
-    mixed = (around.select("family", F.concat("words", F.slice("p", F.lit(1), half)).alias("words"))
-             .unionByName(around.select("family", F.concat("p", "words").alias("words"))))
-    notices = _with_pairs(cuts.unionByName(cuts).unionByName(mixed).select("family", "words"))
-    both = notices.unionByName(prose.select(F.lit(PROSE).alias("family"), "words", "pairs"))
-    return both.withColumn("held_out", F.pmod(F.xxhash64("words"), F.lit(4)) == 0)
+    mixed = (around.select("family", "template", F.concat("words", F.slice("p", F.lit(1), half)).alias("words"))
+             .unionByName(around.select("family", "template", F.concat("p", "words").alias("words"))))
+    cuts = cuts.withColumn("alone", F.lit(True))
+    notices = _with_pairs(cuts.unionByName(mixed.withColumn("alone", F.lit(False))))
+    both = notices.unionByName(prose.select(
+        F.lit(PROSE).alias("family"), F.lit(0).alias("template"), "words", "pairs", F.lit(False).alias("alone")))
+    return both.withColumn("held_out", ~F.col("alone") & (F.pmod(F.xxhash64("words"), F.lit(4)) == 0)).drop("alone")
 
 
 class LicenceModel:
@@ -156,7 +160,7 @@ class LicenceModel:
         exp = F.transform(raw, lambda x: F.exp((x - F.array_max(raw)) / self.temperature))
         return (self.pipeline.transform(rows).withColumn("_e", exp)
                 .withColumn("_p", F.transform("_e", lambda x: x / F.aggregate("_e", F.lit(0.0), lambda a, b: a + b)))
-                .drop("_tf", "_tf2", "_x", "_raw", "_e", "_probability", "_predicted"))
+                .drop("_tf", "_tf2", "_both", "_x", "_raw", "_e", "_probability", "_predicted"))
 
     def best(self) -> tuple[Column, Column]:
         """The likeliest family, and its probability."""
@@ -174,19 +178,19 @@ def fit(documents: DataFrame) -> LicenceModel:
     classes = sorted([*TEMPLATES, PROSE])
     names = F.array(*[F.lit(c) for c in classes])
     rows = rows.withColumn("label", (F.array_position(names, F.col("family")) - 1).cast("double"))
-    weights = {r["family"]: r["count"] for r in rows.groupBy("family").count().collect()}
-    total = sum(weights.values())
-    weight = F.lit(1.0)
-    for c, n in weights.items():  # prose counts half, the families share the other half
-        weight = F.when(F.col("family") == c, F.lit(total / (2 * n * (1 if c == PROSE else len(TEMPLATES))))).otherwise(weight)
-    rows = rows.withColumn("weight", weight)
+    sizes = rows.groupBy("family", "template").count()
+    # prose counts half; the templates, long or short, share the other half
+    share = F.when(F.col("family") == PROSE, F.lit(0.5)).otherwise(F.lit(0.5 / sum(map(len, TEMPLATES.values()))))
+    weights = sizes.select("family", "template", (share * F.sum("count").over(Window.partitionBy()) / F.col("count")).alias("weight"))
+    rows = rows.join(F.broadcast(weights), ["family", "template"])  # a row per template
     train = rows.filter("not held_out")
     pipeline = Pipeline(stages=[
         HashingTF(inputCol="words", outputCol="_tf", numFeatures=FEATURES, binary=True),
         HashingTF(inputCol="pairs", outputCol="_tf2", numFeatures=FEATURES, binary=True),
-        VectorAssembler(inputCols=["_tf", "_tf2"], outputCol="_x"),
+        VectorAssembler(inputCols=["_tf", "_tf2"], outputCol="_both"),
+        Normalizer(inputCol="_both", outputCol="_x"),
         LogisticRegression(featuresCol="_x", labelCol="label", weightCol="weight", family="multinomial", rawPredictionCol="_raw",
-                           probabilityCol="_probability", predictionCol="_predicted", regParam=1e-3, maxIter=60, standardization=False),
+                           probabilityCol="_probability", predictionCol="_predicted", regParam=1e-5, maxIter=40, standardization=False),
     ]).fit(train)
     model = LicenceModel(pipeline, classes, 1.0, 0.5)
     held = rows.filter("held_out")
