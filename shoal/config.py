@@ -54,8 +54,10 @@ class Thresholds:
 
 DEFAULT = Thresholds()
 
-# Wire format of one review (all nullable). ``stars`` is read as text and
-# narrowed afterwards so that ``5``, ``5.0`` and ``"5"`` all survive parsing.
+# The names below are those of the original's records and tables.
+# Wire format of one review (all nullable). The narrow fields are read as text and
+# narrowed afterwards, so that ``5``, ``5.0`` and ``"5"`` all survive parsing and a
+# field of another type is NULL instead of spoiling its record.
 REVIEW_WIRE_SCHEMA = T.StructType([
     T.StructField("review_id", T.StringType()),
     T.StructField("user_id", T.StringType()),
@@ -63,10 +65,10 @@ REVIEW_WIRE_SCHEMA = T.StructType([
     T.StructField("stars", T.StringType()),
     T.StructField("text", T.StringType()),
     T.StructField("date", T.StringType()),
-    T.StructField("useful", T.IntegerType()),
-    T.StructField("funny", T.IntegerType()),
-    T.StructField("cool", T.IntegerType()),
-    T.StructField("is_injected", T.BooleanType()),
+    T.StructField("useful", T.StringType()),
+    T.StructField("funny", T.StringType()),
+    T.StructField("cool", T.StringType()),
+    T.StructField("is_injected", T.StringType()),
 ])
 
 # Columns of a parsed review as the detector sees it.

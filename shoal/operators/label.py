@@ -47,10 +47,10 @@ def label_reviews(reviews: DataFrame, flagged: DataFrame, thr: Thresholds = DEFA
                   time_col: str = "event_time", dedupe: bool = True) -> DataFrame:
     """All review columns plus ``label`` and the window attributes (NULL when organic).
 
-    ``dedupe`` keeps one row per ``review_id`` (the earliest event, then the
-    smallest remaining values), as the original drops duplicate ids. Rows
-    without an id collapse into one, as with ``dropDuplicates``; ingest
-    already sends them to the reject table.
+    ``dedupe`` keeps one row per ``review_id``: that of the earliest flagged
+    window (organic only if no row of the id lies near one), then of the earliest
+    event, then of the smallest remaining values. Rows without an id cannot be told
+    apart and are no output; :func:`missing_ids` gives them for the reject table.
     """
     cols = reviews.columns
     buckets = coverage_buckets(flagged, thr)
@@ -64,18 +64,27 @@ def label_reviews(reviews: DataFrame, flagged: DataFrame, thr: Thresholds = DEFA
                    .otherwise(F.lit(LABEL_ORGANIC)).alias("label"),
                    *[F.col(f"_w.{c}").alias(c) for c in WINDOW_ATTRS])
     if dedupe:
-        out = dedupe_by_id(out, "review_id", first=(time_col,))
+        out = dedupe_by_id(out.where(F.col("review_id").isNotNull()), "review_id", first=("window_start", time_col))
     return out
 
 
+def missing_ids(reviews: DataFrame) -> DataFrame:
+    """The rows that :func:`label_reviews` leaves out for want of an id, with a
+    ``status``; a reject sink stores and counts them."""
+    return reviews.where(F.col("review_id").isNull()).withColumn("status", F.lit("missing_review_id"))
+
+
 def dedupe_by_id(df: DataFrame, id_col: str, first: tuple[str, ...] = ()) -> DataFrame:
-    """One row per ``id_col``: the row with the smallest ``first`` columns,
-    ties broken by all other columns (deterministic, unlike
+    """One row per ``id_col``: the row with the smallest ``first`` columns (NULLs
+    last), ties broken by all other columns (deterministic, unlike
     ``dropDuplicates``). Partial aggregation collapses a hot id map-side;
-    the struct buffer makes it a sort-based aggregate, which spills."""
+    the struct buffer makes it a sort-based aggregate, which spills. Keep the rows
+    narrow: wide columns are joined to the result."""
     rest = [c for c in df.columns if c != id_col and c not in first]
+    nulls = [F.col(c).isNull().alias(f"_null_{c}") for c in first]
     order = list(first) + rest
-    picked = (df.groupBy(id_col).agg(F.min(F.struct(*order)).alias("_r"))
+    ranked = F.struct(*[x for c, n in zip(first, nulls) for x in (n, F.col(c))], *rest)
+    picked = (df.groupBy(id_col).agg(F.min(ranked).alias("_r"))
               .select(id_col, *[F.col(f"_r.{c}").alias(c) for c in order]))
     return picked.select(*df.columns)
 

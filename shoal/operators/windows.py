@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shoal.config import DEFAULT, Thresholds
 from shoal.functions.rules import anomaly_reason, is_anomaly
+from shoal.functions.timecols import MICROS_PER_MINUTE, floor_to
 from shoal.functions.stats import mean_from_moments, sample_std_from_moments
 
 WINDOW_STAT_COLUMNS = ("business_id", "window_start", "window_end", "review_count",
@@ -39,30 +40,15 @@ def window_stats(reviews: DataFrame, thr: Thresholds = DEFAULT,
     ``review_count`` (all rows), ``avg_stars`` and sample ``std_stars`` over
     non-NULL stars, ``neg_count`` (stars <= 2).
 
-    Plan: ``window()`` expands each row to its windows, a partial hash
-    aggregate combines map-side, then one shuffle on (business, window). A
-    hot business spreads over its windows, and map-side combining bounds
-    what a hot (business, window) sends. Works unchanged on a stream.
+    Plan: the rows of each (business, slide bucket) are combined first,
+    map-side and then in one shuffle; only these sums are copied to the windows
+    they belong to and added up. However many reviews an attack packs into a
+    minute, the copies stay one per business-minute and window. Exact, because the
+    moments are integers. The slide must divide the window; streams, whose state
+    needs ``window()``, use :func:`window_stats_hopping`.
     """
-    base = reviews.where(F.col("business_id").isNotNull() & F.col(time_col).isNotNull())
-    agg = (base.groupBy("business_id", F.window(time_col, thr.window, thr.slide).alias("window"))
-           .agg(*_moment_aggs(thr))
-           .select("business_id", F.col("window.start").alias("window_start"),
-                   F.col("window.end").alias("window_end"), "review_count",
-                   "star_n", "star_sum", "star_sq_sum", "neg_count"))
-    return _finish(agg)
-
-
-def window_stats_by_minute(reviews: DataFrame, thr: Thresholds = DEFAULT,
-                           time_col: str = "event_time") -> DataFrame:
-    """Same result as :func:`window_stats` for dense data: first combine the
-    rows of each (business, slide bucket), then add up the buckets of each
-    window. Exact because the moments are integers; valid when the slide
-    divides the window. Use it when many reviews share a business-minute
-    (an attack burst), where it shrinks what the window expansion copies."""
     if thr.window_minutes % thr.slide_minutes:
         raise ValueError("window length must be a multiple of the slide")
-    from shoal.functions.timecols import MICROS_PER_MINUTE, floor_to
     base = reviews.where(F.col("business_id").isNotNull() & F.col(time_col).isNotNull())
     per_bucket = (base.groupBy("business_id", floor_to(F.col(time_col), thr.slide_minutes).alias("bucket"))
                   .agg(*_moment_aggs(thr)))
@@ -80,6 +66,19 @@ def window_stats_by_minute(reviews: DataFrame, thr: Thresholds = DEFAULT,
     return _finish(agg)
 
 
+def window_stats_hopping(reviews: DataFrame, thr: Thresholds = DEFAULT,
+                         time_col: str = "event_time") -> DataFrame:
+    """The same rows by Spark's ``window()``: each row is copied to its windows
+    and aggregated there. Any slide; works on a stream."""
+    base = reviews.where(F.col("business_id").isNotNull() & F.col(time_col).isNotNull())
+    agg = (base.groupBy("business_id", F.window(time_col, thr.window, thr.slide).alias("window"))
+           .agg(*_moment_aggs(thr))
+           .select("business_id", F.col("window.start").alias("window_start"),
+                   F.col("window.end").alias("window_end"), "review_count",
+                   "star_n", "star_sum", "star_sq_sum", "neg_count"))
+    return _finish(agg)
+
+
 def classify_windows(stats: DataFrame, thr: Thresholds = DEFAULT) -> DataFrame:
     """Add ``anomaly_reason`` (first matching rule or ``NONE``) and ``is_anomaly``."""
     return (stats.withColumn("anomaly_reason", anomaly_reason(thr))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shoal.config import DEFAULT, Thresholds
 from shoal.operators.label import label_reviews, organic, quarantined
@@ -27,13 +28,11 @@ class Detection:
 
 
 def detect(reviews: DataFrame, thr: Thresholds = DEFAULT, time_col: str = "event_time",
-           dedupe: bool = True, stats_input: DataFrame | None = None) -> Detection:
-    """Lazy plan; nothing runs until an action on one of the outputs.
-
-    ``stats_input`` may give the same rows without wide columns (text) when
-    Catalyst cannot prune a join that only adds them."""
-    src = stats_input if stats_input is not None else reviews
-    stats = window_stats(src.select("business_id", time_col, "stars"), thr, time_col)
+           dedupe: bool = True) -> Detection:
+    """Lazy plan; nothing runs until an action on one of the outputs. Rows without
+    a ``review_id`` are rejects and count nowhere."""
+    known = reviews.where(F.col("review_id").isNotNull())
+    stats = window_stats(known.select("business_id", time_col, "stars"), thr, time_col)
     flagged = flag_windows(stats, thr)
-    labelled = label_reviews(reviews, flagged, thr, time_col, dedupe)
+    labelled = label_reviews(known, flagged, thr, time_col, dedupe)
     return Detection(stats, flagged, labelled)

@@ -1,10 +1,8 @@
-"""Session helpers: a configured local session for tests and the bench, and
-the lineage-cutting checkpoint folder taken from the cluster's settings."""
+"""Session helpers: a configured local session for tests and the bench."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -29,31 +27,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Event times are UTC text; every time computation assumes a UTC session."""
+    """Event times are UTC text, so every time computation needs a UTC session.
+    NOTE: this sets the zone of the caller's session; queries that run
+    afterwards in it see UTC too. Callers that need another zone use
+    ``spark.newSession()``."""
     if spark.conf.get(UTC_CONF[0], None) != "UTC":
         spark.conf.set(*UTC_CONF)
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    return d or None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``); only when it is unset (local tests) make one."""
-    d = checkpoint_dir(spark)
-    if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-        return d
-    d = tempfile.mkdtemp(prefix="shoal-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(d)
-    return d

@@ -1,7 +1,8 @@
 """Review view over the driver's tables.
 
 The test tables hold no reviews. This view derives one review per ``events``
-row and a text from ``documents``: 30 days of events are compressed into one
+row and a text from ``documents`` (review i takes the text of document i modulo the
+number of documents, so every text is used): 30 days of events are compressed into one
 hour (integer microseconds divided by 720) so that sliding windows fill at
 every scale, and stars, injected flag and sentiment are derived from the ids
 by integer arithmetic that any SQL engine computes alike. The formulas are
@@ -18,7 +19,6 @@ from shoal.session import ensure_utc
 # --- fixed values -------------------------------------------------------
 ORIGIN_MICROS = 1704067200000000  # 2024-01-01 00:00:00 UTC
 TIME_COMPRESSION = 720            # 30 days -> 1 hour
-TEXT_DOCS = 200                   # review i takes the text of document i % 200
 
 _REVIEW_EXPRS = (
     "cast(event_id AS string) AS review_id",
@@ -43,29 +43,39 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def review_adapter(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
+def review_adapter(spark: SparkSession, sf_dir: str, with_text: bool = True,
+                   with_text_id: bool = False) -> DataFrame:
     """Reviews with columns ``review_id user_id business_id stars text event_time
     ingestion_time is_injected sentiment_label`` (``text`` only if asked).
 
-    ``documents.doc_id`` is unique, so leaving the text out cannot change the
-    rows; the text side is filtered to the 200 ids a review can point at (the
-    filter reaches the Parquet scan) and AQE broadcasts it when its measured
-    size is below the broadcast threshold, else it is a shuffle join.
+    ``with_text_id`` adds the number of the review's document instead of its
+    text: plans that label, dedupe or sample reviews run on these narrow rows
+    and call :func:`attach_text` on what is left.
     """
     ensure_utc(spark)
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     reviews = ev.selectExpr("event_id", *_REVIEW_EXPRS)
-    if not with_text:
+    if not (with_text or with_text_id):
         return reviews.drop("event_id")
-    docs = (read_table(spark, sf_dir, "documents").select("doc_id", "text")
-            .where((F.col("doc_id") > -TEXT_DOCS) & (F.col("doc_id") < TEXT_DOCS)))
-    joined = reviews.join(docs, F.col("event_id") % TEXT_DOCS == F.col("doc_id"), "left")
-    return joined.select("review_id", "user_id", "business_id", "stars", "text",
-                         "event_time", "ingestion_time", "is_injected", "sentiment_label")
+    n = read_table(spark, sf_dir, "documents").select(F.nullif(F.count(F.lit(1)), F.lit(0))).scalar()
+    narrow = reviews.withColumn("text_id", F.col("event_id") % n).drop("event_id")
+    if with_text_id:
+        return narrow
+    return attach_text(narrow, spark, sf_dir).select(
+        "review_id", "user_id", "business_id", "stars", "text",
+        "event_time", "ingestion_time", "is_injected", "sentiment_label")
+
+
+def attach_text(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rows`` (with ``text_id``) and their texts. ``documents.doc_id`` is unique,
+    so rows neither vanish nor multiply; all documents are equally likely, so the
+    join key has no hot value, however many documents there are."""
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    return rows.join(docs, "text_id", "left").drop("text_id")
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text-model input: ``documents`` joined with ``labels`` (quality as 0/1 label)."""
+    """Every document with its quality label (NULL where it has none)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id")
+    return docs.join(labels, "doc_id", "left")

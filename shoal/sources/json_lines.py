@@ -2,8 +2,9 @@
 
 Parsing stays in Spark's JSON reader (``from_json``); malformed text lands in
 ``_corrupt_record`` instead of failing the job, bad dates become NULL through
-``try_cast`` (ANSI mode stays on), ``stars`` is read as text and narrowed
-to INT only when integral, so ``5``, ``5.0`` and ``"5"`` survive.
+``try_cast`` (ANSI mode stays on). Numbers and flags are read as text and
+narrowed to INT only when integral, so ``5``, ``5.0`` and ``"5"`` survive and any
+other value is NULL; ``_corrupt_record`` then means broken JSON alone.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ VALID, BLANK, MALFORMED = "valid", "blank", "malformed"
 NO_ID, NO_BUSINESS, BAD_DATE = "missing_review_id", "missing_business_id", "bad_date"
 
 
-def _stars(c: Column) -> Column:
+def _integral(c: Column) -> Column:
     d = c.try_cast("double")
     return F.when(d == F.floor(d), d.try_cast("int"))
 
@@ -44,10 +45,10 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
         *extra, "raw", "_txt",
         F.col(f"j.{CORRUPT}").alias("_corrupt"),
         F.col("j.review_id").alias("review_id"), F.col("j.user_id").alias("user_id"),
-        F.col("j.business_id").alias("business_id"), _stars(F.col("j.stars")).alias("stars"),
+        F.col("j.business_id").alias("business_id"), _integral(F.col("j.stars")).alias("stars"),
         F.col("j.text").alias("text"), F.col("j.date").alias("date"),
-        F.col("j.useful").alias("useful"), F.col("j.funny").alias("funny"), F.col("j.cool").alias("cool"),
-        F.col("j.is_injected").alias("is_injected"),
+        *[_integral(F.col(f"j.{c}")).alias(c) for c in ("useful", "funny", "cool")],
+        F.col("j.is_injected").try_cast("boolean").alias("is_injected"),
         F.col("j.date").try_cast("timestamp").alias("event_time"),
         F.current_timestamp().alias("ingestion_time"))
     status = (F.when(F.col("_txt").isNull() | (F.length("_txt") == 0), F.lit(BLANK))
@@ -87,8 +88,13 @@ def status_counts(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their position (increasing in file order)."""
-    return spark.read.text(path).withColumn("pos", F.monotonically_increasing_id())
+    """Text lines with their position: file, start of the split in the file, and
+    the number within the split. Spark packs splits of several files into a
+    task by size, so only these three together give the order of the files."""
+    return (spark.read.text(path)
+            .select("value", F.struct(F.col("_metadata.file_path").alias("file"),
+                                      F.col("_metadata.file_block_start").alias("start"),
+                                      F.monotonically_increasing_id().alias("line")).alias("pos")))
 
 
 def read_reviews_json(spark: SparkSession, path: str) -> DataFrame:

@@ -27,10 +27,25 @@ def to_keyed_messages(reviews: DataFrame, fields: tuple[str, ...] | None = None)
                           F.to_json(F.struct(*cols)).alias("value"))
 
 
+def kafka_sink_options(bootstrap: str, topic: str) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": bootstrap, "topic": topic}
+
+
+def kafka_source_options(bootstrap: str, topic: str, starting_offsets: str = "latest",
+                         fail_on_data_loss: bool = False) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting_offsets,
+            "failOnDataLoss": str(fail_on_data_loss).lower()}
+
+
 def write_kafka(messages: DataFrame, bootstrap: str, topic: str) -> None:
     """Batch write of keyed messages to Kafka (needs the Kafka connector)."""
-    (messages.write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-     .option("topic", topic).save())
+    messages.write.format("kafka").options(**kafka_sink_options(bootstrap, topic)).save()
+
+
+def start_kafka_stream(messages: DataFrame, bootstrap: str, topic: str, checkpoint: str):
+    """Streaming write of keyed messages to Kafka (needs the Kafka connector)."""
+    return (messages.writeStream.format("kafka").options(**kafka_sink_options(bootstrap, topic))
+            .option("checkpointLocation", checkpoint).outputMode("append").start())
 
 
 def read_review_stream(spark: SparkSession, source: str = "files", path: str | None = None,
@@ -40,9 +55,7 @@ def read_review_stream(spark: SparkSession, source: str = "files", path: str | N
     """Streaming ``value`` lines: Kafka topic or a folder of JSON-lines files."""
     if source == "kafka":
         return (spark.readStream.format("kafka")
-                .option("kafka.bootstrap.servers", bootstrap).option("subscribe", topic)
-                .option("startingOffsets", starting_offsets)
-                .option("failOnDataLoss", str(fail_on_data_loss).lower()).load()
+                .options(**kafka_source_options(bootstrap, topic, starting_offsets, fail_on_data_loss)).load()
                 .select(F.col("key"), F.col("value")))
     r = spark.readStream.format("text")
     if max_files_per_trigger:

@@ -1,9 +1,9 @@
 """Parquet outputs and inputs of the detector, reports as JSON, model files.
 
-Outputs are partitioned by event date (and batch id for stream batches)
-instead of by business id: one folder per business per trigger would give
-millions of tiny files at scale. Rows are clustered by business inside each
-date so readers filtering a business still skip most row groups.
+Outputs are partitioned by event date and batch id instead of by business id: one
+folder per business per trigger would give millions of tiny files at scale. A write
+replaces the partitions of its own batch and no others, so a retried batch is
+written once and other batches of the same day stay.
 """
 
 from __future__ import annotations
@@ -15,18 +15,30 @@ from shoal.config import LABEL_ORGANIC, LABEL_QUARANTINED
 from shoal.operators.label import organic, quarantined
 
 
-def write_labelled(labelled: DataFrame, base: str, batch_id: int | None = None) -> None:
-    """Write organic and quarantined tables under ``base``. With ``batch_id``
-    the write replaces only that batch's partitions (idempotent retries)."""
+def write_labelled(labelled: DataFrame, base: str, batch_id: int) -> None:
+    """Write organic and quarantined tables under ``base``. ``batch_id`` names the
+    call: the same id again replaces what it wrote, another id adds. The rebalance
+    hint lets Spark split a large day and merge small ones by size, whatever
+    share of it one business has."""
     for name, part in ((LABEL_ORGANIC, organic(labelled)), (LABEL_QUARANTINED, quarantined(labelled))):
-        out = part.withColumn("event_date", F.to_date("event_time"))
-        keys = ["event_date"]
-        if batch_id is not None:
-            out = out.withColumn("batch_id", F.lit(batch_id))
-            keys.append("batch_id")
-        (out.repartition(*[F.col(k) for k in keys], "business_id").sortWithinPartitions("business_id")
+        out = part.withColumn("event_date", F.to_date("event_time")).withColumn("batch_id", F.lit(batch_id))
+        (out.hint("rebalance", "event_date").sortWithinPartitions("event_date", "business_id")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*keys).parquet(f"{base}/{name}"))
+         .partitionBy("event_date", "batch_id").parquet(f"{base}/{name}"))
+
+
+def write_rejects(rejects: DataFrame, base: str, batch_id: int) -> None:
+    """Reject rows (``status``, ``raw``) under ``base``/rejects, by batch and
+    status; :func:`reject_counts` counts them."""
+    (rejects.select("status", "raw").withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id", "status").parquet(f"{base}/rejects"))
+
+
+def reject_counts(spark: SparkSession, base: str) -> DataFrame:
+    """(batch_id, status, rejects) of the written reject table."""
+    return (spark.read.parquet(f"{base}/rejects").groupBy("batch_id", "status")
+            .agg(F.count(F.lit(1)).alias("rejects")))
 
 
 def read_labelled(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
@@ -44,10 +56,10 @@ def register_tables(spark: SparkSession, base: str) -> None:
 
 def write_reports(reports: DataFrame, explanations: DataFrame, index: DataFrame, path: str) -> None:
     """JSON lines: one report row per business, one explanation row per
-    review (partitioned by business), and the index; written by the
-    executors in parallel."""
+    review, and the index; written by the executors in parallel. Explanations are
+    spread by size, not by business."""
     reports.write.mode("overwrite").json(f"{path}/reports")
-    explanations.write.mode("overwrite").partitionBy("business_id").json(f"{path}/explanations")
+    explanations.hint("rebalance").write.mode("overwrite").json(f"{path}/explanations")
     index.coalesce(1).write.mode("overwrite").json(f"{path}/index")
 
 

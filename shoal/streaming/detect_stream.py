@@ -4,7 +4,9 @@
 state until the watermark passes the window; flagged windows are joined
 back to the reviews with a stream-stream left outer interval join, bounded
 on both sides by event time, and an append-mode aggregation keeps the
-earliest window per review. Spark 4.1 accepts the interval join only when
+earliest window per review. The join is also keyed on the minute (each flagged
+window is repeated for the minutes it reaches), so the reviews and windows of one
+attacked business spread over many state partitions. Spark 4.1 accepts the interval join only when
 anchored on ``window_time(window)`` (= window end - 1 microsecond); the
 offsets below turn that into ``start <= t <= end + grace`` exactly.
 
@@ -17,11 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.config import (DEFAULT, LABEL_ORGANIC, LABEL_QUARANTINED, ORGANIC_COLUMNS,
-                          QUARANTINED_COLUMNS, Thresholds)
+from shoal.config import DEFAULT, LABEL_ORGANIC, LABEL_QUARANTINED, Thresholds
 from shoal.functions.rules import anomaly_reason
 from shoal.functions.stats import mean_from_moments, sample_std_from_moments
-from shoal.sources.json_lines import VALID, parse_lines
+from shoal.functions.timecols import MICROS_PER_MINUTE, floor_to
+from shoal.operators.text_model import score
+from shoal.sources.json_lines import BLANK, VALID, parse_lines
+from shoal.sources.tables import write_labelled, write_rejects
 
 
 def parse_stream(lines: DataFrame, thr: Thresholds = DEFAULT, time_col: str = "event_time",
@@ -44,6 +48,23 @@ def parse_stream(lines: DataFrame, thr: Thresholds = DEFAULT, time_col: str = "e
     return p
 
 
+def reject_stream(lines: DataFrame) -> DataFrame:
+    """Lines that are no valid review, with ``status`` and the raw text."""
+    return parse_lines(lines).where(~F.col("status").isin(VALID, BLANK)).select("status", "raw")
+
+
+def rejects_sink(base_path: str):
+    """foreachBatch function that stores rejects by batch and status
+    (:func:`shoal.sources.tables.reject_counts` counts them)."""
+    return lambda batch_df, batch_id: write_rejects(batch_df, base_path, batch_id)
+
+
+def score_stream(reviews: DataFrame, model, text_col: str = "text") -> DataFrame:
+    """``reviews`` with ``sentiment_label`` from a loaded model; between parsing
+    and labelling."""
+    return score(model, reviews.drop("sentiment_label"), text_col).drop("p_positive")
+
+
 def _interval(us: int) -> F.Column:
     return F.expr(f"INTERVAL '{us // 1_000_000}.{us % 1_000_000:06d}' SECOND")
 
@@ -75,14 +96,19 @@ WINDOW_ATTRS = ("window_start", "window_end", "window_review_count", "window_avg
 
 def label_stream(reviews: DataFrame, thr: Thresholds = DEFAULT, time_col: str = "event_time") -> DataFrame:
     """Labelled reviews (append mode), one row per (review_id, event time)."""
-    flagged = stream_flagged_windows(reviews, thr, time_col)
-    win_us = thr.window_minutes * 60_000_000
-    grace_us = thr.grace_minutes * 60_000_000
+    reach = (thr.window_minutes + thr.grace_minutes) // thr.slide_minutes
+    step = thr.slide_minutes * MICROS_PER_MINUTE
+    flagged = stream_flagged_windows(reviews, thr, time_col).withColumn(
+        "_k", F.explode(F.sequence(F.lit(0), F.lit(reach))))
+    flagged = flagged.withColumn("_f_minute", F.timestamp_micros(F.unix_micros("window_start") + F.col("_k") * F.lit(step))).drop("_k")
+    keyed = reviews.withColumn("_minute", floor_to(F.col(time_col), thr.slide_minutes))
+    win_us = thr.window_minutes * MICROS_PER_MINUTE
+    grace_us = thr.grace_minutes * MICROS_PER_MINUTE
     t = F.col(time_col)
-    cond = ((F.col("business_id") == F.col("f_business_id"))
+    cond = ((F.col("business_id") == F.col("f_business_id")) & (F.col("_minute") == F.col("_f_minute"))
             & (t >= F.col("wt") - _interval(win_us - 1))
             & (t <= F.col("wt") + _interval(grace_us + 1)))
-    j = reviews.join(flagged, cond, "leftOuter")
+    j = keyed.join(flagged, cond, "leftOuter")
     carry = [c for c in reviews.columns if c not in ("review_id", time_col)]
     picked = (j.groupBy("review_id", time_col)
               .agg(F.min(F.struct(*WINDOW_ATTRS, *carry)).alias("_m")))
@@ -94,19 +120,13 @@ def label_stream(reviews: DataFrame, thr: Thresholds = DEFAULT, time_col: str =
 
 
 def labelled_sink(base_path: str):
-    """foreachBatch function writing organic and quarantined rows under
-    ``base/organic`` and ``base/quarantined``, partitioned by ``batch_id``.
-    Dynamic partition overwrite makes a retried batch replace its own files
-    (idempotent), and the batch is persisted once for both outputs."""
+    """foreachBatch function writing the two tables under ``base_path`` by event
+    date and batch id. A retried batch replaces its own files (idempotent); the
+    batch is persisted once for both tables."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         b = batch_df.persist()
         try:
-            for label, cols in ((LABEL_ORGANIC, ORGANIC_COLUMNS), (LABEL_QUARANTINED, QUARANTINED_COLUMNS)):
-                part = (b.where(F.col("label") == label)
-                        .select(*[c for c in cols if c in b.columns])
-                        .withColumn("batch_id", F.lit(batch_id)))
-                (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(f"{base_path}/{label}"))
+            write_labelled(b, base_path, batch_id)
         finally:
             b.unpersist()
     return write

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from shoal.sources.json_lines import (limit_valid, parse_lines, read_lines, split_valid_rejected,
+from shoal.sources.json_lines import (limit_valid, parse_lines, read_lines, read_reviews_json, split_valid_rejected,
                                       status_counts)
 from shoal.sources.messages import to_keyed_messages
 
@@ -60,3 +60,34 @@ def test_keyed_messages(spark):
     m = to_keyed_messages(df).collect()[0]
     assert m["key"] == "b9"
     assert json.loads(m["value"]) == {"review_id": "r1", "business_id": "b9", "stars": 4}
+
+
+def test_fields_of_another_type_are_null_and_keep_the_row(spark):
+    lines = [json.dumps({**GOOD, "review_id": "a", "useful": 3.0, "funny": "1", "cool": 2.5, "is_injected": "true"}),
+             json.dumps({**GOOD, "review_id": "b", "useful": "many", "funny": [1], "cool": {"x": 1}, "is_injected": "perhaps"}),
+             json.dumps({**GOOD, "review_id": "c", "useful": 7, "is_injected": False})]
+    got = {r["review_id"]: (r["useful"], r["funny"], r["cool"], r["is_injected"]) for r in split_valid_rejected(_lines(spark, lines))[0].collect()}
+    assert got == {"a": (3, 1, None, True), "b": (None, None, None, None), "c": (7, None, None, False)}
+
+
+def test_limit_follows_the_order_of_files(spark, tmp_dir):
+    """Files of unequal size: Spark packs them by size, the limit reads them by name."""
+    for name, n in (("a", 2), ("b", 50), ("c", 5)):
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            f.writelines(json.dumps({**GOOD, "review_id": f"{name}{i:02d}"}) + "\n" for i in range(n))
+    got = [r["review_id"] for r in limit_valid(read_lines(spark, tmp_dir), 4).collect()]
+    assert got == ["a00", "a01", "b00", "b01"]
+
+
+def test_batch_scan_of_json_files(spark, tmp_dir):
+    with open(f"{tmp_dir}/x.json", "w") as f:
+        f.write(json.dumps(GOOD) + "\n{broken\n\n")
+    got = read_reviews_json(spark, f"{tmp_dir}/x.json").collect()
+    assert [(r["review_id"], r["stars"]) for r in got] == [("r1", 4)] and got[0]["ingestion_time"] is not None
+
+
+def test_kafka_options():
+    from shoal.sources.messages import kafka_sink_options, kafka_source_options
+    assert kafka_source_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest", "failOnDataLoss": "false"}
+    assert kafka_source_options("h:1", "t", "earliest", True)["failOnDataLoss"] == "true"
+    assert kafka_sink_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "topic": "t"}

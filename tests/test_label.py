@@ -80,3 +80,14 @@ def test_outputs_have_reference_columns(spark):
     lab = label_reviews(rv, fl)
     assert organic(lab).count() == 1 and quarantined(lab).count() == 1
     assert "anomaly_reason" in quarantined(lab).columns and "anomaly_reason" not in organic(lab).columns
+
+
+def test_earliest_window_decides_among_duplicates_and_missing_ids_are_rejects(spark):
+    """An id seen first organic and then inside an attack is quarantined."""
+    from shoal.operators.label import missing_ids
+    fl = _flag(spark, [T0])
+    rv = spark.createDataFrame([("r", "u", "c", 5, T0 - 60 * M), ("r", "u", "b", 1, T0 + M), (None, "u", "b", 1, T0 + M),
+                                (None, "v", "b", 1, T0 + M)], SCHEMA)
+    got = label_reviews(rv, fl).collect()
+    assert [(r["review_id"], r["label"], r["business_id"]) for r in got] == [("r", "quarantined", "b")]
+    assert missing_ids(rv).count() == 2

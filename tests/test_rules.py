@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoal.config import REASON_NONE, REASON_RATIO, REASON_UNIFORM, REASON_VELOCITY
-from shoal.operators.windows import classify_windows, window_stats, window_stats_by_minute
+from shoal.operators.windows import classify_windows, window_stats, window_stats_hopping
 
 FLAGGED = "flagged"
 CASES = [
@@ -48,7 +48,7 @@ def _rows(spark):
     return spark.createDataFrame(rows, "review_id string, business_id string, stars int, event_time timestamp")
 
 
-@pytest.mark.parametrize("stats_fn", [window_stats, window_stats_by_minute])
+@pytest.mark.parametrize("stats_fn", [window_stats, window_stats_hopping])
 def test_rule_cases(spark, stats_fn):
     stats = classify_windows(stats_fn(_rows(spark)))
     got = {r["business_id"]: set() for r in stats.select("business_id").distinct().collect()}

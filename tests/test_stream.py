@@ -61,7 +61,9 @@ def test_stream_equals_batch(spark, tmp_dir):
 
 
 def test_sink_is_idempotent(spark, tmp_dir):
-    df = spark.createDataFrame([("r1", "organic"), ("r2", "quarantined")], "review_id string, label string")
+    df = spark.createDataFrame([("r1", "b", "organic", "2024-01-01 10:00:00"), ("r2", "b", "quarantined", "2024-01-01 10:00:00")],
+                               "review_id string, business_id string, label string, t string")
+    df = df.withColumn("event_time", F.to_timestamp("t")).drop("t")
     sink = labelled_sink(f"{tmp_dir}/out")
     sink(df, 3)
     sink(df, 3)
@@ -71,6 +73,62 @@ def test_sink_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/out/quarantined").count() == 1
 
 
+def test_scored_stream_with_rocksdb_state(spark, tmp_dir):
+    """The stream's sentiment equals the batch model's, with state in RocksDB."""
+    from shoal.operators.text_model import hashed_model, score
+    from shoal.streaming.detect_stream import score_stream, use_rocksdb_state
+    rows = [(f"r{i}", "u", f"b{i % 3}", 1.0 if i % 2 else 5.0, "awful rude terrible" if i % 2 else "great lovely place",
+             f"2024-01-01 10:{i:02d}:00") for i in range(20)]
+    rows += [(f"tail{k}", "u", "z", 5.0, None, f"2024-01-{2 + k:02d} 00:00:00") for k in range(4)]
+    df = spark.createDataFrame(rows, "review_id string, user_id string, business_id string, stars double, text string, date string")
+    model = hashed_model(num_features=256).fit(df.where("text is not null").withColumn("label", (F.col("stars") > 3).cast("double")))
+    os.makedirs(f"{tmp_dir}/in")
+    import json
+    for i, r in enumerate(rows):
+        with open(f"{tmp_dir}/in/{i:03d}.json", "w") as f:
+            f.write(json.dumps(dict(zip(df.columns, r))) + "\n")
+    _order_by_name(f"{tmp_dir}/in")
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    use_rocksdb_state(spark)
+    try:
+        lines = spark.readStream.format("text").option("maxFilesPerTrigger", 8).load(f"{tmp_dir}/in")
+        q = start(label_stream(score_stream(parse_stream(lines), model)), labelled_sink(f"{tmp_dir}/out"), f"{tmp_dir}/ckpt", available_now=True)
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    got = spark.read.parquet(f"{tmp_dir}/out/organic").where("review_id like 'r%'")
+    if glob.glob(f"{tmp_dir}/out/quarantined/*/*/*.parquet"):
+        got = got.select("review_id", "sentiment_label").unionByName(
+            spark.read.parquet(f"{tmp_dir}/out/quarantined").where("review_id like 'r%'").select("review_id", "sentiment_label"))
+    got = {r["review_id"]: r["sentiment_label"] for r in got.collect()}
+    want = {r["review_id"]: r["sentiment_label"] for r in score(model, df).where("review_id like 'r%'").collect()}
+    assert got == want and len(got) == 20 and None not in got.values()
+
+
+def test_stream_rejects_are_stored_and_counted(spark, tmp_dir):
+    from shoal.sources.tables import reject_counts
+    from shoal.streaming.detect_stream import reject_stream, rejects_sink
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.json", "w") as f:
+        f.write('{"review_id": "a", "business_id": "b", "date": "2024-01-01 10:00:00"}\n{bad\n\n{"review_id": "x", "business_id": "b", "date": "no"}\n')
+    lines = spark.readStream.format("text").load(f"{tmp_dir}/in")
+    q = start(reject_stream(lines), rejects_sink(f"{tmp_dir}/out"), f"{tmp_dir}/ckpt", available_now=True)
+    q.awaitTermination()
+    got = {r["status"]: r["rejects"] for r in reject_counts(spark, f"{tmp_dir}/out").collect()}
+    assert got == {"malformed": 1, "bad_date": 1}
+
+
+def test_micro_batch_labeller(spark, tmp_dir):
+    from shoal.streaming.detect_stream import micro_batch_labeller
+    rows = [(f"r{i}", f"u{i}", "b", 1, "2024-01-01 10:00:30") for i in range(12)] + [("calm", "u", "c", 5, "2024-01-01 10:00:30")]
+    df = spark.createDataFrame(rows, "review_id string, user_id string, business_id string, stars int, t string").withColumn(
+        "event_time", F.to_timestamp("t")).drop("t")
+    micro_batch_labeller(f"{tmp_dir}/out")(df, 1)
+    micro_batch_labeller(f"{tmp_dir}/out")(df.limit(0), 2)
+    assert spark.read.parquet(f"{tmp_dir}/out/quarantined").count() == 12
+    assert [r["review_id"] for r in spark.read.parquet(f"{tmp_dir}/out/organic").collect()] == ["calm"]
+
+
 def test_late_row_dropped(spark, tmp_dir):
     # late rows are judged against the watermark of the previous batch, hence
     # one batch ("y") between the row that moves the watermark and the late row
