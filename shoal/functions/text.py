@@ -2,16 +2,12 @@
 
 Tokens are runs of two or more letters, digits or underscores of the
 lower-cased text (the same pattern works in Java regex and RE2). Stop words
-are Spark ML's built-in English list, read from Spark's own jar so that code
-without a running JVM (the SQL oracle) sees the same list.
+are Spark ML's built-in English list.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,13 +17,9 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 @functools.lru_cache(maxsize=None)
 def english_stop_words() -> tuple[str, ...]:
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for j in jars:
-        with zipfile.ZipFile(j) as z:
-            data = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-            return tuple(w.strip() for w in data.splitlines() if w.strip())
-    from pyspark.ml.feature import StopWordsRemover  # needs a JVM
+    from pyspark.ml.feature import StopWordsRemover
+    from pyspark.sql import SparkSession
+    SparkSession.builder.getOrCreate()  # the list comes from Spark's JVM
     return tuple(StopWordsRemover.loadDefaultStopWords("english"))
 
 

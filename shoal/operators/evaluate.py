@@ -1,49 +1,56 @@
-"""Detection quality and throughput reports over the organic and quarantined
-tables. Each report is one conditional aggregate (one scan per input) instead
-of separate scalar subqueries."""
+"""Detection quality and throughput reports over labelled reviews (column
+``label``). Each report is one conditional aggregate, so one detection plan. For
+the two tables read back from disk :func:`united` gives the same shape.
+Reports on flagged reviews alone take the quarantined rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoal.config import LABEL_ORGANIC, LABEL_QUARANTINED
 from shoal.functions.numeric import ratio, round_half
 from shoal.functions.timecols import seconds_between
 
-INJ = F.coalesce(F.col("is_injected"), F.lit(False))
 
 
-def _both(organic: DataFrame, quarantined: DataFrame, *cols: str) -> DataFrame:
-    """UNION ALL of the two tables with ``predicted`` naming the source."""
-    o = organic.select(F.lit("organic").alias("predicted"), *cols)
-    q = quarantined.select(F.lit("quarantined").alias("predicted"), *cols)
-    return o.unionAll(q)
+def _injected() -> Column:
+    return F.coalesce(F.col("is_injected"), F.lit(False))
+
+
+def _is_quarantined() -> Column:
+    return F.col("label") == LABEL_QUARANTINED
+
+
+def united(organic: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """UNION ALL of the two stored tables with ``label`` naming the table; columns
+    that the organic table lacks are NULL."""
+    return (organic.withColumn("label", F.lit(LABEL_ORGANIC))
+            .unionByName(quarantined.withColumn("label", F.lit(LABEL_QUARANTINED)), allowMissingColumns=True))
 
 
 def eval_precision(quarantined: DataFrame) -> DataFrame:
-    return (quarantined.agg(F.count_if(INJ).alias("true_positives"),
-                            F.count_if(~INJ).alias("false_positives"),
+    return (quarantined.agg(F.count_if(_injected()).alias("true_positives"),
+                            F.count_if(~_injected()).alias("false_positives"),
                             F.count(F.lit(1)).alias("total_quarantined"))
             .withColumn("precision", round_half(ratio(F.col("true_positives"),
                                                       F.col("total_quarantined")), 4)))
 
 
-def _pr_counts(organic: DataFrame, quarantined: DataFrame) -> DataFrame:
-    u = _both(organic, quarantined, "is_injected")
-    q = F.col("predicted") == "quarantined"
-    return u.agg(F.count_if(q & INJ).alias("caught_count"),
-                 F.count_if(INJ).alias("total_injected"),
-                 F.count_if(q).alias("total_quarantined"))
+def _pr_counts(labelled: DataFrame) -> DataFrame:
+    return labelled.agg(F.count_if(_is_quarantined() & _injected()).alias("caught_count"),
+                        F.count_if(_injected()).alias("total_injected"),
+                        F.count_if(_is_quarantined()).alias("total_quarantined"))
 
 
-def eval_recall(organic: DataFrame, quarantined: DataFrame) -> DataFrame:
-    return (_pr_counts(organic, quarantined)
+def eval_recall(labelled: DataFrame) -> DataFrame:
+    return (_pr_counts(labelled)
             .select("caught_count", "total_injected",
                     round_half(ratio(F.col("caught_count"), F.col("total_injected")), 4).alias("recall")))
 
 
-def eval_f1(organic: DataFrame, quarantined: DataFrame) -> DataFrame:
-    c = _pr_counts(organic, quarantined)
+def eval_f1(labelled: DataFrame) -> DataFrame:
+    c = _pr_counts(labelled)
     p = ratio(F.col("caught_count"), F.col("total_quarantined"))
     r = ratio(F.col("caught_count"), F.col("total_injected"))
     s = c.select(p.alias("p"), r.alias("r"))
@@ -84,48 +91,49 @@ def latency_mean(quarantined: DataFrame) -> DataFrame:
 
 
 def latency_approx(quarantined: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Mean and sketch percentiles (p50/p95/p99) of the latency, rounded to 2."""
-    lat = quarantined.select(seconds_between(F.col("ingestion_time"), F.col("event_time")).alias("lat"))
-    q = F.percentile_approx("lat", [0.5, 0.95, 0.99], accuracy)
-    return (lat.agg(F.avg("lat").alias("m"), q.alias("q"))
-            .select(round_half(F.col("m"), 2).alias("avg_latency_seconds"),
-                    round_half(F.col("q")[0], 2).alias("p50_latency_seconds"),
-                    round_half(F.col("q")[1], 2).alias("p95_latency_seconds"),
-                    round_half(F.col("q")[2], 2).alias("p99_latency_seconds")))
-
-
-def throughput_per_minute(organic: DataFrame, quarantined: DataFrame) -> DataFrame:
-    u = _both(organic, quarantined, "ingestion_time")
-    return (u.groupBy(F.date_trunc("minute", "ingestion_time").alias("minute_bucket"))
+    """Sketch percentiles (p50/p95/p99) of the latency in microseconds, each with
+    whether its rank lies within the sketch's bound (rows / ``accuracy``) of the
+    exact one. One row per percentile, plus the mean in seconds."""
+    lat = _latency_us(quarantined).where(F.col("lat_us").isNotNull())
+    probs = (0.5, 0.95, 0.99)
+    s = lat.agg(F.percentile_approx("lat_us", list(probs), accuracy).alias("q"), F.count(F.lit(1)).alias("n"),
+                F.sum("lat_us").alias("s"))
+    per = s.select("n", "s", F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("p"), F.col("q"))).alias("z"))
+    per = per.select("n", "s", F.col("z.p").alias("p"), F.col("z.q").alias("v"))
+    ranks = (lat.join(F.broadcast(per))  # three rows
+             .groupBy("p", "n", "s", "v").agg(F.count_if(F.col("lat_us") < F.col("v")).alias("below"),
+                                              F.count_if(F.col("lat_us") <= F.col("v")).alias("upto")))
+    bound = F.col("n") / F.lit(float(accuracy)) + F.lit(1.0)
+    return ranks.select(
+        F.col("p").alias("percentile"), round_half(ratio(F.col("s"), F.col("n")) / F.lit(1_000_000.0), 2).alias("avg_latency_seconds"),
+        ((F.col("below") <= F.col("p") * F.col("n") + bound) & (F.col("upto") >= F.col("p") * F.col("n") - bound)).alias("rank_within_bound"))
+
+
+def throughput_per_minute(labelled: DataFrame) -> DataFrame:
+    return (labelled.groupBy(F.date_trunc("minute", "ingestion_time").alias("minute_bucket"))
             .agg(F.count(F.lit(1)).alias("reviews_per_minute"))
             .orderBy("minute_bucket"))
 
 
-def confusion_matrix(organic: DataFrame, quarantined: DataFrame) -> DataFrame:
-    u = _both(organic, quarantined, "is_injected")
-    actual = F.when(INJ, F.lit("injected")).otherwise(F.lit("organic"))
-    return (u.groupBy("predicted", actual.alias("actual"))
+def confusion_matrix(labelled: DataFrame) -> DataFrame:
+    actual = F.when(_injected(), F.lit("injected")).otherwise(F.lit("organic"))
+    return (labelled.groupBy(F.col("label").alias("predicted"), actual.alias("actual"))
             .agg(F.count(F.lit(1)).alias("cnt")).orderBy("predicted", "actual"))
 
 
-def false_positive_rate(organic: DataFrame, quarantined: DataFrame) -> DataFrame:
+def false_positive_rate(labelled: DataFrame) -> DataFrame:
     """Share of non-injected reviews that were quarantined."""
-    u = _both(organic, quarantined, "is_injected")
-    q = F.col("predicted") == "quarantined"
-    c = u.agg(F.count_if(q & ~INJ).alias("false_positives"),
-              F.count_if(~q & ~INJ).alias("true_negatives"))
+    c = labelled.agg(F.count_if(_is_quarantined() & ~_injected()).alias("false_positives"),
+                     F.count_if(~_is_quarantined() & ~_injected()).alias("true_negatives"))
     return c.withColumn("false_positive_rate", round_half(
         ratio(F.col("false_positives"), F.col("false_positives") + F.col("true_negatives")), 4))
 
 
-def detection_delay(organic: DataFrame, quarantined: DataFrame) -> DataFrame:
+def detection_delay(labelled: DataFrame) -> DataFrame:
     """Per attacked business: first injected review, end of the first window
     that quarantined an injected review (when the detector fires), and the
     delay between them in seconds (NULL when never detected)."""
-    u = (organic.select("business_id", "event_time", "is_injected",
-                        F.lit(None).cast("timestamp").alias("window_end"))
-         .unionAll(quarantined.select("business_id", "event_time", "is_injected", "window_end")))
-    per = (u.where(INJ).groupBy("business_id")
+    per = (labelled.where(_injected()).groupBy("business_id")
            .agg(F.min("event_time").alias("attack_start"),
                 F.min("window_end").alias("detected_at"),
                 F.count(F.lit(1)).alias("injected_count")))

@@ -2,8 +2,9 @@
 ranked per business and per review, plus behaviour patterns and reports.
 
 For a linear model with an all-zero background, a term's attribution is
-``coef[term] * weight[review, term]``; here that is a broadcast join of the
-long TF-IDF table with the (term, coef) table (bounded by the vocabulary).
+``coef[term] * weight[text, term]``. It depends on the text alone, so everything
+up to the ranked terms is computed once per distinct text (column ``text_id``) and
+joined to the reviews that carry it.
 """
 
 from __future__ import annotations
@@ -20,25 +21,31 @@ PREVIEW_CHARS = 100
 
 
 def contributions(tfidf_long: DataFrame, coefs: DataFrame) -> DataFrame:
-    """tfidf rows + ``coef`` and ``contribution`` = coef * weight."""
-    return (tfidf_long.join(F.broadcast(coefs.select("term", "coef")), "term")
+    """tfidf rows + ``coef`` and ``contribution`` = coef * weight. The sides are
+    left to Spark: a coefficient table is as long as its vocabulary."""
+    return (tfidf_long.join(coefs.select("term", "coef"), "term")
             .withColumn("contribution", F.col("coef") * F.col("weight")))
 
 
-def review_scores(contrib: DataFrame, id_col: str = "review_id", keep: tuple[str, ...] = ()) -> DataFrame:
+def review_scores(contrib: DataFrame, reviews: DataFrame, key: str = "text_id", id_col: str = "review_id",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Per review: number of scored terms and the summed contribution (the
-    model's margin without intercept)."""
-    return contrib.groupBy(id_col, *keep).agg(
-        F.count(F.lit(1)).alias("n_terms"),
-        round_half(F.sum("contribution"), 6).alias("score"))
+    model's margin without intercept); 0 and 0.0 for a review without any."""
+    per = contrib.groupBy(key).agg(F.count(F.lit(1)).alias("n_terms"), F.sum("contribution").alias("score"))
+    return (reviews.select(id_col, key, *keep).join(per, key, "left")
+            .select(id_col, *keep, F.coalesce("n_terms", F.lit(0).cast("bigint")).alias("n_terms"),
+                    round_half(F.coalesce("score", F.lit(0.0)), 6).alias("score")))
 
 
 def top_attack_signals(contrib: DataFrame, flagged: DataFrame, k: int = TOP_SIGNALS,
-                       id_col: str = "review_id") -> DataFrame:
+                       key: str = "text_id") -> DataFrame:
     """Per business, the ``k`` terms with the largest mean |contribution| over
-    all its flagged reviews (reviews without terms count as zero)."""
+    all its flagged reviews (reviews without terms count as zero). Reviews of a
+    business that share a text are counted before the terms are joined."""
     n = flagged.groupBy("business_id").agg(F.count(F.lit(1)).alias("_n"))
-    s = contrib.groupBy("business_id", "term").agg(F.sum(F.abs("contribution")).alias("_s"))
+    uses = flagged.groupBy("business_id", key).agg(F.count(F.lit(1)).alias("_uses"))
+    s = (uses.join(contrib.select(key, "term", "contribution"), key).groupBy("business_id", "term")
+         .agg(F.sum(F.col("_uses") * F.abs("contribution")).alias("_s")))
     imp = s.join(n, "business_id").withColumn("_imp", F.col("_s") / F.col("_n"))
     w = Window.partitionBy("business_id").orderBy(F.desc("_imp"), "term")   # <= vocabulary rows
     return (imp.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -46,28 +53,33 @@ def top_attack_signals(contrib: DataFrame, flagged: DataFrame, k: int = TOP_SIGN
                     round_half(F.col("_imp"), 4).alias("importance")))
 
 
-def review_top_features(contrib: DataFrame, k: int = TOP_REVIEW_FEATURES,
-                        id_col: str = "review_id", reviews: DataFrame | None = None) -> DataFrame:
-    """Per review, its ``k`` present terms with the largest |contribution|
-    (ties by term), long form, with stars and a 100-character preview.
+def text_top_features(contrib: DataFrame, k: int = TOP_REVIEW_FEATURES, key: str = "text_id") -> DataFrame:
+    """Per text, its ``k`` present terms with the largest |contribution| (ties by
+    term), long form."""
+    w = Window.partitionBy(key).orderBy(F.desc(F.abs("contribution")), "term")
+    return (contrib.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select(key, "rank", F.col("term").alias("feature"), round_half(F.col("contribution"), 4).alias("shap_value")))
 
-    With ``reviews`` (id, stars, text) the preview and stars are joined to
-    the k rows per review only, instead of riding along every token."""
-    w = Window.partitionBy(id_col).orderBy(F.desc(F.abs("contribution")), "term")
-    top = (contrib.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-           .withColumn("shap_value", round_half(F.col("contribution"), 4)))
-    if reviews is not None:
-        attrs = reviews.select(id_col, "stars", F.substring("text", 1, PREVIEW_CHARS).alias("text_preview"))
-        top = top.join(attrs, id_col)
-    return top.select(id_col, "business_id", "stars", "text_preview", "rank",
-                      F.col("term").alias("feature"), "shap_value")
+
+def previews(texts: DataFrame, key: str = "text_id") -> DataFrame:
+    """(key, text_preview): the first 100 characters of each text."""
+    return texts.select(key, F.substring("text", 1, PREVIEW_CHARS).alias("text_preview"))
+
+
+def review_top_features(top: DataFrame, reviews: DataFrame, preview: DataFrame, key: str = "text_id",
+                        id_col: str = "review_id") -> DataFrame:
+    """Per review its top terms, long form, with stars and preview; a review
+    without a scored term has one row of rank 0."""
+    return (reviews.select(id_col, "business_id", "stars", key).join(preview, key, "left").join(top, key, "left")
+            .select(id_col, "business_id", "stars", "text_preview", F.coalesce("rank", F.lit(0)).alias("rank"), "feature", "shap_value"))
 
 
 def behaviour_patterns(flagged: DataFrame) -> DataFrame:
     """Per business: flagged reviews, distinct users and their share, mean and
-    population deviation of stars (round 2) and of text length (round 1)."""
+    population deviation of stars (round 2) and of ``text_length`` (round 1; NULL
+    counts as 0). Only the length of a text is needed, not the text."""
     st = F.col("stars").cast("bigint")
-    ln = F.length(F.coalesce(F.col("text"), F.lit(""))).cast("bigint")
+    ln = F.coalesce(F.col("text_length"), F.lit(0)).cast("bigint")
     a = flagged.groupBy("business_id").agg(
         F.count(F.lit(1)).alias("num_flagged_reviews"),
         F.countDistinct(F.coalesce(F.col("user_id"), F.lit(""))).alias("unique_users"),
@@ -103,9 +115,11 @@ def build_reports(signals: DataFrame, patterns: DataFrame) -> DataFrame:
             .withColumn("alert_timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")))
 
 
-def review_explanations(top: DataFrame, id_col: str = "review_id") -> DataFrame:
-    """One row per review with its ordered top features (<= 5 entries)."""
-    g = top.groupBy(id_col, "business_id", "stars", "text_preview").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "feature", "shap_value"))).alias("_f"))
-    return g.select(id_col, "business_id", "stars", "text_preview", F.transform("_f", lambda x: F.struct(
-        x["feature"].alias("feature"), x["shap_value"].alias("shap_value"))).alias("top_features"))
+def review_explanations(top: DataFrame, reviews: DataFrame, preview: DataFrame, key: str = "text_id",
+                        id_col: str = "review_id") -> DataFrame:
+    """One row per review with its ordered top features (<= 5 entries; empty if
+    no term of the text is scored)."""
+    lists = top.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "feature", "shap_value"))).alias("_f"))
+    features = F.transform(F.coalesce("_f", F.array()), lambda x: F.struct(x["feature"].alias("feature"), x["shap_value"].alias("shap_value")))
+    return (reviews.select(id_col, "business_id", "stars", key).join(preview, key, "left").join(lists, key, "left")
+            .select(id_col, "business_id", "stars", "text_preview", features.alias("top_features")))

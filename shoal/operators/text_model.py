@@ -30,14 +30,18 @@ SEED = 42
 TRAIN_FRACTION = 0.8
 
 
-def training_rows(reviews: DataFrame, id_col: str = "review_id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, stars, text, label: NULL text and 3-star (and NULL-star) rows
-    dropped; 1-2 stars -> 0.0, 4-5 stars -> 1.0."""
-    return (reviews.select(id_col, "stars", "text", *keep).na.drop(subset=["text"])
-            .where(F.col("stars") != 3)
+def star_labels(rows: DataFrame) -> DataFrame:
+    """``rows`` (stars, ...) with label: 3-star and NULL-star rows dropped, 1-2 stars
+    -> 0.0, 4-5 stars -> 1.0. Needs no text, so sampling and splits run narrow."""
+    return (rows.where(F.col("stars") != 3)
             .withColumn("label", F.when(F.col("stars") <= 2, F.lit(0.0)).otherwise(F.lit(1.0))))
 
 
+def training_rows(reviews: DataFrame, id_col: str = "review_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, stars, text, label of the reviews with a text and a label."""
+    return star_labels(reviews.select(id_col, "stars", "text", *keep).na.drop(subset=["text"]))
+
+
 def unit_hash(id_col: str, seed: int = SEED, salt: str = "") -> Column:
     """Uniform number in [0, 1) from md5(id || '|' || seed || salt)."""
     h = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(f"{seed}{salt}")))
@@ -103,15 +107,38 @@ def hashed_model(num_features: int = NUM_FEATURES, max_iter: int = HASHED_MAX_IT
                  reg: float = HASHED_REG, text_col: str = "text") -> Pipeline:
     """Tokenizer -> English stop words -> HashingTF -> IDF -> L2 logistic regression."""
     return Pipeline(stages=[
-        Tokenizer(inputCol=text_col, outputCol="words"),
-        StopWordsRemover(inputCol="words", outputCol="filtered"),
-        HashingTF(inputCol="filtered", outputCol="raw_features", numFeatures=num_features),
-        IDF(inputCol="raw_features", outputCol="features"),
+        Tokenizer(inputCol=text_col, outputCol="tokens_"),
+        StopWordsRemover(inputCol="tokens_", outputCol="kept_"),
+        HashingTF(inputCol="kept_", outputCol="counts_", numFeatures=num_features),
+        IDF(inputCol="counts_", outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
                            regParam=reg, elasticNetParam=0.0),
     ])
 
 
+@dataclass
+class Trained:
+    """A fitted pipeline, its test metrics, and the rows it saw."""
+
+    model: object
+    metrics: dict[str, float]
+    counts: DataFrame   # label, train, test
+
+
+def train(rows: DataFrame, id_col: str = "review_id", seed: int = SEED, pipeline: Pipeline | None = None) -> Trained:
+    """The training job: balance the classes of ``rows`` (id, text, label), split,
+    fit on the training part and evaluate on the rest."""
+    part = split(balance(rows.select(id_col, "text", "label"), id_col, seed=seed), id_col, seed)
+    fitted_on = safe_text(part.where(F.col("split") == "train")).persist()
+    try:
+        model = (pipeline or hashed_model()).fit(fitted_on)
+    finally:
+        fitted_on.unpersist()
+    metrics = evaluate(model.transform(safe_text(part.where(F.col("split") == "test"))))
+    counts = part.groupBy("label").agg(F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "test").alias("test"))
+    return Trained(model, metrics, counts)
+
+
 def safe_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The tokenizer fails on NULL text; score those rows as empty text."""
     return df.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
@@ -122,20 +149,24 @@ def score(model, df: DataFrame, text_col: str = "text") -> DataFrame:
     out = model.transform(safe_text(df, text_col))
     return (out.withColumn("p_positive", vector_to_array("probability")[1])
             .withColumnRenamed("prediction", "sentiment_label")
-            .drop("words", "filtered", "raw_features", "features", "rawPrediction", "probability"))
+            .drop("tokens_", "kept_", "counts_", "features", "rawPrediction", "probability"))
 
 
 def evaluate(preds: DataFrame, label_col: str = "label", binary: bool = False) -> dict[str, float]:
     """AUC, accuracy and F1 with Spark's evaluators: weighted F1 by default,
     the F1 of the positive class with ``binary=True``."""
+    preds = preds.select(label_col, "prediction", "rawPrediction").persist()
     mc = MulticlassClassificationEvaluator(labelCol=label_col)
     f1 = (mc.copy({mc.metricName: "fMeasureByLabel", mc.metricLabel: 1.0}) if binary
           else mc.copy({mc.metricName: "f1"}))
-    return {
-        "auc": BinaryClassificationEvaluator(labelCol=label_col).evaluate(preds),
-        "accuracy": mc.copy({mc.metricName: "accuracy"}).evaluate(preds),
-        "f1": f1.evaluate(preds),
-    }
+    try:
+        return {
+            "auc": BinaryClassificationEvaluator(labelCol=label_col).evaluate(preds),
+            "accuracy": mc.copy({mc.metricName: "accuracy"}).evaluate(preds),
+            "f1": f1.evaluate(preds),
+        }
+    finally:
+        preds.unpersist()
 
 
 def classification_metrics(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
@@ -158,8 +189,9 @@ def classification_metrics(df: DataFrame, label_col: str = "label", pred_col: st
 # --- interpretable TF-IDF (long form) -------------------------------------
 @dataclass
 class TfidfModel:
-    vocab: DataFrame   # term, idx, idf   (<= max_features rows)
-    n_docs: int | None = None
+    vocab: DataFrame          # term, idx, idf
+    bounded: bool             # whether vocab has at most max_features rows
+    dropped: DataFrame        # dropped_terms: terms beyond max_features
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -171,54 +203,60 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str = "text", keep: tupl
 
 
 def fit_tfidf(docs: DataFrame, id_col: str, text_col: str = "text",
-              max_features: int = NUM_FEATURES) -> TfidfModel:
+              max_features: int | None = NUM_FEATURES) -> TfidfModel:
     """Vocabulary = the ``max_features`` terms with the highest corpus count
-    (ties by term); smooth idf = ln((1 + n) / (1 + df)) + 1. The vocabulary
-    is bounded by ``max_features`` and is what later joins broadcast."""
+    (ties by term); smooth idf = ln((1 + n) / (1 + df)) + 1. With None every term
+    has a weight; the vocabulary then has no idx and is joined by a shuffle. The
+    model tells how many terms the limit leaves out."""
     tc = term_counts(docs, id_col, text_col)
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()   # scalar subquery
     per_term = tc.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+    idf = (F.ln((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf")
+    over = F.lit(0).cast("bigint") if max_features is None else F.greatest(F.count(F.lit(1)) - F.lit(max_features), F.lit(0))
+    dropped = per_term.agg(over.alias("dropped_terms"))
+    if max_features is None:
+        return TfidfModel(per_term.select("term", F.lit(None).cast("int").alias("idx"), idf), False, dropped)
     top = per_term.orderBy(F.desc("cf"), "term").limit(max_features)   # bounded top-k
-    vocab = top.select(
-        "term", (F.row_number().over(Window.orderBy(F.desc("cf"), "term")) - 1).alias("idx"),
-        (F.ln((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
-    return TfidfModel(vocab)
+    vocab = top.select("term", (F.row_number().over(Window.orderBy(F.desc("cf"), "term")) - 1).alias("idx"), idf)
+    return TfidfModel(vocab, True, dropped)
 
 
 def transform_tfidf(model: TfidfModel, docs: DataFrame, id_col: str, text_col: str = "text",
                     keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, keep..., term, idx, tf, weight) with weight = (1 + ln tf) * idf,
-    L2-normalised per document over vocabulary terms. The vocabulary side is
-    bounded by ``max_features`` and broadcast; the norm is a window per
-    document, which holds at most ``max_features`` rows."""
-    tc = term_counts(docs, id_col, text_col, keep).join(F.broadcast(model.vocab), "term")
+    L2-normalised per document over vocabulary terms. A bounded vocabulary is
+    broadcast; the norm is a window per document, over its distinct terms."""
+    vocab = F.broadcast(model.vocab) if model.bounded else model.vocab
+    tc = term_counts(docs, id_col, text_col, keep).join(vocab, "term")
     w = (F.lit(1.0) + F.ln(F.col("tf").cast("double"))) * F.col("idf")
     tc = tc.withColumn("_w", w)
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
     return tc.select(id_col, *keep, "term", "idx", "tf", (F.col("_w") / norm).alias("weight"))
 
 
-def to_vectors(long: DataFrame, docs: DataFrame, id_col: str, size: int) -> DataFrame:
-    """Sparse feature vectors from the long form (docs without vocabulary
-    terms get an empty vector). The per-document list holds at most ``size``
-    entries; a small Python helper builds the vector value."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    def mk(entries):
-        entries = entries or []
-        return SparseVector(size, [e[0] for e in entries], [e[1] for e in entries])
-    to_vec = F.udf(mk, VectorUDT())
+def write_vectors(long: DataFrame, docs: DataFrame, id_col: str, path: str) -> None:
+    """Training vectors (label and sorted idx:weight pairs) in LIBSVM text, built
+    by SQL functions; documents without a vocabulary term are empty vectors. Spark
+    reads that format into ML vectors in the JVM."""
     per = long.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("_e"))
-    return docs.join(per, id_col, "left").withColumn("features", to_vec(F.col("_e"))).drop("_e")
-
-
-def fit_interpretable(train_vectors: DataFrame, c: float = INTERP_C, max_iter: int = INTERP_MAX_ITER):
-    """L2 logistic regression with the objective of C-regularised LR:
-    regParam = 1 / (C * n), no standardisation."""
-    n = train_vectors.count()
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
-                            regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False)
-    return lr.fit(train_vectors)
+    pairs = F.transform(F.coalesce("_e", F.array().cast("array<struct<idx:int,weight:double>>")),
+                        lambda x: F.concat((x["idx"] + 1).cast("string"), F.lit(":"), x["weight"].cast("string")))
+    (docs.select(id_col, "label").join(per, id_col, "left")
+     .select(F.concat_ws(" ", F.col("label").cast("string"), F.concat_ws(" ", pairs)).alias("value"))
+     .write.mode("overwrite").text(path))
+
+
+def fit_interpretable(spark, path: str, size: int, c: float = INTERP_C, max_iter: int = INTERP_MAX_ITER):
+    """L2 logistic regression with the objective of C-regularised LR on the
+    vectors written to ``path``: regParam = 1 / (C * n), no standardisation."""
+    rows = spark.read.format("libsvm").option("numFeatures", size).load(path).persist()
+    try:
+        n = rows.count()
+        lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
+                                regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False)
+        return lr.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def coefficient_table(spark, lr_model, vocab: DataFrame) -> DataFrame:

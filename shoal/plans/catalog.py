@@ -1,30 +1,32 @@
 """Registered queries: ``name -> f(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver's tables through the review adapter (or the
-documents/labels tables) and runs over whole tables."""
+documents/labels tables) and runs over whole tables. Reviews are labelled, sampled
+and counted on narrow rows that carry the number of their text; texts are joined to
+what is left, once."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoal.functions.numeric import ratio, round_half
 from shoal.operators import evaluate as ev
+from shoal.operators import explain as ex
 from shoal.operators import profile as pr
+from shoal.operators import text_model as tm
+from shoal.operators.label import missing_ids, organic, quarantined
 from shoal.operators.windows import classify_windows
 from shoal.plans.detect import Detection, detect
-from shoal.sources.adapter import review_adapter
+from shoal.sources.adapter import attach_text, labelled_documents, read_table, review_adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _det(spark: SparkSession, sf_dir: str, text: bool = False) -> Detection:
-    narrow = review_adapter(spark, sf_dir, with_text=False)
-    if not text:
-        return detect(narrow)
-    return detect(review_adapter(spark, sf_dir, with_text=True), stats_input=narrow)
+def _det(spark: SparkSession, sf_dir: str, text_id: bool = False) -> Detection:
+    return detect(review_adapter(spark, sf_dir, with_text=False, with_text_id=text_id))
 
 
 def window_stats(spark, sf_dir):
@@ -45,15 +47,35 @@ def flagged_windows(spark, sf_dir):
 
 
 def label_reviews(spark, sf_dir):
-    return _det(spark, sf_dir, text=True).labelled
+    return attach_text(_det(spark, sf_dir, text_id=True).labelled, spark, sf_dir)
 
 
 def organic_reviews(spark, sf_dir):
-    return _det(spark, sf_dir, text=True).organic
+    lab = _det(spark, sf_dir, text_id=True).labelled.where(F.col("label") == "organic")
+    return organic(attach_text(lab, spark, sf_dir))
 
 
 def quarantined_reviews(spark, sf_dir):
-    return _det(spark, sf_dir, text=True).quarantined
+    lab = _det(spark, sf_dir, text_id=True).labelled.where(F.col("label") == "quarantined")
+    return quarantined(attach_text(lab, spark, sf_dir))
+
+
+def _damaged_ids(spark, sf_dir):
+    """The review view with ids as a careless producer sends them: some NULL,
+    some given to a second review of another time and business."""
+    r = review_adapter(spark, sf_dir, with_text=False)
+    eid = F.col("review_id").cast("bigint")
+    rid = (F.when(eid % 211 == 5, F.lit(None)).when(eid % 59 == 7, (eid + 1).cast("string")).otherwise(F.col("review_id")))
+    return r.withColumn("review_id", rid)
+
+
+def label_damaged_ids(spark, sf_dir):
+    """Duplicate ids keep the row of the earliest window; NULL ids are rejects."""
+    return detect(_damaged_ids(spark, sf_dir)).labelled
+
+
+def damaged_id_rejects(spark, sf_dir):
+    return missing_ids(_damaged_ids(spark, sf_dir)).groupBy("status").agg(F.count(F.lit(1)).alias("rejects"))
 
 
 def label_summary(spark, sf_dir):
@@ -62,10 +84,9 @@ def label_summary(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("reviews")))
 
 
-def _oq(fn):
+def _l(fn):
     def q(spark, sf_dir):
-        d = _det(spark, sf_dir)
-        return fn(d.organic, d.quarantined)
+        return fn(_det(spark, sf_dir).labelled)
     q.__name__ = fn.__name__
     q.__doc__ = fn.__doc__
     return q
@@ -95,8 +116,9 @@ def throughput_stats(spark, sf_dir):
 
 
 def profile_by_cohort(spark, sf_dir):
-    d = _det(spark, sf_dir)
-    return pr.profile(d.organic, d.quarantined)
+    # the profile reads three columns of the labelled rows several times
+    rows = _det(spark, sf_dir).labelled.select("label", "event_time", "ingestion_time")
+    return pr.profile(rows.persist())
 
 
 def star_distribution(spark, sf_dir):
@@ -107,53 +129,27 @@ def most_reviewed(spark, sf_dir):
     return ev.most_reviewed(review_adapter(spark, sf_dir, with_text=False))
 
 
-def registry() -> dict[str, Query]:
-    return {**_core(), **_EXTRA}
-
-
-def _core() -> dict[str, Query]:
-    return {
-        "window_stats": window_stats,
-        "anomaly_rules": anomaly_rules,
-        "rule_counts": rule_counts,
-        "flagged_windows": flagged_windows,
-        "label_reviews": label_reviews,
-        "organic_reviews": organic_reviews,
-        "quarantined_reviews": quarantined_reviews,
-        "label_summary": label_summary,
-        "eval_precision": _q(ev.eval_precision),
-        "eval_recall": _oq(ev.eval_recall),
-        "eval_f1": _oq(ev.eval_f1),
-        "eval_sentiment_accuracy": _o(ev.eval_sentiment_accuracy),
-        "attack_timeline": _q(ev.attack_timeline),
-        "latency_mean": _q(ev.latency_mean),
-        "latency_approx": _q(ev.latency_approx),
-        "throughput_per_minute": _oq(ev.throughput_per_minute),
-        "confusion_matrix": _oq(ev.confusion_matrix),
-        "false_positive_rate": _oq(ev.false_positive_rate),
-        "detection_delay": _oq(ev.detection_delay),
-        "latency_stats": latency_stats,
-        "throughput_stats": throughput_stats,
-        "profile_by_cohort": profile_by_cohort,
-        "star_distribution": star_distribution,
-        "most_reviewed": most_reviewed,
-    }
-
-
 # --- ingest --------------------------------------------------------------
 # JSON lines made from the review view; some lines are damaged by id
 # arithmetic so every status occurs: truncated JSON, blank, unparseable date,
-# stars written as a double.
+# missing id; and fields of other types: stars and counts as doubles or text, a
+# count that is no number, a flag as text.
 def json_lines(spark, sf_dir):
     from shoal.sources.messages import review_wire
     r = review_adapter(spark, sf_dir, with_text=True)
     eid = F.col("review_id").cast("bigint")
-    r = r.withColumn("stars", F.when(eid % 2 == 0, F.col("stars").cast("double")).otherwise(F.col("stars")))
+    r = r.withColumn("stars", F.when(eid % 2 == 0, F.col("stars").cast("double").cast("string")).otherwise(F.col("stars").cast("string")))
+    r = r.withColumns({
+        "useful": F.when(eid % 71 == 11, F.lit("3.0")).when(eid % 71 == 12, F.lit("many")).when(eid % 3 == 0, (eid % 7).cast("string")),
+        "funny": F.when(eid % 73 == 13, F.lit("1")), "cool": F.when(eid % 5 == 1, F.lit("2.5")),
+        "is_injected": F.when((eid % 79 == 17) & F.col("is_injected"), F.lit("true")).otherwise(F.col("is_injected").cast("string")),
+        "review_id": F.when(eid % 67 == 19, F.lit(None)).otherwise(F.col("review_id"))})
     w = review_wire(r).withColumn("date", F.when(eid % 83 == 7, F.lit("not a date")).otherwise(F.col("date")))
-    # the view is one small Parquet row group: spread the text-wide rows over
-    # the cluster's cores before building and parsing JSON
-    w = w.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     js = F.to_json(F.struct(*w.columns))
+    # numbers and flags were made as text: take the quotes off those that JSON would not have
+    for c in ("stars", "useful", "cool", "is_injected"):
+        js = F.regexp_replace(js, rf'"{c}":"([0-9.]+|true|false)"', rf'"{c}":$1')
+    js = F.when(eid % 79 == 17, F.regexp_replace(js, r'"is_injected":true', r'"is_injected":"true"')).otherwise(js)
     line = (F.when(eid % 97 == 5, F.substring(js, F.lit(1), (F.length(js) / 2).cast("int")))
             .when(eid % 89 == 3, F.lit("   "))
             .otherwise(js))
@@ -171,9 +167,11 @@ def parse_reject_split(spark, sf_dir):
 
 
 def keyed_messages(spark, sf_dir):
-    from shoal.sources.messages import review_wire, to_keyed_messages
-    w = review_wire(review_adapter(spark, sf_dir, with_text=False))
-    return to_keyed_messages(w, ("review_id", "user_id", "business_id", "stars", "date", "is_injected"))
+    from shoal.sources.messages import WIRE_FIELDS, review_wire, to_keyed_messages
+    r = review_adapter(spark, sf_dir, with_text=True)
+    eid = F.col("review_id").cast("bigint")
+    r = r.withColumns({"useful": (eid % 7).cast("int"), "funny": F.when(eid % 2 == 0, F.lit(0)), "cool": F.lit(None).cast("int")})
+    return to_keyed_messages(review_wire(r), WIRE_FIELDS)
 
 
 # --- attack overlay ------------------------------------------------------
@@ -185,7 +183,6 @@ def _ranked_businesses(reviews, k):
     top = (reviews.where(F.col("business_id").isNotNull()).groupBy("business_id")
            .agg(F.count(F.lit(1)).alias("review_count"))
            .orderBy(F.desc("review_count"), "business_id").limit(k))
-    from pyspark.sql import Window
     return top.withColumn("rank", F.row_number().over(
         Window.orderBy(F.desc("review_count"), "business_id")) - 1)
 
@@ -205,10 +202,6 @@ def _attacks(reviews):
     return out
 
 
-def inject_attacks(spark, sf_dir):
-    return _attacks(review_adapter(spark, sf_dir, with_text=False))
-
-
 def attack_detection(spark, sf_dir):
     """Detection quality per attack scenario on the review view plus overlay."""
     r = review_adapter(spark, sf_dir, with_text=False)
@@ -221,151 +214,192 @@ def attack_detection(spark, sf_dir):
             .withColumn("recall", round_half(ratio(F.col("caught"), F.col("injected")), 4)))
 
 
-_EXTRA = {
-    "parse_reviews": parse_reviews_q,
-    "parse_reject_split": parse_reject_split,
-    "keyed_messages": keyed_messages,
-    "inject_attacks": inject_attacks,
-    "attack_detection": attack_detection,
-}
+# --- text model and explanations -----------------------------------------
+def _training_narrow(spark, sf_dir, *keep):
+    """(review_id, stars, text_id, keep..., label): the training rows without their
+    texts. Reviews whose document has no text are out, as in the text form."""
+    r = review_adapter(spark, sf_dir, with_text=False, with_text_id=True)
+    known = read_table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select(F.col("doc_id").alias("text_id"))
+    return tm.star_labels(r.select("review_id", "stars", "text_id", *keep)).join(known, "text_id", "left_semi")
 
 
-# --- text model and explanations -----------------------------------------
 def _training(spark, sf_dir):
-    from shoal.operators.text_model import training_rows
-    return training_rows(review_adapter(spark, sf_dir, with_text=True))
+    return attach_text(_training_narrow(spark, sf_dir), spark, sf_dir)
 
 
-def training_rows_q(spark, sf_dir):
-    return _training(spark, sf_dir)
+def training_rows(spark, sf_dir):
+    return _training(spark, sf_dir).select("review_id", "stars", "text", "label")
+
+
+def _ids(spark, sf_dir):
+    return _training_narrow(spark, sf_dir).select("review_id", "label")
 
 
 def balance_classes(spark, sf_dir):
-    from shoal.operators.text_model import balance
-    return balance(_training(spark, sf_dir).select("review_id", "label"), "review_id")
+    return tm.balance(_ids(spark, sf_dir), "review_id")
 
 
-def class_counts_q(spark, sf_dir):
-    from shoal.operators.text_model import class_counts
-    return class_counts(_training(spark, sf_dir).select("review_id", "label"), "review_id")
+def class_counts(spark, sf_dir):
+    return tm.class_counts(_ids(spark, sf_dir), "review_id")
 
 
 def train_test_split(spark, sf_dir):
-    from shoal.operators.text_model import split
-    return split(_training(spark, sf_dir).select("review_id", "label"), "review_id")
+    return tm.split(_ids(spark, sf_dir), "review_id")
 
 
-def stratified_split_q(spark, sf_dir):
-    from shoal.operators.text_model import stratified_split
-    return stratified_split(_training(spark, sf_dir).select("review_id", "label"), "review_id")
+def stratified_split(spark, sf_dir):
+    return tm.stratified_split(_ids(spark, sf_dir), "review_id")
 
 
 def classifier_metrics(spark, sf_dir):
     """Accuracy / weighted F1 of the view's sentiment column against star labels."""
-    from shoal.operators.text_model import classification_metrics, training_rows
-    tr = training_rows(review_adapter(spark, sf_dir, with_text=True), keep=("sentiment_label",))
-    m = classification_metrics(tr, "label", "sentiment_label")
+    m = tm.classification_metrics(_training_narrow(spark, sf_dir, "sentiment_label"), "label", "sentiment_label")
     return m.select("total", "correct", round_half(F.col("accuracy"), 6).alias("accuracy"),
                     round_half(F.col("weighted_f1"), 6).alias("weighted_f1"))
 
 
+def model_metrics(spark, sf_dir):
+    """The training job on review texts and stars: rows, balance, split, fit,
+    evaluate. Per class the rows of each part, and whether every metric is a share."""
+    t = tm.train(_training(spark, sf_dir))
+    ok = all(0.0 <= t.metrics[k] <= 1.0 for k in ("auc", "accuracy", "f1"))
+    return t.counts.withColumn("metrics_valid", F.lit(ok))
+
+
+def training_metrics(spark, sf_dir):
+    """AUC, accuracy and weighted F1 of the training job."""
+    return spark.createDataFrame(sorted(tm.train(_training(spark, sf_dir)).metrics.items()), "metric string, value double")
+
+
+def sentiment_scores(spark, sf_dir):
+    """Every review scored by the model of the training job. A text is scored once,
+    however many reviews carry it."""
+    model = tm.train(_training(spark, sf_dir)).model
+    texts = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    scored = tm.score(model, texts).select("text_id", "sentiment_label", "p_positive")
+    r = review_adapter(spark, sf_dir, with_text=False, with_text_id=True).select("review_id", "text_id")
+    return r.join(scored, "text_id", "left").select("review_id", "sentiment_label", "p_positive")
+
+
 def _corpus(spark, sf_dir):
-    from shoal.sources.adapter import labelled_documents
     return labelled_documents(spark, sf_dir).select("doc_id", "text", F.col("quality").alias("label"))
 
 
 def tfidf_weights(spark, sf_dir):
-    from shoal.operators.text_model import fit_tfidf, transform_tfidf
     docs = _corpus(spark, sf_dir)
-    m = fit_tfidf(docs, "doc_id")
-    t = transform_tfidf(m, docs, "doc_id")
+    t = tm.transform_tfidf(tm.fit_tfidf(docs, "doc_id"), docs, "doc_id")
     return t.select("doc_id", "term", "idx", "tf", round_half(F.col("weight"), 6).alias("weight"))
 
 
-def _explained(spark, sf_dir):
-    """Long contributions of quarantined reviews under the fixed log-ratio scorer
-    fitted on the labelled documents."""
-    from shoal.operators.explain import contributions
-    from shoal.operators.text_model import fit_tfidf, log_ratio_coefficients, transform_tfidf
+def vocabulary_dropped(spark, sf_dir):
+    """Terms that the vocabulary limit leaves without a weight."""
+    return tm.fit_tfidf(_corpus(spark, sf_dir), "doc_id").dropped
+
+
+def _flagged_ids(spark, sf_dir):
+    """Quarantined reviews with the number of their text."""
+    lab = _det(spark, sf_dir, text_id=True).labelled
+    return lab.where(F.col("label") == "quarantined").select("review_id", "business_id", "user_id", "stars", "text_id")
+
+
+def _text_contributions(spark, sf_dir, coefs=None):
+    """Long contributions of every text (text_id, term, contribution), by default
+    under the fixed log-ratio scorer of the labelled documents."""
     docs = _corpus(spark, sf_dir)
-    m = fit_tfidf(docs, "doc_id")
-    coefs = log_ratio_coefficients(transform_tfidf(m, docs, "doc_id"), docs, "doc_id")
-    q = _det(spark, sf_dir, text=True).quarantined
-    long = transform_tfidf(m, q, "review_id", keep=("business_id",))
-    return q, contributions(long, coefs)
+    long = tm.transform_tfidf(tm.fit_tfidf(docs, "doc_id"), docs, "doc_id")
+    coefs = coefs if coefs is not None else tm.log_ratio_coefficients(long, docs, "doc_id")
+    return ex.contributions(long, coefs).withColumnRenamed("doc_id", "text_id").select("text_id", "term", "contribution")
+
+
+def contributions(spark, sf_dir):
+    return ex.review_scores(_text_contributions(spark, sf_dir), _flagged_ids(spark, sf_dir), keep=("business_id",))
+
+
+def top_attack_signals(spark, sf_dir):
+    return ex.top_attack_signals(_text_contributions(spark, sf_dir), _flagged_ids(spark, sf_dir))
+
 
+def _previews(spark, sf_dir):
+    return ex.previews(read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text"))
 
-def contributions_q(spark, sf_dir):
-    from shoal.operators.explain import review_scores
-    _, c = _explained(spark, sf_dir)
-    return review_scores(c, keep=("business_id",))
 
+def review_top_features(spark, sf_dir):
+    top = ex.text_top_features(_text_contributions(spark, sf_dir))
+    return ex.review_top_features(top, _flagged_ids(spark, sf_dir), _previews(spark, sf_dir))
 
-def top_attack_signals_q(spark, sf_dir):
-    from shoal.operators.explain import top_attack_signals
-    q, c = _explained(spark, sf_dir)
-    return top_attack_signals(c, q)
 
+def review_explanations(spark, sf_dir):
+    """One row per review; the list of features as text."""
+    top = ex.text_top_features(_text_contributions(spark, sf_dir))
+    e = ex.review_explanations(top, _flagged_ids(spark, sf_dir), _previews(spark, sf_dir))
+    return e.select("review_id", "business_id", "stars", "text_preview", F.size("top_features").alias("n_features"),
+                    F.array_join(F.transform("top_features", lambda x: x["feature"]), " ").alias("features"))
 
-def review_top_features_q(spark, sf_dir):
-    from shoal.operators.explain import review_top_features
-    q, c = _explained(spark, sf_dir)
-    return review_top_features(c, reviews=q)
 
+def _patterns(spark, sf_dir):
+    lengths = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), F.length("text").alias("text_length"))
+    return ex.behaviour_patterns(_flagged_ids(spark, sf_dir).join(lengths, "text_id", "left"))
 
-def behaviour_patterns_q(spark, sf_dir):
-    from shoal.operators.explain import behaviour_patterns
-    return behaviour_patterns(_det(spark, sf_dir, text=True).quarantined)
 
+def behaviour_patterns(spark, sf_dir):
+    return _patterns(spark, sf_dir)
 
-def report_index_q(spark, sf_dir):
-    from shoal.operators.explain import report_index
-    return report_index(_det(spark, sf_dir).quarantined)
+
+def report_index(spark, sf_dir):
+    return ex.report_index(_det(spark, sf_dir).quarantined)
 
 
 def xai_reports(spark, sf_dir):
-    """Business reports (bounded rows): top signals + behaviour patterns."""
-    from shoal.operators.explain import behaviour_patterns, build_reports, top_attack_signals
-    q, c = _explained(spark, sf_dir)
-    return build_reports(top_attack_signals(c, q), behaviour_patterns(q)).drop("alert_timestamp")
+    """Business reports, their signals and patterns flattened."""
+    r = ex.build_reports(top_attack_signals(spark, sf_dir), _patterns(spark, sf_dir))
+    return r.select("business_id", "num_flagged_reviews", F.col("aggregate_patterns.unique_users").alias("unique_users"),
+                    F.col("aggregate_patterns.avg_text_length").alias("avg_text_length"),
+                    F.array_join(F.transform("top_attack_signals", lambda x: x["feature"]), " ").alias("signals"))
 
 
-def sentiment_scores(spark, sf_dir):
-    """Hashed TF-IDF + LR trained on the labelled documents' train split,
-    scoring the test split (model output: rows-only check)."""
-    from shoal.operators.text_model import hashed_model, score, split
-    docs = split(_corpus(spark, sf_dir).withColumn("label", F.col("label").cast("double")), "doc_id")
-    model = hashed_model().fit(docs.where(F.col("split") == "train"))
-    return score(model, docs.where(F.col("split") == "test")).select(
-        "doc_id", "label", "sentiment_label", "p_positive")
+def _interpretable(spark, sf_dir):
+    """(term, coef) of the interpretable model, fitted on the labelled documents' train part."""
+    docs = tm.split(_corpus(spark, sf_dir).where(F.col("label").isNotNull())
+                    .withColumn("label", F.col("label").cast("double")), "doc_id")
+    train = docs.where(F.col("split") == "train")
+    m = tm.fit_tfidf(train, "doc_id")
+    path = _scratch(spark)
+    tm.write_vectors(tm.transform_tfidf(m, train, "doc_id"), train, "doc_id", path)
+    return tm.coefficient_table(spark, tm.fit_interpretable(spark, path, tm.NUM_FEATURES), m.vocab)
+
+
+def _scratch(spark) -> str:
+    """A path in the shared folder that the cluster names; a local one only
+    where it names none (tests)."""
+    import tempfile
+    import uuid
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="shoal-")
+    return f"{base}/vectors-{uuid.uuid4().hex}"
 
 
 def interpretable_model(spark, sf_dir):
-    """Interpretable TF-IDF LR on the labelled documents: (term, coef)."""
-    from shoal.operators.text_model import (coefficient_table, fit_interpretable, fit_tfidf, split,
-                                            to_vectors, transform_tfidf)
-    docs = split(_corpus(spark, sf_dir).withColumn("label", F.col("label").cast("double")), "doc_id")
-    train = docs.where(F.col("split") == "train")
-    m = fit_tfidf(train, "doc_id")
-    vec = to_vectors(transform_tfidf(m, train, "doc_id"), train, "doc_id", 20000)
-    lr = fit_interpretable(vec)
-    return coefficient_table(spark, lr, m.vocab)
-
-
-_EXTRA.update({
-    "training_rows": training_rows_q,
-    "balance_classes": balance_classes,
-    "class_counts": class_counts_q,
-    "train_test_split": train_test_split,
-    "stratified_split": stratified_split_q,
-    "classifier_metrics": classifier_metrics,
-    "tfidf_weights": tfidf_weights,
-    "contributions": contributions_q,
-    "top_attack_signals": top_attack_signals_q,
-    "review_top_features": review_top_features_q,
-    "behaviour_patterns": behaviour_patterns_q,
-    "report_index": report_index_q,
-    "xai_reports": xai_reports,
-    "sentiment_scores": sentiment_scores,
-    "interpretable_model": interpretable_model,
-})
+    return _interpretable(spark, sf_dir)
+
+
+def model_explanations(spark, sf_dir):
+    """Scores of the flagged reviews under the interpretable model's coefficients."""
+    c = _text_contributions(spark, sf_dir, _interpretable(spark, sf_dir))
+    return ex.review_scores(c, _flagged_ids(spark, sf_dir), keep=("business_id",))
+
+
+def registry() -> dict[str, Query]:
+    named = (
+        window_stats, anomaly_rules, rule_counts, flagged_windows, label_reviews, organic_reviews, quarantined_reviews, label_summary,
+        label_damaged_ids, damaged_id_rejects, latency_stats, throughput_stats, profile_by_cohort, star_distribution, most_reviewed,
+        parse_reject_split, keyed_messages, attack_detection, training_rows, balance_classes, class_counts, train_test_split,
+        stratified_split, classifier_metrics, model_metrics, training_metrics, sentiment_scores, tfidf_weights, vocabulary_dropped,
+        contributions, top_attack_signals, review_top_features, review_explanations, behaviour_patterns, report_index, xai_reports,
+        interpretable_model, model_explanations)
+    return {f.__name__: f for f in named} | {
+        "parse_reviews": parse_reviews_q,
+        "eval_precision": _q(ev.eval_precision), "eval_recall": _l(ev.eval_recall), "eval_f1": _l(ev.eval_f1),
+        "eval_sentiment_accuracy": _o(ev.eval_sentiment_accuracy), "attack_timeline": _q(ev.attack_timeline),
+        "latency_mean": _q(ev.latency_mean), "latency_approx": _q(ev.latency_approx),
+        "throughput_per_minute": _l(ev.throughput_per_minute), "confusion_matrix": _l(ev.confusion_matrix),
+        "false_positive_rate": _l(ev.false_positive_rate), "detection_delay": _l(ev.detection_delay),
+    }

@@ -26,12 +26,12 @@ REVIEWS = """reviews AS (
          CASE WHEN (e.user_id % 4 = 0 AND e.event_id % 10 < 9)
                 OR (e.user_id % 4 = 2 AND e.event_id % 50 = 0) THEN true END AS is_injected,
          cast(CASE WHEN e.value < 30 THEN 0 ELSE 1 END AS double) AS sentiment_label
-  FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id % 200)"""
+  FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents))"""
 
 STATS = """wexp AS (
   SELECT business_id, stars, date_trunc('minute', event_time) - to_minutes(cast(i AS integer)) AS window_start
   FROM reviews, range(10) t(i)
-  WHERE business_id IS NOT NULL AND event_time IS NOT NULL),
+  WHERE business_id IS NOT NULL AND event_time IS NOT NULL AND review_id IS NOT NULL),
 wagg AS (
   SELECT business_id, window_start, window_start + INTERVAL 10 MINUTE AS window_end,
          count(*) AS review_count, cast(count(stars) AS double) AS n,
@@ -62,7 +62,8 @@ LABELLED = """labelled AS (
   FROM reviews r LEFT JOIN flagged f
     ON r.business_id = f.business_id AND r.event_time >= f.window_start
    AND r.event_time <= f.window_end + INTERVAL 2 MINUTE
-  QUALIFY row_number() OVER (PARTITION BY r.review_id ORDER BY f.window_start NULLS LAST) = 1),
+  WHERE r.review_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY r.review_id ORDER BY f.window_start NULLS LAST, r.event_time NULLS LAST, r.business_id) = 1),
 organic AS (SELECT {o} FROM labelled WHERE label = 'organic'),
 quarantined AS (SELECT {q} FROM labelled WHERE label = 'quarantined')""".format(
     o=", ".join(ORGANIC_COLUMNS), q=", ".join(QUARANTINED_COLUMNS))
@@ -85,28 +86,40 @@ def detect_sql(body: str) -> str:
 LAT_US = "(epoch_us(ingestion_time) - epoch_us(event_time))"
 
 
-def _latency_block(src: str, key: str) -> str:
+def _latency_sql(src: str, cohorts: tuple[str, ...]) -> str:
+    """Latency block of each cohort of ``src`` (cohort, event_time, ingestion_time)."""
     us = "1000000.0"
     pct = ", ".join(f"{R(f'quantile_cont(lat_us, {p}) / {us}', 3)} AS {n}_seconds"
                     for n, p in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99)))
-    return f"""SELECT {key}, count(*) AS count,
+    listed = ", ".join(f"('{c}')" for c in cohorts)
+    return f"""SELECT k.cohort, coalesce(v.count, 0) AS count, mean_seconds, median_seconds, std_seconds, min_seconds, max_seconds,
+         p50_seconds, p90_seconds, p95_seconds, p99_seconds, coalesce(a.n, 0) - coalesce(v.count, 0) AS excluded,
+         CASE WHEN v.count IS NULL THEN 'No valid latency measurements' END AS error
+  FROM (VALUES {listed}) k(cohort)
+  LEFT JOIN (SELECT cohort, count(*) AS n FROM {src} GROUP BY cohort) a USING (cohort)
+  LEFT JOIN (SELECT cohort, count(*) AS count,
          {R(f'{ratio("sum(lat_us)", "count(*)")} / {us}', 3)} AS mean_seconds,
          {R(f'quantile_cont(lat_us, 0.5) / {us}', 3)} AS median_seconds,
          {R(f'stddev_pop(cast(lat_us AS double)) / {us}', 3)} AS std_seconds,
          {R(f'min(lat_us) / {us}', 3)} AS min_seconds,
          {R(f'max(lat_us) / {us}', 3)} AS max_seconds, {pct}
-  FROM (SELECT {key}, {LAT_US} AS lat_us FROM {src}
-        WHERE event_time IS NOT NULL AND ingestion_time IS NOT NULL)
-  WHERE lat_us >= 0 AND lat_us < 3600000000 GROUP BY {key}"""
-
-
-def _throughput_block(src: str, key: str) -> str:
-    return f"""SELECT {key}, sum(c) AS total_reviews, count(*) FILTER (WHERE m IS NOT NULL) AS duration_minutes,
+    FROM (SELECT cohort, {LAT_US} AS lat_us FROM {src}
+          WHERE event_time IS NOT NULL AND ingestion_time IS NOT NULL)
+    WHERE lat_us >= 0 AND lat_us < 3600000000 GROUP BY cohort) v USING (cohort)"""
+
+
+def _throughput_sql(src: str, cohorts: tuple[str, ...]) -> str:
+    listed = ", ".join(f"('{c}')" for c in cohorts)
+    return f"""SELECT k.cohort, coalesce(total_reviews, 0) AS total_reviews, coalesce(duration_minutes, 0) AS duration_minutes,
+         avg_reviews_per_minute, max_reviews_per_minute, min_reviews_per_minute,
+         CASE WHEN coalesce(duration_minutes, 0) = 0 THEN 'No timed reviews' END AS throughput_error
+  FROM (VALUES {listed}) k(cohort)
+  LEFT JOIN (SELECT cohort, sum(c) AS total_reviews, count(*) FILTER (WHERE m IS NOT NULL) AS duration_minutes,
          {R(ratio('sum(c) FILTER (WHERE m IS NOT NULL)', 'count(*) FILTER (WHERE m IS NOT NULL)'), 1)} AS avg_reviews_per_minute,
          max(c) FILTER (WHERE m IS NOT NULL) AS max_reviews_per_minute,
          min(c) FILTER (WHERE m IS NOT NULL) AS min_reviews_per_minute
-  FROM (SELECT {key}, date_trunc('minute', ingestion_time) AS m, count(*) AS c FROM {src} GROUP BY ALL)
-  GROUP BY {key}"""
+    FROM (SELECT cohort, date_trunc('minute', ingestion_time) AS m, count(*) AS c FROM {src} GROUP BY ALL)
+    GROUP BY cohort) USING (cohort)"""
 
 
 BOTH = """both_t AS (
@@ -115,7 +128,7 @@ BOTH = """both_t AS (
   SELECT 'quarantined' AS predicted, is_injected, ingestion_time, event_time FROM quarantined)"""
 
 
-def oracles() -> dict[str, str]:
+def _detection_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     q["window_stats"] = detect_sql(
         "SELECT business_id, window_start, window_end, review_count, avg_stars, std_stars, neg_count FROM stats")
@@ -177,18 +190,25 @@ def oracles() -> dict[str, str]:
         FROM (SELECT business_id, event_time, is_injected, CAST(NULL AS timestamp) AS window_end FROM organic
               UNION ALL SELECT business_id, event_time, is_injected, window_end FROM quarantined)
         WHERE {INJ} GROUP BY business_id) ORDER BY business_id""")
-    q["latency_stats"] = detect_sql(
-        "SELECT * EXCLUDE (k), CAST(NULL AS varchar) AS error FROM ("
-        + _latency_block("(SELECT event_time, ingestion_time, 1 AS k FROM labelled)", "k") + ")")
-    q["throughput_stats"] = detect_sql(
-        "SELECT * EXCLUDE (k) FROM (" + _throughput_block(
-            "(SELECT ingestion_time, 1 AS k FROM labelled)", "k") + ")")
+    every = "(SELECT 'all' AS cohort, event_time, ingestion_time FROM labelled)"
+    q["latency_stats"] = detect_sql(f"SELECT * EXCLUDE (cohort) FROM ({_latency_sql(every, ('all',))})")
+    q["throughput_stats"] = detect_sql(f"SELECT * EXCLUDE (cohort) FROM ({_throughput_sql(every, ('all',))})")
     cohorts = ("(SELECT 'organic' AS cohort, event_time, ingestion_time FROM organic"
                " UNION ALL SELECT 'quarantined', event_time, ingestion_time FROM quarantined"
                " UNION ALL SELECT 'combined', event_time, ingestion_time FROM labelled)")
-    q["profile_by_cohort"] = detect_sql(
-        f"SELECT * FROM ({_throughput_block(cohorts, 'cohort')}) t"
-        f" LEFT JOIN ({_latency_block(cohorts, 'cohort')}) l USING (cohort) ORDER BY cohort")
+    names = ("organic", "quarantined", "combined")
+    q["profile_by_cohort"] = detect_sql(f"SELECT * FROM ({_throughput_sql(cohorts, names)}) t"
+                                        f" JOIN ({_latency_sql(cohorts, names)}) l USING (cohort) ORDER BY cohort")
+    q["latency_approx"] = detect_sql(f"""SELECT unnest([0.5, 0.95, 0.99])::DOUBLE AS percentile,
+         {R(ratio(f'sum({LAT_US})', f'count({LAT_US})') + ' / 1000000.0', 2)} AS avg_latency_seconds, true AS rank_within_bound
+  FROM quarantined""")
+    base = REVIEWS.replace("reviews AS (", "base AS (", 1)
+    damaged = """reviews AS (
+  SELECT * REPLACE (CASE WHEN cast(review_id AS bigint) % 211 = 5 THEN NULL
+                         WHEN cast(review_id AS bigint) % 59 = 7 THEN cast(cast(review_id AS bigint) + 1 AS varchar)
+                         ELSE review_id END AS review_id) FROM base)"""
+    q["label_damaged_ids"] = with_(base, damaged, STATS, LABELLED, body="SELECT * EXCLUDE (text) FROM labelled")
+    q["damaged_id_rejects"] = with_(base, damaged, body="SELECT 'missing_review_id' AS status, count(*) AS rejects FROM reviews WHERE review_id IS NULL")
     q["star_distribution"] = with_(REVIEWS, body="SELECT stars, count(*) AS n FROM reviews GROUP BY stars ORDER BY stars")
     q["most_reviewed"] = with_(REVIEWS, body="""SELECT business_id, count(*) AS review_count FROM reviews
   WHERE business_id IS NOT NULL GROUP BY business_id ORDER BY review_count DESC, business_id LIMIT 1""")
@@ -201,33 +221,34 @@ _EID = "cast(review_id AS bigint)"
 
 def _ingest_oracles() -> dict[str, str]:
     q = {}
+    e = _EID
     q["parse_reviews"] = with_(REVIEWS, body=f"""SELECT review_id, user_id, business_id, stars, text,
-         CAST(NULL AS integer) AS useful, CAST(NULL AS integer) AS funny, CAST(NULL AS integer) AS cool,
+         cast(CASE WHEN {e} % 71 = 11 THEN 3 WHEN {e} % 71 = 12 THEN NULL WHEN {e} % 3 = 0 THEN {e} % 7 END AS integer) AS useful,
+         CASE WHEN {e} % 73 = 13 THEN 1 END AS funny, CAST(NULL AS integer) AS cool,
          date_trunc('second', event_time) AS event_time, is_injected
   FROM reviews
-  WHERE {_EID} % 97 <> 5 AND {_EID} % 89 <> 3 AND {_EID} % 83 <> 7
+  WHERE {e} % 97 <> 5 AND {e} % 89 <> 3 AND {e} % 83 <> 7 AND {e} % 67 <> 19
     AND business_id IS NOT NULL AND review_id IS NOT NULL""")
     q["parse_reject_split"] = with_(REVIEWS, body=f"""SELECT status, count(*) AS lines FROM (
-    SELECT CASE WHEN {_EID} % 97 = 5 THEN 'malformed' WHEN {_EID} % 89 = 3 THEN 'blank'
-                WHEN {_EID} % 83 = 7 THEN 'bad_date' ELSE 'valid' END AS status FROM reviews)
+    SELECT CASE WHEN {e} % 97 = 5 THEN 'malformed' WHEN {e} % 89 = 3 THEN 'blank'
+                WHEN {e} % 67 = 19 THEN 'missing_review_id'
+                WHEN {e} % 83 = 7 THEN 'bad_date' ELSE 'valid' END AS status FROM reviews)
   GROUP BY status""")
-    q["keyed_messages"] = with_(REVIEWS, body="""SELECT business_id AS key,
-         '{"review_id":"' || review_id || '","user_id":"' || user_id || '","business_id":"' || business_id || '"'
+    q["keyed_messages"] = with_(REVIEWS, body=f"""SELECT business_id AS key,
+         '{{"review_id":"' || review_id || '","user_id":"' || user_id || '","business_id":"' || business_id || '"'
          || coalesce(',"stars":' || cast(stars AS varchar), '')
+         || coalesce(',"text":' || cast(to_json(text) AS varchar), '')
          || ',"date":"' || strftime(event_time, '%Y-%m-%d %H:%M:%S') || '"'
+         || ',"useful":' || cast({e} % 7 AS varchar) || CASE WHEN {e} % 2 = 0 THEN ',"funny":0' ELSE '' END
          || CASE WHEN is_injected THEN ',"is_injected":true' WHEN NOT is_injected THEN ',"is_injected":false' ELSE '' END
-         || '}' AS value
+         || '}}' AS value
   FROM reviews""")
     return q
 
 
 # --- attack overlay ----------------------------------------------------------
-def _sql_list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-
-
 def _attacks_sql(src: str) -> str:
-    from shoal.operators.overlay import ATTACK_TEMPLATES, FOODS, OBJECTS, SCENARIOS
+    from shoal.operators.overlay import SCENARIOS
     from shoal.plans.catalog import ATTACK_DELAY_MINUTES, ATTACK_PLAN
     plan = ", ".join(f"('{n}', {f}, {k}, {SCENARIOS[n][0]}, {SCENARIOS[n][1]})" for n, f, k in ATTACK_PLAN)
     need = max(f + k for _, f, k in ATTACK_PLAN)
@@ -235,13 +256,6 @@ def _attacks_sql(src: str) -> str:
     def h(salt):
         return f"('0x' || substr(md5(seed || '{salt}'), 1, 8))::BIGINT"
 
-    def pick(values, salt):
-        return f"list_element({_sql_list(values)}, cast({h(salt)} % {len(values)} + 1 AS integer))"
-    text = pick(ATTACK_TEMPLATES, "t")
-    text = f"replace({text}, '{{object}}', {pick(OBJECTS, 'o')})"
-    text = f"replace({text}, '{{food2}}', {pick(FOODS, 'g')})"
-    text = f"replace({text}, '{{food}}', {pick(FOODS, 'f')})"
-    text = f"replace({text}, '{{minutes}}', cast(30 + {h('m')} % 61 AS varchar))"
     return f"""ranked AS (
   SELECT business_id, row_number() OVER (ORDER BY review_count DESC, business_id) - 1 AS rnk
   FROM (SELECT business_id, count(*) AS review_count FROM {src} WHERE business_id IS NOT NULL
@@ -256,7 +270,6 @@ atk AS (
   SELECT 'inj-' || scenario || '-' || substr(md5(seed), 1, 16) AS review_id,
          'atk-' || substr(md5(seed || 'u'), 1, 20) AS user_id, business_id,
          CASE WHEN {h('s')} % 33 = 0 THEN 2 ELSE 1 END AS stars,
-         {text} AS text,
          make_timestamp(epoch_us((SELECT min(event_time) FROM {src}) + INTERVAL {ATTACK_DELAY_MINUTES} MINUTE)
                         + target_order * dur * 1000000 + i * (dur * 1000000 // burst)) AS event_time,
          true AS is_injected, CAST(NULL AS double) AS sentiment_label
@@ -265,8 +278,6 @@ atk AS (
 
 def _attack_oracles() -> dict[str, str]:
     q = {}
-    q["inject_attacks"] = with_(REVIEWS, _attacks_sql("reviews"), body="""SELECT review_id, user_id, business_id,
-         stars, text, event_time, event_time AS ingestion_time, is_injected, sentiment_label FROM atk""")
     base = REVIEWS.replace("reviews AS (", "base AS (", 1)
     allr = """reviews AS (
   SELECT review_id, user_id, business_id, stars, event_time, ingestion_time, is_injected, sentiment_label FROM base
@@ -281,13 +292,6 @@ def _attack_oracles() -> dict[str, str]:
     return q
 
 
-_base_oracles = oracles
-
-
-def oracles() -> dict[str, str]:  # noqa: F811
-    return {**_base_oracles(), **_ingest_oracles(), **_attack_oracles()}
-
-
 # --- text model and explanations -------------------------------------------
 def _stop_list() -> str:
     from shoal.functions.text import english_stop_words
@@ -310,7 +314,7 @@ def _uh(salt: str, digits: int = 8) -> str:
 
 def _corpus_ctes() -> list[str]:
     return [
-        "docs AS (SELECT d.doc_id, d.text, l.quality AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id)",
+        "docs AS (SELECT d.doc_id, d.text, l.quality AS label FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)",
         f"toks AS (SELECT doc_id, {_tok('text')} AS term FROM docs)",
         f"tc AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term NOT IN {_stop_list()} GROUP BY doc_id, term)",
         "per_term AS (SELECT term, sum(tf) AS cf, count(*) AS df FROM tc GROUP BY term)",
@@ -327,12 +331,19 @@ def _corpus_ctes() -> list[str]:
 def _explain_ctes() -> list[str]:
     return _corpus_ctes() + [
         "qdocs AS (SELECT review_id, business_id, stars, substring(text, 1, 100) AS text_preview, text FROM quarantined)",
-        f"qtoks AS (SELECT review_id, business_id, stars, text_preview, {_tok('text')} AS term FROM qdocs)",
-        f"""qtc AS (SELECT review_id, business_id, stars, text_preview, term, count(*) AS tf FROM qtoks
-  WHERE term NOT IN {_stop_list()} GROUP BY ALL)""",
-        "qtw AS (SELECT q.*, v.idx, (1.0 + ln(cast(q.tf AS double))) * v.idf AS w FROM qtc q JOIN vocab v USING (term))",
+        f"qtoks AS (SELECT review_id, {_tok('text')} AS term FROM qdocs)",
+        f"qtc AS (SELECT review_id, term, count(*) AS tf FROM qtoks WHERE term NOT IN {_stop_list()} GROUP BY ALL)",
+        "qtw AS (SELECT q.*, (1.0 + ln(cast(q.tf AS double))) * v.idf AS w FROM qtc q JOIN vocab v USING (term))",
         "qlong AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY review_id)) AS weight FROM qtw)",
-        "contrib AS (SELECT l.*, c.coef, c.coef * l.weight AS contribution FROM qlong l JOIN coefs c USING (term))",
+        """contrib AS (SELECT l.review_id, d.business_id, l.term, c.coef * l.weight AS contribution
+  FROM qlong l JOIN coefs c USING (term) JOIN qdocs d USING (review_id))""",
+        """feats AS (SELECT review_id, term AS feature, contribution,
+         row_number() OVER (PARTITION BY review_id ORDER BY abs(contribution) DESC, term) AS rank FROM contrib QUALIFY rank <= 5)""",
+        """imp AS (SELECT business_id, term, sum(abs(contribution)) / n AS imp
+  FROM contrib JOIN (SELECT business_id, count(*) AS n FROM quarantined GROUP BY business_id) USING (business_id)
+  GROUP BY business_id, term, n)""",
+        """signals AS (SELECT business_id, term, imp, row_number() OVER (PARTITION BY business_id ORDER BY imp DESC, term) AS rank
+  FROM imp QUALIFY rank <= 15)""",
     ]
 
 
@@ -364,18 +375,20 @@ def _text_oracles() -> dict[str, str]:
   FROM per""")
     q["tfidf_weights"] = with_(*_corpus_ctes(), body=f"SELECT doc_id, term, idx, tf, {R('weight', 6)} AS weight FROM tfidf")
     ex = [REVIEWS, STATS, LABELLED] + _explain_ctes()
-    q["contributions"] = with_(*ex, body=f"""SELECT review_id, business_id, count(*) AS n_terms,
-         {R('sum(contribution)', 6)} AS score FROM contrib GROUP BY review_id, business_id""")
-    q["top_attack_signals"] = with_(*ex, """nq AS (SELECT business_id, count(*) AS n FROM quarantined GROUP BY business_id)""",
-                                    """imp AS (SELECT business_id, term, sum(abs(contribution)) / n AS imp
-  FROM contrib JOIN nq USING (business_id) GROUP BY business_id, term, n)""",
-                                    body=f"""SELECT business_id, rank, feature, importance FROM (
-  SELECT business_id, row_number() OVER (PARTITION BY business_id ORDER BY imp DESC, term) AS rank,
-         term AS feature, {R('imp', 4)} AS importance FROM imp) WHERE rank <= 15""")
-    q["review_top_features"] = with_(*ex, body=f"""SELECT review_id, business_id, stars, text_preview, rank, feature, shap_value FROM (
-  SELECT review_id, business_id, stars, text_preview, term AS feature, {R('contribution', 4)} AS shap_value,
-         row_number() OVER (PARTITION BY review_id ORDER BY abs(contribution) DESC, term) AS rank FROM contrib)
-  WHERE rank <= 5""")
+    q["vocabulary_dropped"] = with_(*_corpus_ctes(), body="SELECT greatest(count(*) - 20000, 0) AS dropped_terms FROM per_term")
+    q["contributions"] = with_(*ex, body=f"""SELECT q.review_id, q.business_id, count(c.term) AS n_terms,
+         {R('coalesce(sum(contribution), 0.0)', 6)} AS score FROM qdocs q LEFT JOIN contrib c USING (review_id)
+  GROUP BY q.review_id, q.business_id""")
+    q["top_attack_signals"] = with_(*ex, body=f"SELECT business_id, rank, term AS feature, {R('imp', 4)} AS importance FROM signals")
+    q["review_top_features"] = with_(*ex, body=f"""SELECT review_id, business_id, stars, text_preview, coalesce(rank, 0) AS rank,
+         feature, {R('contribution', 4)} AS shap_value FROM qdocs LEFT JOIN feats USING (review_id)""")
+    q["review_explanations"] = with_(*ex, body="""SELECT review_id, business_id, stars, text_preview, count(feature) AS n_features,
+         coalesce(string_agg(feature, ' ' ORDER BY rank), '') AS features
+  FROM qdocs LEFT JOIN feats USING (review_id) GROUP BY ALL""")
+    q["model_metrics"] = with_(REVIEWS, TRAIN, frac, body=f"""SELECT label,
+         count(*) FILTER (WHERE {_uh('s')} / 4294967296.0 < 0.8) AS train,
+         count(*) FILTER (WHERE NOT {_uh('s')} / 4294967296.0 < 0.8) AS test, true AS metrics_valid
+  FROM tr JOIN frac USING (label) WHERE {_uh('b')} / 4294967296.0 < fraction GROUP BY label""")
     n, s, ss = "cast(count(stars) AS double)", "cast(sum(stars) AS double)", "cast(sum(stars * stars) AS double)"
     L = "length(coalesce(text, ''))"
     ln_, ls, lq = "cast(count(*) AS double)", f"cast(sum({L}) AS double)", f"cast(sum({L} * {L}) AS double)"
@@ -387,13 +400,14 @@ def _text_oracles() -> dict[str, str]:
          {R(f'{ls} / nullif({ln_}, 0)', 1)} AS avg_text_length,
          {R(f'sqrt(({ln_} * {lq} - {ls} * {ls}) / nullif({ln_} * {ln_}, 0))', 1)} AS std_text_length
   FROM quarantined GROUP BY business_id""")
+    q["xai_reports"] = with_(*ex, body=f"""SELECT business_id, num_flagged_reviews, unique_users, avg_text_length, signals
+  FROM (SELECT business_id, count(*) AS num_flagged_reviews, count(DISTINCT coalesce(user_id, '')) AS unique_users,
+               {R(f'{ls} / nullif({ln_}, 0)', 1)} AS avg_text_length FROM quarantined GROUP BY business_id)
+  LEFT JOIN (SELECT business_id, string_agg(term, ' ' ORDER BY rank) AS signals FROM signals GROUP BY business_id) USING (business_id)""")
     q["report_index"] = detect_sql("""SELECT count(DISTINCT business_id) AS total_businesses,
          count(*) AS total_quarantined_reviews FROM quarantined""")
     return q
 
 
-_base_oracles2 = oracles
-
-
-def oracles() -> dict[str, str]:  # noqa: F811
-    return {**_base_oracles2(), **_text_oracles()}
+def oracles() -> dict[str, str]:
+    return {**_detection_oracles(), **_ingest_oracles(), **_attack_oracles(), **_text_oracles()}

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shoal.operators.explain import contributions, review_top_features, top_attack_signals
+from shoal.operators.explain import (contributions, previews, review_explanations, review_scores,
+                                     review_top_features, text_top_features, top_attack_signals)
 from shoal.operators.text_model import (balance, class_counts, fit_tfidf, hashed_model, score, split,
                                         stratified_split, transform_tfidf)
 
@@ -36,20 +37,57 @@ def test_tfidf_long_is_l2_normalised(spark):
 
 
 def test_contributions_rank(spark):
-    docs = _docs(spark).withColumn("business_id", F.lit("b")).withColumn("stars", F.lit(1)).withColumn(
-        "text_preview", F.substring("text", 1, 100))
-    m = fit_tfidf(docs, "doc_id")
-    long = transform_tfidf(m, docs, "doc_id", keep=("business_id",))
+    docs = _docs(spark).withColumnRenamed("doc_id", "text_id")
+    reviews = docs.select(F.col("text_id").cast("string").alias("review_id"), F.lit("b").alias("business_id"), F.lit(1).alias("stars"), "text_id")
+    reviews = reviews.unionByName(spark.createDataFrame([("none", "b", 2, -1), ("twice", "b", 1, 100)], reviews.schema))
+    m = fit_tfidf(docs, "text_id")
+    long = transform_tfidf(m, docs, "text_id")
     coefs = spark.createDataFrame([("terrible", -2.0), ("great", 1.5), ("food", 0.1)], "term string, coef double")
-    c = contributions(long, coefs).withColumnRenamed("doc_id", "review_id")
-    top = top_attack_signals(c, docs.withColumnRenamed("doc_id", "review_id")).orderBy("rank").collect()
-    direct = {r["term"]: round(r["s"] / 60, 4) for r in
-              c.groupBy("term").agg(F.sum(F.abs("contribution")).alias("s")).collect()}
+    c = contributions(long, coefs)
+    top = top_attack_signals(c, reviews).orderBy("rank").collect()
+    per_review = reviews.join(c, "text_id")
+    direct = {r["term"]: round(r["s"] / 62, 4) for r in
+              per_review.groupBy("term").agg(F.sum(F.abs("contribution")).alias("s")).collect()}
     assert [r["feature"] for r in top] == sorted(direct, key=lambda t: (-direct[t], t))
-    assert all(r["importance"] == direct[r["feature"]] for r in top)
-    per = review_top_features(c, reviews=docs.withColumnRenamed("doc_id", "review_id")).where(
-        F.col("review_id") == 100).orderBy("rank").collect()
+    assert all(abs(r["importance"] - direct[r["feature"]]) < 1e-4 for r in top)
+    preview = previews(docs)
+    per = review_top_features(text_top_features(c), reviews, preview).where(F.col("review_id") == "100").orderBy("rank").collect()
     assert per[0]["feature"] == "terrible" and per[0]["shap_value"] < 0
+    e = {r["review_id"]: r for r in review_explanations(text_top_features(c), reviews, preview).collect()}
+    assert len(e) == 62 and e["none"]["top_features"] == [] and e["none"]["text_preview"] is None
+    assert e["twice"]["top_features"] == e["100"]["top_features"] != []
+    scores = {r["review_id"]: (r["n_terms"], r["score"]) for r in review_scores(c, reviews).collect()}
+    assert scores["none"] == (0, 0.0) and scores["100"][1] < 0
+
+
+def test_vocabulary_limit_is_reported_and_can_be_lifted(spark):
+    docs = _docs(spark)
+    cut, whole = fit_tfidf(docs, "doc_id", max_features=5), fit_tfidf(docs, "doc_id", max_features=None)
+    n = whole.vocab.count()
+    assert cut.vocab.count() == 5 and cut.dropped.collect()[0][0] == n - 5 and whole.dropped.collect()[0][0] == 0
+    assert transform_tfidf(whole, docs, "doc_id").select("term").distinct().count() == n
+
+
+def test_training_job_saves_and_loads(spark, tmp_dir):
+    from shoal.operators.text_model import train
+    from shoal.sources.tables import load_model, save_model
+    rows = _docs(spark).select(F.col("doc_id").cast("string").alias("review_id"), "text", "label")
+    t = train(rows, pipeline=hashed_model(num_features=1 << 10))
+    assert t.metrics["auc"] == 1.0 and {r["label"] for r in t.counts.collect()} == {0.0, 1.0}
+    save_model(t.model, f"{tmp_dir}/model")
+    probe = spark.createDataFrame([("awful rude terrible",), (None,)], "text string")
+    a, b = (sorted(r["p_positive"] for r in score(m, probe).collect()) for m in (t.model, load_model(f"{tmp_dir}/model")))
+    assert a == b
+
+
+def test_interpretable_model_from_sparse_text(spark, tmp_dir):
+    from shoal.operators.text_model import coefficient_table, fit_interpretable, write_vectors
+    docs = _docs(spark).unionByName(spark.createDataFrame([(999, "", 1.0)], "doc_id long, text string, label double"))
+    m = fit_tfidf(docs, "doc_id")
+    write_vectors(transform_tfidf(m, docs, "doc_id"), docs, "doc_id", f"{tmp_dir}/v")
+    size = m.vocab.count()
+    coef = {r["term"]: r["coef"] for r in coefficient_table(spark, fit_interpretable(spark, f"{tmp_dir}/v", size), m.vocab).collect()}
+    assert len(coef) == size and coef["wonderful"] > 0 > coef["terrible"]
 
 
 def test_balance_and_guard(spark):
