@@ -26,6 +26,7 @@ import html as html_lib
 import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,9 +48,10 @@ _CELLS = 1 << 14
 MARK, _JUNK = "data-training-main", "data-training-junk"
 _JUNK_TAGS = frozenset("nav aside form footer button select".split())
 
+# Possessive and without "<" inside tags, so that no input is scanned again from every "<".
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object)\b[^<>]*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^<>]*+>|[^<]+|<", re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
@@ -58,6 +60,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 #: Elements that the start of another one of the same kind closes.
 _SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"},
                  "dd": {"dt", "dd"}, "option": {"option"}}
+_P = frozenset(["p"])
 _CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
                       "section table ul".split())
 
@@ -79,15 +82,64 @@ class Block:
         self.text, self.path, self.leaf, self.linked, self.main = text, path, leaf, linked, main
 
 
-def _is_main(stack: list[tuple[str, str]]) -> bool:
-    marked = [MARK in attributes for _, attributes in stack]
-    return any(marked) and not any(_JUNK in a or tag in _JUNK_TAGS for tag, a in stack[marked.index(True):])
+class _Open:
+    """The open elements, with what their blocks need kept up to date, so that
+    a block costs the same however deep it lies."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple[int, ...], bool, bool]] = []
+        self.tags: dict[str, int] = {}
+        self.slots: dict[int, int] = {}
+        self.leaves: list[str] = [""]  # tags that are not inline
+        self.main = self.junk = 0      # open elements that training marks, and of junk inside them
+
+    def push(self, tag: str, attributes: str) -> None:
+        ids = _element_ids(tag, attributes)
+        main = MARK in attributes
+        junk = bool(self.main) and (tag in _JUNK_TAGS or _JUNK in attributes)
+        self.stack.append((tag, ids, main, junk))
+        self.tags[tag] = self.tags.get(tag, 0) + 1
+        for i in ids:
+            self.slots[i] = self.slots.get(i, 0) + 1
+        self.main, self.junk = self.main + main, self.junk + junk
+        if tag not in _INLINE:
+            self.leaves.append(tag)
+
+    def cut(self, at: int) -> None:
+        while len(self.stack) > at:
+            tag, ids, main, junk = self.stack.pop()
+            self.tags[tag] -= 1
+            for i in ids:
+                self.slots[i] -= 1
+                if not self.slots[i]:
+                    del self.slots[i]
+            self.main, self.junk = self.main - main, self.junk - junk
+            if tag not in _INLINE:
+                self.leaves.pop()
+
+    def close(self, tag: str) -> None:
+        if self.tags.get(tag):
+            self.cut(next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag))
+
+    def close_before(self, tag: str) -> None:
+        """Close the elements that the start of ``tag`` ends, as far as only
+        inline elements lie between."""
+        closed = _SELF_CLOSING.get(tag, _P if tag in _CLOSES_P else ())
+        at = None
+        if closed and any(self.tags.get(t) for t in closed):
+            for i in range(len(self.stack) - 1, -1, -1):
+                if self.stack[i][0] in closed:
+                    at = i
+                elif self.stack[i][0] not in _INLINE:
+                    break
+        if at is not None:
+            self.cut(at)
 
 
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page in order; tags that are never closed end with their parent."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    open_ = _Open()
     parts: list[str] = []
     linked = 0
 
@@ -97,9 +149,7 @@ def blocks(page: str | None) -> list[Block]:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                path = tuple(sorted({i for tag, attributes in stack for i in _element_ids(tag, attributes)}))
-                leaf = next((tag for tag, _ in reversed(stack) if tag not in _INLINE), "")
-                out.append(Block(text, path, leaf, min(linked, len(text)), _is_main(stack)))
+                out.append(Block(text, tuple(sorted(open_.slots)), open_.leaves[-1], min(linked, len(text)), bool(open_.main) and not open_.junk))
         linked = 0
 
     for m in _TOKEN.finditer(page or ""):
@@ -109,42 +159,46 @@ def blocks(page: str | None) -> list[Block]:
             if m[1] is not None or token[:2] in ("<!", "<?"):
                 continue
             parts.append(token)
-            if stack and stack[-1][0] == "a":
+            if open_.stack and open_.stack[-1][0] == "a":
                 linked += len(token)
             continue
         tag = tag.lower()
         if tag not in _INLINE:
             flush()
         if m[2]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if at is not None:
-                del stack[at:]
-            continue
-        if tag in _VOID:
-            if tag == "br":
-                parts.append(" ")
-            continue
-        closed = _SELF_CLOSING.get(tag, {"p"} if tag in _CLOSES_P else ())
-        at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in closed), None) if closed else None
-        if at is not None and all(t in _INLINE or t in closed for t, _ in stack[at:]):
-            del stack[at:]
-        stack.append((tag, m[4] or ""))
+            open_.close(tag)
+        elif tag == "br":
+            parts.append(" ")
+        elif tag not in _VOID:
+            open_.close_before(tag)
+            open_.push(tag, m[4] or "")
     flush()
     return out
 
 
+@lru_cache(1 << 10)
+def _leaf_id(tag: str) -> int:
+    return zlib.crc32(f"leaf {tag}".encode()) % PATH
+
+
 def features(page: list[Block], lo: int = 0, hi: int | None = None) -> np.ndarray:
     """(blocks, PATH + WORD + MEASURES) of the blocks lo to hi of a page."""
     some = page[lo:hi]
-    out = np.zeros((len(some), PATH + WORD + MEASURES), np.float32)
-    for x, i, b in zip(out, range(lo, len(page)), some):
-        x[list(b.path)] = 1.0
-        x[zlib.crc32(f"leaf {b.leaf}".encode()) % PATH] = 1.0
-        ws = b.text.lower().encode().split()
-        slots = np.bincount(np.fromiter(map(zlib.crc32, ws), np.uint32, len(ws)) % WORD, minlength=WORD)
-        x[PATH:PATH + WORD] = np.sqrt(slots / len(ws))
-        x[PATH + WORD:] = (np.log1p(len(ws)) / 4, b.linked / len(b.text), b.text[-1] in ".!?", i / len(page),
-                              np.log1p(i) / 4, np.log1p(len(page) - i) / 4)
+    n = len(some)
+    out = np.zeros((n, PATH + WORD + MEASURES), np.float32)
+    if not n:
+        return out
+    words = [b.text.lower().encode().split() for b in some]
+    sizes = np.array([len(w) for w in words])
+    at = np.fromiter(map(zlib.crc32, chain.from_iterable(words)), np.int64, int(sizes.sum())) % WORD
+    counts = np.bincount(np.repeat(np.arange(n) * WORD, sizes) + at, minlength=n * WORD).reshape(n, WORD)
+    out[:, PATH:PATH + WORD] = np.sqrt(counts / sizes[:, None])
+    slots = [(*b.path, _leaf_id(b.leaf)) for b in some]
+    out[np.repeat(np.arange(n), [len(x) for x in slots]), list(chain.from_iterable(slots))] = 1.0
+    i, total = np.arange(lo, lo + n), len(page)
+    out[:, PATH + WORD:] = np.stack([
+        np.log1p(sizes) / 4, [b.linked / len(b.text) for b in some], [b.text[-1] in ".!?" for b in some], i / total,
+        np.log1p(i) / 4, np.log1p(total - i) / 4], axis=1)
     return out
 
 
@@ -370,7 +424,7 @@ def main_text(pages: list[str | None], model: Labeller) -> list[str]:
     return [" ".join(b.text for b, s in zip(p, scores) if s > 0.5) for p, scores in zip(parsed, model.label(parsed))]
 
 
-def extract(pages: DataFrame, model: Labeller | None = None, batch: int = 64) -> DataFrame:
+def extract(pages: DataFrame, model: Labeller | None = None, batch: int = 256) -> DataFrame:
     """Per row: page_id, url, text, n_chars."""
     model = model or fit(pages)
 

@@ -30,8 +30,66 @@ SELECT page_id, host, path, rule,
 FROM fits WHERE k = 1
 """
 
-_WORDS = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+#: The sketch's buckets and fences as in ``quality_rules``: (ratio, numerator, denominator, lower fence?, slack).
+_RATIOS = (("symbol_ratio", "n_symbols", "word_chars", False, 0.05), ("dup_line_ratio", "n_dup_lines", "n_lines", False, 0.5),
+           ("repeat_ratio", "n_repeat_words", "n_words", False, 0.35), ("word_length", "word_chars", "n_words", True, 2.0))
+
+
+def _op3() -> str:
+    values = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS ratio, CAST({n} AS double) / {d} AS x FROM base WHERE NOT base_failed"
+                                for k, n, d, _, _ in _RATIOS)
+    fence = ", ".join(
+        f"max(CASE WHEN ratio = '{k}' THEN greatest(q3 + 3.0 * (q3 - q1), q2 + {slack}) END) AS {k}_hi"
+        + (f", max(CASE WHEN ratio = '{k}' THEN least(q1 - 3.0 * (q3 - q1), q2 - {slack}) END) AS {k}_lo" if below else "")
+        for k, _, _, below, slack in _RATIOS)
+    names = [f"{k}_hi" for k, *_ in _RATIOS] + [f"{k}_lo" for k, _, _, below, _ in _RATIOS if below]
+    picked = ", ".join(f"CASE WHEN g.rows >= 100 THEN g.{c} WHEN l.rows >= 100 THEN l.{c} ELSE e.{c} END AS {c}" for c in names)
+    inside = " AND ".join(f"CAST({n} AS double) / nullif({d}, 0) <= {k}_hi" + (f" AND CAST({n} AS double) / nullif({d}, 0) >= {k}_lo" if below else "")
+                          for k, n, d, below, _ in _RATIOS)
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+lines AS (
+  SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT k, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY k),
+windows AS (
+  SELECT k, i, array_to_string(words[i + 1:i + 8], ' ') AS w FROM (SELECT k, words, unnest(range(len(words) - 7)) AS i FROM docs)),
+repeats AS (
+  SELECT k, count(DISTINCT p) AS n_repeat_words FROM (
+    SELECT k, unnest(range(i, i + 8)) AS p FROM (SELECT k, i, count(*) OVER (PARTITION BY k, w) AS c FROM windows) WHERE c > 1) GROUP BY k),
+counts AS (
+  SELECT k, doc_id, lang, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM docs LEFT JOIN lines USING (k) LEFT JOIN repeats USING (k)),
+base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts),
+fine AS (
+  SELECT lang, source, ratio, CASE WHEN x > 0 THEN CAST(ceil(ln(x) / ln(1.02)) AS integer) END AS bucket, count(*) AS n
+  FROM ({values}) GROUP BY ALL),
+sketch AS (
+  SELECT 0 AS level, lang, source, ratio, bucket, n FROM fine
+  UNION ALL SELECT 1, lang, NULL, ratio, bucket, sum(n) FROM fine GROUP BY ALL
+  UNION ALL SELECT 2, NULL, NULL, ratio, bucket, sum(n) FROM fine GROUP BY ALL),
+running AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bucket NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto,
+         sum(n) OVER (PARTITION BY level, lang, source, ratio) AS rows,
+         CASE WHEN bucket IS NULL THEN 0.0 ELSE 2 * pow(1.02::DOUBLE, bucket) / 2.02::DOUBLE END AS v FROM sketch),
+quartiles AS (
+  SELECT level, lang, source, ratio, max(rows) AS rows, min(v) FILTER (WHERE upto >= 0.25 * rows) AS q1,
+         min(v) FILTER (WHERE upto >= 0.5 * rows) AS q2, min(v) FILTER (WHERE upto >= 0.75 * rows) AS q3
+  FROM running GROUP BY level, lang, source, ratio),
+fences AS (SELECT level, lang, source, max(rows) AS rows, {fence} FROM quartiles GROUP BY level, lang, source),
+limits AS (
+  SELECT g.lang, g.source, {picked} FROM (SELECT * FROM fences WHERE level = 0) g
+  LEFT JOIN (SELECT * FROM fences WHERE level = 1) l ON g.lang IS NOT DISTINCT FROM l.lang
+  LEFT JOIN (SELECT * FROM fences WHERE level = 2) e ON true)
+SELECT b.doc_id, b.lang, b.source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
+       NOT base_failed AND coalesce({inside}, true) AS kept
+FROM base b LEFT JOIN limits t ON b.lang IS NOT DISTINCT FROM t.lang AND b.source IS NOT DISTINCT FROM t.source
+"""
 
 
 def oracles() -> dict[str, str]:
-    return {"op5_url_filters": OP5}
+    return {"op3_quality_rules": _op3(), "op5_url_filters": OP5}

@@ -33,6 +33,14 @@ def test_broken_pages(page, model):
     assert isinstance(H.main_text([page], model)[0], str)
 
 
+@pytest.mark.parametrize("piece", ["<p", "<!", "<script", "<a \"", "<a '", "<!--", "</", "<a b=", "<style>", "<p><b>", "<div>x", "<li><div>x</b>", "<b>x", "<table><tr><td>x"])
+def test_no_page_takes_quadratic_time(piece):
+    import time
+    start = time.process_time()
+    H.blocks(piece * 60_000)
+    assert time.process_time() - start < 20
+
+
 def test_plain_text_page(model):
     assert H.blocks("plain words")[0].text == "plain words"
 
