@@ -143,7 +143,8 @@ def json_lines(spark, sf_dir):
         "useful": F.when(eid % 71 == 11, F.lit("3.0")).when(eid % 71 == 12, F.lit("many")).when(eid % 3 == 0, (eid % 7).cast("string")),
         "funny": F.when(eid % 73 == 13, F.lit("1")), "cool": F.when(eid % 5 == 1, F.lit("2.5")),
         "is_injected": F.when((eid % 79 == 17) & F.col("is_injected"), F.lit("true")).otherwise(F.col("is_injected").cast("string")),
-        "review_id": F.when(eid % 67 == 19, F.lit(None)).otherwise(F.col("review_id"))})
+        # lines that are damaged as a whole keep their id, by which they are found below
+        "review_id": F.when((eid % 67 == 19) & (eid % 97 != 5) & (eid % 89 != 3), F.lit(None)).otherwise(F.col("review_id"))})
     w = review_wire(r).withColumn("date", F.when(eid % 83 == 7, F.lit("not a date")).otherwise(F.col("date")))
     js = F.to_json(F.struct(*w.columns))
     # numbers and flags were made as text: take the quotes off those that JSON would not have
