@@ -16,12 +16,14 @@ suffixes: (1) intervals of all shards meet in blocks of equal ``DEPTH``-byte pre
 a block of a single interval is unique and leaves. (2) What is left is refined by the
 whole span: anchors that share it with another one are repeated in all
 their strings. (3) Blocks with several spans are refined string by string: one
-anchor for each span gives its strings, and equal ones are repeated. Blocks are known
-by fingerprints of their bytes (64 bits for a block, 128 for what decides).
+anchor for each span gives its bytes to its block, and strings that stand in several
+of them are repeated. Blocks are known by fingerprints of their bytes (64 bits for a
+block, 128 for what decides).
 
-Scale: rows are anchors, and in step 3 strings at the borders of repeats; a hot
-passage gives one row per shard. Buckets are read as sorted streams, of which
-one batch is held. The texts are shuffled once, for the last step.
+Scale: rows are anchors, and in step 3 the spans at the borders of repeats; a hot
+passage gives one row per shard. Blocks are read as sorted streams, of which one
+batch is held, and at most ``_MOST`` rows of a block in step 3, beyond which its strings
+are shuffled by their fingerprints. The texts are shuffled once, for steps 3 and the end.
 
 Defined results: matches never cross texts. A null text is empty; texts shorter
 than ``length`` bytes lose nothing. Each of several equal rows repeats the others.
@@ -196,38 +198,83 @@ def _shard_rows(length: int):
     return over
 
 
-def _string_rows(length: int):
-    """Strings (rid, spans, text) of the candidate spans of each text."""
+def _span_bytes(length: int):
+    """The bytes (key, rid, lo, data) of the spans that are to be refined."""
 
     def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            spans = dict(zip(b["rid"], b["spans"]))
-            for pieces in _pieces(b["rid"], b["text"], length):
-                data, starts, sizes = _joined(pieces)
-                prints = Fingerprints(data)
-                at, rid, offset = [], [], []
-                for (r, base, piece), start in zip(pieces, starts.tolist()):
-                    wanted = np.zeros(len(piece) - length + 2, np.int64)
-                    for s in spans[r]:
-                        lo, hi = max(s["lo"], base) - base, min(s["last"], base + len(piece) - length) - base
-                        if lo <= hi and lo < _SHARD:
-                            wanted[lo] += 1
-                            wanted[min(hi, _SHARD - 1) + 1] -= 1
-                    i = np.flatnonzero(np.cumsum(wanted[:-1]))
-                    at.append(i + start)
-                    rid.append(np.full(len(i), r, np.int64))
-                    offset.append(i + base)
-                at, rid, offset = map(np.concatenate, (at, rid, offset))
-                w1, w2 = prints.of(0, at, at + length), prints.of(1, at, at + length)
-                o, new, size = _intervals([w1, w2])
-                yield _rows(w1[o], w2[o], np.zeros(len(o), np.uint64), rid[o], offset[o], offset[o], new, size)
+            out = []
+            for rid, spans, text in zip(b["rid"], b["spans"], b["text"]):
+                data = text.encode()
+                out += [(s["key"], rid, s["lo"], data[s["lo"]:s["last"] + length]) for s in spans]
+            yield pd.DataFrame(out, columns=["key", "rid", "lo", "data"])
+
+    return over
+
+
+def _refine(length: int):
+    """Over spans sorted by block: rows of ``_ROW`` for the strings that stand in
+    several spans. Equal strings are in one block, so whole blocks are decided
+    here; of a block of over ``_MOST`` spans the strings themselves are given out, to
+    be merged by their fingerprints."""
+
+    def strings(c: pd.DataFrame):
+        data = np.frombuffer(b"".join(c["data"]), np.uint8)
+        sizes = c["data"].map(len).to_numpy()
+        starts = np.cumsum(sizes) - sizes
+        count = sizes - length + 1
+        row = np.repeat(np.arange(len(c)), count)
+        offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        at = starts[row] + offset
+        prints = Fingerprints(data)
+        w1, w2 = prints.of(0, at, at + length), prints.of(1, at, at + length)
+        order, new, size = _intervals([w1, w2])
+        return w1, w2, c["rid"].to_numpy()[row], c["lo"].to_numpy()[row] + offset, row, order, new, size
+
+    def given_out(c: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for i in range(0, len(c), _MOST // 16 + 1):
+            w1, w2, rid, lo, _, o, new, size = strings(c.iloc[i:i + _MOST // 16 + 1])
+            yield _rows(w1[o], w2[o], np.zeros(len(o), np.uint64), rid[o], lo[o], lo[o], new, size)
+
+    def decided(c: pd.DataFrame) -> pd.DataFrame:
+        _, _, rid, lo, row, o, _, size = strings(c)
+        again = np.zeros(len(o), bool)
+        again[o[size > 1]] = True
+        rid, lo, row = rid[again], lo[again], row[again]
+        new = np.r_[True, (row[1:] != row[:-1]) | (lo[1:] != lo[:-1] + 1)][:len(row)]
+        first = np.flatnonzero(new)
+        last = np.r_[first[1:], len(row)][:len(first)] - 1
+        zero = np.zeros(len(first), np.uint64)
+        return _rows(zero, zero, zero, rid[first], lo[first], lo[last], np.zeros(len(first), bool), np.ones(len(first), np.int64))
+
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, too_many = None, None
+        for batch in batches:
+            if too_many is not None and (same := (batch["key"] == too_many).to_numpy()).any():
+                yield from given_out(batch[same])
+                batch = batch[~same]
+            chunk = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            held = None
+            if not len(chunk):
+                continue
+            keys = chunk["key"].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1], "left"))
+            if cut:
+                yield decided(chunk.iloc[:cut])
+            held = chunk.iloc[cut:]
+            if len(held) > _MOST:
+                too_many = keys[-1]
+                yield from given_out(held)
+                held = None
+        if held is not None and len(held):
+            yield decided(held)
 
     return over
 
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Over rows of ``_ROW`` sorted by key, s1, s2: (rid, lo, last, repeated,
-    refine). A row is repeated if its interval has several members, in its
+    refine, key). A row is repeated if its interval has several members, in its
     shard or by another shard's interval of equal span; it is to be refined if its
     block has several spans and it is the first row of its own. A block of over
     ``_MOST`` rows is given out in parts, and then always refined."""
@@ -248,14 +295,15 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         repeated = (kind == _SEVERAL) | prev | nxt
         refine = ~prev & many[block]
         keep = repeated | refine
-        return pd.DataFrame({"rid": c["rid"].to_numpy()[keep], "lo": lo[keep], "last": last[keep], "repeated": repeated[keep], "refine": refine[keep]})
+        return pd.DataFrame({"rid": c["rid"].to_numpy()[keep], "lo": lo[keep], "last": last[keep], "repeated": repeated[keep],
+                             "refine": refine[keep], "key": k[keep]})
 
     row = lambda c, i: tuple(c[x].iloc[i] for x in ("key", "s1", "s2"))
     for batch in batches:
         resolved = (batch["place"].to_numpy() % 4) == _RESOLVED
         if resolved.any():
             lo, last, _ = _unplaced(batch["place"].to_numpy()[resolved])
-            yield pd.DataFrame({"rid": batch["rid"].to_numpy()[resolved], "lo": lo, "last": last, "repeated": True, "refine": False})
+            yield pd.DataFrame({"rid": batch["rid"].to_numpy()[resolved], "lo": lo, "last": last, "repeated": True, "refine": False, "key": 0})
             batch = batch[~resolved]
         chunk = batch if held is None else pd.concat([held, batch], ignore_index=True)
         held = None
@@ -275,7 +323,7 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out(held, before, None, forced)
 
 
-_SPAN = "rid long, lo long, last long, repeated boolean, refine boolean"
+_SPAN = "rid long, lo long, last long, repeated boolean, refine boolean, key long"
 
 
 def _merged(rows: DataFrame) -> DataFrame:
@@ -286,12 +334,13 @@ def _merged(rows: DataFrame) -> DataFrame:
 def _spans(texts: DataFrame, length: int) -> DataFrame:
     """(rid, spans): the first and last starts of repeated strings of each text."""
     first = checkpointed(_merged(texts.select("rid", "text").mapInPandas(_shard_rows(length), _ROW)))
-    as_spans = F.collect_list(F.struct("lo", "last")).alias("spans")  # at most one for each start in a text
-    open_ = first.filter("refine").groupBy("rid").agg(as_spans)
-    strings = texts.join(open_, "rid").select("rid", "spans", "text").mapInPandas(_string_rows(length), _ROW)
+    open_ = first.filter("refine").groupBy("rid").agg(F.collect_list(F.struct("lo", "last", "key")).alias("spans"))  # a text's anchors at most
+    # all columns of texts, so that this shuffle of them serves the last join too
+    spans = texts.join(open_, "rid").mapInPandas(_span_bytes(length), "key long, rid long, lo long, data binary")
+    strings = spans.repartition("key").sortWithinPartitions("key").mapInPandas(_refine(length), _ROW)
     repeated = first.filter("repeated").select("rid", "lo", "last").unionByName(
         _merged(strings).filter("repeated").select("rid", "lo", "last"))
-    return repeated.groupBy("rid").agg(as_spans)
+    return repeated.groupBy("rid").agg(F.collect_list(F.struct("lo", "last")).alias("spans"))  # one for each start at most
 
 
 def _texts(documents: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def test_other_lengths(spark, length):
 def test_pieces_of_long_texts_and_large_blocks(spark, monkeypatch):
     """Tiny shards, and blocks that are given out in parts."""
     monkeypatch.setattr(S, "_SHARD", 700)
-    monkeypatch.setattr(S, "_MOST", 3)
+    monkeypatch.setattr(S, "_MOST", 2)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
     try:
         check(hard(), S.repeats(documents(spark, hard())).collect())
