@@ -30,6 +30,7 @@ from shoal.llm.common import SPACES, checkpointed
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+MAX_GROUPS = 10_000
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, j, 1 << 64) for j in range(1, WINDOW + 1)], np.uint64)
 
 
@@ -98,6 +99,9 @@ def _counts(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([count_text(t) for t in texts], columns=list(COUNTS), dtype="int64")
 
 
+_counts = _counts.asNondeterministic()  # else every use of a count would read the text again
+
+
 def _failed(s: str, r: Rules) -> Column:
     return ((F.col(f"{s}.n_words") < r.min_words)
             | (100 * F.col(f"{s}.n_repeat_words") > r.repeat_percent * F.col(f"{s}.n_words")))
@@ -173,6 +177,8 @@ def _verdict(counted: DataFrame, limits: DataFrame, r: Rules) -> DataFrame:
     """``counted`` (struct c, lang, source, ...) with ``base_failed``, ``kept``.
     A group all of whose documents fail the base rules has no limits, and
     needs none."""
+    if limits.count() <= MAX_GROUPS:  # small enough to leave the texts where they are
+        limits = F.broadcast(limits)
     t = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.struct(*FENCES).alias("_limits"))
     j = counted.join(t, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     inside = F.lit(True)
@@ -187,7 +193,7 @@ def _verdict(counted: DataFrame, limits: DataFrame, r: Rules) -> DataFrame:
 def quality_rules(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Per row: doc_id, the counts, the ratios, base_failed and kept."""
     counted = checkpointed(documents.select("doc_id", "lang", "source", _counts("text").alias("c")))
-    v = _verdict(counted, thresholds(counted, rules), rules)
+    v = _verdict(counted, checkpointed(thresholds(counted, rules)), rules)
     return v.select("doc_id", "lang", "source", *[F.col(f"c.{c}") for c in COUNTS],
                     F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
