@@ -39,6 +39,7 @@ SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 BUCKET = 256
+HOT = 500
 _STEP = 255
 
 
@@ -203,9 +204,9 @@ def links(fingerprints: DataFrame, distance: int = DISTANCE, bucket: int = BUCKE
 
 
 def _component_ids(rows: DataFrame, distance: int) -> DataFrame:
-    """(fp, component_id, root) of the rows (doc_id, fp); root is the least
-    fingerprint of the component."""
-    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    """(fp, component_id, root, copies) of the rows (doc_id, fp); root is the
+    least fingerprint of the component."""
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
     roots = checkpointed(components(links(distinct.select("fp"), distance)))
     joined = roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "least")
     own = joined.groupBy("root").agg(F.min("least").alias("component"))
@@ -213,15 +214,24 @@ def _component_ids(rows: DataFrame, distance: int) -> DataFrame:
     single = F.col("fp_").isNull()
     return (distinct.join(linked, F.col("fp") == F.col("fp_"), "left")
             .select("fp", F.when(single, F.col("least")).otherwise(F.col("component")).alias("component_id"),
-                    F.coalesce("root", "fp").alias("root")))
+                    F.coalesce("root", "fp").alias("root"), "copies"))
+
+
+def _with_components(rows: DataFrame, distance: int) -> DataFrame:
+    """``rows`` with component_id and root. The fingerprints of over 1/``HOT`` of
+    all rows, fewer than ``HOT``, are broadcast, so a hot one is not shuffled."""
+    ids = _component_ids(rows, distance).withColumnRenamed("fp", "fp_")
+    most = rows.count() // HOT
+    hot = F.broadcast(checkpointed(ids.filter(F.col("copies") > most)))
+    match = F.col("fp") == F.col("fp_")
+    rest = rows.join(hot, match, "left_anti").join(ids.filter(F.col("copies") <= most), match)
+    return rows.join(hot, match).unionByName(rest).drop("fp_", "copies")
 
 
 def simhash_groups(documents: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits), component_id."""
     rows = checkpointed(documents.select("doc_id", _fingerprints("text").alias("fp")))
-    ids = _component_ids(rows, distance).select(F.col("fp").alias("fp_"), "component_id")
-    return (rows.join(ids, F.col("fp") == F.col("fp_"))
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    return (_with_components(rows, distance).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
 def drop_near_duplicates(documents: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -229,8 +239,7 @@ def drop_near_duplicates(documents: DataFrame, distance: int = DISTANCE) -> Data
     whose text hash is least, and of equal rows one."""
     digest = F.xxhash64("text")
     rows = checkpointed(documents.select("doc_id", digest.alias("digest"), _fingerprints("text").alias("fp")))
-    ids = _component_ids(rows, distance).withColumnRenamed("fp", "fp_")
-    kept = (rows.join(ids, F.col("fp") == F.col("fp_")).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = (_with_components(rows, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("root").agg(F.min("component_id").alias("_id"), F.min("digest").alias("_digest"))
             .select("_id", "_digest"))
     held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
