@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoal.llm.common import checkpointed
+from shoal.llm.common import bounded_sample, checkpointed
 
 BLOCK = 8
 RUNS = (2, 4, 8)
@@ -113,7 +113,7 @@ def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: in
             yield pd.DataFrame({"m": [total.tobytes()]})
 
         out = np.zeros_like(z)
-        for r in rows.mapInPandas(partial, "m binary").toLocalIterator():  # as many as the few partitions of rows
+        for r in rows.coalesce(8).mapInPandas(partial, "m binary").collect():  # at most eight, of bounded size
             out += np.frombuffer(r["m"]).reshape(z.shape)
         return out
 
@@ -231,7 +231,7 @@ def fit(documents: DataFrame, items: list[tuple[int, str | None]], rank: int = R
     number = {w: i for i, w in enumerate(vocabulary)}
     spark = documents.sparkSession
     own = spark.createDataFrame([([number[w] for w in ws], 1.0) for _, ws in known], "ids array<int>, weight double")
-    sample = documents.select("text").orderBy(F.xxhash64("text")).limit(SAMPLE_DOCS)
+    sample = bounded_sample(documents.select("text"), SAMPLE_DOCS)
     size = BLOCK * RUNS[-1]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,9 +239,9 @@ def fit(documents: DataFrame, items: list[tuple[int, str | None]], rank: int = R
             for text in b["text"]:
                 w = words(text)
                 rows = [[number[x] for x in w[i:i + size] if x in number] for i in range(0, len(w), size)]
-                yield pd.DataFrame({"ids": rows, "weight": SAMPLE_WEIGHT})
+                yield pd.DataFrame({"ids": pd.Series(rows, dtype=object), "weight": SAMPLE_WEIGHT})
 
-    rows = checkpointed(own.unionByName(sample.mapInPandas(cut, "ids array<int>, weight double")).repartition(8, F.hash("ids")))
+    rows = checkpointed(own.unionByName(sample.mapInPandas(cut, "ids array<int>, weight double")))
     return Index(known, vocabulary, weights, latent_basis(rows, weights, min(rank, len(vocabulary))))
 
 
