@@ -1,7 +1,9 @@
 """Licence notices found by a trained paragraph classifier.
 
 A paragraph is a line of a text; a longer one is read in overlapping windows of
-``WINDOW`` words. Hashed word 1- and 2-grams feed a multinomial logistic
+``WINDOW`` words. Only windows with a cue are read further: a word of the templates
+that stands in at most ``CUE_SHARE`` of the sampled prose windows; without any, a
+window is prose. Hashed word 1- and 2-grams feed a multinomial logistic
 regression (Spark ML) over licence families and ordinary prose. It is trained
 on notices made from ``TEMPLATES`` (windows of them, some with prose around) and on a
 bounded sample of the corpus's own paragraphs (``SAMPLE`` of those of
@@ -33,8 +35,9 @@ from shoal.llm.common import bounded_sample, checkpointed
 WINDOW = 40
 FEATURES = 1 << 13
 SAMPLE_TEXTS = 2_000
-SAMPLE = 20_000
+SAMPLE = 10_000
 FALSE_RATE = 0.001
+CUE_SHARE = 0.01
 HELD = 0.8  # share of a template's word pairs that confirms it
 PROSE, UNKNOWN = "none", "unknown"
 
@@ -81,7 +84,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 
 
 def _tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def _pairs(tokens: Column) -> Column:
@@ -97,12 +100,23 @@ def _windows(tokens: Column) -> Column:
     return F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice(tokens, i + 1, WINDOW).alias("words")))
 
 
-def paragraphs(documents: DataFrame) -> DataFrame:
-    """(doc_id, line, at, words): the windows of all lines that hold a word."""
+def paragraphs(documents: DataFrame, cues: list[str] | None = None) -> DataFrame:
+    """(doc_id, line, at, words): the windows of all lines that hold a word, or
+    one of ``cues``."""
+    some = (lambda w: F.size(w) > 0) if cues is None else (lambda w: F.exists(w, lambda x: x.isin(cues)))
     lines = documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "_t"))
-    tokens = lines.select("doc_id", "line", _tokens(F.col("_t")).alias("_w")).filter(F.size("_w") > 0)
+    tokens = lines.select("doc_id", "line", _tokens(F.col("_t")).alias("_w")).filter(some(F.col("_w")))
     return (tokens.select("doc_id", "line", F.explode(_windows(F.col("_w"))).alias("_win"))
-            .select("doc_id", "line", F.col("_win.at").alias("at"), F.col("_win.words").alias("words")))
+            .select("doc_id", "line", F.col("_win.at").alias("at"), F.col("_win.words").alias("words")).filter(some(F.col("words"))))
+
+
+def cue_words(prose: DataFrame, known: DataFrame) -> list[str]:
+    """Template words that at most ``CUE_SHARE`` of the windows (words) hold."""
+    words = sorted({w for r in known.select("t_words").collect() for w in r["t_words"]})
+    n = prose.count()
+    often = (prose.select(F.explode(F.array_distinct("words")).alias("w")).filter(F.col("w").isin(words))
+             .groupBy("w").count().filter(F.col("count") > CUE_SHARE * n).collect())
+    return sorted(set(words) - {r["w"] for r in often})
 
 
 def _with_pairs(rows: DataFrame) -> DataFrame:
@@ -120,8 +134,8 @@ def _held(pairs: Column, t_pairs: Column) -> Column:
     return F.size(F.array_intersect(pairs, t_pairs)) / F.size(t_pairs)
 
 
-def training_rows(documents: DataFrame) -> DataFrame:
-    """(family, template, words, pairs, held_out): notices cut from the templates at every
+def training_rows(documents: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(family, template, words, pairs, held_out), and the cues: notices cut from the templates at every
     start and end that leave three quarters, alone (never held out) and with
     corpus prose before or behind, and the sample of prose itself."""
     spark = documents.sparkSession
@@ -145,14 +159,14 @@ def training_rows(documents: DataFrame) -> DataFrame:
     notices = _with_pairs(cuts.unionByName(mixed.withColumn("alone", F.lit(False))))
     both = notices.unionByName(prose.select(
         F.lit(PROSE).alias("family"), F.lit(0).alias("template"), "words", "pairs", F.lit(False).alias("alone")))
-    return both.withColumn("held_out", ~F.col("alone") & (F.pmod(F.xxhash64("words"), F.lit(4)) == 0)).drop("alone")
+    return both.withColumn("held_out", ~F.col("alone") & (F.pmod(F.xxhash64("words"), F.lit(4)) == 0)).drop("alone"), cue_words(prose, known)
 
 
 class LicenceModel:
-    """The fitted pipeline, its classes, temperature and family threshold."""
+    """The fitted pipeline, its classes, cues, temperature and family threshold."""
 
-    def __init__(self, pipeline: PipelineModel, classes: list[str], temperature: float, threshold: float):
-        self.pipeline, self.classes, self.temperature, self.threshold = pipeline, classes, temperature, threshold
+    def __init__(self, pipeline: PipelineModel, classes: list[str], cues: list[str], temperature: float = 1.0, threshold: float = 0.5):
+        self.pipeline, self.classes, self.cues, self.temperature, self.threshold = pipeline, classes, cues, temperature, threshold
 
     def probabilities(self, rows: DataFrame) -> DataFrame:
         """``rows`` (words, pairs) with array _p of calibrated probabilities."""
@@ -174,7 +188,8 @@ class LicenceModel:
 
 
 def fit(documents: DataFrame) -> LicenceModel:
-    rows = checkpointed(training_rows(documents))
+    rows, cues = training_rows(documents)
+    rows = checkpointed(rows)
     classes = sorted([*TEMPLATES, PROSE])
     names = F.array(*[F.lit(c) for c in classes])
     rows = rows.withColumn("label", (F.array_position(names, F.col("family")) - 1).cast("double"))
@@ -190,9 +205,9 @@ def fit(documents: DataFrame) -> LicenceModel:
         VectorAssembler(inputCols=["_tf", "_tf2"], outputCol="_both"),
         Normalizer(inputCol="_both", outputCol="_x"),
         LogisticRegression(featuresCol="_x", labelCol="label", weightCol="weight", family="multinomial", rawPredictionCol="_raw",
-                           probabilityCol="_probability", predictionCol="_predicted", regParam=1e-5, maxIter=40, standardization=False),
+                           probabilityCol="_probability", predictionCol="_predicted", regParam=1e-5, maxIter=25, standardization=False),
     ]).fit(train)
-    model = LicenceModel(pipeline, classes, 1.0, 0.5)
+    model = LicenceModel(pipeline, classes, cues)
     held = rows.filter("held_out")
     raw = checkpointed(pipeline.transform(held).select("label", "weight", vector_to_array("_raw").alias("r")))
     at = [0.25 * 2 ** (i / 2) for i in range(9)]
@@ -213,7 +228,7 @@ def licences(documents: DataFrame, model: LicenceModel | None = None) -> DataFra
     template of the likeliest family that its words hold."""
     model = model or fit(documents)
     family, p = model.best()
-    rows = _with_pairs(paragraphs(documents))
+    rows = _with_pairs(paragraphs(documents, model.cues))
     found = (model.probabilities(rows).filter(model.prose() < 0.5)
              .select("doc_id", "line", "at", "pairs", family.alias("_family"), p.alias("probability")))
     own = templates(documents.sparkSession).groupBy("family").agg(F.collect_list("t_pairs").alias("_ts")).withColumnRenamed("family", "_family")
