@@ -198,7 +198,7 @@ def fit(documents: DataFrame) -> LicenceModel:
     share = F.when(F.col("family") == PROSE, F.lit(0.5)).otherwise(F.lit(0.5 / sum(map(len, TEMPLATES.values()))))
     weights = sizes.select("family", "template", (share * F.sum("count").over(Window.partitionBy()) / F.col("count")).alias("weight"))
     rows = rows.join(F.broadcast(weights), ["family", "template"])  # a row per template
-    train = rows.filter("not held_out")
+    train = rows.filter("not held_out").coalesce(8)  # a bounded sample: every pass sends a gradient from each part
     pipeline = Pipeline(stages=[
         HashingTF(inputCol="words", outputCol="_tf", numFeatures=FEATURES, binary=True),
         HashingTF(inputCol="pairs", outputCol="_tf2", numFeatures=FEATURES, binary=True),
