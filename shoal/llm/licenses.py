@@ -1,9 +1,7 @@
 """Licence notices found by a trained paragraph classifier.
 
 A paragraph is a line of a text; a longer one is read in overlapping windows of
-``WINDOW`` words. Only windows with a cue are read further: a word of the templates
-that stands in at most ``CUE_SHARE`` of the sampled prose windows; without any, a
-window is prose. Hashed word 1- and 2-grams feed a multinomial logistic
+``WINDOW`` words. Hashed word 1- and 2-grams of every window feed a multinomial logistic
 regression (Spark ML) over licence families and ordinary prose. It is trained
 on notices made from ``TEMPLATES`` (windows of them, some with prose around) and on a
 bounded sample of the corpus's own paragraphs (``SAMPLE`` of those of
@@ -23,9 +21,11 @@ the templates alone). Columns beyond doc_id and text are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,7 +37,6 @@ FEATURES = 1 << 13
 SAMPLE_TEXTS = 2_000
 SAMPLE = 10_000
 FALSE_RATE = 0.001
-CUE_SHARE = 0.01
 HELD = 0.8  # share of a template's word pairs that confirms it
 PROSE, UNKNOWN = "none", "unknown"
 
@@ -89,8 +88,8 @@ def _tokens(text: Column) -> Column:
 
 def _pairs(tokens: Column) -> Column:
     """Word pairs, with a mark before the first and after the last word left out."""
-    return F.when(F.size(tokens) > 1, F.transform(F.sequence(F.lit(1), F.size(tokens) - 1), lambda i: F.concat_ws(
-        " ", F.element_at(tokens, i), F.element_at(tokens, i + 1)))).otherwise(F.array().cast("array<string>"))
+    n = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
 
 
 def _windows(tokens: Column) -> Column:
@@ -100,29 +99,22 @@ def _windows(tokens: Column) -> Column:
     return F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice(tokens, i + 1, WINDOW).alias("words")))
 
 
-def paragraphs(documents: DataFrame, cues: list[str] | None = None) -> DataFrame:
-    """(doc_id, line, at, words): the windows of all lines that hold a word, or
-    one of ``cues``."""
-    some = (lambda w: F.size(w) > 0) if cues is None else (lambda w: F.exists(w, lambda x: x.isin(cues)))
+def paragraphs(documents: DataFrame) -> DataFrame:
+    """(doc_id, line, at, words): the windows of all lines that hold a word."""
     lines = documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "_t"))
-    tokens = lines.select("doc_id", "line", _tokens(F.col("_t")).alias("_w")).filter(some(F.col("_w")))
+    tokens = lines.select("doc_id", "line", _tokens(F.col("_t")).alias("_w")).filter(F.size("_w") > 0)
     return (tokens.select("doc_id", "line", F.explode(_windows(F.col("_w"))).alias("_win"))
-            .select("doc_id", "line", F.col("_win.at").alias("at"), F.col("_win.words").alias("words")).filter(some(F.col("words"))))
-
-
-def cue_words(prose: DataFrame, known: DataFrame) -> list[str]:
-    """Template words that at most ``CUE_SHARE`` of the windows (words) hold."""
-    words = sorted({w for r in known.select("t_words").collect() for w in r["t_words"]})
-    n = prose.count()
-    often = (prose.select(F.explode(F.array_distinct("words")).alias("w")).filter(F.col("w").isin(words))
-             .groupBy("w").count().filter(F.col("count") > CUE_SHARE * n).collect())
-    return sorted(set(words) - {r["w"] for r in often})
+            .select("doc_id", "line", F.col("_win.at").alias("at"), F.col("_win.words").alias("words")))
 
 
 def _with_pairs(rows: DataFrame) -> DataFrame:
     return rows.withColumn("pairs", _pairs(F.col("words")))
 
 
+def _with_features(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_f", F.concat("words", "pairs"))
+
+
 def templates(spark: SparkSession) -> DataFrame:
     """(family, template, t_words, t_pairs)."""
     rows = [(f, i, t) for f, ts in TEMPLATES.items() for i, t in enumerate(ts)]
@@ -134,8 +126,8 @@ def _held(pairs: Column, t_pairs: Column) -> Column:
     return F.size(F.array_intersect(pairs, t_pairs)) / F.size(t_pairs)
 
 
-def training_rows(documents: DataFrame) -> tuple[DataFrame, list[str]]:
-    """(family, template, words, pairs, held_out), and the cues: notices cut from the templates at every
+def training_rows(documents: DataFrame) -> DataFrame:
+    """(family, template, words, pairs, held_out): notices cut from the templates at every
     start and end that leave three quarters, alone (never held out) and with
     corpus prose before or behind, and the sample of prose itself."""
     spark = documents.sparkSession
@@ -159,22 +151,37 @@ def training_rows(documents: DataFrame) -> tuple[DataFrame, list[str]]:
     notices = _with_pairs(cuts.unionByName(mixed.withColumn("alone", F.lit(False))))
     both = notices.unionByName(prose.select(
         F.lit(PROSE).alias("family"), F.lit(0).alias("template"), "words", "pairs", F.lit(False).alias("alone")))
-    return both.withColumn("held_out", ~F.col("alone") & (F.pmod(F.xxhash64("words"), F.lit(4)) == 0)).drop("alone"), cue_words(prose, known)
+    return both.withColumn("held_out", ~F.col("alone") & (F.pmod(F.xxhash64("words"), F.lit(4)) == 0)).drop("alone")
 
 
 class LicenceModel:
-    """The fitted pipeline, its classes, cues, temperature and family threshold."""
+    """The fitted pipeline, its classes, temperature and family threshold."""
 
-    def __init__(self, pipeline: PipelineModel, classes: list[str], cues: list[str], temperature: float = 1.0, threshold: float = 0.5):
-        self.pipeline, self.classes, self.cues, self.temperature, self.threshold = pipeline, classes, cues, temperature, threshold
+    def __init__(self, pipeline: PipelineModel, classes: list[str], temperature: float = 1.0, threshold: float = 0.5):
+        self.pipeline, self.classes, self.temperature, self.threshold = pipeline, classes, temperature, threshold
 
     def probabilities(self, rows: DataFrame) -> DataFrame:
         """``rows`` (words, pairs) with array _p of calibrated probabilities."""
-        raw = vector_to_array("_raw")
-        exp = F.transform(raw, lambda x: F.exp((x - F.array_max(raw)) / self.temperature))
-        return (self.pipeline.transform(rows).withColumn("_e", exp)
+        return self._calibrated(self._scored(rows))
+
+    def notices(self, rows: DataFrame) -> DataFrame:
+        """Those of ``rows``, with _p, that are prose with less than 0.5. All are scored;
+        where prose leads every family by T ln(families) it has 0.5 or more."""
+        scored = self._scored(rows)
+        if PROSE in self.classes:
+            lead = self.temperature * math.log(len(self.classes) - 1) + 1e-6
+            scored = scored.filter(F.size(F.filter("_r", lambda x: x > F.get("_r", F.lit(self.classes.index(PROSE))) - lead)) > 1)
+        return self._calibrated(scored).filter(self.prose() < 0.5)
+
+    def _scored(self, rows: DataFrame) -> DataFrame:
+        return (self.pipeline.transform(_with_features(rows)).withColumn("_r", vector_to_array("_raw"))
+                .drop("_f", "_tf", "_x", "_raw"))
+
+    def _calibrated(self, scored: DataFrame) -> DataFrame:
+        exp = F.transform("_r", lambda x: F.exp((x - F.array_max("_r")) / self.temperature))
+        return (scored.withColumn("_e", exp)
                 .withColumn("_p", F.transform("_e", lambda x: x / F.aggregate("_e", F.lit(0.0), lambda a, b: a + b)))
-                .drop("_tf", "_tf2", "_both", "_x", "_raw", "_e", "_probability", "_predicted"))
+                .drop("_r", "_e"))
 
     def best(self) -> tuple[Column, Column]:
         """The likeliest family, and its probability."""
@@ -188,8 +195,7 @@ class LicenceModel:
 
 
 def fit(documents: DataFrame) -> LicenceModel:
-    rows, cues = training_rows(documents)
-    rows = checkpointed(rows)
+    rows = checkpointed(training_rows(documents))
     classes = sorted([*TEMPLATES, PROSE])
     names = F.array(*[F.lit(c) for c in classes])
     rows = rows.withColumn("label", (F.array_position(names, F.col("family")) - 1).cast("double"))
@@ -200,16 +206,14 @@ def fit(documents: DataFrame) -> LicenceModel:
     rows = rows.join(F.broadcast(weights), ["family", "template"])  # a row per template
     train = rows.filter("not held_out").coalesce(8)  # a bounded sample: every pass sends a gradient from each part
     pipeline = Pipeline(stages=[
-        HashingTF(inputCol="words", outputCol="_tf", numFeatures=FEATURES, binary=True),
-        HashingTF(inputCol="pairs", outputCol="_tf2", numFeatures=FEATURES, binary=True),
-        VectorAssembler(inputCols=["_tf", "_tf2"], outputCol="_both"),
-        Normalizer(inputCol="_both", outputCol="_x"),
+        HashingTF(inputCol="_f", outputCol="_tf", numFeatures=2 * FEATURES, binary=True),
+        Normalizer(inputCol="_tf", outputCol="_x"),
         LogisticRegression(featuresCol="_x", labelCol="label", weightCol="weight", family="multinomial", rawPredictionCol="_raw",
-                           probabilityCol="_probability", predictionCol="_predicted", regParam=1e-5, maxIter=25, standardization=False),
-    ]).fit(train)
-    model = LicenceModel(pipeline, classes, cues)
+                           probabilityCol="", predictionCol="", regParam=1e-5, maxIter=25, standardization=False),
+    ]).fit(_with_features(train))
+    model = LicenceModel(pipeline, classes)
     held = rows.filter("held_out")
-    raw = checkpointed(pipeline.transform(held).select("label", "weight", vector_to_array("_raw").alias("r")))
+    raw = checkpointed(pipeline.transform(_with_features(held)).select("label", "weight", vector_to_array("_raw").alias("r")))
     at = [0.25 * 2 ** (i / 2) for i in range(9)]
     own = F.get("r", F.col("label").cast("int"))
     loss = [F.sum(F.col("weight") * (F.log(F.aggregate("r", F.lit(0.0), lambda a, x: a + F.exp((x - F.array_max("r")) / t)))
@@ -228,8 +232,8 @@ def licences(documents: DataFrame, model: LicenceModel | None = None) -> DataFra
     template of the likeliest family that its words hold."""
     model = model or fit(documents)
     family, p = model.best()
-    rows = _with_pairs(paragraphs(documents, model.cues))
-    found = (model.probabilities(rows).filter(model.prose() < 0.5)
+    rows = _with_pairs(paragraphs(documents))
+    found = (model.notices(rows)
              .select("doc_id", "line", "at", "pairs", family.alias("_family"), p.alias("probability")))
     own = templates(documents.sparkSession).groupBy("family").agg(F.collect_list("t_pairs").alias("_ts")).withColumnRenamed("family", "_family")
     held = F.array_max(F.transform("_ts", lambda t: _held(F.col("pairs"), t)))

@@ -58,3 +58,12 @@ def test_windows_cover_every_word(spark):
     rows = [(1, " ".join(f"w{i}" for i in range(n)))]
     seen = {w for r in L.paragraphs(documents(spark, rows)).collect() for w in r["words"]}
     assert seen == {f"w{i}" for i in range(n)}
+
+
+def test_every_window_is_scored_in_a_small_table(spark):
+    """Common words of a corpus hide no notice, however small the table is."""
+    some = sorted({w for ts in L.TEMPLATES.values() for t in ts for w in t.lower().replace(".", " ").replace(",", " ").split()})
+    rows = [(1, "All rights reserved."), (2, "Released under the MIT License."), (3, " ".join(some[::3])), (4, " ".join(some[1::3])), (5, " ".join(some[2::3]))]
+    rows += [(10 + i, prose(60, i + 1)) for i in range(20)]
+    got = {(r["doc_id"], r["family"]) for r in L.licences(documents(spark, rows)).collect()}
+    assert {(1, "Proprietary"), (2, "MIT")} <= got
