@@ -1,7 +1,7 @@
 """Licence notices found by a trained paragraph classifier.
 
-A paragraph is a line of a text; a longer one is read in overlapping windows of
-``WINDOW`` words. Hashed word 1- and 2-grams of every window feed a multinomial logistic
+A text is read by its lines, in overlapping windows of ``WINDOW`` words where they are longer,
+and in such windows that run over line ends, for notices that are wrapped. Hashed word 1- and 2-grams of every window feed a multinomial logistic
 regression (Spark ML) over licence families and ordinary prose. It is trained
 on notices made from ``TEMPLATES`` (windows of them, some with prose around) and on a
 bounded sample of the corpus's own paragraphs (``SAMPLE`` of those of
@@ -92,19 +92,26 @@ def _pairs(tokens: Column) -> Column:
     return F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def _windows(tokens: Column) -> Column:
-    """(at, words) of the windows of a paragraph; half a window apart."""
+def _windows(tokens: Column, lines: Column) -> Column:
+    """(at, words, lines) of the windows of a paragraph; half a window apart."""
     half = WINDOW // 2
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(tokens) - half - 1), F.lit(half))
-    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice(tokens, i + 1, WINDOW).alias("words")))
+    return F.transform(starts, lambda i: F.struct(
+        i.alias("at"), F.slice(tokens, i + 1, WINDOW).alias("words"), F.slice(lines, i + 1, WINDOW).alias("lines")))
 
 
 def paragraphs(documents: DataFrame) -> DataFrame:
-    """(doc_id, line, at, words): the windows of all lines that hold a word."""
-    lines = documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "_t"))
-    tokens = lines.select("doc_id", "line", _tokens(F.col("_t")).alias("_w")).filter(F.size("_w") > 0)
-    return (tokens.select("doc_id", "line", F.explode(_windows(F.col("_w"))).alias("_win"))
-            .select("doc_id", "line", F.col("_win.at").alias("at"), F.col("_win.words").alias("words")))
+    """(doc_id, line, at, words, lines): the windows of all lines that hold a word, and
+    those of the whole text that hold words of several lines (``at`` counts from its
+    start then). ``lines`` has the line of each word."""
+    tokens = documents.select("doc_id", F.transform(F.split("text", "\n", -1), _tokens).alias("_l"))
+    numbered = tokens.select("doc_id", "_l", F.transform("_l", lambda w, i: F.array_repeat(i, F.size(w))).alias("_i"))
+    joined = numbered.select("doc_id", F.zip_with("_l", "_i", lambda w, i: F.struct(w.alias("w"), i.alias("i"))).alias("_l"),
+                             F.struct(F.flatten("_l").alias("w"), F.flatten("_i").alias("i")).alias("_all"))
+    own = F.flatten(F.transform(F.filter("_l", lambda x: F.size(x["w"]) > 0), lambda x: _windows(x["w"], x["i"])))
+    over = F.filter(_windows(F.col("_all.w"), F.col("_all.i")), lambda x: F.get(x["lines"], F.lit(0)) < F.element_at(x["lines"], -1))
+    return (joined.select("doc_id", F.explode(F.concat(own, F.when(F.size("_all.w") > 0, over).otherwise(F.array()))).alias("_win"))
+            .select("doc_id", F.get("_win.lines", F.lit(0)).alias("line"), "_win.at", "_win.words", "_win.lines"))
 
 
 def _with_pairs(rows: DataFrame) -> DataFrame:
@@ -226,19 +233,27 @@ def fit(documents: DataFrame) -> LicenceModel:
     return model
 
 
+def _span(pairs: Column, t: Column) -> Column:
+    """(held, from) of template pairs ``t`` in a window: the share that is held, and its first
+    word, the latest from which on as many are held."""
+    at = F.transform(F.array_intersect(t, pairs), lambda p: F.array_max(F.transform(pairs, lambda x, i: F.when(x == p, i))))
+    return F.struct(_held(pairs, t).alias("held"), F.array_min(at).alias("from"))
+
+
 def licences(documents: DataFrame, model: LicenceModel | None = None) -> DataFrame:
     """One row per window that reads as a licence notice: doc_id, line, at (first
     word), family (or unknown), probability, and held: the largest share of a
-    template of the likeliest family that its words hold."""
+    template of the likeliest family that its words hold. A window over line ends
+    of a known family has the line of the notice's first word."""
     model = model or fit(documents)
     family, p = model.best()
     rows = _with_pairs(paragraphs(documents))
     found = (model.notices(rows)
-             .select("doc_id", "line", "at", "pairs", family.alias("_family"), p.alias("probability")))
+             .select("doc_id", "line", "at", "lines", "pairs", family.alias("_family"), p.alias("probability")))
     own = templates(documents.sparkSession).groupBy("family").agg(F.collect_list("t_pairs").alias("_ts")).withColumnRenamed("family", "_family")
-    held = F.array_max(F.transform("_ts", lambda t: _held(F.col("pairs"), t)))
-    return (found.join(F.broadcast(own), "_family").withColumn("held", F.round(held, 6))
-            .select("doc_id", "line", "at",
-                    F.when((F.col("probability") >= model.threshold) & (F.col("held") >= HELD), F.col("_family"))
-                    .otherwise(F.lit(UNKNOWN)).alias("family"),
-                    F.round("probability", 9).alias("probability"), "held"))
+    span = F.array_max(F.transform("_ts", lambda t: _span(F.col("pairs"), t)))
+    sure = (F.col("probability") >= model.threshold) & (F.col("_span.held") >= HELD)
+    return (found.join(F.broadcast(own), "_family").withColumn("_span", span)
+            .select("doc_id", F.when(sure, F.get("lines", F.col("_span.from"))).otherwise(F.col("line")).alias("line"), "at",
+                    F.when(sure, F.col("_family")).otherwise(F.lit(UNKNOWN)).alias("family"),
+                    F.round("probability", 9).alias("probability"), F.round("_span.held", 6).alias("held")))

@@ -67,3 +67,20 @@ def test_every_window_is_scored_in_a_small_table(spark):
     rows += [(10 + i, prose(60, i + 1)) for i in range(20)]
     got = {(r["doc_id"], r["family"]) for r in L.licences(documents(spark, rows)).collect()}
     assert {(1, "Proprietary"), (2, "MIT")} <= got
+
+
+def test_wrapped_notices(spark, model):
+    mit = ("Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and\nassociated documentation files "
+           "(the Software), to deal in the Software\nwithout restriction.")
+    bsd = ("Redistribution and use in source and binary forms,\n# with or without modification, are permitted provided\n# that the following "
+           "conditions are met:")
+    apache = ("Unless required by applicable law or agreed to in\n * writing, software distributed under the License is\n * distributed on an "
+              "\"AS IS\" BASIS")
+    rows = [(i, f"{prose(50, i + 1)}\n\n{t}\n\n{prose(50, i + 7)}") for i, t in enumerate((mit, bsd, apache))]
+    rows += [(9, prose(50, 1) + "\nReleased under the MIT License.\n" + prose(50, 2))]
+    got = {}
+    for r in L.licences(documents(spark, rows), model).collect():
+        if r["family"] != L.UNKNOWN:
+            got.setdefault(r["doc_id"], set()).add((r["line"], r["family"]))
+    at = {i: rows[i][1].split("\n\n")[0].count("\n") + 2 for i in range(3)}
+    assert got == {0: {(at[0], "MIT")}, 1: {(at[1], "BSD")}, 2: {(at[2], "Apache-2.0")}, 9: {(prose(50, 1).count("\n") + 1, "MIT")}}
