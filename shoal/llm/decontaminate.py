@@ -7,11 +7,13 @@ of a TF-IDF matrix whose leading right singular vectors come from randomised
 subspace iteration: every iteration is one Spark job that adds up A'(AZ) over
 the rows.
 
-Search: a text is cut into blocks of 8 words. Every run of 2, 4 or 8 blocks is a
+Search: a text is cut into blocks of 8 words. Every run of 2, 4, 8 or 16 blocks is a
 passage; as the projection is linear its latent vector is the sum of those of
 its blocks. A benchmark passage is compared with all text passages of the least
-length that holds it. Where the cosine reaches ``COSINE`` the words around are
-compared: the longest common subsequence must hold ``COMMON`` of the benchmark
+length that holds it wherever it starts. Other words around it add to the overlap (the part of
+the text passage along the benchmark passage) and take nothing from it, so no cosine is asked for:
+where the overlap reaches ``SLACK`` of what the least weighty words that ``COMMON`` allows
+leave, the words around are compared: the longest common subsequence must hold ``COMMON`` of the benchmark
 passage, and of its answer (its last ``ANSWER`` words) ``ANSWERED``.
 
 Scale: documents are never shuffled; a task holds the latent basis of one block
@@ -27,6 +29,8 @@ Other columns are ignored (``leaks``) or carried unchanged (``drop_leaks``).
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -39,13 +43,13 @@ from pyspark.sql import types as T
 from shoal.llm.common import bounded_sample, checkpointed
 
 BLOCK = 8
-RUNS = (2, 4, 8)
+RUNS = (2, 4, 8, 16)
+PASSAGE = 64
 RANK = 128
 SAMPLE_DOCS = 2000
 SAMPLE_WEIGHT = 0.05
 BLOCK_ITEMS = 4096
-COSINE = 0.65
-HELD = 0.65
+SLACK = 0.9
 COMMON = 0.7
 ANSWER = 6
 ANSWERED = 0.5
@@ -66,7 +70,7 @@ def words(text: str | None) -> list[bytes]:
 
 def passages(items: list[tuple[int, str | None]]) -> list[tuple[int, list[bytes]]]:
     """(item_id, words) of each item, long items in overlapping passages."""
-    size = BLOCK * RUNS[-1]
+    size = PASSAGE
     out = []
     for item, text in items:
         w = words(text)
@@ -126,6 +130,13 @@ def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: in
     return z @ u[:, keep[values[keep] > 1e-9]]
 
 
+def _least_share(weights: list[float], ws: list[bytes]) -> float:
+    """The least share of a passage's squared norm that words enough for a leak hold."""
+    tf = Counter(ws)
+    v = np.sort([x * x * tf[w] for x, w in zip(weights, ws)])
+    return v[:math.ceil(COMMON * len(ws) - 1e-9)].sum() / v.sum() if len(ws) >= SHORT else 1.0
+
+
 class Index:
     """Latent vectors of benchmark passages, and the search over texts."""
 
@@ -136,11 +147,11 @@ class Index:
         latent = np.array([self.rows[[self.number[w] for w in ws]].sum(axis=0) for _, ws in items], np.float32)
         self.norm = np.linalg.norm(latent, axis=1)
         latent /= np.maximum(self.norm, 1e-12)[:, None]
-        self.least = np.maximum(HELD * self.norm, 1e-9).astype(np.float32)
-        size = np.array([len(ws) for _, ws in items])
+        share = np.array([_least_share([weights[self.number[w] - 1] for w in ws], ws) for _, ws in items])
+        self.least = np.maximum(SLACK * share * self.norm, 1e-9).astype(np.float32)
+        size = np.array([len(ws) for _, ws in items]) + BLOCK - 1  # whatever word of a block it starts at
         least = [0, *(BLOCK * r for r in RUNS[:-1])]
-        self.of_run = [np.flatnonzero((size > lo) & ((size <= BLOCK * r) | (r == RUNS[-1])))
-                       for lo, r in zip(least, RUNS)]
+        self.of_run = [np.flatnonzero((size > lo) & (size <= BLOCK * r)) for lo, r in zip(least, RUNS)]
         self.latent = [np.ascontiguousarray(latent[at].T) for at in self.of_run]
 
     def search(self, texts) -> list[list[tuple]]:
@@ -155,7 +166,7 @@ class Index:
         return out + self._search_group(group)
 
     def _candidates(self, group: list[list[bytes]]) -> dict[tuple[int, int], list[tuple[float, int, int]]]:
-        """(document, passage) -> (cosine, first block, blocks) at ``COSINE`` or more."""
+        """(document, passage) -> (cosine, first block, blocks) where the overlap is enough."""
         blocks = [-(-len(w) // BLOCK) for w in group]
         starts = np.cumsum([0, *(b + RUNS[-1] for b in blocks)])  # empty blocks keep texts apart
         ids = np.zeros((int(starts[-1]), BLOCK), np.int64)
@@ -179,8 +190,7 @@ class Index:
                 along = here @ latent
                 b, k = np.divmod(np.flatnonzero(along >= self.least[of_run]), len(of_run))
                 cosine = along[b, k] / np.linalg.norm(here[b], axis=1)
-                near = cosine >= COSINE
-                b, k, cosine = b[near], of_run[k[near]], cosine[near]
+                k = of_run[k]
                 docs = np.searchsorted(starts, s + b, "right") - 1
                 for doc, k_, c, first in zip(docs.tolist(), k.tolist(), cosine.tolist(), (s + b - starts[docs]).tolist()):
                     found.setdefault((doc, k_), []).append((c, first, r))
@@ -232,7 +242,7 @@ def fit(documents: DataFrame, items: list[tuple[int, str | None]], rank: int = R
     spark = documents.sparkSession
     own = spark.createDataFrame([([number[w] for w in ws], 1.0) for _, ws in known], "ids array<int>, weight double")
     sample = bounded_sample(documents.select("text"), SAMPLE_DOCS)
-    size = BLOCK * RUNS[-1]
+    size = PASSAGE
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

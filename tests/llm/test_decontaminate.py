@@ -111,3 +111,24 @@ def test_basis_spans_the_leading_directions(spark):
 @pytest.mark.parametrize("text,want", [(None, []), ("", []), ("A-b, C1 é!", [b"a", b"b", b"c1", "é".encode()])])
 def test_words(text, want):
     assert D.words(text) == want
+
+
+def test_every_length_between_words_of_other_items(spark):
+    lengths = (5, 9, 17, 33, 60)
+    items = [(i, item(i, lengths[i % 5])) for i in range(40)]
+    some = sorted({w for _, t in items for w in t.split()})
+    r = np.random.default_rng(3)
+    rows, want = [], set()
+    for i, text in items:
+        ws = text.split()
+        for kind in (0, 100):
+            here = list(ws)
+            if kind and len(ws) > 5:
+                for at in r.choice(len(ws) - D.ANSWER, int(0.28 * len(ws)), replace=False):
+                    here[at] = "changed"
+            before, after = (" ".join(r.choice(some, n)) for n in (20 + int(r.integers(0, 16)), 40))
+            rows.append((kind + i, f"{before} {' '.join(here)} {after}"))
+            want.add((kind + i, i))
+    rows += [(300 + i, prose(300, 300 + i)) for i in range(20)]
+    got = pairs(D.leaks(documents(spark, rows), bench(spark, items)))
+    assert len(want & got) >= 0.97 * len(want) and not got - want
