@@ -7,7 +7,8 @@ numpy runs over all blocks of the page, so each label depends on the whole
 document; blocks labelled main are joined.
 
 Training pages come from a bounded sample (``SAMPLE`` pages of least hash among
-those of up to ``SAMPLE_CHARS`` characters): the element that marks the article
+those with an article or main element, of any length; a page of over ``STEP`` blocks is
+trained on in pieces): the element that marks the article
 gives the labels, and copies of each page get other article wrappers, and
 menus, notices, forms, adverts, sidebars and comments put in and around the
 article from the texts of other pages, so that the labeller learns the names and
@@ -17,7 +18,8 @@ sample; all pages are labelled in tasks, each by itself, in batches of pages.
 Defined results: null, empty and tagless html: a page without tags is one block;
 null and empty give the empty text. Repeated pages give equal results, an empty
 table an empty one (without a page there is no model, and none is needed). Other
-columns are ignored.
+columns are ignored. Where no page has such an element, nothing can be learned, and a rule labels:
+every block outside ``_JUNK_TAGS`` is main.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ from pyspark.sql import types as T
 from shoal.llm.common import bounded_sample
 
 SAMPLE = 240
-SAMPLE_CHARS = 12_000
+STEP = 1024
+_ARTICLE = r"<(article|main)\b[^>]*>"
 COPIES = 4
 EPOCHS = 8
 PATH, WORD, MEASURES = 384, 128, 6
@@ -209,6 +212,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Labeller:
     """tanh layer, bidirectional LSTM, logistic output; trained by Adam."""
 
+    trained = True
+
     def __init__(self, seed: int = 5):
         r = np.random.default_rng(seed)
         mat = lambda a, b: (r.standard_normal((a, b)) / np.sqrt(a)).astype(np.float32)
@@ -302,6 +307,9 @@ class Labeller:
 
     def label(self, pages: list[list[Block]]) -> list[np.ndarray]:
         """Scores of the blocks of each page; pages of like length run together."""
+        if not self.trained:
+            junk = {i for t in _JUNK_TAGS for i in _element_ids(t, "")}
+            return [np.array([float(junk.isdisjoint(b.path)) for b in p], np.float32) for p in pages]
         step = 1024
         z = [np.concatenate([self.inner(features(p, i, i + step)) for i in range(0, len(p), step)]) for p in pages if p]
         index = [i for i, p in enumerate(pages) if p]
@@ -405,17 +413,19 @@ def training_pages(pages: list[str], copies: int = COPIES, seed: int = 17) -> li
         for k in range(copies):
             marked = _copy(page, texts, r, plain=k == 0)
             bs = blocks(marked) if marked else []
-            if bs:
-                out.append((features(bs), np.array([b.main for b in bs], np.float32)))
+            for i in range(0, len(bs), STEP):
+                out.append((features(bs, i, i + STEP), np.array([b.main for b in bs[i:i + STEP]], np.float32)))
     return out
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
     """The labeller trained on a bounded sample of ``pages`` (html)."""
-    short = pages.select("html").filter(F.length("html").between(1, SAMPLE_CHARS))
-    some = [r["html"] for r in bounded_sample(short, sample).collect()]
+    marked = pages.select("html").filter(F.col("html").rlike(_ARTICLE))
+    some = [r["html"] for r in bounded_sample(marked, sample).collect()]
     model = Labeller()
-    model.train(training_pages(some))
+    known = training_pages(some)
+    model.train(known)
+    model.trained = bool(known)
     return model
 
 

@@ -106,3 +106,17 @@ def test_awkward_rows(spark, model):
 
 def test_empty_table(spark):
     assert H.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def pages_table(spark, html):
+    return spark.createDataFrame([(i, "u", x) for i, x in enumerate(html)], "page_id long, url string, html string")
+
+
+def test_long_pages_alone_and_pages_without_an_article(spark):
+    long = [f"<body><nav><ul><li><a href=x>menu {i}</a></li></ul></nav><article>" + f"<p>Some words of long page {i} stand here.</p>" * 400
+            + "</article><footer><p>end</p></footer></body>" for i in range(12)]
+    got = H.extract(pages_table(spark, [*long, "<p>stub</p>"])).collect()
+    for r in got[:12]:
+        assert r["text"].count("long page") == 400 and "menu" not in r["text"]
+    bare = H.extract(pages_table(spark, ["<body><nav><p>menu</p></nav><p>Words.</p><footer><p>end</p></footer></body>"])).collect()
+    assert bare[0]["text"] == "Words."
