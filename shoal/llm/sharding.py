@@ -7,7 +7,8 @@ largest group first. What is placed one by one is bounded by constants, not by
 the data: groups below 1/``PACKETS`` of every total are dealt by hash into
 ``PACKETS`` packets, so at most ``PACKETS`` packets and 3 * ``PACKETS`` large
 groups are known to the driver and broadcast. A group beyond a quarter of a
-shard is dealt by doc_id into pieces of about that size.
+shard is dealt into pieces of about that size by the hash of a row's place in the input, so
+that repeated rows are dealt too.
 
 Rows are numbered within a shard from per-split counts and their running sum;
 a window holds the rows of one split of the input at most.
@@ -50,11 +51,11 @@ def pack(items: np.ndarray, shards: int) -> np.ndarray:
     return out
 
 
-def _with_keys(rows: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _with_keys(rows: DataFrame, text: str) -> DataFrame:
     text = F.coalesce(F.col(text), F.lit(""))
     return rows.withColumns({
         "_size": (F.octet_length(text) + 1).cast("long"), "_crc": F.crc32(text.cast("binary")),
-        "_key": F.xxhash64(text), "_piece": F.xxhash64(F.col(doc_id))})
+        "_key": F.xxhash64(text), "_piece": F.xxhash64(F.monotonically_increasing_id())})
 
 
 def assign(rows: DataFrame, shards: int = SHARDS, packets: int = PACKETS) -> tuple[DataFrame, DataFrame]:
@@ -104,7 +105,7 @@ def number(rows: DataFrame) -> DataFrame:
 
 
 def _counted(documents: DataFrame) -> DataFrame:
-    return checkpointed(_with_keys(documents, "doc_id", "text").select(
+    return checkpointed(_with_keys(documents, "text").select(
         "doc_id", "_size", "_crc", "_key", "_piece", tokens(F.col("text")).alias("tokens"),
         F.spark_partition_id().alias("_split"), F.monotonically_increasing_id().alias("_n")))
 
@@ -122,7 +123,7 @@ def write_shards(documents: DataFrame, path: str, shards: int = SHARDS, files: i
     """``documents`` as Parquet in one folder ``_shard=k`` per shard, each
     written by ``files`` tasks."""
     held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
-    rows = _with_keys(held.withColumns({"_id": F.col("_row.doc_id"), "_text": F.col("_row.text")}), "_id", "_text")
+    rows = _with_keys(held.withColumn("_text", F.col("_row.text")), "_text")
     placed = place(rows, *assign(_counted(documents), shards))
     (placed.select("_row.*", "_shard").repartition(shards * files, "_shard", F.pmod(F.xxhash64("doc_id"), F.lit(files)))
      .write.partitionBy("_shard").parquet(path))

@@ -72,3 +72,11 @@ def test_written_shards_hold_every_row(spark, tmp_dir):
     assert back.drop("_shard").exceptAll(df).count() == 0 and back.count() == len(rows)
     planned = {r["doc_id"]: r["shard"] for r in H.shard_table(df).collect()}
     assert all(planned[r["doc_id"]] == r["_shard"] for r in back.select("doc_id", F.col("_shard")).collect())
+
+
+def test_a_third_of_the_rows_is_one_repeated_row(spark):
+    rows = [(i, prose(50, i + 1)) for i in range(2000)] + [(None, prose(50, 9999))] * 1000
+    got = H.shard_table(documents(spark, rows)).collect()
+    check(rows, got)
+    sums = np.bincount([r["shard"] for r in got], [r["size"] for r in got], 8)
+    assert sums.max() / sums.mean() < 1.1
