@@ -91,5 +91,93 @@ FROM base b LEFT JOIN limits t ON b.lang IS NOT DISTINCT FROM t.lang AND b.sourc
 """
 
 
+UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+
+OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT k, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {UPPER}, {LOWER}) AS key FROM lines),
+repeated AS (SELECT key AS r FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT k) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(r) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (r IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN repeated ON key = r GROUP BY k, doc_id
+"""
+
+#: CRC-32 by its table of 256 registers, which the rule below makes.
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END)) AS t)"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text, beside the table ``crc_table``."""
+    return (f"xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+            "lambda b: ('0x' || b)::UBIGINT)), lambda c, b: xor(c // 256, t[(xor(c, b) % 256 + 1)::BIGINT])))::BIGINT")
+
+
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+found AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), {UPPER}, {LOWER}) AS run
+  FROM documents),
+runs AS (SELECT doc, run, count(*) AS n FROM found WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc("doc || ':' || run")} AS h FROM runs, crc_table),
+thinned AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM thinned WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+holes AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word)::BIGINT)) AS i FROM words)),
+pairs AS (
+  SELECT DISTINCT a.word AS a, b.word AS b, a.n AS a_n, b.n AS b_n FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word < b.word
+  UNION SELECT DISTINCT a.word, b.word, a.n, b.n FROM holes a JOIN words b ON a.rest = b.word),
+both_ways AS (SELECT a AS w, b AS near, b_n AS near_n FROM pairs UNION SELECT b, a, a_n FROM pairs),
+best AS (
+  SELECT w, near, near_n, count(*) OVER (PARTITION BY w) AS n_near,
+         row_number() OVER (PARTITION BY w ORDER BY near_n DESC, encode(near)) AS k FROM both_ways),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+         CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best ON word = w AND k = 1),
+walk AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN forms f ON walk.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN walk w ON f.word = w.word JOIN forms e ON w.at = e.word AND e.form IS NULL
+"""
+
+OP13 = f"""
+WITH {_CRC_TABLE},
+texts AS (
+  SELECT true AS doc, row_number() OVER () AS k, doc_id, text FROM documents
+  UNION ALL SELECT false, row_number() OVER (), NULL, text FROM benchmark),
+split AS (
+  SELECT doc, k, doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER}, {LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM texts),
+grams AS (
+  SELECT doc, k, unnest(list_concat(w, list_transform(range(len(w) - 1), lambda i: w[i + 1] || ' ' || w[i + 2]),
+                                    list_transform(range(len(w) - 2), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]))) AS g
+  FROM split),
+codes AS (SELECT g, {_crc("g")} % 10000 AS bucket FROM (SELECT DISTINCT g FROM grams), crc_table),
+counted AS (SELECT doc, k, bucket, count(*) AS n FROM grams JOIN codes USING (g) GROUP BY ALL),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (doc), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (NOT doc), 0)::DOUBLE AS t FROM counted GROUP BY bucket),
+totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM sums),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM sums, totals),
+weighed AS (SELECT k, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM counted JOIN gains USING (bucket) WHERE doc GROUP BY k),
+scored AS (
+  SELECT doc_id, len(w) >= 20 AS fit, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 8))::UBIGINT::DOUBLE + 0.5)
+                                                    / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM split LEFT JOIN weighed USING (k) WHERE doc),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST) AS r, 5 * count(*) OVER (PARTITION BY fit) // 100 AS drawn
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND r <= drawn THEN r END AS rank FROM ranked
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op3_quality_rules": _op3(), "op5_url_filters": OP5}
+    return {"op3_quality_rules": _op3(), "op5_url_filters": OP5, "op11_line_dedup": OP11, "op12_spelling_variants": OP12,
+            "op13_importance_resampling": OP13}

@@ -63,7 +63,23 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.line_dedup import line_report
+    return line_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.spelling import spelling_variants
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.llm.importance import importance_ranks
+    return importance_ranks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_suffix_dedup, op3_quality_rules, op4_mixing, op5_url_filters, op6_sharding, op7_decontamination,
-        op8_quality_classifier, op9_licenses, op10_html_extraction)}
+        op8_quality_classifier, op9_licenses, op10_html_extraction, op11_line_dedup, op12_spelling_variants,
+        op13_importance_resampling)}

@@ -1,0 +1,77 @@
+"""Line dedup against a plain count of every line."""
+
+import hashlib
+from collections import Counter
+
+from shoal.llm import line_dedup as L
+from tests.llm.helpers import SMALL, awkward, documents, prose
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def key(line):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(SPACES))
+
+
+def brute(texts, min_docs=10):
+    split = [(t or "").split("\n") for t in texts]
+    docs = Counter(k for ls in split for k in {key(x) for x in ls} if k)
+    out = []
+    for ls in split:
+        kept = [x for x in ls if docs[key(x)] < min_docs]
+        out.append((len(ls), len(ls) - len(kept), "\n".join(kept)))
+    return out
+
+
+def check(rows, got, min_docs=10):
+    want = [(str(d), n, k, hashlib.sha256(t.encode()).hexdigest()) for (d, _), (n, k, t) in zip(rows, brute([t for _, t in rows], min_docs))]
+    assert sorted((str(r["doc_id"]), r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in got) == sorted(want)
+
+
+def cases():
+    common = ["  Read MORE here\t", "read more here", "READ more HERE \x0b"]
+    rows = [(i, prose(40, i) + "\n" + common[i % 3] + "\n\n" + ("é Ü same" if i < 10 else "é ü same") + f"\n{common[0]}") for i in range(12)]
+    rows += [(100, common[1]), (101, None), (102, ""), (103, "\n\n"), (104, "Read more\xa0here"), (None, common[1]), (None, common[1]),
+             (105, "É ü same\r\nlast"), (106, "x" * 50_000 + "\n" + "\n".join(f"line {k}" for k in range(20_000)) + "\n" + common[0])]
+    return rows + [(200, "copy one\ncopy two")] * 6 + [(200 + i, "copy one\nown") for i in range(4)]
+
+
+def test_positions_go_and_the_rest_stays(spark):
+    rows = cases()
+    check(rows, L.line_report(documents(spark, rows, clash=True)).collect())
+
+
+def test_common_keys_take_the_same_way(spark, monkeypatch):
+    monkeypatch.setattr(L, "HOT", 10 ** 9)  # every key is common
+    rows = cases()
+    check(rows, L.line_report(documents(spark, rows)).collect())
+    monkeypatch.setattr(L, "HOT", 1)  # none is
+    check(rows, L.line_report(documents(spark, rows)).collect())
+
+
+def test_table_and_awkward_rows(spark):
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    check([(r["doc_id"], r["text"]) for r in df.collect()], L.line_report(df).collect())
+    rows = [r[:2] for r in awkward()]
+    check(rows, L.line_report(documents(spark, awkward(), clash=True), 2).collect(), 2)
+
+
+def test_documents_come_back(spark):
+    rows = cases()
+    df = documents(spark, rows, clash=True)
+    got = L.drop_repeated_lines(df)
+    assert got.columns == df.columns
+    want = [(str(d), None if t is None else b[2]) for (d, t), b in zip(rows, brute([t for _, t in rows]))]
+    assert sorted(((str(r["doc_id"]), r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert L.drop_repeated_lines(documents(spark, [])).collect() == [] and L.line_report(documents(spark, [])).collect() == []
+
+
+def test_short_keys_stay(spark):
+    rows = [(i, f"ab\nabc\nown {i}") for i in range(10)]
+    got = L.drop_repeated_lines(documents(spark, rows), min_chars=3).collect()
+    assert {r["text"] for r in got} == {f"ab\nown {i}" for i in range(10)}
+
+
+def test_no_python_in_the_plan(spark):
+    plan = L.line_report(spark.read.parquet(f"{SMALL}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
