@@ -11,8 +11,9 @@ Scale: copies of a text meet once, map-side first, and are one row from then
 on, so a group of copies costs no more than one of them. Only digests and
 positions are exploded and shuffled, never the lines. Keys with over 1/``HOT`` of
 all lines are fewer than ``HOT`` and are broadcast; no other key can fill a
-task. Documents are shuffled once, to the positions of their text; there the
-copies of one text are a skewed join, which adaptive execution splits.
+task. Documents are shuffled once, to the positions of their text; texts with over
+1/``HOT`` of all documents (fewer than ``HOT``) are dealt over so many pieces that
+none has more.
 
 Defined results: each row is a document, so repeated rows and rows without
 doc_id count as often as they occur. A null or empty text has one empty line and
@@ -52,11 +53,14 @@ def _rows(documents: DataFrame) -> DataFrame:
     return held.withColumn("_t", F.md5(F.coalesce("_row.text", F.lit(""))))
 
 
-def repeated_positions(documents: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(t, positions): the lines to drop of every distinct text (by digest) that
-    has any, counted from 0."""
-    texts = checkpointed(documents.select(F.md5(F.coalesce("text", F.lit(""))).alias("t"), line_keys(F.col("text"), min_chars).alias("keys"))
-                         .groupBy("t").agg(F.first("keys").alias("keys"), F.count("*").alias("copies")))
+def _texts(documents: DataFrame, min_chars: int) -> DataFrame:
+    """(t, keys, copies) of every distinct text, by its digest."""
+    return checkpointed(documents.select(F.md5(F.coalesce("text", F.lit(""))).alias("t"), line_keys(F.col("text"), min_chars).alias("keys"))
+                        .groupBy("t").agg(F.first("keys").alias("keys"), F.count("*").alias("copies")))
+
+
+def repeated_positions(texts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(t, positions): the lines to drop of every text that has any, counted from 0."""
     found = checkpointed(texts.select("copies", F.explode(F.array_distinct("keys")).alias("key")).filter("key is not null")
                          .groupBy("key").agg(F.sum("copies").alias("docs"), F.count("*").alias("n")).filter(F.col("docs") >= min_docs))
     total = texts.agg(F.sum(F.size("keys"))).first()[0] or 0
@@ -77,9 +81,16 @@ def _without(text: Column, positions: Column) -> Column:
 
 def _cut(documents: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     """(_row, _lines, _dropped, _kept) of every document."""
-    drops = repeated_positions(documents, min_docs, min_chars).withColumnRenamed("t", "_t")
+    texts = _texts(documents, min_chars)
+    share = (texts.agg(F.sum("copies")).first()[0] or 0) // HOT + 1  # documents of a piece
+    pieces = F.broadcast(texts.filter(F.col("copies") > share).select(F.col("t").alias("_hot"), F.ceil(F.col("copies") / share).alias("_pieces")))
+    many = F.coalesce("_pieces", F.lit(1))
+    drops = (repeated_positions(texts, min_docs).join(pieces, F.col("t") == F.col("_hot"), "left")
+             .select("t", "positions", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)).alias("piece")))
+    rows = (_rows(documents).join(pieces, F.col("_t") == F.col("_hot"), "left")
+            .withColumn("_piece", F.pmod(F.monotonically_increasing_id(), many)))
     text = F.col("_row.text")
-    return (_rows(documents).join(drops, "_t", "left")
+    return (rows.join(drops, (F.col("_t") == F.col("t")) & (F.col("_piece") == F.col("piece")), "left")
             .select("_row", F.size(lines(text)).cast("long").alias("_lines"),
                     F.when(F.col("positions").isNull(), F.lit(0)).otherwise(F.size("positions")).cast("long").alias("_dropped"),
                     F.when(F.col("positions").isNull(), text).otherwise(_without(text, F.col("positions"))).alias("_kept")))

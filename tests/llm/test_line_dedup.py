@@ -45,7 +45,7 @@ def test_common_keys_take_the_same_way(spark, monkeypatch):
     monkeypatch.setattr(L, "HOT", 10 ** 9)  # every key is common
     rows = cases()
     check(rows, L.line_report(documents(spark, rows)).collect())
-    monkeypatch.setattr(L, "HOT", 1)  # none is
+    monkeypatch.setattr(L, "HOT", 1)  # none is; above, each copy of a text is a piece
     check(rows, L.line_report(documents(spark, rows)).collect())
 
 
