@@ -11,6 +11,12 @@ that at most ``FALSE_RATE`` of held-out prose reaches. A paragraph that the
 classifier takes for a licence, but whose best family stays below the threshold or
 whose words hold none of the family's templates, is of family ``unknown``.
 
+Every window is scored, most of them without the model itself: each word and word
+pair of a text is hashed once, and a window's distinct codes are summed over the
+largest lead that any family's coefficient has over prose's. Where that sum keeps
+every family so far behind that prose has 0.5 or more, which is a bound and no
+estimate, the window is done; the others are scored by the model.
+
 All steps are JVM-side DataFrame and Spark ML operations; only the model, and counts
 per class, reach the driver. Documents are read in one pass and not shuffled.
 
@@ -23,9 +29,10 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -92,25 +99,52 @@ def _pairs(tokens: Column) -> Column:
     return F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def _windows(tokens: Column, lines: Column) -> Column:
-    """(at, words, lines) of the windows of a paragraph; half a window apart."""
+def _codes(words: Column, last: bool = False) -> Column:
+    """Feature codes of words and pairs by turns: word, pair with the next, next word...
+    The codes of ``n`` words from the i-th on are the 2n - 1 from place 2i on. With
+    ``last`` the list ends with the null of the last word's pair."""
+    word = lambda a: F.pmod(F.hash(a), F.lit(FEATURES))
+    pair = lambda a, b: F.when(b.isNotNull(), F.pmod(F.hash(F.lit(1), a, b), F.lit(FEATURES)) + FEATURES)
+    after = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+    both = F.flatten(F.zip_with(words, after, lambda a, b: F.array(word(a), pair(a, b))))
+    return both if last else F.filter(both, lambda x: x.isNotNull())
+
+
+def _once(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` with its columns computed before, not inside, what uses them: no
+    projection or filter passes a generator."""
+    return df.select(F.inline(F.array(F.struct(*(cols or df.columns)))))
+
+
+def _starts(n: Column) -> Column:
     half = WINDOW // 2
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(tokens) - half - 1), F.lit(half))
-    return F.transform(starts, lambda i: F.struct(
-        i.alias("at"), F.slice(tokens, i + 1, WINDOW).alias("words"), F.slice(lines, i + 1, WINDOW).alias("lines")))
+    return F.sequence(F.lit(0), F.greatest(F.lit(0), n - half - 1), F.lit(half))
 
 
-def paragraphs(documents: DataFrame) -> DataFrame:
+def paragraphs(documents: DataFrame, wanted=None) -> DataFrame:
     """(doc_id, line, at, words, lines): the windows of all lines that hold a word, and
     those of the whole text that hold words of several lines (``at`` counts from its
-    start then). ``lines`` has the line of each word."""
-    tokens = documents.select("doc_id", F.transform(F.split("text", "\n", -1), _tokens).alias("_l"))
-    numbered = tokens.select("doc_id", "_l", F.transform("_l", lambda w, i: F.array_repeat(i, F.size(w))).alias("_i"))
-    joined = numbered.select("doc_id", F.zip_with("_l", "_i", lambda w, i: F.struct(w.alias("w"), i.alias("i"))).alias("_l"),
-                             F.struct(F.flatten("_l").alias("w"), F.flatten("_i").alias("i")).alias("_all"))
-    own = F.flatten(F.transform(F.filter("_l", lambda x: F.size(x["w"]) > 0), lambda x: _windows(x["w"], x["i"])))
-    over = F.filter(_windows(F.col("_all.w"), F.col("_all.i")), lambda x: F.get(x["lines"], F.lit(0)) < F.element_at(x["lines"], -1))
-    return (joined.select("doc_id", F.explode(F.concat(own, F.when(F.size("_all.w") > 0, over).otherwise(F.array()))).alias("_win"))
+    start then). ``lines`` has the line of each word. ``wanted``: a condition on the
+    codes of a window's words, which the others lack."""
+    split = _once(documents.select("doc_id", F.transform(F.split("text", "\n", -1), _tokens).alias("_l")))
+    flat = split.select("doc_id", F.flatten("_l").alias("_w"),
+                        F.flatten(F.transform("_l", lambda w, i: F.array_repeat(i, F.size(w)))).alias("_i"),
+                        F.filter(F.transform("_l", lambda w: F.size(w)), lambda n: n > 0).alias("_n"))
+    flat = _once(flat.filter(F.size("_w") > 0))
+    heads = F.filter(F.sequence(F.lit(0), F.size("_w") - 1),
+                     lambda j: (j == 0) | (F.get("_i", j) != F.get("_i", F.greatest(j - 1, F.lit(0)))))
+    codes = [_codes(F.col("_w"), last=True).alias("_c")] if wanted is not None else []
+    flat = _once(flat.select("doc_id", "_w", "_i", "_n", heads.alias("_h"), *codes))
+    window = lambda first, at, n: F.struct(first.alias("s"), at.alias("at"), F.least(F.lit(WINDOW), n).alias("n"))
+    own = F.flatten(F.zip_with("_h", "_n", lambda h, n: F.transform(_starts(n), lambda j: window(h + j, j, n - j))))
+    over = F.filter(F.transform(_starts(F.size("_w")), lambda j: window(j, j, F.size("_w") - j)),
+                    lambda x: F.get("_i", x["s"]) < F.get("_i", x["s"] + x["n"] - 1))
+    some = F.concat(own, over)
+    if wanted is not None:
+        some = F.filter(some, lambda x: wanted(F.slice("_c", 2 * x["s"] + 1, 2 * x["n"] - 1)))
+    cut = F.transform(some, lambda x: F.struct(
+        x["at"].alias("at"), F.slice("_w", x["s"] + 1, x["n"]).alias("words"), F.slice("_i", x["s"] + 1, x["n"]).alias("lines")))
+    return (flat.select("doc_id", F.explode(cut).alias("_win"))
             .select("doc_id", F.get("_win.lines", F.lit(0)).alias("line"), "_win.at", "_win.words", "_win.lines"))
 
 
@@ -119,7 +153,7 @@ def _with_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _with_features(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("_f", F.concat("words", "pairs"))
+    return rows.withColumn("_f", _codes(F.col("words")).cast("array<string>"))
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -171,14 +205,27 @@ class LicenceModel:
         """``rows`` (words, pairs) with array _p of calibrated probabilities."""
         return self._calibrated(self._scored(rows))
 
+    def bound(self):
+        """A condition on the codes of a window: not shown to be prose with 0.5 or
+        more. That holds where prose leads every family by T ln(families), and
+        the largest lead of any family's coefficient is summed for all of them."""
+        lr = self.pipeline.stages[-1]
+        weights, intercepts = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()
+        own = self.classes.index(PROSE)
+        rest = np.delete(np.arange(len(self.classes)), own)
+        ahead = F.lit((weights[rest] - weights[own]).max(axis=0))
+        least = -float((intercepts[rest] - intercepts[own]).max()) - self.temperature * math.log(len(rest)) - 1e-6
+
+        def wanted(codes: Column) -> Column:
+            def lead(c: Column) -> Column:
+                return F.aggregate(c, F.lit(0.0), lambda a, x: a + F.get(ahead, x)) / F.sqrt(F.size(c).cast("double"))
+            return F.get(F.transform(F.array(F.array_distinct(codes)), lead), F.lit(0)) > least
+
+        return wanted
+
     def notices(self, rows: DataFrame) -> DataFrame:
-        """Those of ``rows``, with _p, that are prose with less than 0.5. All are scored;
-        where prose leads every family by T ln(families) it has 0.5 or more."""
-        scored = self._scored(rows)
-        if PROSE in self.classes:
-            lead = self.temperature * math.log(len(self.classes) - 1) + 1e-6
-            scored = scored.filter(F.size(F.filter("_r", lambda x: x > F.get("_r", F.lit(self.classes.index(PROSE))) - lead)) > 1)
-        return self._calibrated(scored).filter(self.prose() < 0.5)
+        """Those of ``rows`` (words, pairs), with _p, that are prose with less than 0.5."""
+        return _once(self._calibrated(_once(self._scored(rows)))).filter(self.prose() < 0.5)
 
     def _scored(self, rows: DataFrame) -> DataFrame:
         return (self.pipeline.transform(_with_features(rows)).withColumn("_r", vector_to_array("_raw"))
@@ -203,7 +250,7 @@ class LicenceModel:
 
 def fit(documents: DataFrame) -> LicenceModel:
     rows = checkpointed(training_rows(documents))
-    classes = sorted([*TEMPLATES, PROSE])
+    classes = sorted([*TEMPLATES, *([] if rows.filter(F.col("family") == PROSE).isEmpty() else [PROSE])])
     names = F.array(*[F.lit(c) for c in classes])
     rows = rows.withColumn("label", (F.array_position(names, F.col("family")) - 1).cast("double"))
     sizes = rows.groupBy("family", "template").count()
@@ -213,7 +260,7 @@ def fit(documents: DataFrame) -> LicenceModel:
     rows = rows.join(F.broadcast(weights), ["family", "template"])  # a row per template
     train = rows.filter("not held_out").coalesce(8)  # a bounded sample: every pass sends a gradient from each part
     pipeline = Pipeline(stages=[
-        HashingTF(inputCol="_f", outputCol="_tf", numFeatures=2 * FEATURES, binary=True),
+        CountVectorizerModel.from_vocabulary([str(i) for i in range(2 * FEATURES)], "_f", "_tf", binary=True),
         Normalizer(inputCol="_tf", outputCol="_x"),
         LogisticRegression(featuresCol="_x", labelCol="label", weightCol="weight", family="multinomial", rawPredictionCol="_raw",
                            probabilityCol="", predictionCol="", regParam=1e-5, maxIter=25, standardization=False),
@@ -247,7 +294,7 @@ def licences(documents: DataFrame, model: LicenceModel | None = None) -> DataFra
     of a known family has the line of the notice's first word."""
     model = model or fit(documents)
     family, p = model.best()
-    rows = _with_pairs(paragraphs(documents))
+    rows = _with_pairs(paragraphs(documents, model.bound() if PROSE in model.classes else None))
     found = (model.notices(rows)
              .select("doc_id", "line", "at", "lines", "pairs", family.alias("_family"), p.alias("probability")))
     own = templates(documents.sparkSession).groupBy("family").agg(F.collect_list("t_pairs").alias("_ts")).withColumnRenamed("family", "_family")
