@@ -4,7 +4,8 @@ A 64-bit fingerprint is cut into two segments of 32 bits. If two fingerprints
 differ in at most three bits, one of their segments differs in at most one, so
 the pair agrees on that segment as it is or with one position made a wildcard.
 Every distinct fingerprint is therefore indexed under 2 * (32 + 1) keys; equal
-keys meet in one shuffle, and the full distance is verified there.
+keys meet in one shuffle, and the full distance is verified there. Keys without a
+second member, nearly all, are dropped before the verifying tasks see them.
 
 Scale: copies collapse to one fingerprint before anything is indexed. A bucket
 yields a spanning forest of its verified links, never all its pairs, so links
@@ -28,7 +29,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,7 @@ DISTANCE = 3
 SEED = 42
 BUCKET = 256
 HOT = 500
+SPREAD = 20_000  # fingerprints per task that makes their keys
 _STEP = 255
 
 
@@ -179,8 +181,19 @@ def _bucket_mapper(distance: int, most: int | None):
     return over
 
 
-def _sorted_buckets(df: DataFrame, *keys: str) -> DataFrame:
-    return df.repartition(*keys).sortWithinPartitions(*keys)
+def _shared_buckets(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows (keys, fp) whose bucket has another member, whole buckets together and in
+    order. Nearly every bucket holds one fingerprint; these never leave the JVM."""
+    w = Window.partitionBy(*keys).orderBy("fp")
+    others = df.withColumns({"_before": F.lag("fp").over(w), "_after": F.lead("fp").over(w)})
+    return others.filter("_before is not null or _after is not null").select(*keys, "fp")
+
+
+def _spread(fingerprints: DataFrame) -> DataFrame:
+    """The distinct fingerprints dealt anew: as few bytes they come in few parts, but each
+    becomes 66 rows."""
+    parts = max(fingerprints.sparkSession.sparkContext.defaultParallelism, fingerprints.count() // SPREAD + 1)
+    return fingerprints.repartition(parts, "fp")
 
 
 def links(fingerprints: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
@@ -189,17 +202,17 @@ def links(fingerprints: DataFrame, distance: int = DISTANCE, bucket: int = BUCKE
     if not 0 <= distance <= 3:
         raise ValueError("two segments serve distances up to 3")
     schema = "a long, b long, key long"
-    keyed = fingerprints.select("fp", F.explode(F.concat(
+    keyed = _spread(fingerprints).select("fp", F.explode(F.concat(
         _wild_keys(_segments(F.col("fp"), 0, 32), 32, 0),
         _wild_keys(_segments(F.col("fp"), 32, 32), 32, 33))).alias("key"))
-    first = checkpointed(_sorted_buckets(keyed.select("key", "fp"), "key").mapInPandas(_bucket_mapper(distance, bucket), schema))
+    first = checkpointed(_shared_buckets(keyed.select("key", "fp"), "key").mapInPandas(_bucket_mapper(distance, bucket), schema))
     # what shares a key of one segment is indexed by the halves of the other
     other = F.when(F.shiftright("key", 32) < 33, _segments(F.col("a"), 32, 32)).otherwise(_segments(F.col("a"), 0, 32))
     again = (first.filter("key >= 0").select("key", F.col("a").alias("fp"), other.alias("o"))
              .select("key", "fp", F.explode(F.concat(
                  _wild_keys(_segments(F.col("o"), 0, 16), 16, 0), _wild_keys(_segments(F.col("o"), 16, 16), 16, 17))).alias("sub"))
              .select("key", "sub", "fp"))
-    second = _sorted_buckets(again, "key", "sub").mapInPandas(_bucket_mapper(distance, None), schema)
+    second = _shared_buckets(again, "key", "sub").mapInPandas(_bucket_mapper(distance, None), schema)
     return first.filter("key = -1").select("a", "b").unionByName(second.select("a", "b"))
 
 
