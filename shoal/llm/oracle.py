@@ -30,22 +30,23 @@ SELECT page_id, host, path, rule,
 FROM fits WHERE k = 1
 """
 
-#: The sketch's buckets and fences as in ``quality_rules``: (ratio, numerator, denominator, lower fence?, slack).
-_RATIOS = (("symbol_ratio", "n_symbols", "word_chars", False, 0.05), ("dup_line_ratio", "n_dup_lines", "n_lines", False, 0.5),
-           ("repeat_ratio", "n_repeat_words", "n_words", False, 0.35), ("word_length", "word_chars", "n_words", True, 2.0))
+#: The sketch's buckets and fences as in ``quality_rules``: (ratio, numerator, denominator, lower fence?, tail, slack).
+_RATIOS = (("symbol_ratio", "n_symbols", "word_chars", False, 0.75, 0.02), ("dup_line_ratio", "n_dup_lines", "n_lines", False, 0.99, 0.1),
+           ("repeat_ratio", "n_repeat_words", "n_words", False, 0.99, 0.1), ("word_length", "word_chars", "n_words", True, 0.75, 0.5))
 
 
 def _op3() -> str:
     values = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS ratio, CAST({n} AS double) / {d} AS x FROM base WHERE NOT base_failed"
-                                for k, n, d, _, _ in _RATIOS)
+                                for k, n, d, *_ in _RATIOS)
     fence = ", ".join(
-        f"max(CASE WHEN ratio = '{k}' THEN greatest(q3 + 3.0 * (q3 - q1), q2 + {slack}) END) AS {k}_hi"
-        + (f", max(CASE WHEN ratio = '{k}' THEN least(q1 - 3.0 * (q3 - q1), q2 - {slack}) END) AS {k}_lo" if below else "")
-        for k, _, _, below, slack in _RATIOS)
-    names = [f"{k}_hi" for k, *_ in _RATIOS] + [f"{k}_lo" for k, _, _, below, _ in _RATIOS if below]
+        f"max(CASE WHEN ratio = '{k}' THEN greatest(q3 + 3.0::DOUBLE * (q3 - q1), qt) + {slack}::DOUBLE END) AS {k}_hi"
+        + (f", max(CASE WHEN ratio = '{k}' THEN q1 - 3.0::DOUBLE * (q3 - q1) - {slack}::DOUBLE END) AS {k}_lo" if below else "")
+        for k, _, _, below, _, slack in _RATIOS)
+    tails = "CASE ratio " + " ".join(f"WHEN '{k}' THEN {tail}::DOUBLE" for k, _, _, _, tail, _ in _RATIOS) + " END"
+    names = [f"{k}_hi" for k, *_ in _RATIOS] + [f"{k}_lo" for k, _, _, below, *_ in _RATIOS if below]
     picked = ", ".join(f"CASE WHEN g.rows >= 100 THEN g.{c} WHEN l.rows >= 100 THEN l.{c} ELSE e.{c} END AS {c}" for c in names)
     inside = " AND ".join(f"CAST({n} AS double) / nullif({d}, 0) <= {k}_hi" + (f" AND CAST({n} AS double) / nullif({d}, 0) >= {k}_lo" if below else "")
-                          for k, n, d, below, _ in _RATIOS)
+                          for k, n, d, below, *_ in _RATIOS)
     return f"""
 WITH docs AS (
   SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS text,
@@ -78,7 +79,7 @@ running AS (
          CASE WHEN bucket IS NULL THEN 0.0 ELSE 2 * pow(1.02::DOUBLE, bucket) / 2.02::DOUBLE END AS v FROM sketch),
 quartiles AS (
   SELECT level, lang, source, ratio, max(rows) AS rows, min(v) FILTER (WHERE upto >= 0.25 * rows) AS q1,
-         min(v) FILTER (WHERE upto >= 0.5 * rows) AS q2, min(v) FILTER (WHERE upto >= 0.75 * rows) AS q3
+         min(v) FILTER (WHERE upto >= 0.75 * rows) AS q3, min(v) FILTER (WHERE upto >= {tails} * rows) AS qt
   FROM running GROUP BY level, lang, source, ratio),
 fences AS (SELECT level, lang, source, max(rows) AS rows, {fence} FROM quartiles GROUP BY level, lang, source),
 limits AS (

@@ -6,7 +6,8 @@ Masson et al. 2019) per (lang, source). Such a sketch is a table of bucket
 counts, so it merges by addition: partial sums before the shuffle, and sums
 over sources for the language and corpus level. Each group takes the finest
 level with at least ``min_rows`` documents. The fences of a ratio follow from
-the quartiles of its group, and a joined filter applies them.
+the quartiles of its group, and from an upper quantile where most documents have
+none of what the ratio counts and the quartiles are all zero. A joined filter applies them.
 
 Defined results: a null text counts as empty (all counts 0, base_failed). Null
 lang or source is a group of its own. Repeated rows are judged one by one,
@@ -38,8 +39,6 @@ _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, j, 1 << 64) for j in range(1, W
 class Rules:
     """``gamma``: a sketched value lies within (gamma - 1) / (gamma + 1) of the
     true one. ``reach``: interquartile ranges between a quartile and its fence.
-    ``slack``: least distance of a fence from the median, so that a ratio that
-    is nearly constant in a group does not reject what is merely not equal.
     ``min_rows``: documents below which a group borrows the next wider sketch."""
 
     gamma: float = 1.02
@@ -49,12 +48,14 @@ class Rules:
     repeat_percent: int = 30
 
 
-#: ratio -> (numerator, denominator, fence below the median?, slack)
+#: ratio -> (numerator, denominator, fence below the quartiles?, tail, slack). The upper
+#: fence is no lower than the group's ``tail`` quantile; ``slack``, a few points,
+#: keeps a ratio that is nearly constant in a group from rejecting what is merely not equal.
 RATIOS = {
-    "symbol_ratio": ("n_symbols", "word_chars", False, 0.05),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", False, 0.50),
-    "repeat_ratio": ("n_repeat_words", "n_words", False, 0.35),
-    "word_length": ("word_chars", "n_words", True, 2.0),
+    "symbol_ratio": ("n_symbols", "word_chars", False, 0.75, 0.02),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", False, 0.99, 0.10),
+    "repeat_ratio": ("n_repeat_words", "n_words", False, 0.99, 0.10),
+    "word_length": ("word_chars", "n_words", True, 0.75, 0.50),
 }
 
 
@@ -108,7 +109,7 @@ def _failed(s: str, r: Rules) -> Column:
 
 
 def _ratio(s: str, name: str) -> Column:
-    num, den, _, _ = RATIOS[name]
+    num, den, *_ = RATIOS[name]
     return F.try_divide(F.col(f"{s}.{num}").cast("double"), F.col(f"{s}.{den}"))
 
 
@@ -145,14 +146,16 @@ def fences(sketch: DataFrame, r: Rules = Rules()) -> DataFrame:
         2 * F.pow(F.lit(r.gamma), F.col("bucket")) / (r.gamma + 1))
     cum = sketch.withColumns({"upto": F.sum("n").over(running), "rows": F.sum("n").over(w), "value": value})
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("rows"), F.col("value")))
-    q = cum.groupBy(*keys).agg(F.max("rows").alias("rows"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"))
+    tail = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(v[3])) for k, v in RATIOS.items()])
+    q = cum.withColumn("tail", tail).groupBy(*keys).agg(
+        F.max("rows").alias("rows"), at(0.25).alias("q1"), at(0.75).alias("q3"), at(F.col("tail")).alias("qt"))
     out = []
-    for k, (_, _, below, slack) in RATIOS.items():
+    for k, (_, _, below, _, slack) in RATIOS.items():
         here = F.col("ratio") == k
         spread = r.reach * (F.col("q3") - F.col("q1"))
-        out.append(F.max(F.when(here, F.greatest(F.col("q3") + spread, F.col("q2") + slack))).alias(f"{k}_hi"))
+        out.append(F.max(F.when(here, F.greatest(F.col("q3") + spread, F.col("qt")) + slack)).alias(f"{k}_hi"))
         if below:
-            out.append(F.max(F.when(here, F.least(F.col("q1") - spread, F.col("q2") - slack))).alias(f"{k}_lo"))
+            out.append(F.max(F.when(here, F.col("q1") - spread - slack)).alias(f"{k}_lo"))
     return q.groupBy("level", "lang", "source").agg(F.max("rows").alias("rows"), *out)
 
 
@@ -165,24 +168,29 @@ def thresholds(counted: DataFrame, r: Rules = Rules()) -> DataFrame:
     f = checkpointed(fences(sketches(counted, r), r))
     groups = f.filter("level = 0").select("lang", "source", F.col("rows").alias("rows0"), *[F.col(c).alias(f"{c}0") for c in FENCES])
     lang = f.filter("level = 1").select(F.col("lang").alias("lang1"), F.col("rows").alias("rows1"), *[F.col(c).alias(f"{c}1") for c in FENCES])
-    every = f.filter("level = 2").select(*[F.col(c).alias(f"{c}2") for c in FENCES])
-    j = (groups.join(F.broadcast(lang), F.col("lang").eqNullSafe(F.col("lang1")), "left")
-         .join(F.broadcast(every), F.lit(True), "left"))  # one row
+    every = f.filter("level = 2").select(*FENCES).first()  # one row, or none in an empty table
+    whole = dict(zip(FENCES, every or [None] * len(FENCES)))
+    j = groups.join(F.broadcast(lang), F.col("lang").eqNullSafe(F.col("lang1")), "left")
     pick = lambda c: (F.when(F.col("rows0") >= r.min_rows, F.col(f"{c}0"))
-                      .when(F.col("rows1") >= r.min_rows, F.col(f"{c}1")).otherwise(F.col(f"{c}2")))
-    return j.select("lang", "source", *[pick(c).alias(c) for c in FENCES])
+                      .when(F.col("rows1") >= r.min_rows, F.col(f"{c}1")).otherwise(F.lit(whole[c]).cast("double")))
+    return j.select("lang", "source", F.col("rows0").alias("rows"), *[pick(c).alias(c) for c in FENCES])
 
 
 def _verdict(counted: DataFrame, limits: DataFrame, r: Rules) -> DataFrame:
     """``counted`` (struct c, lang, source, ...) with ``base_failed``, ``kept``.
     A group all of whose documents fail the base rules has no limits, and
     needs none."""
+    t = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.struct(*FENCES).alias("_limits"), "rows")
+    match = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     if limits.count() <= MAX_GROUPS:  # small enough to leave the texts where they are
-        limits = F.broadcast(limits)
-    t = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.struct(*FENCES).alias("_limits"))
-    j = counted.join(t, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
+        j = counted.join(F.broadcast(t), match, "left")
+    else:  # the largest groups as before; only documents of the others, none of them hot, go to their limits
+        large = F.broadcast(checkpointed(t.orderBy(F.desc("rows"), "_lang", "_source").limit(MAX_GROUPS)))
+        rest = t.join(large.select(F.col("_lang").alias("_l"), F.col("_source").alias("_s")),
+                      F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")), "left_anti")
+        j = counted.join(large, match).unionByName(counted.join(large, match, "left_anti").join(rest, match, "left"))
     inside = F.lit(True)
-    for k, (_, _, below, _) in RATIOS.items():
+    for k, (_, _, below, *_) in RATIOS.items():
         inside = inside & (_ratio("c", k) <= F.col(f"_limits.{k}_hi"))
         if below:
             inside = inside & (_ratio("c", k) >= F.col(f"_limits.{k}_lo"))
