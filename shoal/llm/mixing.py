@@ -32,8 +32,10 @@ from shoal.llm.common import WORD, checkpointed
 SEED = 7
 REPEATS = 2.0
 BLOCK_ROWS = 1024
+MAX_SOURCES = 100_000  # rows of a few dozen bytes that are broadcast; beyond, adaptive execution splits a hot source
 _SECTIONS = 32
 _ROUNDS = 6
+_PARTS = 16
 
 
 def tokens(text: Column) -> Column:
@@ -65,12 +67,10 @@ def find_exponent(sources: DataFrame, entropy: float | None = None, repeats: flo
     lo, hi = 0.0, 1.0
     for _ in range(_ROUNDS):
         at = [lo + (hi - lo) * i / _SECTIONS for i in range(_SECTIONS + 1)]
-        power = F.pow(p, F.col("a"))
-        r = (some.withColumn("a", F.explode(F.array(*[F.lit(x) for x in at]))).groupBy("a")
-             .agg(F.sum(power).alias("z"), F.sum(power * F.log(p)).alias("l"),
-                  F.max(power / p).alias("most"), F.min(power / p).alias("least")).collect())
+        power = [F.pow(p, F.lit(a)) for a in at]
+        r = some.agg(F.array(*[F.struct(F.sum(x), F.sum(x * F.log(p)), F.max(x / p), F.min(x / p)) for x in power])).first()[0]
         ok = []
-        for a, z, l, most, least in r:  # noqa: E741
+        for a, (z, l, most, least) in zip(at, r):  # noqa: E741
             if entropy is not None:
                 ok.append((a, math.log(z) - a * l / z >= entropy * math.log(n)))
             else:
@@ -144,7 +144,7 @@ def _prefix_ends(rows: DataFrame, passes: DataFrame, bits: int) -> DataFrame:
 def _plan(documents: DataFrame, entropy: float | None, repeats: float | None, budget: int | None):
     rows = checkpointed(documents.select("source", tokens(F.col("text")).alias("tokens"),
                                          _hash(F.col("doc_id"), F.col("text")).alias("h")))
-    sources = checkpointed(source_tokens(rows))
+    sources = checkpointed(source_tokens(rows).coalesce(_PARTS))  # short rows; the search reads them again and again
     n = sources.agg(F.sum("rows")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, n / BLOCK_ROWS))))
     exponent = find_exponent(sources, entropy, repeats, budget)
@@ -157,6 +157,8 @@ def _copies(rows: DataFrame, ends: DataFrame, bits: int) -> DataFrame:
     block = _block(last, bits)
     partial = F.coalesce((block < F.col("cut_block")) | ((block == F.col("cut_block")) & (last <= F.col("cut"))), F.lit(False))
     copies = F.col("whole") + partial.cast("int")
+    if ends.count() <= MAX_SOURCES:  # else a hot source would be one key of a shuffle of texts
+        ends = F.broadcast(ends)
     return (rows.join(ends, F.col("source").eqNullSafe(F.col("_s"))).filter(copies > 0)
             .withColumn("epoch", F.explode(F.sequence(F.lit(0), copies - 1)))
             .withColumn("block", _block(_order(F.col("h"), F.col("epoch")), bits)))
