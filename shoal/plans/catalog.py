@@ -13,9 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoal.functions.numeric import ratio, round_half
+from shoal.operators import certificate as ce
 from shoal.operators import evaluate as ev
 from shoal.operators import explain as ex
+from shoal.operators import intervals as iv
 from shoal.operators import profile as pr
+from shoal.operators import report_parts as rp
+from shoal.operators import roc
+from shoal.operators import sketches as sk
 from shoal.operators import text_model as tm
 from shoal.operators.label import missing_ids, organic, quarantined
 from shoal.operators.windows import classify_windows
@@ -117,8 +122,43 @@ def throughput_stats(spark, sf_dir):
 
 def profile_by_cohort(spark, sf_dir):
     # the profile reads three columns of the labelled rows several times
-    rows = _det(spark, sf_dir).labelled.select("label", "event_time", "ingestion_time")
-    return pr.profile(rows.persist())
+    path = _scratch(spark)
+    _det(spark, sf_dir).labelled.select("label", "event_time", "ingestion_time").write.parquet(path)
+    return pr.profile(spark.read.parquet(path))
+
+
+def label_intervals(spark, sf_dir):
+    """The labels again, from the flagged windows as plain intervals."""
+    r = review_adapter(spark, sf_dir, with_text=False)
+    return iv.label_by_intervals(r, _det(spark, sf_dir).flagged, grace_minutes=2)
+
+
+def incident_report(spark, sf_dir):
+    """Runs of flagged windows and the reviews inside each."""
+    return iv.incident_report(review_adapter(spark, sf_dir, with_text=False), _det(spark, sf_dir).flagged)
+
+
+def latency_sketch_profile(spark, sf_dir):
+    """Latency percentiles of both cohorts and of all rows, from sketches per minute."""
+    s = sk.latency_sketches(_det(spark, sf_dir).labelled)
+    every = F.explode(F.array(F.col("cohort"), F.lit("combined"))).alias("cohort")
+    return sk.latency_profile(s.select(every, *[c for c in s.columns if c != "cohort"]))
+
+
+def business_users(spark, sf_dir):
+    """Reviews and distinct users of every business, merged from its days."""
+    return sk.distinct_users(sk.user_sketches(_det(spark, sf_dir).labelled))
+
+
+def shared_attackers(spark, sf_dir):
+    """Users that two of the twenty businesses of most flagged reviews have in common."""
+    return sk.shared_users(sk.user_sketches(_det(spark, sf_dir).quarantined))
+
+
+def frequent_businesses(spark, sf_dir):
+    """The twenty most reviewed businesses: candidates from sketches per day, exact counts."""
+    r = review_adapter(spark, sf_dir, with_text=False)
+    return sk.frequent_items(sk.item_sketches(r, "business_id"), r, "business_id")
 
 
 def star_distribution(spark, sf_dir):
@@ -329,12 +369,26 @@ def review_top_features(spark, sf_dir):
     return ex.review_top_features(top, _flagged_ids(spark, sf_dir), _previews(spark, sf_dir))
 
 
+def _listed(items, value):
+    """A list of (feature, value) as text, the values in ten-thousandths."""
+    return F.array_join(F.transform(items, lambda x: F.concat(
+        x["feature"], F.lit("="), F.round(x[value] * 10000).cast("bigint").cast("string"))), " ")
+
+
 def review_explanations(spark, sf_dir):
     """One row per review; the list of features as text."""
     top = ex.text_top_features(_text_contributions(spark, sf_dir))
     e = ex.review_explanations(top, _flagged_ids(spark, sf_dir), _previews(spark, sf_dir))
     return e.select("review_id", "business_id", "stars", "text_preview", F.size("top_features").alias("n_features"),
-                    F.array_join(F.transform("top_features", lambda x: x["feature"]), " ").alias("features"))
+                    _listed("top_features", "shap_value").alias("features"))
+
+
+def report_parts(spark, sf_dir):
+    """The explained reviews nested by business in parts of at most fifty; each part as text."""
+    top = ex.text_top_features(_text_contributions(spark, sf_dir))
+    parts = rp.report_parts(ex.review_explanations(top, _flagged_ids(spark, sf_dir), _previews(spark, sf_dir)))
+    inner = F.transform("reviews", lambda r: F.concat(r["review_id"], F.lit(":"), F.size(r["top_features"]).cast("string")))
+    return parts.select("business_id", "part", "n", F.array_join(inner, " ").alias("reviews"))
 
 
 def _patterns(spark, sf_dir):
@@ -355,33 +409,79 @@ def xai_reports(spark, sf_dir):
     r = ex.build_reports(top_attack_signals(spark, sf_dir), _patterns(spark, sf_dir))
     return r.select("business_id", "num_flagged_reviews", F.col("aggregate_patterns.unique_users").alias("unique_users"),
                     F.col("aggregate_patterns.avg_text_length").alias("avg_text_length"),
-                    F.array_join(F.transform("top_attack_signals", lambda x: x["feature"]), " ").alias("signals"))
+                    _listed("top_attack_signals", "importance").alias("signals"))
 
 
-def _interpretable(spark, sf_dir):
-    """(term, coef) of the interpretable model, fitted on the labelled documents' train part."""
+def _fit_interpretable(spark, sf_dir):
+    """(train rows, their long vectors, vocabulary, model) of the interpretable model,
+    fitted on the labelled documents' train part. The vectors are written once."""
     docs = tm.split(_corpus(spark, sf_dir).where(F.col("label").isNotNull())
                     .withColumn("label", F.col("label").cast("double")), "doc_id")
     train = docs.where(F.col("split") == "train")
     m = tm.fit_tfidf(train, "doc_id")
     path = _scratch(spark)
-    tm.write_vectors(tm.transform_tfidf(m, train, "doc_id"), train, "doc_id", path)
-    return tm.coefficient_table(spark, tm.fit_interpretable(spark, path, tm.NUM_FEATURES), m.vocab)
+    m.vocab.write.parquet(f"{path}/vocabulary")
+    vocab = spark.read.parquet(f"{path}/vocabulary")
+    tm.transform_tfidf(tm.TfidfModel(vocab, m.bounded, m.dropped), train, "doc_id").write.parquet(f"{path}/long")
+    long = spark.read.parquet(f"{path}/long")
+    tm.write_vectors(long, train, "doc_id", f"{path}/vectors")
+    return train, long, vocab, tm.fit_interpretable(spark, f"{path}/vectors", tm.NUM_FEATURES)
+
+
+def _interpretable(spark, sf_dir):
+    """(term, coef) of the interpretable model."""
+    _, _, vocab, model = _fit_interpretable(spark, sf_dir)
+    return tm.coefficient_table(spark, model, vocab)
 
 
 def _scratch(spark) -> str:
-    """A path in the shared folder that the cluster names; a local one only
-    where it names none (tests)."""
-    import tempfile
+    """A path in the shared folder that the cluster names. Only a local session, whose
+    executors share the driver's disk, may do without."""
     import uuid
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="shoal-")
-    return f"{base}/vectors-{uuid.uuid4().hex}"
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("name a folder that the cluster shares in spark.checkpoint.dir")
+        import tempfile
+        base = tempfile.mkdtemp(prefix="shoal-")
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base}/scratch-{uuid.uuid4().hex}"
 
 
 def interpretable_model(spark, sf_dir):
     return _interpretable(spark, sf_dir)
 
 
+GRADIENT_LIMIT = 1e-3  # norm of the gradient up to which a model counts as the optimum; at no model it is some 0.1
+
+
+def model_certificate(spark, sf_dir):
+    """Whether the interpretable model is the optimum of its objective: rows, the loss of the best
+    model without terms, whether the fitted one is better, and its gradient vanishes."""
+    train, long, vocab, model = _fit_interpretable(spark, sf_dir)
+    coefs = spark.createDataFrame([(i, float(v)) for i, v in enumerate(model.coefficients.toArray())], "idx int, coef double")
+    n = max(train.count(), 1)
+    o = ce.optimality(long, train, coefs, model.intercept, 1.0 / (tm.INTERP_C * n), "doc_id")
+    return o.select("rows", round_half(F.col("constant_loss"), 6).alias("constant_loss"), (F.col("loss") < F.col("constant_loss")).alias("better"),
+                    (F.col("gradient_norm") <= GRADIENT_LIMIT).alias("optimal"))
+
+
+def _scored_documents(spark, sf_dir):
+    """(label, score) of the labelled documents under the log-ratio scorer."""
+    s = _text_contributions(spark, sf_dir).groupBy("text_id").agg(F.sum("contribution").alias("_s"))
+    docs = _corpus(spark, sf_dir).where(F.col("label").isNotNull()).select(F.col("doc_id").alias("text_id"), "label")
+    return docs.join(s, "text_id", "left").select("label", round_half(F.coalesce("_s", F.lit(0.0)), 6).alias("score"))
+
+
+def scorer_auc(spark, sf_dir):
+    """Exact area under the ROC curve of the log-ratio scorer on the labelled documents."""
+    return roc.auc(_scored_documents(spark, sf_dir), "score", "label")
+
+
+def scorer_roc(spark, sf_dir):
+    return roc.roc_points(_scored_documents(spark, sf_dir), "score", "label")
+
+
 def model_explanations(spark, sf_dir):
     """Scores of the flagged reviews under the interpretable model's coefficients."""
     c = _text_contributions(spark, sf_dir, _interpretable(spark, sf_dir))
@@ -395,7 +495,8 @@ def registry() -> dict[str, Query]:
         parse_reject_split, keyed_messages, attack_detection, training_rows, balance_classes, class_counts, train_test_split,
         stratified_split, classifier_metrics, model_metrics, training_metrics, sentiment_scores, tfidf_weights, vocabulary_dropped,
         contributions, top_attack_signals, review_top_features, review_explanations, behaviour_patterns, report_index, xai_reports,
-        interpretable_model, model_explanations)
+        interpretable_model, model_explanations, model_certificate, scorer_auc, scorer_roc, latency_sketch_profile, business_users,
+        shared_attackers, frequent_businesses, label_intervals, incident_report, report_parts)
     return {f.__name__: f for f in named} | {
         "parse_reviews": parse_reviews_q,
         "eval_precision": _q(ev.eval_precision), "eval_recall": _l(ev.eval_recall), "eval_f1": _l(ev.eval_f1),

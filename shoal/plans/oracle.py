@@ -329,24 +329,26 @@ def _corpus_ctes() -> list[str]:
 
 
 def _explain_ctes() -> list[str]:
+    """Contributions and ranks are made once per text; reviews join their text's."""
     return _corpus_ctes() + [
-        "qdocs AS (SELECT review_id, business_id, stars, substring(text, 1, 100) AS text_preview, text FROM quarantined)",
-        f"qtoks AS (SELECT review_id, {_tok('text')} AS term FROM qdocs)",
-        f"qtc AS (SELECT review_id, term, count(*) AS tf FROM qtoks WHERE term NOT IN {_stop_list()} GROUP BY ALL)",
-        "qtw AS (SELECT q.*, (1.0 + ln(cast(q.tf AS double))) * v.idf AS w FROM qtc q JOIN vocab v USING (term))",
-        "qlong AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY review_id)) AS weight FROM qtw)",
-        """contrib AS (SELECT l.review_id, d.business_id, l.term, c.coef * l.weight AS contribution
-  FROM qlong l JOIN coefs c USING (term) JOIN qdocs d USING (review_id))""",
-        """feats AS (SELECT review_id, term AS feature, contribution,
-         row_number() OVER (PARTITION BY review_id ORDER BY abs(contribution) DESC, term) AS rank FROM contrib QUALIFY rank <= 5)""",
-        """imp AS (SELECT business_id, term, sum(abs(contribution)) / n AS imp
-  FROM contrib JOIN (SELECT business_id, count(*) AS n FROM quarantined GROUP BY business_id) USING (business_id)
+        "contrib AS (SELECT t.doc_id, t.term, c.coef * t.weight AS contribution FROM tfidf t JOIN coefs c USING (term))",
+        """qdocs AS (SELECT q.review_id, q.business_id, q.stars, d.doc_id, substring(d.text, 1, 100) AS text_preview
+  FROM quarantined q LEFT JOIN documents d ON d.doc_id = cast(q.review_id AS bigint) % (SELECT count(*) FROM documents))""",
+        """feats AS (SELECT doc_id, term AS feature, contribution,
+         row_number() OVER (PARTITION BY doc_id ORDER BY abs(contribution) DESC, term) AS rank FROM contrib QUALIFY rank <= 5)""",
+        "uses AS (SELECT business_id, doc_id, count(*) AS uses FROM qdocs GROUP BY ALL)",
+        """imp AS (SELECT business_id, term, sum(uses * abs(contribution)) / n AS imp
+  FROM uses JOIN contrib USING (doc_id) JOIN (SELECT business_id, count(*) AS n FROM quarantined GROUP BY business_id) USING (business_id)
   GROUP BY business_id, term, n)""",
         """signals AS (SELECT business_id, term, imp, row_number() OVER (PARTITION BY business_id ORDER BY imp DESC, term) AS rank
   FROM imp QUALIFY rank <= 15)""",
     ]
 
 
+def _listed(feature: str, value: str) -> str:
+    return f"string_agg({feature} || '=' || cast(round({R(value, 4)} * 10000) AS bigint), ' ' ORDER BY rank)"
+
+
 def _text_oracles() -> dict[str, str]:
     q = {}
     q["training_rows"] = with_(REVIEWS, TRAIN, body="SELECT review_id, stars, text, label FROM tr")
@@ -376,15 +378,13 @@ def _text_oracles() -> dict[str, str]:
     q["tfidf_weights"] = with_(*_corpus_ctes(), body=f"SELECT doc_id, term, idx, tf, {R('weight', 6)} AS weight FROM tfidf")
     ex = [REVIEWS, STATS, LABELLED] + _explain_ctes()
     q["vocabulary_dropped"] = with_(*_corpus_ctes(), body="SELECT greatest(count(*) - 20000, 0) AS dropped_terms FROM per_term")
-    q["contributions"] = with_(*ex, body=f"""SELECT q.review_id, q.business_id, count(c.term) AS n_terms,
-         {R('coalesce(sum(contribution), 0.0)', 6)} AS score FROM qdocs q LEFT JOIN contrib c USING (review_id)
-  GROUP BY q.review_id, q.business_id""")
+    q["contributions"] = with_(*ex, body=f"""SELECT review_id, business_id, coalesce(n_terms, 0) AS n_terms, {R('coalesce(score, 0.0)', 6)} AS score
+  FROM qdocs LEFT JOIN (SELECT doc_id, count(*) AS n_terms, sum(contribution) AS score FROM contrib GROUP BY doc_id) USING (doc_id)""")
     q["top_attack_signals"] = with_(*ex, body=f"SELECT business_id, rank, term AS feature, {R('imp', 4)} AS importance FROM signals")
     q["review_top_features"] = with_(*ex, body=f"""SELECT review_id, business_id, stars, text_preview, coalesce(rank, 0) AS rank,
-         feature, {R('contribution', 4)} AS shap_value FROM qdocs LEFT JOIN feats USING (review_id)""")
-    q["review_explanations"] = with_(*ex, body="""SELECT review_id, business_id, stars, text_preview, count(feature) AS n_features,
-         coalesce(string_agg(feature, ' ' ORDER BY rank), '') AS features
-  FROM qdocs LEFT JOIN feats USING (review_id) GROUP BY ALL""")
+         feature, {R('contribution', 4)} AS shap_value FROM qdocs LEFT JOIN feats USING (doc_id)""")
+    q["review_explanations"] = with_(*ex, body=f"""SELECT review_id, business_id, stars, text_preview, coalesce(n, 0) AS n_features, coalesce(f, '') AS features
+  FROM qdocs LEFT JOIN (SELECT doc_id, count(*) AS n, {_listed('feature', 'contribution')} AS f FROM feats GROUP BY doc_id) USING (doc_id)""")
     q["model_metrics"] = with_(REVIEWS, TRAIN, frac, body=f"""SELECT label,
          count(*) FILTER (WHERE {_uh('s')} / 4294967296.0 < 0.8) AS train,
          count(*) FILTER (WHERE NOT {_uh('s')} / 4294967296.0 < 0.8) AS test, true AS metrics_valid
@@ -403,7 +403,63 @@ def _text_oracles() -> dict[str, str]:
     q["xai_reports"] = with_(*ex, body=f"""SELECT business_id, num_flagged_reviews, unique_users, avg_text_length, signals
   FROM (SELECT business_id, count(*) AS num_flagged_reviews, count(DISTINCT coalesce(user_id, '')) AS unique_users,
                {R(f'{ls} / nullif({ln_}, 0)', 1)} AS avg_text_length FROM quarantined GROUP BY business_id)
-  LEFT JOIN (SELECT business_id, string_agg(term, ' ' ORDER BY rank) AS signals FROM signals GROUP BY business_id) USING (business_id)""")
+  LEFT JOIN (SELECT business_id, {_listed('term', 'imp')} AS signals FROM signals GROUP BY business_id) USING (business_id)""")
+    doc_hash = _uh("s").replace("review_id", "doc_id")
+    q["model_certificate"] = f"""WITH d AS (SELECT avg(cast(l.quality AS double)) AS p, count(*) AS rows
+  FROM documents JOIN labels l USING (doc_id) WHERE l.quality IS NOT NULL AND {doc_hash} / 4294967296.0 < 0.8)
+SELECT rows, {R('-(p * ln(p) + (1 - p) * ln(1 - p))', 6)} AS constant_loss, true AS better, true AS optimal FROM d"""
+    scored = _corpus_ctes() + [f"""scored AS (
+  SELECT label, {R('coalesce(s, 0.0)', 6)} AS score FROM docs
+  LEFT JOIN (SELECT doc_id, sum(coef * weight) AS s FROM tfidf JOIN coefs USING (term) GROUP BY doc_id) USING (doc_id) WHERE label IS NOT NULL)"""]
+    q["scorer_auc"] = with_(*scored, body=f"""SELECT sum(pos) AS positives, sum(neg) AS negatives,
+         {ratio('sum(pos * (2 * below + neg))', '2 * sum(pos) * sum(neg)')} AS auc
+  FROM (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+        FROM (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg FROM scored GROUP BY score))""")
+    q["scorer_roc"] = with_(*scored, """grid AS (SELECT floor(score / 0.1::DOUBLE) AS g, count(*) FILTER (WHERE label = 1) AS pos,
+         count(*) FILTER (WHERE label <> 1) AS neg FROM scored GROUP BY g)""", body=f"""SELECT g * 0.1::DOUBLE AS threshold,
+         sum(pos) OVER w AS true_positives, sum(neg) OVER w AS false_positives,
+         {ratio('sum(pos) OVER w', 'sum(pos) OVER ()')} AS tpr, {ratio('sum(neg) OVER w', 'sum(neg) OVER ()')} AS fpr
+  FROM grid WINDOW w AS (ORDER BY g DESC)""")
+    at = ", ".join(f"{R(f'min(lat_us) FILTER (WHERE k >= {p}::DOUBLE * n) / 1000000.0', 3)} AS p{round(100 * p)}_seconds" for p in (0.5, 0.9, 0.95, 0.99))
+    q["latency_sketch_profile"] = detect_sql(f"""SELECT cohort, max(rows) AS rows, coalesce(max(n), 0) AS valid,
+         {R('cast(sum(lat_us) AS double) / nullif(max(n), 0) / 1000000.0', 3)} AS mean_seconds, {at}
+  FROM (SELECT cohort, lat_us, count(*) OVER c AS rows, count(lat_us) OVER c AS n,
+               CASE WHEN lat_us IS NOT NULL THEN row_number() OVER (PARTITION BY cohort ORDER BY lat_us NULLS LAST) END AS k
+        FROM (SELECT unnest([label, 'combined']) AS cohort, CASE WHEN {LAT_US} >= 0 AND {LAT_US} < 3600000000 THEN {LAT_US} END AS lat_us FROM labelled)
+        WINDOW c AS (PARTITION BY cohort))
+  GROUP BY cohort""")
+    q["label_intervals"] = with_(REVIEWS, STATS, LABELLED, body="""SELECT review_id, user_id, business_id, stars, event_time, ingestion_time, is_injected,
+         sentiment_label, label, window_start, window_end, window_review_count, window_avg_stars, window_std_stars, anomaly_reason FROM labelled""")
+    q["incident_report"] = with_(REVIEWS, STATS, """opened AS (
+  SELECT business_id, window_start AS s, window_end + INTERVAL 2 MINUTE AS e, window_review_count AS c,
+         CASE WHEN window_start > max(window_end + INTERVAL 2 MINUTE) OVER (PARTITION BY business_id ORDER BY window_start
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS o FROM flagged)""",
+                                 "runs AS (SELECT *, sum(o) OVER (PARTITION BY business_id ORDER BY s) AS run FROM opened)",
+                                 """inc AS (SELECT business_id, min(s) AS incident_start, max(e) AS incident_end, count(*) AS windows, max(c) AS max_review_count
+  FROM runs GROUP BY business_id, run)""", body="""SELECT i.*, count(*) AS reviews, count(stars) AS rated, cast(sum(stars) AS bigint) AS stars_sum,
+         count(*) FILTER (WHERE coalesce(is_injected, false)) AS injected
+  FROM inc i JOIN reviews r ON r.business_id = i.business_id AND r.event_time BETWEEN i.incident_start AND i.incident_end GROUP BY ALL""")
+    q["report_parts"] = with_(*ex, body="""SELECT business_id, part, count(*) AS n, string_agg(review_id || ':' || f, ' ' ORDER BY review_id) AS reviews
+  FROM (SELECT business_id, review_id, (row_number() OVER (PARTITION BY business_id ORDER BY review_id) - 1) // 50 + 1 AS part,
+               least(coalesce(n, 0), 5) AS f
+        FROM qdocs LEFT JOIN (SELECT doc_id, count(*) AS n FROM contrib GROUP BY doc_id) USING (doc_id))
+  GROUP BY business_id, part""")
+    q["business_users"] = detect_sql("""SELECT business_id, count(*) AS reviews, count(DISTINCT coalesce(user_id, '')) AS users
+  FROM labelled GROUP BY business_id""")
+    q["shared_attackers"] = with_(REVIEWS, STATS, LABELLED, """most AS (
+  SELECT business_id FROM quarantined WHERE business_id IS NOT NULL GROUP BY business_id ORDER BY count(*) DESC, business_id LIMIT 20)""",
+                                  "seen AS (SELECT DISTINCT business_id, coalesce(user_id, '') AS u FROM quarantined JOIN most USING (business_id))",
+                                  "sizes AS (SELECT business_id, count(*) AS users FROM seen GROUP BY business_id)",
+                                  body="""SELECT a.business_id AS business_a, b.business_id AS business_b, any_value(x.users) AS users_a,
+         any_value(y.users) AS users_b, count(*) AS shared
+  FROM seen a JOIN seen b ON a.u = b.u AND a.business_id < b.business_id JOIN sizes x ON x.business_id = a.business_id
+  JOIN sizes y ON y.business_id = b.business_id GROUP BY a.business_id, b.business_id""")
+    q["frequent_businesses"] = with_(REVIEWS, """counted AS (
+  SELECT business_id, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, business_id) AS rank FROM reviews
+  WHERE business_id IS NOT NULL GROUP BY business_id)""", body="""SELECT rank, business_id, n,
+         n > greatest(coalesce((SELECT n FROM counted WHERE rank = 80), 0),
+                      (SELECT count(*) FROM reviews WHERE business_id IS NOT NULL) * 3.5::DOUBLE / 16384) AS certain
+  FROM counted WHERE rank <= 20""")
     q["report_index"] = detect_sql("""SELECT count(DISTINCT business_id) AS total_businesses,
          count(*) AS total_quarantined_reviews FROM quarantined""")
     return q
