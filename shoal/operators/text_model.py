@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF, IDF, StopWordsRemover, Tokenizer
@@ -139,6 +139,35 @@ def train(rows: DataFrame, id_col: str = "review_id", seed: int = SEED, pipeline
     return Trained(model, metrics, counts)
 
 
+def train_by_text(ids: DataFrame, texts: DataFrame, id_col: str = "review_id", text_id: str = "text_id", seed: int = SEED,
+                  num_features: int = NUM_FEATURES) -> Trained:
+    """The same job for rows (id, text_id, label) that share their texts (text_id, text).
+    Balance and split run on the ids; a text is tokenised and hashed once, however
+    many reviews carry it; rows of one text, label and part count as one of that weight.
+    The model scores texts like the one of :func:`train`."""
+    part = split(balance(ids.select(id_col, text_id, "label"), id_col, seed=seed), id_col, seed)
+    uses = part.groupBy(text_id, "label", "split").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    tokenizer, stop, hashing, idf, lr = hashed_model(num_features).getStages()
+    counts = texts.select(text_id, "text")
+    for stage in (tokenizer, stop, hashing):
+        counts = stage.transform(safe_text(counts) if stage is tokenizer else counts)
+    rows = uses.join(counts.select(text_id, "counts_"), text_id).persist()
+    try:
+        # a term's document frequency counts reviews, so a text stands here as often as it is used
+        train_rows = rows.where(F.col("split") == "train")
+        idf_model = idf.fit(train_rows.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))))
+        lr_model = lr.copy({lr.weightCol: "n"}).fit(idf_model.transform(train_rows))
+        tested = lr_model.transform(idf_model.transform(rows.where(F.col("split") == "test")))
+        metrics = evaluate(tested, weight_col="n")
+    finally:
+        rows.unpersist()
+    history = lr_model.summary.objectiveHistory
+    metrics["loss"], metrics["constant_loss"] = history[-1], history[0]
+    counted = uses.groupBy("label").agg(*[F.coalesce(F.sum(F.when(F.col("split") == k, F.col("n"))), F.lit(0.0)).cast("bigint").alias(k)
+                                          for k in ("train", "test")])
+    return Trained(PipelineModel([tokenizer, stop, hashing, idf_model, lr_model]), metrics, counted)
+
+
 def safe_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The tokenizer fails on NULL text; score those rows as empty text."""
     return df.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
@@ -152,16 +181,17 @@ def score(model, df: DataFrame, text_col: str = "text") -> DataFrame:
             .drop("tokens_", "kept_", "counts_", "features", "rawPrediction", "probability"))
 
 
-def evaluate(preds: DataFrame, label_col: str = "label", binary: bool = False) -> dict[str, float]:
+def evaluate(preds: DataFrame, label_col: str = "label", binary: bool = False, weight_col: str | None = None) -> dict[str, float]:
     """AUC, accuracy and F1 with Spark's evaluators: weighted F1 by default,
-    the F1 of the positive class with ``binary=True``."""
-    preds = preds.select(label_col, "prediction", "rawPrediction").persist()
-    mc = MulticlassClassificationEvaluator(labelCol=label_col)
+    the F1 of the positive class with ``binary=True``. ``weight_col``: rows that a row stands for."""
+    weight = {"weightCol": weight_col} if weight_col else {}
+    preds = preds.select(label_col, "prediction", "rawPrediction", *weight.values()).persist()
+    mc = MulticlassClassificationEvaluator(labelCol=label_col, **weight)
     f1 = (mc.copy({mc.metricName: "fMeasureByLabel", mc.metricLabel: 1.0}) if binary
           else mc.copy({mc.metricName: "f1"}))
     try:
         return {
-            "auc": BinaryClassificationEvaluator(labelCol=label_col).evaluate(preds),
+            "auc": BinaryClassificationEvaluator(labelCol=label_col, **weight).evaluate(preds),
             "accuracy": mc.copy({mc.metricName: "accuracy"}).evaluate(preds),
             "f1": f1.evaluate(preds),
         }
@@ -203,12 +233,13 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str = "text", keep: tupl
 
 
 def fit_tfidf(docs: DataFrame, id_col: str, text_col: str = "text",
-              max_features: int | None = NUM_FEATURES) -> TfidfModel:
+              max_features: int | None = NUM_FEATURES, counts: DataFrame | None = None) -> TfidfModel:
     """Vocabulary = the ``max_features`` terms with the highest corpus count
     (ties by term); smooth idf = ln((1 + n) / (1 + df)) + 1. With None every term
     has a weight; the vocabulary then has no idx and is joined by a shuffle. The
-    model tells how many terms the limit leaves out."""
-    tc = term_counts(docs, id_col, text_col)
+    model tells how many terms the limit leaves out. ``counts``: the stored
+    :func:`term_counts` of ``docs``, which are else counted here."""
+    tc = term_counts(docs, id_col, text_col) if counts is None else counts
     n = docs.select(F.count(F.lit(1)).cast("double")).scalar()   # scalar subquery
     per_term = tc.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
     idf = (F.ln((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf")
@@ -222,12 +253,12 @@ def fit_tfidf(docs: DataFrame, id_col: str, text_col: str = "text",
 
 
 def transform_tfidf(model: TfidfModel, docs: DataFrame, id_col: str, text_col: str = "text",
-                    keep: tuple[str, ...] = ()) -> DataFrame:
+                    keep: tuple[str, ...] = (), counts: DataFrame | None = None) -> DataFrame:
     """(id, keep..., term, idx, tf, weight) with weight = (1 + ln tf) * idf,
     L2-normalised per document over vocabulary terms. A bounded vocabulary is
     broadcast; the norm is a window per document, over its distinct terms."""
     vocab = F.broadcast(model.vocab) if model.bounded else model.vocab
-    tc = term_counts(docs, id_col, text_col, keep).join(vocab, "term")
+    tc = (term_counts(docs, id_col, text_col, keep) if counts is None else counts).join(vocab, "term")
     w = (F.lit(1.0) + F.ln(F.col("tf").cast("double"))) * F.col("idf")
     tc = tc.withColumn("_w", w)
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))

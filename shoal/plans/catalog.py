@@ -186,11 +186,14 @@ def json_lines(spark, sf_dir):
         # lines that are damaged as a whole keep their id, by which they are found below
         "review_id": F.when((eid % 67 == 19) & (eid % 97 != 5) & (eid % 89 != 3), F.lit(None)).otherwise(F.col("review_id"))})
     w = review_wire(r).withColumn("date", F.when(eid % 83 == 7, F.lit("not a date")).otherwise(F.col("date")))
-    js = F.to_json(F.struct(*w.columns))
-    # numbers and flags were made as text: take the quotes off those that JSON would not have
+    # numbers and flags were made as text: take the quotes off those that JSON would not have; the
+    # text, by far the longest field, is put in afterwards
+    js = F.to_json(F.struct(*[c for c in w.columns if c != "text"]))
     for c in ("stars", "useful", "cool", "is_injected"):
         js = F.regexp_replace(js, rf'"{c}":"([0-9.]+|true|false)"', rf'"{c}":$1')
     js = F.when(eid % 79 == 17, F.regexp_replace(js, r'"is_injected":true', r'"is_injected":"true"')).otherwise(js)
+    text = F.btrim(F.to_json(F.struct("text")), F.lit("{}"))  # between its braces stands a field in quotes
+    js = F.when(F.col("text").isNull(), js).otherwise(F.concat(F.lit("{"), text, F.lit(","), F.substring(js, 2, 1 << 20)))
     line = (F.when(eid % 97 == 5, F.substring(js, F.lit(1), (F.length(js) / 2).cast("int")))
             .when(eid % 89 == 3, F.lit("   "))
             .otherwise(js))
@@ -299,23 +302,29 @@ def classifier_metrics(spark, sf_dir):
                     round_half(F.col("weighted_f1"), 6).alias("weighted_f1"))
 
 
+def _trained(spark, sf_dir):
+    texts = read_table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select(F.col("doc_id").alias("text_id"), "text")
+    return tm.train_by_text(_training_narrow(spark, sf_dir), texts)
+
+
 def model_metrics(spark, sf_dir):
     """The training job on review texts and stars: rows, balance, split, fit,
-    evaluate. Per class the rows of each part, and whether every metric is a share."""
-    t = tm.train(_training(spark, sf_dir))
-    ok = all(0.0 <= t.metrics[k] <= 1.0 for k in ("auc", "accuracy", "f1"))
+    evaluate. Per class the rows of each part, and whether every metric is a share and the
+    fitted objective below that of the best model without terms."""
+    t = _trained(spark, sf_dir)
+    ok = all(0.0 <= t.metrics[k] <= 1.0 for k in ("auc", "accuracy", "f1")) and t.metrics["loss"] < t.metrics["constant_loss"]
     return t.counts.withColumn("metrics_valid", F.lit(ok))
 
 
 def training_metrics(spark, sf_dir):
-    """AUC, accuracy and weighted F1 of the training job."""
-    return spark.createDataFrame(sorted(tm.train(_training(spark, sf_dir)).metrics.items()), "metric string, value double")
+    """AUC, accuracy, weighted F1 and the objective of the training job."""
+    return spark.createDataFrame(sorted(_trained(spark, sf_dir).metrics.items()), "metric string, value double")
 
 
 def sentiment_scores(spark, sf_dir):
     """Every review scored by the model of the training job. A text is scored once,
     however many reviews carry it."""
-    model = tm.train(_training(spark, sf_dir)).model
+    model = _trained(spark, sf_dir).model
     texts = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
     scored = tm.score(model, texts).select("text_id", "sentiment_label", "p_positive")
     r = review_adapter(spark, sf_dir, with_text=False, with_text_id=True).select("review_id", "text_id")
@@ -326,9 +335,18 @@ def _corpus(spark, sf_dir):
     return labelled_documents(spark, sf_dir).select("doc_id", "text", F.col("quality").alias("label"))
 
 
-def tfidf_weights(spark, sf_dir):
+def _weights(spark, sf_dir):
+    """(documents, their long TF-IDF weights). Every text is tokenised once: the counts are
+    stored, as the vocabulary and the weights both read them."""
     docs = _corpus(spark, sf_dir)
-    t = tm.transform_tfidf(tm.fit_tfidf(docs, "doc_id"), docs, "doc_id")
+    path = _scratch(spark)
+    tm.term_counts(docs, "doc_id").write.parquet(path)
+    tc = spark.read.parquet(path)
+    return docs, tm.transform_tfidf(tm.fit_tfidf(docs, "doc_id", counts=tc), docs, "doc_id", counts=tc)
+
+
+def tfidf_weights(spark, sf_dir):
+    t = _weights(spark, sf_dir)[1]
     return t.select("doc_id", "term", "idx", "tf", round_half(F.col("weight"), 6).alias("weight"))
 
 
@@ -346,8 +364,7 @@ def _flagged_ids(spark, sf_dir):
 def _text_contributions(spark, sf_dir, coefs=None):
     """Long contributions of every text (text_id, term, contribution), by default
     under the fixed log-ratio scorer of the labelled documents."""
-    docs = _corpus(spark, sf_dir)
-    long = tm.transform_tfidf(tm.fit_tfidf(docs, "doc_id"), docs, "doc_id")
+    docs, long = _weights(spark, sf_dir)
     coefs = coefs if coefs is not None else tm.log_ratio_coefficients(long, docs, "doc_id")
     return ex.contributions(long, coefs).withColumnRenamed("doc_id", "text_id").select("text_id", "term", "contribution")
 
