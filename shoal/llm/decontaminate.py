@@ -16,9 +16,16 @@ where the overlap reaches ``SLACK`` of what the least weighty words that ``COMMO
 leave, the words around are compared: the longest common subsequence must hold ``COMMON`` of the benchmark
 passage, and of its answer (its last ``ANSWER`` words) ``ANSWERED``.
 
-Scale: documents are never shuffled; a task holds the latent basis of one block
-of ``BLOCK_ITEMS`` benchmark passages (bounded), and larger benchmarks are
-searched block by block against all documents.
+The overlap decides and not the cosine, which the words around a passage lower. Of 1,700
+items between words of other items, all of them in one block of rank ``RANK``, the overlap finds 1.00
+of the verbatim copies and 0.97 of those with 28 % of their words changed; 0.97 and 0.77
+of them also have a cosine of 0.65 (``test_recall_beyond_the_rank``).
+
+Scale: a task holds the latent basis of one block of ``BLOCK_ITEMS`` benchmark
+passages (bounded). A benchmark of one block is searched in one pass over the
+documents, which are not shuffled. Larger ones are searched block by block: one
+index at a time is made, its leaks are written to the shared folder, and it is freed;
+``drop_leaks`` then writes the digests of leaking texts and drops these texts by a join.
 
 Defined results: null and empty texts have no passage. A benchmark item without
 a word leaks nowhere; one of fewer than ``SHORT`` words only where all its words
@@ -30,6 +37,7 @@ Other columns are ignored (``leaks``) or carried unchanged (``drop_leaks``).
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -40,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoal.llm.common import bounded_sample, checkpointed
+from shoal.llm.common import bounded_sample, checkpointed, shared_path
 
 BLOCK = 8
 RUNS = (2, 4, 8, 16)
@@ -116,10 +124,16 @@ def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: in
                         total[at] += np.outer(v, v @ z[at])
             yield pd.DataFrame({"m": [total.tobytes()]})
 
-        out = np.zeros_like(z)
-        for r in rows.coalesce(8).mapInPandas(partial, "m binary").collect():  # at most eight, of bounded size
-            out += np.frombuffer(r["m"]).reshape(z.shape)
-        return out
+        def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(z.size)
+            for b in batches:
+                for m in b["m"]:
+                    total += np.frombuffer(m)
+            yield pd.DataFrame({"m": [total.tobytes()]})
+
+        # at most eight sums of bounded size are added up in one task; the driver gets one
+        parts = rows.coalesce(8).mapInPandas(partial, "m binary").repartition(1).mapInPandas(added, "m binary")
+        return np.frombuffer(parts.first()["m"]).reshape(z.shape)
 
     width = min(rank + 16, len(weights))
     z = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(weights), width)))[0]
@@ -275,20 +289,44 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
         yield block
 
 
-def _leaks_column(documents: DataFrame, benchmark: DataFrame, text: Column) -> Column:
-    found = [_searcher(index)(text) for block in _blocks(benchmark) if (index := fit(documents, block))]
-    return F.concat(*found) if found else F.array().cast(LEAK)
+def _searched(documents: DataFrame, benchmark: DataFrame, text: Column) -> Column | None:
+    """The leaks of a text, where the benchmark is one block; else null."""
+    first = [(r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").limit(BLOCK_ITEMS + 1).collect()]
+    if len(first) > BLOCK_ITEMS:
+        return None
+    index = fit(documents, first)
+    return _searcher(index)(text) if index else F.array().cast(LEAK)
+
+
+def _written(documents: DataFrame, benchmark: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` and the leaks (_leak) of every text that leaks, from one written table per block."""
+    spark = documents.sparkSession
+    base = shared_path(spark, f"leaks-{uuid.uuid4().hex}")
+    for i, block in enumerate(_blocks(benchmark)):
+        index = fit(documents, block)
+        if index:
+            rows = documents.select(*columns, F.explode(_searcher(index)(F.col("text"))).alias("_leak"))
+            rows.write.parquet(f"{base}/block={i}")
+            del index, rows
+    none = documents.select(*columns, F.lit(None).cast(LEAK.elementType).alias("_leak")).limit(0)
+    none.write.parquet(f"{base}/block=-1")
+    return spark.read.parquet(base).drop("block")
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item that leaks into it: doc_id,
     item_id, cosine, and the shares of the item and its answer that are held."""
-    return (documents.select("doc_id", F.explode(_leaks_column(documents, benchmark, F.col("text"))).alias("_leak"))
-            .select("doc_id", "_leak.*"))
+    found = _searched(documents, benchmark, F.col("text"))
+    rows = (documents.select("doc_id", F.explode(found).alias("_leak")) if found is not None
+            else _written(documents, benchmark, F.col("doc_id")))
+    return rows.select("doc_id", "_leak.*")
 
 
 def drop_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` into which no benchmark item leaks."""
     held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
-    return (held.withColumn("_leaks", _leaks_column(documents, benchmark, F.col("_row.text")))
-            .filter(F.size("_leaks") == 0).select("_row.*"))
+    found = _searched(documents, benchmark, F.col("_row.text"))
+    if found is not None:
+        return held.withColumn("_leaks", found).filter(F.size("_leaks") == 0).select("_row.*")
+    leaking = _written(documents, benchmark, F.md5("text").alias("_digest")).select("_digest").distinct()
+    return held.withColumn("_md5", F.md5("_row.text")).join(leaking, F.col("_md5") == F.col("_digest"), "left_anti").select("_row.*")
