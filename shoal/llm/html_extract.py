@@ -17,8 +17,10 @@ sample; all pages are labelled in tasks, each by itself, in batches of pages.
 
 Defined results: null, empty and tagless html: a page without tags is one block;
 null and empty give the empty text. Repeated pages give equal results, an empty
-table an empty one (without a page there is no model, and none is needed). Other
-columns are ignored. Where no page has such an element, nothing can be learned, and a rule labels:
+table an empty one (without a page there is no model, and none is needed). Only comments,
+scripts and styles are left out unread, to the end of the page if they are never closed, as browsers
+do; all other elements (noscript, object, svg...) hold blocks that the labeller
+judges, closed or not. Other columns are ignored. Where no page has such an element, nothing can be learned, and a rule labels:
 every block outside ``_JUNK_TAGS`` is main.
 """
 
@@ -53,7 +55,7 @@ _JUNK_TAGS = frozenset("nav aside form footer button select".split())
 
 # Possessive and without "<" inside tags, so that no input is scanned again from every "<".
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object)\b[^<>]*+>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^<>]*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^<>]*+>|[^<]+|<", re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")

@@ -120,3 +120,11 @@ def test_long_pages_alone_and_pages_without_an_article(spark):
         assert r["text"].count("long page") == 400 and "menu" not in r["text"]
     bare = H.extract(pages_table(spark, ["<body><nav><p>menu</p></nav><p>Words.</p><footer><p>end</p></footer></body>"])).collect()
     assert bare[0]["text"] == "Words."
+
+
+def test_only_scripts_and_styles_are_left_out_unread():
+    page = ("<article><p>one</p><object data='x'>two <p>three</p><noscript><p>four</p></noscript><svg><text>five</text></svg>"
+            "<script>no <p>no</p></script><style>no</style><template>six</template><iframe>seven</iframe><p>eight</article>")
+    assert [b.text for b in H.blocks(page)] == ["one", "two", "three", "four", "five", "six", "seven", "eight"]
+    assert [b.text for b in H.blocks("a <object> b <p>c")] == ["a", "b", "c"]
+    assert [b.text for b in H.blocks("a<script>b<p>c")] == ["a"]
