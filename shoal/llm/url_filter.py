@@ -107,16 +107,14 @@ def _passes(level: Level, key: Column) -> Column:
     return out
 
 
-def cascade(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS) -> list[Level] | None:
+def cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
     """The levels for the keys (column key) of ``listed``, exact for all keys of
-    ``universe``. None if the first level would need more than ``max_bits``."""
+    ``universe``."""
     inside = checkpointed(listed.select("key").distinct())
     outside = checkpointed(universe.select("key").distinct().join(inside, "key", "left_anti"))
     levels: list[Level] = []
     n = inside.count()
     while n:
-        if n * HASHES * 1.4427 > max_bits:
-            return None
         level = _encode(inside, n, len(levels))
         levels.append(level)
         inside, outside = checkpointed(outside.filter(_passes(level, F.col("key")))), inside
@@ -134,12 +132,16 @@ def is_listed(levels: list[Level], key: Column) -> Column:
 
 def _judged(pages: DataFrame, listed: DataFrame, rules: tuple[Rule, ...], max_bits: int) -> DataFrame:
     """``pages`` (_host, _path, ...) with _rule and _verdict."""
-    levels = cascade(listed, pages.select(F.col("_host").alias("key")), max_bits)
-    if levels is None:
-        keys = listed.select(F.col("key").alias("_key")).distinct()
-        pages = pages.join(keys, F.col("_host") == F.col("_key"), "left").withColumn("_listed", F.col("_key").isNotNull()).drop("_key")
-    else:
-        pages = pages.withColumn("_listed", is_listed(levels, F.col("_host")))
+    n = listed.select("key").distinct().count()
+    ranges = max(1, math.ceil(n * HASHES * 1.4427 / max_bits))
+    out = None
+    for i in range(ranges):
+        here = lambda key, i=i: F.pmod(F.xxhash64(F.lit("range"), key), F.lit(ranges)) == i
+        own = pages if ranges == 1 else pages.filter(here(F.col("_host")))
+        levels = cascade(listed if ranges == 1 else listed.filter(here(F.col("key"))), own.select(F.col("_host").alias("key")))
+        marked = own.withColumn("_listed", is_listed(levels, F.col("_host")))
+        out = marked if out is None else out.unionByName(marked)
+    pages = out
     own = F.when(F.col("_listed"), F.lit("block")).otherwise(F.lit("allow"))
     host, path = F.col("_host"), F.col("_path")
     return (pages.withColumn("_rule", rule_of(host, path, rules, lambda r: r.name))

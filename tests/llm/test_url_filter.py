@@ -27,7 +27,7 @@ def pages(spark, urls):
     return spark.createDataFrame([(i, u, "r", "k") for i, u in enumerate(urls)], "page_id long, url string, _row string, _host string").drop("_host")
 
 
-@pytest.mark.parametrize("max_bits", [U.MAX_BITS, 0])
+@pytest.mark.parametrize("max_bits", [U.MAX_BITS, 16])
 def test_verdicts(spark, max_bits):
     listed = {"other.net", "", "ü.net", "x.org"}
     keys = spark.createDataFrame([(k,) for k in [*listed, "other.net", "unseen.net"]], "key string")
@@ -60,3 +60,12 @@ def test_no_list_and_no_pages(spark):
 def test_hosts_of_many_variants(spark):
     df = pages(spark, ["http://a.net/?x", "http://a.net/1", "http://b.net/1", "http://b.net/2", "http://b.net/?3", None])
     assert {r["key"] for r in U.query_heavy_hosts(df).collect()} == {"a.net"}
+
+
+@pytest.mark.parametrize("max_bits", [U.MAX_BITS, 16])
+def test_no_python_and_no_join_in_the_plan(spark, max_bits):
+    keys = spark.createDataFrame([("other.net",), ("x.org",), ("x.com",)], "key string")
+    df = pages(spark, URLS)
+    df.write.mode("overwrite").parquet(path := f"{spark.sparkContext.getCheckpointDir()}/url-pages")
+    plan = U.judge_pages(spark.read.parquet(path), keys, max_bits=max_bits)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Join", "Exchange hashpartitioning(_host"))
