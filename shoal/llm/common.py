@@ -28,11 +28,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def _checkpoint_folder(spark: SparkSession) -> str:
-    """The folder that the session names; only where it names none (tests)
-    one is made."""
+    """The folder that the session names. Only a local session, whose executors
+    share the driver's disk, may name none (tests); one is made then."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shoal-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("name a folder that the cluster shares in spark.checkpoint.dir")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="shoal-checkpoint-"))
     return sc.getCheckpointDir()
 
 
