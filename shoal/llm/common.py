@@ -5,6 +5,7 @@ and the word rule. A word is a maximal run of bytes other than space and
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ def _checkpoint_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("name a folder that the cluster shares in spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="shoal-checkpoint-"))
     return sc.getCheckpointDir()

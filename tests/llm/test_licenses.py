@@ -84,3 +84,28 @@ def test_wrapped_notices(spark, model):
             got.setdefault(r["doc_id"], set()).add((r["line"], r["family"]))
     at = {i: rows[i][1].split("\n\n")[0].count("\n") + 2 for i in range(3)}
     assert got == {0: {(at[0], "MIT")}, 1: {(at[1], "BSD")}, 2: {(at[2], "Apache-2.0")}, 9: {(prose(50, 1).count("\n") + 1, "MIT")}}
+
+
+def test_the_bound_drops_no_window(spark, model):
+    """Every window scored by the model itself gives the same notices as those the bound lets through."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(documents(spark, awkward() + [
+        (90, "Permission is hereby granted,\nfree of charge, to any person\nobtaining a copy of this software"), (91, "All rights reserved. " + prose(30, 2))]))
+    every = L._with_pairs(L.paragraphs(docs))
+    some = L._with_pairs(L.paragraphs(docs, model.bound()))
+    keys = ("doc_id", "line", "at", "words")
+    want = {tuple(map(str, r)) for r in model.notices(every).select(*keys).collect()}
+    got = {tuple(map(str, r)) for r in model.notices(some).select(*keys).collect()}
+    assert want and got == want and some.count() < 0.5 * every.count()
+
+
+def test_scores_equal_a_plain_model(spark, model):
+    """Probabilities of a few windows by their codes, coefficients and intercepts in numpy."""
+    import numpy as np
+    rows = L._with_pairs(L.paragraphs(documents(spark, [(1, prose(90, 4)), (2, "Released under the MIT License."), (3, "a a a a b")])))
+    lr = model.pipeline.stages[-1]
+    w, b = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()
+    for r in model.probabilities(rows.withColumn("codes", L._codes(rows["words"]))).collect():
+        at = sorted(set(r["codes"]))
+        raw = (w[:, at].sum(axis=1) / np.sqrt(len(at)) + b) / model.temperature
+        p = np.exp(raw - raw.max())
+        assert np.allclose(r["_p"], p / p.sum(), atol=1e-9) and len(r["codes"]) == 2 * len(r["words"]) - 1
