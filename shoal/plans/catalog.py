@@ -454,10 +454,11 @@ def _interpretable(spark, sf_dir):
 def _scratch(spark) -> str:
     """A path in the shared folder that the cluster names. Only a local session, whose
     executors share the driver's disk, may do without."""
+    import re
     import uuid
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("name a folder that the cluster shares in spark.checkpoint.dir")
         import tempfile
         base = tempfile.mkdtemp(prefix="shoal-")
