@@ -96,13 +96,12 @@ def latency_approx(quarantined: DataFrame, accuracy: int = 10000) -> DataFrame:
     exact one. One row per percentile, plus the mean in seconds."""
     lat = _latency_us(quarantined).where(F.col("lat_us").isNotNull())
     probs = (0.5, 0.95, 0.99)
-    s = lat.agg(F.percentile_approx("lat_us", list(probs), accuracy).alias("q"), F.count(F.lit(1)).alias("n"),
-                F.sum("lat_us").alias("s"))
-    per = s.select("n", "s", F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("p"), F.col("q"))).alias("z"))
-    per = per.select("n", "s", F.col("z.p").alias("p"), F.col("z.q").alias("v"))
-    ranks = (lat.join(F.broadcast(per))  # three rows
-             .groupBy("p", "n", "s", "v").agg(F.count_if(F.col("lat_us") < F.col("v")).alias("below"),
-                                              F.count_if(F.col("lat_us") <= F.col("v")).alias("upto")))
+    q = lat.select(F.percentile_approx("lat_us", list(probs), accuracy)).scalar()   # scalar subquery
+    at = [F.get(q, F.lit(i)) for i in range(len(probs))]
+    whole = lat.agg(F.count(F.lit(1)).alias("n"), F.sum("lat_us").alias("s"), F.array(*[F.struct(
+        F.lit(p).alias("p"), F.count_if(F.col("lat_us") < v).alias("below"), F.count_if(F.col("lat_us") <= v).alias("upto"))
+        for p, v in zip(probs, at)]).alias("r"))
+    ranks = whole.where("n > 0").select("n", "s", F.inline("r"))
     bound = F.col("n") / F.lit(float(accuracy)) + F.lit(1.0)
     return ranks.select(
         F.col("p").alias("percentile"), round_half(ratio(F.col("s"), F.col("n")) / F.lit(1_000_000.0), 2).alias("avg_latency_seconds"),

@@ -63,6 +63,11 @@ def write_reports(reports: DataFrame, explanations: DataFrame, index: DataFrame,
     index.coalesce(1).write.mode("overwrite").json(f"{path}/index")
 
 
+def write_latency_report(profile: DataFrame, path: str) -> None:
+    """A profile (one row per cohort) as one JSON-lines file in the folder ``path``."""
+    profile.coalesce(1).write.mode("overwrite").json(path)
+
+
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -55,3 +55,13 @@ def test_entry_imports_without_the_corpus_part():
             "assert e.queries() and not [k for k in e.queries() if k.startswith('op') or k == 'pipeline']")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root)
+
+
+def test_latency_report_file(spark, tmp_dir):
+    from shoal.operators.profile import profile
+    from shoal.sources.tables import write_latency_report
+    df = spark.createDataFrame([("organic", "2024-01-01 10:00:00", "2024-01-01 10:00:07")], "label string, e string, i string").select(
+        "label", F.to_timestamp("e").alias("event_time"), F.to_timestamp("i").alias("ingestion_time"))
+    write_latency_report(profile(df), f"{tmp_dir}/latency")
+    got = {r["cohort"]: r["count"] for r in spark.read.json(f"{tmp_dir}/latency").collect()}
+    assert got == {"organic": 1, "quarantined": 0, "combined": 1}
