@@ -4,7 +4,7 @@ A source of token share p gets the weight p**a / sum(p**a). The exponent a in
 [0, 1] (0: all sources alike, 1: as they are) is searched for the value nearest
 1 that meets a least entropy, or the least that keeps to a most number of
 passes over a source. A search round evaluates the ends of ``_SECTIONS`` sections
-in one grouping of the source table, so nothing of it is gathered.
+in one pass of at most ``_PARTS`` tasks over the source table; each sends its sums.
 
 With weight w and budget B a source of T tokens is passed B * w / T times: every
 whole pass gives each of its documents once, in a new order of blocks; the last,
@@ -23,7 +23,10 @@ share their hash and stay or go together. Other columns are ignored
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +36,8 @@ SEED = 7
 REPEATS = 2.0
 BLOCK_ROWS = 1024
 MAX_SOURCES = 100_000  # rows of a few dozen bytes that are broadcast; beyond, adaptive execution splits a hot source
-_SECTIONS = 32
-_ROUNDS = 6
+_SECTIONS = 256
+_ROUNDS = 4
 _PARTS = 16
 
 
@@ -52,6 +55,23 @@ def source_tokens(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
 
 
+def _powers(total: float, at: np.ndarray):
+    """Sums over sources of share p: of p**a and p**a ln p, and the bounds of p**a / p, for each a of ``at``."""
+    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        z, l, most, least = np.zeros(len(at)), np.zeros(len(at)), np.zeros(len(at)), np.full(len(at), np.inf)
+        for b in batches:
+            log_p = np.log(b["tokens"].to_numpy(float) / total)
+            for i in range(0, len(log_p), 1024):
+                part = log_p[i:i + 1024]
+                x = np.exp(np.outer(part, at))
+                z, l = z + x.sum(axis=0), l + part @ x  # noqa: E741
+                x /= np.exp(part)[:, None]
+                most, least = np.maximum(most, x.max(axis=0)), np.minimum(least, x.min(axis=0))
+        yield pd.DataFrame({"i": np.arange(len(at)), "z": z, "l": l, "most": most, "least": least})
+
+    return over
+
+
 def find_exponent(sources: DataFrame, entropy: float | None = None, repeats: float | None = None,
                   budget: int | None = None) -> float:
     """The exponent for ``entropy`` (a share of the most there can be, the log
@@ -63,12 +83,14 @@ def find_exponent(sources: DataFrame, entropy: float | None = None, repeats: flo
     total, n = some.agg(F.sum("tokens"), F.count("*")).first()
     if not n or n == 1:
         return 1.0
-    p = F.col("tokens") / F.lit(total)
+    some = some.select("tokens").coalesce(_PARTS)
     lo, hi = 0.0, 1.0
     for _ in range(_ROUNDS):
         at = [lo + (hi - lo) * i / _SECTIONS for i in range(_SECTIONS + 1)]
-        power = [F.pow(p, F.lit(a)) for a in at]
-        r = some.agg(F.array(*[F.struct(F.sum(x), F.sum(x * F.log(p)), F.max(x / p), F.min(x / p)) for x in power])).first()[0]
+        rows = some.mapInPandas(_powers(float(total), np.array(at)), "i int, z double, l double, most double, least double").collect()
+        parts = np.array(rows, float).reshape(-1, len(at), 5)  # _PARTS at most
+        r = zip(parts[:, :, 1].sum(axis=0).tolist(), parts[:, :, 2].sum(axis=0).tolist(),
+                parts[:, :, 3].max(axis=0).tolist(), parts[:, :, 4].min(axis=0).tolist())
         ok = []
         for a, (z, l, most, least) in zip(at, r):  # noqa: E741
             if entropy is not None:
