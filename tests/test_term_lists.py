@@ -1,0 +1,162 @@
+"""Weights, contributions and signals from lists per text: the same rows as the long
+form, without a shuffle of a row per document and term."""
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from shoal.operators import explain as ex
+from shoal.operators import text_model as tm
+
+WORDS = [a + b for a in ("ba", "ke", "li", "mo") for b in ("na", "ro", "su", "ti", "é_9")] + ["the", "and", "x"]
+
+
+def _rows(n, seed=3):
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randrange(0, 40))) for _ in range(n)]
+    rows = [(i, t, float(i % 2) if i % 3 else None) for i, t in enumerate(texts)]
+    return rows + [(n, None, 1.0), (n + 1, "", 0.0), (n + 2, "the and", 0.0), (n + 3, ", .   Bana!BANA", 1.0)]
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame(rows, "text_id long, text string, label double")
+
+
+def _lists(docs, size=12):
+    m = tm.fit_tfidf(docs, "text_id", max_features=size)
+    return tm.tfidf_lists(m, tm.term_lists(docs, "text_id"), ("text_id",))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _sorted(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _same(a, b, key=2):
+    a, b = ({tuple(r[:key]): r[key:] for r in x} for x in (a, b))
+    assert a.keys() == b.keys()
+    for k in a:
+        assert all(x == pytest.approx(y, abs=1.1e-4) if isinstance(x, float) else x == y for x, y in zip(a[k], b[k]))
+
+
+def _brute(rows):
+    """Counts per id, equal ids added up."""
+    out = defaultdict(Counter)
+    for i, t, *_ in rows:
+        out[i].update(w for w in re.findall(r"\w{2,}", (t or "").lower()) if w not in ("the", "and"))
+    return {(i, w): n for i, c in out.items() for w, n in c.items()}
+
+
+def test_terms_of_a_text_are_not_shuffled(spark):
+    docs = _docs(spark, _rows(30))
+    m = tm.fit_tfidf(docs, "text_id", max_features=12)
+    m.known()
+    assert "Exchange hashpartitioning" not in _plan(tm.term_counts(docs, "text_id"))
+    assert "Exchange hashpartitioning" not in _plan(tm.transform_tfidf(m, docs, "text_id"))
+    assert "Exchange hashpartitioning" not in _plan(ex.text_top_features(_contrib(spark, docs)))
+
+
+@pytest.mark.parametrize("most", [100_000, 0])  # repeated ids broadcast, and joined by a shuffle
+def test_repeated_and_null_ids_are_counted_together(spark, monkeypatch, most):
+    monkeypatch.setattr(tm, "BROADCAST_IDS", most)
+    rows = _rows(12)
+    rows += [(3, "Bana bana keti", 1.0), (3, "x", None), (None, "bana", 1.0), (None, "bana moti", 0.0)]
+    got = {(r["text_id"], r["term"]): r["tf"] for r in tm.term_counts(_docs(spark, rows), "text_id").collect()}
+    assert got == _brute(rows) and got[None, "bana"] == 2
+    lists = tm.term_lists(_docs(spark, rows), "text_id").groupBy("text_id").count().where("count > 1").count()
+    assert lists == 0
+
+
+def test_weights_against_plain_python(spark):
+    rows = _rows(40)
+    docs = _docs(spark, rows)
+    tf = _brute(rows)
+    cf, df = Counter(), Counter()
+    for (_, w), n in tf.items():
+        cf[w] += n
+        df[w] += 1
+    vocab = sorted(cf, key=lambda w: (-cf[w], w))[:12]
+    w = {(i, t): (1 + math.log(n)) * (math.log((1 + len(rows)) / (1 + df[t])) + 1) for (i, t), n in tf.items() if t in vocab}
+    norm = defaultdict(float)
+    for (i, _), x in w.items():
+        norm[i] += x * x
+    got = tm.transform_tfidf(tm.fit_tfidf(docs, "text_id", max_features=12), docs, "text_id").collect()
+    assert {(r["text_id"], r["term"]) for r in got} == set(w)
+    for r in got:
+        assert r["weight"] == pytest.approx(w[r["text_id"], r["term"]] / math.sqrt(norm[r["text_id"]]), rel=1e-12)
+        assert r["tf"] == tf[r["text_id"], r["term"]] and vocab[r["idx"]] == r["term"]
+
+
+def _coefs(spark, docs):
+    c = tm.log_ratio_coefficients(_lists(docs), docs, "text_id")
+    return c.where(F.col("term") != "bana")  # a term without a coefficient
+
+
+def _contrib(spark, docs):
+    return ex.contributions(_lists(docs), _coefs(spark, docs))
+
+
+def test_coefficients_from_lists(spark):
+    docs = _docs(spark, _rows(40))
+    m = tm.fit_tfidf(docs, "text_id", max_features=12)
+    long = tm.transform_tfidf(m, docs, "text_id")
+    a, b = (_sorted(tm.log_ratio_coefficients(x, docs, "text_id")) for x in (long, _lists(docs)))
+    assert [x[0] for x in a] == [x[0] for x in b] and [x[1] for x in a] == pytest.approx([x[1] for x in b])
+
+
+def test_vectors_from_lists(spark, tmp_dir):
+    docs = _docs(spark, _rows(20)).where(F.col("label").isNotNull())
+    lists = _lists(docs)
+    tm.write_vectors(lists, docs, "text_id", f"{tmp_dir}/a")
+    tm.write_vectors(lists.long(), docs, "text_id", f"{tmp_dir}/b")
+    a, b = (sorted(r[0] for r in spark.read.text(f"{tmp_dir}/{x}").collect()) for x in "ab")
+    assert a == b and len(a) == docs.count()
+
+
+def _reviews(spark):
+    rng = random.Random(5)
+    rows = [(str(i), rng.choice(["b1", "b2", "b3", None]), i % 5, rng.choice([*range(46), None])) for i in range(300)]
+    rows += [(f"h{i}", "hot", 1, i % 40) for i in range(400)]
+    return spark.createDataFrame(rows, "review_id string, business_id string, stars int, text_id long")
+
+
+def test_scores_and_features_from_lists(spark):
+    docs = _docs(spark, _rows(40))
+    coefs = _coefs(spark, docs)
+    long = ex.contributions(tm.transform_tfidf(tm.fit_tfidf(docs, "text_id", max_features=12), docs, "text_id"), coefs)
+    lists = _contrib(spark, docs)
+    _same(_sorted(ex.review_scores(lists, _reviews(spark))), _sorted(ex.review_scores(long, _reviews(spark))), 1)
+    _same(_sorted(ex.text_top_features(lists)), _sorted(ex.text_top_features(long)))
+
+
+@pytest.mark.parametrize("piece", [20_000, 7, 1])
+def test_signals_from_lists(spark, piece):
+    docs = _docs(spark, _rows(40))
+    coefs = _coefs(spark, docs)
+    long = ex.contributions(tm.transform_tfidf(tm.fit_tfidf(docs, "text_id", max_features=12), docs, "text_id"), coefs)
+    got = _sorted(ex.top_attack_signals(_contrib(spark, docs), _reviews(spark), k=5, piece=piece))
+    assert {r[0] for r in got} == {"b1", "b2", "b3", "hot"}
+    _same(got, _sorted(ex.top_attack_signals(long, _reviews(spark), k=5)))
+
+
+def test_signals_make_no_row_per_business_and_term(spark):
+    """The sums of a business leave its task as its first terms."""
+    docs = _docs(spark, _rows(40))
+    uses = _reviews(spark).groupBy("business_id", "text_id").agg(F.count(F.lit(1)).alias("_uses"))
+    lists = _contrib(spark, docs)
+    n = ex._summed(lists, uses, 3, "text_id", 20_000).groupBy("business_id").count().collect()
+    assert {r["business_id"] for r in n} == {"b1", "b2", "b3", "hot"} and all(r["count"] == 3 for r in n)
+
+
+def test_ties_go_by_term(spark):
+    docs = _docs(spark, [(1, "zeta alpha midd", 1.0), (2, "zeta alpha midd", 1.0), (3, "other", 0.0)])
+    reviews = spark.createDataFrame([("r1", "b", 1, 1), ("r2", "b", 1, 2)], "review_id string, business_id string, stars int, text_id long")
+    c = ex.contributions(_lists(docs), tm.log_ratio_coefficients(_lists(docs), docs, "text_id"))
+    assert [r["feature"] for r in ex.top_attack_signals(c, reviews, k=2).orderBy("rank").collect()] == ["alpha", "midd"]
+    assert [r["feature"] for r in ex.text_top_features(c, k=2).where("text_id = 1").orderBy("rank").collect()] == ["alpha", "midd"]
