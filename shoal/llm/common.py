@@ -23,6 +23,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def checkpointed_by_size(df: DataFrame) -> DataFrame:
+    """:func:`checkpointed` for few rows made by many tasks: they are dealt anew by their
+    size, so that there is no file, and no process that sets its mode, for every task."""
+    return checkpointed(df.hint("rebalance"))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder, for a written table."""
     return f"{_checkpoint_folder(spark)}/{name}"

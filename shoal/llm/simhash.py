@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoal.llm.common import checkpointed
+from shoal.llm.common import checkpointed, checkpointed_by_size
 from shoal.llm.graph import components
 
 SHINGLE = 3
@@ -205,7 +205,7 @@ def links(fingerprints: DataFrame, distance: int = DISTANCE, bucket: int = BUCKE
     keyed = _spread(fingerprints).select("fp", F.explode(F.concat(
         _wild_keys(_segments(F.col("fp"), 0, 32), 32, 0),
         _wild_keys(_segments(F.col("fp"), 32, 32), 32, 33))).alias("key"))
-    first = checkpointed(_shared_buckets(keyed.select("key", "fp"), "key").mapInPandas(_bucket_mapper(distance, bucket), schema))
+    first = checkpointed_by_size(_shared_buckets(keyed.select("key", "fp"), "key").mapInPandas(_bucket_mapper(distance, bucket), schema))
     # what shares a key of one segment is indexed by the halves of the other
     other = F.when(F.shiftright("key", 32) < 33, _segments(F.col("a"), 32, 32)).otherwise(_segments(F.col("a"), 0, 32))
     again = (first.filter("key >= 0").select("key", F.col("a").alias("fp"), other.alias("o"))
@@ -243,7 +243,7 @@ def _with_components(rows: DataFrame, distance: int) -> DataFrame:
 
 def simhash_groups(documents: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits), component_id."""
-    rows = checkpointed(documents.select("doc_id", _fingerprints("text").alias("fp")))
+    rows = checkpointed_by_size(documents.select("doc_id", _fingerprints("text").alias("fp")))
     return (_with_components(rows, distance).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
@@ -251,7 +251,7 @@ def drop_near_duplicates(documents: DataFrame, distance: int = DISTANCE) -> Data
     """The row of least doc_id of each component; of rows with that id, the one
     whose text hash is least, and of equal rows one."""
     digest = F.xxhash64("text")
-    rows = checkpointed(documents.select("doc_id", digest.alias("digest"), _fingerprints("text").alias("fp")))
+    rows = checkpointed_by_size(documents.select("doc_id", digest.alias("digest"), _fingerprints("text").alias("fp")))
     kept = (_with_components(rows, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("root").agg(F.min("component_id").alias("_id"), F.min("digest").alias("_digest"))
             .select("_id", "_digest"))

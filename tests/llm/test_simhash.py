@@ -115,3 +115,18 @@ def test_one_row_of_each_component_stays(spark):
 def test_distance_beyond_three_is_refused(spark):
     with pytest.raises(ValueError):
         S.links(spark.range(1).select(F.col("id").alias("fp")), 4)
+
+
+def test_few_files_for_many_input_splits(spark):
+    """The fingerprints of forty splits are few bytes: not a file for every split."""
+    from pathlib import Path
+    from shoal.llm.common import shared_path
+    root = Path(shared_path(spark, "").removeprefix("file:"))
+    before = set(root.rglob("part-*"))
+    rows = [(i, prose(60, i)) for i in range(120)]
+    df = documents(spark, rows).repartition(40)
+    check(rows, S.simhash_groups(df).collect())
+    folders = {}
+    for f in set(root.rglob("part-*")) - before:
+        folders[f.parent] = folders.get(f.parent, 0) + 1
+    assert folders and max(folders.values()) < 40
