@@ -24,16 +24,24 @@ def _piece(pieces) -> F.Column:
 
 def report_parts(explanations: DataFrame, size: int = PART, piece: int = PIECE, entry: tuple[str, ...] = ENTRY) -> DataFrame:
     """(business_id, part, n, reviews): ``reviews`` is an array of structs of ``entry``
-    in order of review id, at most ``size`` of them; parts count from 1."""
-    sizes = (explanations.groupBy("business_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).cast("long").alias("_pieces"))
-             .withColumnRenamed("business_id", "_b"))
-    rows = (explanations.join(sizes, F.col("business_id").eqNullSafe(F.col("_b"))).drop("_b")
-            .withColumn("_piece", _piece(F.col("_pieces"))).drop("_pieces"))
+    in order of review id, at most ``size`` of them; parts count from 1. The explanations go
+    through one shuffle: businesses in pieces are fewer than the reviews by ``piece``, so
+    their piece counts and the part counts before each piece are broadcast."""
+    many = (explanations.groupBy("business_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).cast("long").alias("_pieces"))
+            .where(F.col("_pieces") > 1).withColumnRenamed("business_id", "_b"))
+    same = F.col("business_id").eqNullSafe(F.col("_b"))
+    before = Window.partitionBy("_b").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)  # a row per piece
+    first = (explanations.select("business_id", "review_id").join(F.broadcast(many), same)
+             .groupBy("_b", _piece(F.col("_pieces")).alias("_at")).agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).alias("_parts"))
+             .select("_b", "_at", F.coalesce(F.sum("_parts").over(before), F.lit(0)).alias("_before")))
+    rows = (explanations.join(F.broadcast(many), same, "left").drop("_b")
+            .withColumn("_piece", _piece(F.coalesce("_pieces", F.lit(1)))).drop("_pieces"))
     numbered = rows.withColumn("_n", F.row_number().over(Window.partitionBy("business_id", "_piece").orderBy("review_id")) - 1)
     parts = (numbered.groupBy("business_id", "_piece", F.floor(F.col("_n") / F.lit(size)).alias("_k"))
              .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct(F.col("_n"), F.struct(*entry).alias("r")))).alias("_l")))
-    order = Window.partitionBy("business_id").orderBy("_piece", "_k")  # a row per part, not per review
-    return parts.select("business_id", F.row_number().over(order).alias("part"), "n", F.transform("_l", lambda x: x["r"]).alias("reviews"))
+    part = (F.coalesce("_before", F.lit(0)) + F.col("_k") + 1).cast("int").alias("part")
+    return (parts.join(F.broadcast(first), same & (F.col("_piece") == F.col("_at")), "left")
+            .select("business_id", part, "n", F.transform("_l", lambda x: x["r"]).alias("reviews")))
 
 
 def manifest(parts: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,14 @@ def test_nested_reports_are_written_and_read(spark, tmp_dir):
     got = {r["business_id"]: (r["review_parts"], r["explained_reviews"]) for r in spark.read.json(f"{tmp_dir}/reports").collect()}
     assert got == {"small": (1, 3), "big": (3, 120), None: (1, 1)}
     assert R.reassembled(R.read_nested_parts(spark, tmp_dir, R.report_parts(df, 50).schema)).select(*df.columns).exceptAll(df).count() == 0
+
+
+@pytest.mark.parametrize("piece", [100_000, 70])
+def test_explanations_are_shuffled_once(spark, piece):
+    """Neither the sizes of the businesses nor the numbers of the parts move the explanations again."""
+    parts = R.report_parts(explained(spark, [("small", 3), ("big", 523)]), 50, piece)
+    got = {b: [(r["part"], r["n"]) for r in parts.where(F.col("business_id").eqNullSafe(b)).orderBy("part").collect()] for b in ("small", "big", None)}
+    assert got["small"] == [(1, 3)] and got[None] == [(1, 1)]
+    assert [p for p, _ in got["big"]] == list(range(1, len(got["big"]) + 1)) and sum(n for _, n in got["big"]) == 523
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and not re.search(r"windowspecdefinition\(business_id#\d+, _piece#\d+L? ASC", plan)
