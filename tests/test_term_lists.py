@@ -160,3 +160,27 @@ def test_ties_go_by_term(spark):
     c = ex.contributions(_lists(docs), tm.log_ratio_coefficients(_lists(docs), docs, "text_id"))
     assert [r["feature"] for r in ex.top_attack_signals(c, reviews, k=2).orderBy("rank").collect()] == ["alpha", "midd"]
     assert [r["feature"] for r in ex.text_top_features(c, k=2).where("text_id = 1").orderBy("rank").collect()] == ["alpha", "midd"]
+
+
+def test_totals_make_no_row_per_text_and_term(spark):
+    rows = _rows(60)
+    docs = _docs(spark, rows)
+    m = tm.fit_tfidf(docs, "text_id", max_features=8)
+    assert "Generate" not in _plan(m.vocab)
+    lists = [(r["terms"], r["tf"]) for r in tm.term_lists(docs, "text_id").collect()]
+    want = {}
+    for terms, tf in lists:
+        for t, n in zip(terms, tf):
+            cf, df = want.get(t, (0, 0))
+            want[t] = (cf + n, df + 1)
+    assert {r["term"]: (r["cf"], r["df"]) for r in tm._term_totals(tm.term_lists(docs, "text_id")).collect()} == want
+
+
+def test_training_rows_are_stored_narrow(spark, monkeypatch):
+    """The lists meet the ids of the training rows, whose size Spark knows, not the texts again."""
+    from shoal.plans import catalog
+    seen = []
+    write = tm.write_vectors
+    monkeypatch.setattr(tm, "write_vectors", lambda w, docs, *a: (seen.append(docs), write(w, docs, *a)))
+    catalog._fit_interpretable(spark, "/root/testdata/sf0.001")
+    assert seen[0].columns == ["doc_id", "label"] and all("documents" not in f for f in seen[0].inputFiles())
