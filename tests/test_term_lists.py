@@ -177,7 +177,7 @@ def test_totals_make_no_row_per_text_and_term(spark):
 
 
 def test_training_rows_are_stored_narrow(spark, monkeypatch):
-    """The lists meet the ids of the training rows, whose size Spark knows, not the texts again."""
+    """The lists meet the stored ids of the training rows, whose size Spark knows."""
     from shoal.plans import catalog
     seen = []
     write = tm.write_vectors
