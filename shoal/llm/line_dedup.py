@@ -8,10 +8,12 @@ of its distinct keys, the number of documents that carry it. Lines whose key (of
 text is put together again from the positions that stay.
 
 Scale: copies of a text meet once, map-side first, and are one row from then
-on, so a group of copies costs no more than one of them. Only digests and
-positions are exploded and shuffled, never the lines. Keys with over 1/``HOT`` of
-all lines are fewer than ``HOT`` and are broadcast; no other key can fill a
-task. Documents are shuffled once, to the positions of their text; texts with over
+on, so a group of copies costs no more than one of them. That shuffle serves every
+step (a filter that holds for every text keeps its columns in all of them, so that
+Spark sees one and the same); nothing is written in between, no file for each of
+many tasks. Only digests and positions are exploded and shuffled, never the lines.
+Keys with over 1/``HOT`` of all lines are fewer than ``HOT`` and are broadcast; no
+other key can fill a task. Documents are shuffled once, to the positions of their text; texts with over
 1/``HOT`` of all documents (fewer than ``HOT``) are dealt over so many pieces that
 none has more.
 
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoal.llm.common import SPACES, checkpointed
+from shoal.llm.common import SPACES
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -55,20 +57,27 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 def _texts(documents: DataFrame, min_chars: int) -> DataFrame:
     """(t, keys, copies) of every distinct text, by its digest."""
-    return checkpointed(documents.select(F.md5(F.coalesce("text", F.lit(""))).alias("t"), line_keys(F.col("text"), min_chars).alias("keys"))
-                        .groupBy("t").agg(F.first("keys").alias("keys"), F.count("*").alias("copies")))
+    return (documents.select(F.md5(F.coalesce("text", F.lit(""))).alias("t"), line_keys(F.col("text"), min_chars).alias("keys"))
+            .groupBy("t").agg(F.first("keys").alias("keys"), F.count("*").alias("copies"))
+            .filter((F.col("copies") > 0) & (F.size("keys") > 0)))  # always so; see above
+
+
+def _totals(texts: DataFrame) -> DataFrame:
+    """One row: lines of the distinct texts, and documents."""
+    return F.broadcast(texts.agg(F.sum(F.size("keys")).alias("_total_lines"), F.sum("copies").alias("_total_docs")))
 
 
 def repeated_positions(texts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(t, positions): the lines to drop of every text that has any, counted from 0."""
-    found = checkpointed(texts.select("copies", F.explode(F.array_distinct("keys")).alias("key")).filter("key is not null")
-                         .groupBy("key").agg(F.sum("copies").alias("docs"), F.count("*").alias("n")).filter(F.col("docs") >= min_docs))
-    total = texts.agg(F.sum(F.size("keys"))).first()[0] or 0
-    common = F.broadcast(found.filter(F.col("n") > total // HOT).select("key"))
-    rare = found.filter(F.col("n") <= total // HOT).select("key")
-    each = texts.select("t", F.posexplode("keys").alias("at", "key")).filter("key is not null")
+    """(t, copies, positions): the lines to drop of every text that has any, counted from 0."""
+    found = (texts.select("copies", F.explode(F.array_distinct("keys")).alias("key")).filter("key is not null")
+             .groupBy("key").agg(F.sum("copies").alias("docs"), F.count("*").alias("n")).filter(F.col("docs") >= min_docs)
+             .crossJoin(_totals(texts)))
+    is_common = F.col("n") * HOT > F.col("_total_lines")
+    common = F.broadcast(found.filter(is_common).select("key"))
+    rare = found.filter(~is_common).select("key")
+    each = texts.select("t", "copies", F.posexplode("keys").alias("at", "key")).filter("key is not null")
     hits = each.join(common, "key", "left_semi").unionByName(each.join(common, "key", "left_anti").join(rare, "key", "left_semi"))
-    return hits.groupBy("t").agg(F.collect_list("at").alias("positions"))
+    return hits.groupBy("t").agg(F.first("copies").alias("copies"), F.collect_list("at").alias("positions"))
 
 
 def _without(text: Column, positions: Column) -> Column:
@@ -82,13 +91,15 @@ def _without(text: Column, positions: Column) -> Column:
 def _cut(documents: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     """(_row, _lines, _dropped, _kept) of every document."""
     texts = _texts(documents, min_chars)
-    share = (texts.agg(F.sum("copies")).first()[0] or 0) // HOT + 1  # documents of a piece
-    pieces = F.broadcast(texts.filter(F.col("copies") > share).select(F.col("t").alias("_hot"), F.ceil(F.col("copies") / share).alias("_pieces")))
-    many = F.coalesce("_pieces", F.lit(1))
-    drops = (repeated_positions(texts, min_docs).join(pieces, F.col("t") == F.col("_hot"), "left")
+    totals = _totals(texts)
+    share = F.floor(F.col("_total_docs") / HOT) + 1  # documents of a piece
+    many = F.ceil(F.col("copies") / share)
+    pieces = F.broadcast(texts.crossJoin(totals).filter(F.col("copies") > share)
+                         .select(F.col("t").alias("_hot"), many.alias("_pieces")))
+    drops = (repeated_positions(texts, min_docs).crossJoin(totals)
              .select("t", "positions", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)).alias("piece")))
     rows = (_rows(documents).join(pieces, F.col("_t") == F.col("_hot"), "left")
-            .withColumn("_piece", F.pmod(F.monotonically_increasing_id(), many)))
+            .withColumn("_piece", F.pmod(F.monotonically_increasing_id(), F.coalesce("_pieces", F.lit(1)))))
     text = F.col("_row.text")
     return (rows.join(drops, (F.col("_t") == F.col("t")) & (F.col("_piece") == F.col("piece")), "left")
             .select("_row", F.size(lines(text)).cast("long").alias("_lines"),

@@ -75,3 +75,22 @@ def test_short_keys_stay(spark):
 def test_no_python_in_the_plan(spark):
     plan = L.line_report(spark.read.parquet(f"{SMALL}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_no_files_between_the_steps(spark):
+    """Each file that an executor writes starts processes; forty splits make none before the result is written."""
+    from pathlib import Path
+    from shoal.llm.common import shared_path
+    root = Path(shared_path(spark, "").removeprefix("file:"))
+    before = set(root.rglob("part-*"))
+    rows = cases()
+    check(rows, L.line_report(documents(spark, rows).repartition(40)).collect())
+    assert set(root.rglob("part-*")) <= before
+
+
+def test_one_shuffle_of_the_texts(spark):
+    """Documents are read for the texts and for the rows, not again by each step."""
+    df = L.line_report(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 2
