@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: Java regular expression of one word.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
+#: Tasks per core for rows that are short and quick to read.
+PER_CORE = 4
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -23,10 +25,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def in_few_tasks(df: DataFrame) -> DataFrame:
+    """``df`` in ``PER_CORE`` tasks per core at most, as many parts as its shuffle has. The driver keeps
+    a record of every task; what reads a checkpoint of short rows would else have a task for each part."""
+    return df.coalesce(PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def checkpointed_by_size(df: DataFrame) -> DataFrame:
     """:func:`checkpointed` for few rows made by many tasks: they are dealt anew by their
     size, so that there is no file, and no process that sets its mode, for every task."""
-    return checkpointed(df.hint("rebalance"))
+    return checkpointed(in_few_tasks(df.hint("rebalance")))
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import WORD, checkpointed
+from shoal.llm.common import WORD, checkpointed, in_few_tasks
 
 SEED = 7
 REPEATS = 2.0
@@ -170,7 +170,8 @@ def _plan(documents: DataFrame, entropy: float | None, repeats: float | None, bu
     n = sources.agg(F.sum("rows")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, n / BLOCK_ROWS))))
     exponent = find_exponent(sources, entropy, repeats, budget)
-    return checkpointed(_prefix_ends(rows, source_passes(sources, exponent, budget), bits)), exponent, bits
+    ends = _prefix_ends(rows, source_passes(sources, exponent, budget), bits)
+    return checkpointed(in_few_tasks(ends)), exponent, bits
 
 
 def _copies(rows: DataFrame, ends: DataFrame, bits: int) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoal.llm.common import SPACES, checkpointed
+from shoal.llm.common import SPACES, checkpointed, in_few_tasks
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 SYMBOLS = "#*$%&|<>"
@@ -165,7 +165,7 @@ FENCES = tuple(f"{k}_hi" for k in RATIOS) + tuple(f"{k}_lo" for k, v in RATIOS.i
 def thresholds(counted: DataFrame, r: Rules = Rules()) -> DataFrame:
     """One row per (lang, source) that occurs, with the fences of the finest
     level of at least ``min_rows`` documents (the corpus, if none has them)."""
-    f = checkpointed(fences(sketches(counted, r), r))
+    f = checkpointed(in_few_tasks(fences(sketches(counted, r), r)))
     groups = f.filter("level = 0").select("lang", "source", F.col("rows").alias("rows0"), *[F.col(c).alias(f"{c}0") for c in FENCES])
     lang = f.filter("level = 1").select(F.col("lang").alias("lang1"), F.col("rows").alias("rows1"), *[F.col(c).alias(f"{c}1") for c in FENCES])
     every = f.filter("level = 2").select(*FENCES).first()  # one row, or none in an empty table

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoal.llm.common import checkpointed, checkpointed_by_size
+from shoal.llm.common import checkpointed, checkpointed_by_size, in_few_tasks
 from shoal.llm.graph import components
 
 SHINGLE = 3
@@ -219,8 +219,8 @@ def links(fingerprints: DataFrame, distance: int = DISTANCE, bucket: int = BUCKE
 def _component_ids(rows: DataFrame, distance: int) -> DataFrame:
     """(fp, component_id, root, copies) of the rows (doc_id, fp); root is the
     least fingerprint of the component."""
-    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")))
-    roots = checkpointed(components(links(distinct.select("fp"), distance)))
+    distinct = checkpointed(in_few_tasks(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))))
+    roots = checkpointed(in_few_tasks(components(links(distinct.select("fp"), distance))))
     joined = roots.join(distinct, roots["node"] == distinct["fp"]).select("fp", "root", "least")
     own = joined.groupBy("root").agg(F.min("least").alias("component"))
     linked = joined.join(own, "root").select(F.col("fp").alias("fp_"), "root", "component")
@@ -233,9 +233,9 @@ def _component_ids(rows: DataFrame, distance: int) -> DataFrame:
 def _with_components(rows: DataFrame, distance: int) -> DataFrame:
     """``rows`` with component_id and root. The fingerprints of over 1/``HOT`` of
     all rows, fewer than ``HOT``, are broadcast, so a hot one is not shuffled."""
-    ids = _component_ids(rows, distance).withColumnRenamed("fp", "fp_")
+    ids = checkpointed(in_few_tasks(_component_ids(rows, distance).withColumnRenamed("fp", "fp_")))
     most = rows.count() // HOT
-    hot = F.broadcast(checkpointed(ids.filter(F.col("copies") > most)))
+    hot = F.broadcast(ids.filter(F.col("copies") > most))
     match = F.col("fp") == F.col("fp_")
     rest = rows.join(hot, match, "left_anti").join(ids.filter(F.col("copies") <= most), match)
     return rows.join(hot, match).unionByName(rest).drop("fp_", "copies")

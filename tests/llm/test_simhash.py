@@ -1,5 +1,7 @@
 """SimHash components against all pairs on small tables."""
 
+import uuid
+
 import numpy as np
 import pytest
 import xxhash
@@ -130,3 +132,41 @@ def test_few_files_for_many_input_splits(spark):
     for f in set(root.rglob("part-*")) - before:
         folders[f.parent] = folders.get(f.parent, 0) + 1
     assert folders and max(folders.values()) < 40
+
+
+@pytest.fixture()
+def many_parts(spark):
+    """Shuffles of 64 parts that are not merged; gives the number of tasks run since."""
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    sc, group = spark.sparkContext, f"many-parts-{uuid.uuid4().hex}"
+    sc.setJobGroup(group, "")
+
+    def tasks() -> int:
+        told = sc.statusTracker()
+        stages = {s for j in told.getJobIdsForGroup(group) for s in told.getJobInfo(j).stageIds}
+        return sum(i.numTasks for s in stages if (i := told.getStageInfo(s)) and i.numCompletedTasks)
+
+    yield tasks
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("spread", [40, 50_000])
+def test_rounds_have_tasks_by_their_links(spark, many_parts, spread):
+    """Six rounds over 300 links, in a shuffle of many parts, in one task or some for each table."""
+    from shoal.llm.graph import components
+    links = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(50)] + [(7, 7), (2, 1)]
+    got = components(spark.createDataFrame(links, "a long, b long"), spread).collect()
+    assert sorted((r["node"], r["root"]) for r in got) == [(i, 0) for i in range(301)] + [(1000 + i, 1000) for i in range(50)]
+    assert spread < 300 or many_parts() < 3 * 64
+
+
+def test_driver_keeps_few_tasks(spark, many_parts):
+    """The driver holds a record of each task: most steps read few short rows."""
+    rows = [(i, prose(60, i // 2) + " tail" * (i % 2)) for i in range(120)] + [(200 + i, prose(60, 1)) for i in range(30)]
+    check(rows, S.simhash_groups(documents(spark, rows)).collect())
+    assert many_parts() < 20 * 64
