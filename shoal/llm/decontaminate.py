@@ -113,6 +113,8 @@ def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: in
     each the unit TF-IDF vector of its words times its weight."""
 
     def gram_times(z: np.ndarray) -> np.ndarray:
+        size = z.size  # so that the tasks that add up are not sent z
+
         def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = np.zeros_like(z)
             for b in batches:
@@ -125,7 +127,7 @@ def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: in
             yield pd.DataFrame({"m": [total.tobytes()]})
 
         def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(z.size)
+            total = np.zeros(size)
             for b in batches:
                 for m in b["m"]:
                     total += np.frombuffer(m)

@@ -24,7 +24,8 @@ def components(edges: DataFrame, spread: int = SPREAD) -> DataFrame:
     state = _state(e)
     while state[0]:
         parts = state[0] // spread + 1
-        e = checkpointed(_small_star(_large_star(e, parts), parts))
+        e = checkpointed(_large_star(e, parts))  # read three times
+        e = checkpointed(_small_star(e, parts))
         if (now := _state(e)) == state:
             break
         state = now
@@ -44,6 +45,7 @@ def _large_star(e: DataFrame, parts: int) -> DataFrame:
 
 
 def _small_star(e: DataFrame, parts: int) -> DataFrame:
+    e = e.coalesce(parts)
     least = e.groupBy("a").agg(F.min("b").alias("m"))
     moved = e.join(_small(least, parts), "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).coalesce(parts).distinct().coalesce(parts)

@@ -144,7 +144,8 @@ def _prefix_ends(rows: DataFrame, passes: DataFrame, bits: int) -> DataFrame:
          .withColumn("order", _order(F.col("h"), F.col("whole"))).withColumn("block", _block(F.col("order"), bits)))
     # sums run over groups of blocks first, so that a window holds 2**(bits / 2) rows
     half = bits // 2
-    blocks = r.groupBy("_s", "rest", "block").agg(F.sum("tokens").alias("t")).withColumn("super", F.shiftright("block", half))
+    blocks = checkpointed(in_few_tasks(r.groupBy("_s", "rest", "block").agg(F.sum("tokens").alias("t"))))  # read twice
+    blocks = blocks.withColumn("super", F.shiftright("block", half))
     before = lambda keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     supers = (blocks.groupBy("_s", "super").agg(F.sum("t").alias("t"))
               .select(F.col("_s").alias("_s2"), F.col("super").alias("_super"),
