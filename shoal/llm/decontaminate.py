@@ -1,11 +1,12 @@
 """Benchmark leaks by latent semantic retrieval, verified word by word.
 
 Fit: the words of the benchmark are weighted by their inverse document frequency
-over all documents. The benchmark's passages, and with a small weight a bounded
-sample of corpus passages (``SAMPLE_DOCS`` documents of least hash), are rows
-of a TF-IDF matrix whose leading right singular vectors come from randomised
-subspace iteration: every iteration is one Spark job that adds up A'(AZ) over
-the rows.
+over all documents. The benchmark's passages, and with a small weight every passage
+of every distinct text of the corpus, are rows of a TF-IDF matrix whose leading right
+singular vectors come from randomised subspace iteration: every iteration is one Spark
+job that adds up A'(AZ) over the rows. However many texts there are, they weigh as much
+as ``CORPUS_TEXTS`` texts of the weight ``CORPUS_WEIGHT``, so that a larger corpus does not
+drown the benchmark. The corpus is tokenised once for it, into the numbers of its known words.
 
 Search: a text is cut into blocks of 8 words. Every run of 2, 4, 8 or 16 blocks is a
 passage; as the projection is linear its latent vector is the sum of those of
@@ -22,7 +23,7 @@ of the verbatim copies and 0.97 of those with 28 % of their words changed; 0.97
 of them also have a cosine of 0.65 (``test_recall_beyond_the_rank``).
 
 Scale: a task holds the latent basis of one block of ``BLOCK_ITEMS`` benchmark
-passages (bounded). A benchmark of one block is searched in one pass over the
+passages (bounded), and in the fit a sum of its size; there is one sum a core, eight are added in one task. A benchmark of one block is searched in one pass over the
 documents, which are not shuffled. Larger ones are searched block by block: one
 index at a time is made, its leaks are written to the shared folder, and it is freed;
 ``drop_leaks`` then writes the digests of leaking texts and drops these texts by a join.
@@ -40,22 +41,23 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoal.llm.common import bounded_sample, checkpointed, shared_path
+from shoal.llm.common import checkpointed, shared_path
 
 BLOCK = 8
 RUNS = (2, 4, 8, 16)
 PASSAGE = 64
 RANK = 128
-SAMPLE_DOCS = 2000
-SAMPLE_WEIGHT = 0.05
+CORPUS_TEXTS = 2000
+CORPUS_WEIGHT = 0.05
 BLOCK_ITEMS = 4096
 SLACK = 0.9
 COMMON = 0.7
@@ -63,17 +65,41 @@ ANSWER = 6
 ANSWERED = 0.5
 SHORT = 8
 _SEGMENT = 4096
-_GROUP_WORDS = 1 << 16
+_GROUP_BYTES = 1 << 19
+_GROUP_NUMBERS = 1 << 20
+_DENSE_ROWS = 32
 _FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 LEAK = T.ArrayType(T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("cosine", T.DoubleType()),
     T.StructField("common", T.DoubleType()), T.StructField("answer", T.DoubleType())]))
 
 
+def _folded(text: str | None) -> bytes:
+    """The words and spaces of a text."""
+    return (text or "").lower().encode().translate(_FOLD)
+
+
 def words(text: str | None) -> list[bytes]:
     """Lower-cased runs of letters and digits (of ASCII; all other code points
     count as letters)."""
-    return (text or "").lower().encode().translate(_FOLD).split()
+    return _folded(text).split()
+
+
+def _with_spaces(vocabulary: list[bytes]) -> pa.Array:
+    return pa.array([w + b" " for w in vocabulary], pa.large_binary())
+
+
+def _numbers(group: list[bytes], vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The place in the vocabulary (:func:`_with_spaces`) of every word of the folded texts, -1 for others, and the number of words of each text."""
+    text = np.frombuffer(b" ".join([*group, b""]), np.uint8)
+    space = text == 32
+    before = np.r_[True, space[:-1]]
+    starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
+    bounds = np.cumsum(np.r_[0, ends - starts + 1])  # a word and one space after it
+    each = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(text[~(space & before)])])
+    at = pc.index_in(each, value_set=vocabulary).fill_null(-1)
+    until = np.searchsorted(ends, np.cumsum([len(x) + 1 for x in group]))
+    return at.to_numpy().astype(np.int64), np.diff(until, prepend=0)
 
 
 def passages(items: list[tuple[int, str | None]]) -> list[tuple[int, list[bytes]]]:
@@ -88,33 +114,118 @@ def passages(items: list[tuple[int, str | None]]) -> list[tuple[int, list[bytes]
     return out
 
 
-def document_frequencies(documents: DataFrame, vocabulary: list[bytes]) -> tuple[dict[int, int], int]:
-    """Documents that hold each word (by its number), and the number of documents."""
-    number = {w: i for i, w in enumerate(vocabulary)}
-    known = frozenset(vocabulary)
+def known_words(documents: DataFrame, vocabulary: list[bytes]) -> DataFrame:
+    """One row per distinct text: the rows that have it (copies) and its passages of ``PASSAGE`` words,
+    as bytes: the numbers of the known words of each, every word once (ids), how often each stands there
+    (tf) and how many there are (sizes; passages without a known word are left out)."""
+    many, kind, size, spaced = len(vocabulary), _kind(len(vocabulary)), PASSAGE, _with_spaces(vocabulary)
+
+    def of_group(group: list[bytes]) -> tuple[list[bytes], list[bytes], list[bytes]]:
+        at, length = _numbers(group, spaced)
+        passages_of = -(-length // size)
+        first = np.cumsum(passages_of) - passages_of
+        passage = np.repeat(first, length) + (np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)) // size
+        held, tf = np.unique((passage * many + at)[at >= 0], return_counts=True)
+        passage, ids = np.divmod(held, many)
+        sizes = np.bincount(passage, minlength=int(passages_of.sum()))
+        bounds = np.r_[0, np.cumsum(sizes)]
+        ids, tf, sizes = ids.astype(kind), tf.astype(np.uint8), sizes.astype(np.uint8)
+        ends = first + passages_of
+        spans = list(zip(bounds[first].tolist(), bounds[ends].tolist()))
+        kept = [sizes[lo:hi] for lo, hi in zip(first.tolist(), ends.tolist())]
+        return [ids[lo:hi].tobytes() for lo, hi in spans], [tf[lo:hi].tobytes() for lo, hi in spans], [x[x > 0].tobytes() for x in kept]
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            hashes, group, held = b["text_hash"].to_numpy(), [], 0
+            for i, text in enumerate(b["text"], 1):
+                group.append(_folded(text))
+                held += len(group[-1])
+                if held >= _GROUP_BYTES or i == len(b):
+                    ids, tf, sizes = of_group(group)
+                    yield pd.DataFrame({"text_hash": hashes[i - len(group):i], "ids": ids, "tf": tf, "sizes": sizes})
+                    group, held = [], 0
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, df = 0, np.zeros(len(vocabulary), np.int64)
+    rows = (documents.select(F.xxhash64("text").alias("text_hash"), "text")
+            .mapInPandas(encode, "text_hash long, ids binary, tf binary, sizes binary"))
+    return checkpointed(rows.groupBy("text_hash").agg(
+        F.count(F.lit(1)).alias("copies"), F.first(F.struct("ids", "tf", "sizes")).alias("held")).select("copies", "held.*"))
+
+
+def _kind(n: int) -> type:
+    """The type of ``n`` numbers of words."""
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+def _in_a_task_per_core(df: DataFrame) -> DataFrame:
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _added(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of arrays of ``size`` doubles (m), one a core and a few more. Eight or so are added up in one task; the driver gets one."""
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size)
         for b in batches:
-            for text in b["text"]:
-                n += 1
-                df[[number[w] for w in known.intersection(words(text))]] += 1
-        at = np.flatnonzero(df)
-        yield pd.DataFrame({"word": np.r_[-1, at], "n": np.r_[n, df[at]]})
+            for m in b["m"]:
+                total += np.frombuffer(m)
+        yield pd.DataFrame({"m": [total.tobytes()]})
 
-    rows = (documents.select("text").mapInPandas(count, "word long, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")).collect())  # one row per benchmark word
-    df = {r["word"]: r["n"] for r in rows}
-    return df, df.pop(-1, 0)
+    n = -(-parts.sparkSession.sparkContext.defaultParallelism // 8)
+    while n > 1:
+        parts, n = parts.repartition(n).mapInPandas(added, "m binary"), -(-n // 8)
+    return np.frombuffer(parts.repartition(1).mapInPandas(added, "m binary").first()["m"])
 
 
-def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: int = 3, seed: int = 11) -> np.ndarray:
-    """(words, rank): leading right singular vectors of the rows (ids, weight),
-    each the unit TF-IDF vector of its words times its weight."""
+def document_frequencies(corpus: DataFrame, many: int) -> tuple[np.ndarray, int, int]:
+    """Documents that hold each of ``many`` words, the number of documents and that of distinct texts, from :func:`known_words`."""
+    kind = _kind(many)
 
-    def gram_times(z: np.ndarray) -> np.ndarray:
-        size = z.size  # so that the tasks that add up are not sent z
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(many + 2)
+        for b in batches:
+            for ids, copies in zip(b["ids"], b["copies"]):
+                n[np.frombuffer(ids, kind)] += copies  # once, however many passages hold the word
+            n[many:] += b["copies"].sum(), len(b)
+        yield pd.DataFrame({"m": [n.tobytes()]})
+
+    n = _added(_in_a_task_per_core(corpus.select("ids", "copies")).mapInPandas(count, "m binary"), many + 2)
+    return n[:many], int(n[many]), int(n[many + 1])
+
+
+def _gram_times(ids: np.ndarray, tf: np.ndarray, sizes: np.ndarray, weights: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """A'(AZ) in single precision, the rows of A being unit TF-IDF vectors of passages: ``sizes`` words each, as in
+    :func:`known_words`. ``_DENSE_ROWS`` rows at a time are one dense matrix over the words that they hold."""
+    total = np.zeros_like(z)
+    last = np.empty(len(z), np.intp)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    v = tf * weights.take(ids)
+    v /= np.sqrt(np.bincount(row, v * v, len(sizes))).take(row)
+    v = v.astype(z.dtype)
+    bounds = np.r_[0, np.cumsum(sizes)].tolist()
+    for r in range(0, len(sizes), _DENSE_ROWS):
+        rows = min(_DENSE_ROWS, len(sizes) - r)
+        here = slice(bounds[r], bounds[r + rows])
+        at, order = ids[here], np.arange(bounds[r + rows] - bounds[r])
+        last[at] = order
+        stands = last.take(at)  # one place for all places of a word
+        one = stands == order
+        at = at[one]
+        a = np.zeros((rows, len(at)), z.dtype)
+        a[row[here] - r, (np.cumsum(one) - 1).take(stands)] = v[here]
+        added = a.T @ (a @ z.take(at, axis=0))
+        added += total.take(at, axis=0)
+        total[at] = added
+    return total
+
+
+def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: int = 3, seed: int = 11,
+                 corpus: DataFrame | None = None, corpus_weight: float = 1.0) -> np.ndarray:
+    """(words, rank): leading right singular vectors of the rows (ids, weight), each the unit TF-IDF
+    vector of its words times its weight, and of all passages of ``corpus`` (:func:`known_words`) with their weight."""
+    kind = _kind(len(weights))
 
+    def gram_times(z: np.ndarray) -> np.ndarray:
         def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = np.zeros_like(z)
             for b in batches:
@@ -126,16 +237,19 @@ def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: in
                         total[at] += np.outer(v, v @ z[at])
             yield pd.DataFrame({"m": [total.tobytes()]})
 
-        def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(size)
+        def of_corpus(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total, single = np.zeros_like(z), z.astype(np.float32)
             for b in batches:
-                for m in b["m"]:
-                    total += np.frombuffer(m)
+                for _, some in b.groupby(b["tf"].map(len).cumsum() // _GROUP_NUMBERS):
+                    ids, tf, sizes = (np.frombuffer(b"".join(some[c]), t) for c, t in (("ids", kind), ("tf", np.uint8), ("sizes", np.uint8)))
+                    total += _gram_times(ids.astype(np.intp), tf, sizes.astype(np.intp), weights, single)
+            total *= corpus_weight ** 2
             yield pd.DataFrame({"m": [total.tobytes()]})
 
-        # at most eight sums of bounded size are added up in one task; the driver gets one
-        parts = rows.coalesce(8).mapInPandas(partial, "m binary").repartition(1).mapInPandas(added, "m binary")
-        return np.frombuffer(parts.first()["m"]).reshape(z.shape)
+        parts = rows.coalesce(8).mapInPandas(partial, "m binary")
+        if corpus is not None:
+            parts = parts.unionByName(_in_a_task_per_core(corpus.select("ids", "tf", "sizes")).mapInPandas(of_corpus, "m binary"))
+        return _added(parts, z.size).reshape(z.shape)
 
     width = min(rank + 16, len(weights))
     z = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(weights), width)))[0]
@@ -158,12 +272,14 @@ class Index:
 
     def __init__(self, items, vocabulary, weights, basis):
         self.items = items
-        self.number = {w: i + 1 for i, w in enumerate(vocabulary)}
+        number = {w: i + 1 for i, w in enumerate(vocabulary)}
+        self.vocabulary = _with_spaces(vocabulary)
+        self.numbers = [[number[w] for w in ws] for _, ws in items]
         self.rows = np.vstack([np.zeros(basis.shape[1]), basis * weights[:, None]]).astype(np.float32)
-        latent = np.array([self.rows[[self.number[w] for w in ws]].sum(axis=0) for _, ws in items], np.float32)
+        latent = np.array([self.rows[at].sum(axis=0) for at in self.numbers], np.float32)
         self.norm = np.linalg.norm(latent, axis=1)
         latent /= np.maximum(self.norm, 1e-12)[:, None]
-        share = np.array([_least_share([weights[self.number[w] - 1] for w in ws], ws) for _, ws in items])
+        share = np.array([_least_share([weights[number[w] - 1] for w in ws], ws) for _, ws in items])
         self.least = np.maximum(SLACK * share * self.norm, 1e-9).astype(np.float32)
         size = np.array([len(ws) for _, ws in items]) + BLOCK - 1  # whatever word of a block it starts at
         least = [0, *(BLOCK * r for r in RUNS[:-1])]
@@ -174,27 +290,25 @@ class Index:
         out: list[list[tuple]] = []
         group, size = [], 0
         for text in texts:
-            group.append(words(text))
+            group.append(_folded(text))
             size += len(group[-1])
-            if size >= _GROUP_WORDS:
+            if size >= _GROUP_BYTES:
                 out += self._search_group(group)
                 group, size = [], 0
         return out + self._search_group(group)
 
-    def _candidates(self, group: list[list[bytes]]) -> dict[tuple[int, int], list[tuple[float, int, int]]]:
+    def _candidates(self, numbers: np.ndarray, length: np.ndarray) -> dict[tuple[int, int], list[tuple[float, int, int]]]:
         """(document, passage) -> (cosine, first block, blocks) where the overlap is enough."""
-        blocks = [-(-len(w) // BLOCK) for w in group]
-        starts = np.cumsum([0, *(b + RUNS[-1] for b in blocks)])  # empty blocks keep texts apart
+        starts = np.cumsum(np.r_[0, -(-length // BLOCK) + RUNS[-1]])  # empty blocks keep texts apart
         ids = np.zeros((int(starts[-1]), BLOCK), np.int64)
-        flat = ids.reshape(-1)
-        for at, w in zip(starts, group):
-            flat[at * BLOCK:at * BLOCK + len(w)] = np.fromiter(map(self.number.get, w, repeat(0)), np.int64, len(w))
+        ids.reshape(-1)[np.repeat(starts[:-1] * BLOCK - np.cumsum(length) + length, length) + np.arange(len(numbers))] = numbers
         found: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
         for s in range(0, len(ids), _SEGMENT):
-            part = ids[s:s + _SEGMENT + RUNS[-1] - 1]
-            run = self.rows[part[:, 0]]
-            for j in range(1, BLOCK):
-                run += self.rows[part[:, j]]
+            part = np.ascontiguousarray(ids[s:s + _SEGMENT + RUNS[-1] - 1].T)
+            run = self.rows.take(part[0], axis=0)
+            taken = np.empty_like(run)
+            for of_word in part[1:]:
+                run += self.rows.take(of_word, axis=0, out=taken, mode="clip")
             length = 1
             for r, of_run, latent in zip(RUNS, self.of_run, self.latent):
                 while length < r:
@@ -212,14 +326,25 @@ class Index:
                     found.setdefault((doc, k_), []).append((c, first, r))
         return found
 
-    def _search_group(self, group: list[list[bytes]]) -> list[list[tuple]]:
+    def _search_group(self, group: list[bytes]) -> list[list[tuple]]:
         best: list[dict[int, tuple]] = [{} for _ in group]
+        held: dict[int, set[int]] = {}
+        texts: dict[int, list[bytes]] = {}
         if group and self.items:
-            for (doc, k), runs in self._candidates(group).items():
+            numbers, length = _numbers(group, self.vocabulary)
+            numbers += 1
+            ends = np.cumsum(length)
+            for (doc, k), runs in self._candidates(numbers, length).items():
                 item, ws = self.items[k]
+                needed = COMMON if len(ws) >= SHORT else 1.0
+                if doc not in held:
+                    held[doc] = set(numbers[ends[doc] - length[doc]:ends[doc]].tolist())
+                if sum(map(held[doc].__contains__, self.numbers[k])) < needed * len(ws):  # no less than in any part of the text
+                    continue
+                if doc not in texts:
+                    texts[doc] = group[doc].split()
                 for cosine, first, blocks in sorted(runs, reverse=True):
-                    around = group[doc][max(0, (first - 1) * BLOCK):(first + blocks + 1) * BLOCK]
-                    needed = COMMON if len(ws) >= SHORT else 1.0
+                    around = texts[doc][max(0, (first - 1) * BLOCK):(first + blocks + 1) * BLOCK]
                     if sum(map(set(around).__contains__, ws)) < needed * len(ws):  # no less than the subsequence
                         continue
                     common = common_words(ws, around) / len(ws)
@@ -252,23 +377,15 @@ def fit(documents: DataFrame, items: list[tuple[int, str | None]], rank: int = R
     if not known:
         return None
     vocabulary = sorted({w for _, ws in known for w in ws})
-    df, n = document_frequencies(documents, vocabulary)
-    weights = np.log((n + 1) / (1 + np.array([df.get(i, 0) for i in range(len(vocabulary))], float))) + 1e-3
+    corpus = known_words(documents, vocabulary)
+    df, n, texts = document_frequencies(corpus, len(vocabulary))
+    weights = np.log((n + 1) / (1 + df)) + 1e-3
     number = {w: i for i, w in enumerate(vocabulary)}
     spark = documents.sparkSession
     own = spark.createDataFrame([([number[w] for w in ws], 1.0) for _, ws in known], "ids array<int>, weight double")
-    sample = bounded_sample(documents.select("text"), SAMPLE_DOCS)
-    size = PASSAGE
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for text in b["text"]:
-                w = words(text)
-                rows = [[number[x] for x in w[i:i + size] if x in number] for i in range(0, len(w), size)]
-                yield pd.DataFrame({"ids": pd.Series(rows, dtype=object), "weight": SAMPLE_WEIGHT})
-
-    rows = checkpointed(own.unionByName(sample.mapInPandas(cut, "ids array<int>, weight double")))
-    return Index(known, vocabulary, weights, latent_basis(rows, weights, min(rank, len(vocabulary))))
+    own = checkpointed(own.coalesce(1))  # few rows: one sum
+    weight = CORPUS_WEIGHT * math.sqrt(min(1.0, CORPUS_TEXTS / max(texts, 1)))
+    return Index(known, vocabulary, weights, latent_basis(own, weights, min(rank, len(vocabulary)), corpus=corpus, corpus_weight=weight))
 
 
 def _searcher(index: Index):

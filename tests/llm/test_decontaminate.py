@@ -163,3 +163,61 @@ def test_recall_beyond_the_rank():
         mine = [i in f for (i, k), f in zip(reworded, found) if k == kind]
         assert sum(mine) >= least * len(mine)
     assert all(f <= {i} for (i, _), f in zip(reworded, found))
+
+
+def test_every_text_of_the_corpus_is_in_the_fit(spark, monkeypatch):
+    """A corpus of more texts than it weighs as; some texts come twice and count once, some hold no known word."""
+    monkeypatch.setattr(D, "CORPUS_TEXTS", 3, raising=False)
+    monkeypatch.setattr(D, "SAMPLE_DOCS", 3, raising=False)
+    monkeypatch.setattr(D, "CORPUS_WEIGHT", 50.0, raising=False)
+    monkeypatch.setattr(D, "SAMPLE_WEIGHT", 50.0, raising=False)
+    words = [a + b for a in WORDS[:8] for b in WORDS[8:16]]
+    texts = [" ".join([*words[i:i + 3], "unknown"] * (1 + i % 30)) for i in range(0, 60, 2)]
+    rows = list(enumerate([*texts, *texts[:9], None, "", "nothing known"]))
+    index = D.fit(documents(spark, rows), [(0, " ".join(words))], rank=8)
+    number = {w: i for i, w in enumerate(sorted(words))}
+    df = np.zeros(len(words))
+    for _, t in rows:
+        df[[number[w] for w in set((t or "").split()) & set(words)]] += 1
+    weights = np.log((len(rows) + 1) / (1 + df)) + 1e-3
+    lines = [t.split()[i:i + D.PASSAGE] for t in texts for i in range(0, len(t.split()), D.PASSAGE)]
+    a = np.zeros((len(lines), len(words)))
+    for i, ws in enumerate(lines):
+        for w in ws:
+            if w in number:
+                a[i, number[w]] += weights[number[w]]
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    basis = index.rows[1:].astype(float) / weights[:, None]
+    assert np.linalg.norm(a @ basis) ** 2 > 0.97 * (np.linalg.svd(a)[1][:8] ** 2).sum()
+
+
+@pytest.mark.parametrize("many", (300, 70_000))
+def test_product_of_the_corpus(spark, many):
+    r = np.random.default_rng(2)
+    vocabulary = [b"w%06d" % i for i in range(many)]
+    texts = [" ".join(f"w{x:06d}" for x in r.integers(0, 400, n) + (many - 300) * (n % 2)) for n in (0, 1, 5, 63, 64, 65, 700, 3000)]
+    rows = list(enumerate([*texts, texts[3], None, "other"]))
+    corpus = D.known_words(documents(spark, rows), vocabulary)
+    df, n, distinct = D.document_frequencies(corpus, many)
+    weights, z = r.random(many) + 0.5, r.standard_normal((many, 5))
+    held = [{int(w[1:]) for w in (t or "").split() if w != "other"} for _, t in rows]
+    assert n == 11 and distinct == 10 and (df == np.bincount([x for h in held for x in h if x < many], minlength=many)).all()
+    want = np.zeros_like(z)
+    for t in texts:
+        ws = t.split()
+        for i in range(0, len(ws), D.PASSAGE):
+            tf = np.bincount([int(w[1:]) for w in ws[i:i + D.PASSAGE] if int(w[1:]) < many], minlength=many)
+            if tf.any():
+                v = tf * weights / np.linalg.norm(tf * weights)
+                want += np.outer(v, v @ z)
+    some = corpus.toPandas()
+    ids, tf, sizes = (np.frombuffer(b"".join(some[c]), t) for c, t in (("ids", D._kind(many)), ("tf", np.uint8), ("sizes", np.uint8)))
+    got = D._gram_times(ids.astype(np.intp), tf, sizes.astype(np.intp), weights, z.astype(np.float32))
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_numbers_of_words():
+    texts = ["", "a", " a  B-c\t\n1 ", None, "é a b", "  "]
+    at, length = D._numbers([D._folded(t) for t in texts], D._with_spaces([b"a", b"c", "é".encode()]))
+    assert length.tolist() == [len(D.words(t)) for t in texts]
+    assert at.tolist() == [[b"a", b"c", "é".encode()].index(w) if w in (b"a", b"c", "é".encode()) else -1 for t in texts for w in D.words(t)]
