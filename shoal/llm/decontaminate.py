@@ -194,7 +194,7 @@ def document_frequencies(corpus: DataFrame, many: int) -> tuple[np.ndarray, int,
 
 
 def _gram_times(ids: np.ndarray, tf: np.ndarray, sizes: np.ndarray, weights: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """A'(AZ) in single precision, the rows of A being unit TF-IDF vectors of passages: ``sizes`` words each, as in
+    """A'(AZ) in the precision of ``z``, the rows of A being unit TF-IDF vectors of passages: ``sizes`` words each, as in
     :func:`known_words`. ``_DENSE_ROWS`` rows at a time are one dense matrix over the words that they hold."""
     total = np.zeros_like(z)
     last = np.empty(len(z), np.intp)
@@ -220,9 +220,10 @@ def _gram_times(ids: np.ndarray, tf: np.ndarray, sizes: np.ndarray, weights: np.
 
 
 def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: int = 3, seed: int = 11,
-                 corpus: DataFrame | None = None, corpus_weight: float = 1.0) -> np.ndarray:
+                 corpus: DataFrame | None = None, corpus_weight: float = 1.0, precision: type = np.float32) -> np.ndarray:
     """(words, rank): leading right singular vectors of the rows (ids, weight), each the unit TF-IDF
-    vector of its words times its weight, and of all passages of ``corpus`` (:func:`known_words`) with their weight."""
+    vector of its words times its weight, and of all passages of ``corpus``
+    (:func:`known_words`) with their weight, which are multiplied in ``precision`` and added up in doubles."""
     kind = _kind(len(weights))
 
     def gram_times(z: np.ndarray) -> np.ndarray:
@@ -238,11 +239,11 @@ def latent_basis(rows: DataFrame, weights: np.ndarray, rank: int, iterations: in
             yield pd.DataFrame({"m": [total.tobytes()]})
 
         def of_corpus(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total, single = np.zeros_like(z), z.astype(np.float32)
+            total, z_here = np.zeros_like(z), z.astype(precision)
             for b in batches:
                 for _, some in b.groupby(b["tf"].map(len).cumsum() // _GROUP_NUMBERS):
                     ids, tf, sizes = (np.frombuffer(b"".join(some[c]), t) for c, t in (("ids", kind), ("tf", np.uint8), ("sizes", np.uint8)))
-                    total += _gram_times(ids.astype(np.intp), tf, sizes.astype(np.intp), weights, single)
+                    total += _gram_times(ids.astype(np.intp), tf, sizes.astype(np.intp), weights, z_here)
             total *= corpus_weight ** 2
             yield pd.DataFrame({"m": [total.tobytes()]})
 
@@ -385,7 +386,9 @@ def fit(documents: DataFrame, items: list[tuple[int, str | None]], rank: int = R
     own = spark.createDataFrame([([number[w] for w in ws], 1.0) for _, ws in known], "ids array<int>, weight double")
     own = checkpointed(own.coalesce(1))  # few rows: one sum
     weight = CORPUS_WEIGHT * math.sqrt(min(1.0, CORPUS_TEXTS / max(texts, 1)))
-    return Index(known, vocabulary, weights, latent_basis(own, weights, min(rank, len(vocabulary)), corpus=corpus, corpus_weight=weight))
+    precision = np.float32 if texts > CORPUS_TEXTS else np.float64  # half the time of doubles, where there is much to add up
+    basis = latent_basis(own, weights, min(rank, len(vocabulary)), corpus=corpus, corpus_weight=weight, precision=precision)
+    return Index(known, vocabulary, weights, basis)
 
 
 def _searcher(index: Index):
